@@ -32,10 +32,12 @@ def upper_key(c: Column | str) -> Column:
 def title_case(c: Column | str) -> Column:
     """Capitalise every run of letters, so ``no/assault`` becomes ``No/Assault``.
 
-    ``initcap`` alone only starts words at spaces.
+    ``initcap`` alone only starts words at spaces; the split into runs is done
+    only for texts where a letter follows some other symbol.
     """
     runs = F.regexp_extract_all(_col(c), F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1))
-    return F.array_join(F.transform(runs, F.initcap), "")
+    inner_start = _col(c).rlike(r"[^\p{L}\s]\p{L}")
+    return F.when(inner_start, F.array_join(F.transform(runs, F.initcap), "")).otherwise(F.initcap(_col(c)))
 
 
 def normalize_category(*candidates: Column | str) -> Column:

@@ -1,7 +1,8 @@
 """Query catalogue: every operator of the library run on the given tables.
 
 Each entry takes a session and a folder of tables and returns a DataFrame.
-Measures whose last digits depend on summation order are rounded to six places; dates are shown as text.
+Measures whose last digits depend on summation order are rounded to six places;
+dates are shown as text.
 """
 
 from __future__ import annotations
@@ -12,10 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from zoneflow.functions import text as tx
+from zoneflow.functions import time as tm
+from zoneflow.operators import (
+    audit, cleaning, collapse, enrich, forecast, geo, marts, planner, quality, ranking, segments, stats, zonehour,
+)
+from zoneflow.plans import reports
 from zoneflow.sources import given
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+VIEW_START, VIEW_END = "1997-11", "1996-03"  # reversed on purpose: the bounds are swapped
 
 
 def query(fn: Query) -> Query:
@@ -34,7 +42,615 @@ def tidy(df: DataFrame, places: int = 6) -> DataFrame:
     return df.withColumns(columns) if columns else df
 
 
+# --- calendar and enrichment ----------------------------------------------
+
+
+@query
+def calendar_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Hour key, calendar parts, season and time flags of every event."""
+    events = tm.add_calendar(given.cleaned_events(spark, folder))
+    return tidy(
+        events.select(
+            "event_id", "weather_hour", "event_date", "event_hour", "weekday", "weekday_name", "month", "month_name",
+            "quarter", "year", "season", "is_weekend", "is_holiday", "is_business_hour", "is_after_hours",
+        )
+    )
+
+
+@query
+def holiday_flags(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders per day with the holiday flag and season, over several years."""
+    events = tm.add_calendar(given.order_events(spark, folder))
+    return tidy(
+        events.groupBy("event_date", "is_holiday", "season").agg(F.count(F.lit(1)).alias("events"))
+    )
+
+
+@query
+def enrich_fact(spark: SparkSession, folder: str) -> DataFrame:
+    """The 35-column fact table."""
+    return tidy(given.fact(spark, folder))
+
+
+@query
+def weather_coverage(spark: SparkSession, folder: str) -> DataFrame:
+    return tidy(enrich.coverage(given.fact(spark, folder)))
+
+
+@query
+def lineage_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Nothing lost, added or doubled between cleaned events and fact table."""
+    return tidy(enrich.lineage(given.cleaned_events(spark, folder), given.fact(spark, folder)))
+
+
+# --- zone-hour features ---------------------------------------------------
+
+
+@query
+def zone_hour_demand(spark: SparkSession, folder: str) -> DataFrame:
+    rolled = zonehour.rollup(given.fact(spark, folder))
+    return tidy(rolled.select("zone_id", "date_hour", "target_demand_count", *zonehour.MEANS, "weather_code"))
+
+
+@query
+def category_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """Share of the largest and of the three largest categories per zone-hour."""
+    rolled = zonehour.rollup(given.fact(spark, folder))
+    return tidy(rolled.select("zone_id", "date_hour", "category_mix_top_1_share", "category_mix_top_3_share"))
+
+
+@query
+def lag_features(spark: SparkSession, folder: str) -> DataFrame:
+    built = given.zone_hour(spark, folder)
+    return built.select("zone_id", "date_hour", "target_demand_count", *zonehour.LAG_NAMES.values())
+
+
+@query
+def rolling_mean(spark: SparkSession, folder: str) -> DataFrame:
+    return tidy(given.zone_hour(spark, folder).select("zone_id", "date_hour", "rolling_7_day_avg"))
+
+
+def _high_demand(spark: SparkSession, folder: str, exact: bool) -> DataFrame:
+    rolled = zonehour.rollup(given.fact(spark, folder))
+    flagged = zonehour.add_high_demand(rolled, exact=exact)
+    return tidy(flagged.select("zone_id", "date_hour", "zone_high_threshold", "high_demand_flag"))
+
+
+@query
+def high_demand_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """Hours above the zone's interpolated 75% quantile."""
+    return _high_demand(spark, folder, True)
+
+
+@query
+def high_demand_approx(spark: SparkSession, folder: str) -> DataFrame:
+    """Hours above the zone's discrete 75% quantile."""
+    return _high_demand(spark, folder, False)
+
+
+@query
+def dense_zone_hour(spark: SparkSession, folder: str) -> DataFrame:
+    """Zone-hour table with every hour present, so lags are hours."""
+    built = given.zone_hour(spark, folder, dense=True)
+    return tidy(
+        built.select(
+            "zone_id", "date_hour", "hour", "weekday", "is_weekend", "is_holiday", "target_demand_count",
+            "lag_1_hour_demand", "lag_24_hour_demand", "prior_week_same_hour_demand", "rolling_7_day_avg",
+            "high_demand_flag",
+        )
+    )
+
+
 @query
 def zone_hour_features(spark: SparkSession, folder: str) -> DataFrame:
     """The full zone-hour feature table."""
     return tidy(given.zone_hour(spark, folder))
+
+
+# --- named reports --------------------------------------------------------
+
+# report -> table it reads: the events of one month or the orders of several years
+REPORT_TABLES = {
+    "q01": ("demand_by_hour_weekday", "fact"),
+    "q02": ("demand_by_month", "order_fact"),
+    "q03": ("demand_by_zone", "fact"),
+    "q04": ("demand_by_service_category", "order_fact"),
+    "q05": ("top_demand_zones", "fact"),
+    "q06": ("peak_demand_windows", "fact"),
+    "q07": ("weekend_vs_weekday_demand", "fact"),
+    "q08": ("business_vs_after_hours_demand", "fact"),
+    "q09": ("weather_and_demand_relationship", "fact"),
+    "q10": ("zone_category_concentration", "fact"),
+    "q11": ("demand_volatility_by_zone", "zone_hour"),
+    "q12": ("monthly_trend", "order_fact"),
+    "q13": ("workload_risk_score_by_zone", "zone_hour"),
+    "q14": ("top_forecasted_high_demand_zones", "predictions"),
+    "q15": ("cluster_profile_summary", "profiles"),
+    "q16": ("data_quality_summary", "fact"),
+    "q17": ("zone_hour_weather_summary", "zone_hour"),
+}
+
+
+def _report_input(spark: SparkSession, folder: str, table: str) -> dict[str, DataFrame]:
+    if table == "order_fact":
+        return {"fact": given.order_fact(spark, folder)}
+    if table == "predictions":
+        return {table: forecast.baseline_table(given.zone_hour(spark, folder))}
+    if table == "profiles":
+        return {table: _quintile_profiles(spark, folder)}
+    return {table: getattr(given, table)(spark, folder)}
+
+
+def _report_query(name: str, table: str) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return tidy(reports.REPORTS[name](_report_input(spark, folder, table)))
+
+    return run
+
+
+for _number, (_name, _table) in REPORT_TABLES.items():
+    QUERIES[f"{_number}_{_name}"] = _report_query(_name, _table)
+
+
+# --- dimensions and marts -------------------------------------------------
+
+
+def _dimension_query(name: str) -> Query:
+    return lambda spark, folder: tidy(marts.dimensions(given.fact(spark, folder))[name])
+
+
+for _name in ("dim_date", "dim_location", "dim_service_category", "dim_weather_hour"):
+    QUERIES[_name] = _dimension_query(_name)
+
+
+def _rows(spark: SparkSession, folder: str) -> DataFrame:
+    return marts.mart_input(given.zone_hour(spark, folder))
+
+
+def _long_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return marts.mart_input(given.order_zone_hour(spark, folder))
+
+
+@query
+def zone_summary(spark: SparkSession, folder: str) -> DataFrame:
+    return tidy(marts.zone_summary(_rows(spark, folder)))
+
+
+@query
+def zone_summary_by_period(spark: SparkSession, folder: str) -> DataFrame:
+    return tidy(marts.zone_summary(_long_rows(spark, folder), marts.PERIOD))
+
+
+@query
+def hourly_demand(spark: SparkSession, folder: str) -> DataFrame:
+    return tidy(marts.hourly_demand(_rows(spark, folder)))
+
+
+@query
+def daily_demand(spark: SparkSession, folder: str) -> DataFrame:
+    return tidy(marts.daily_demand(_long_rows(spark, folder)))
+
+
+@query
+def demand_heatmap(spark: SparkSession, folder: str) -> DataFrame:
+    return marts.heatmap(_rows(spark, folder))
+
+
+@query
+def weather_context(spark: SparkSession, folder: str) -> DataFrame:
+    """Demand per precipitation band and per temperature band."""
+    return tidy(marts.weather_context(_rows(spark, folder)))
+
+
+@query
+def category_mix_mart(spark: SparkSession, folder: str) -> DataFrame:
+    return marts.category_mix(given.order_fact(spark, folder))
+
+
+@query
+def category_share(spark: SparkSession, folder: str) -> DataFrame:
+    return tidy(marts.category_share(given.fact(spark, folder)))
+
+
+@query
+def peak_hours(spark: SparkSession, folder: str) -> DataFrame:
+    return marts.peak_hours(_rows(spark, folder))
+
+
+@query
+def weekday_hour_pivot(spark: SparkSession, folder: str) -> DataFrame:
+    return marts.pivot_hours(given.fact(spark, folder), "weekday_name", hour="event_hour")
+
+
+@query
+def top_zone_heatmap(spark: SparkSession, folder: str) -> DataFrame:
+    return marts.top_zone_heatmap(_rows(spark, folder), n=5)
+
+
+@query
+def filtered_view(spark: SparkSession, folder: str) -> DataFrame:
+    """Zone summary of a range of months."""
+    return tidy(marts.view(_long_rows(spark, folder), VIEW_START, VIEW_END))
+
+
+@query
+def weekend_view(spark: SparkSession, folder: str) -> DataFrame:
+    return tidy(marts.view(_long_rows(spark, folder), VIEW_START, VIEW_END, marts.WEEKEND))
+
+
+@query
+def view_kpis(spark: SparkSession, folder: str) -> DataFrame:
+    rows = marts.in_periods(_long_rows(spark, folder), VIEW_START, VIEW_END)
+    return marts.view_kpis(marts.of_day_type(rows, marts.WEEKDAY))
+
+
+@query
+def hourly_rhythm(spark: SparkSession, folder: str) -> DataFrame:
+    return marts.hourly_rhythm(_rows(spark, folder))
+
+
+@query
+def rhythm_peak(spark: SparkSession, folder: str) -> DataFrame:
+    return marts.peak_of_rhythm(_rows(spark, folder))
+
+
+@query
+def weekly_pattern(spark: SparkSession, folder: str) -> DataFrame:
+    return marts.weekly_pattern(_rows(spark, folder))
+
+
+@query
+def weather_band_totals(spark: SparkSession, folder: str) -> DataFrame:
+    return marts.weather_bands(marts.weather_context(_rows(spark, folder)), marts.TEMPERATURE_VIEW)
+
+
+@query
+def top_categories(spark: SparkSession, folder: str) -> DataFrame:
+    return marts.top_categories(marts.category_mix(given.order_fact(spark, folder)))
+
+
+# --- zone profile, risk, plan ---------------------------------------------
+
+
+@query
+def zone_profile(spark: SparkSession, folder: str) -> DataFrame:
+    return marts.zone_profile(given.fact(spark, folder))
+
+
+@query
+def zone_statistics(spark: SparkSession, folder: str) -> DataFrame:
+    return tidy(marts.zone_statistics(given.zone_hour(spark, folder)))
+
+
+def _risk(spark: SparkSession, folder: str) -> DataFrame:
+    fact = given.fact(spark, folder)
+    return marts.risk_table(fact, zonehour.build(fact))
+
+
+@query
+def risk_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Zones with their workload risk score and rank."""
+    ranked = marts.rank_zones(_risk(spark, folder))
+    return tidy(
+        ranked.select(
+            "zone_id", "workload_risk_score", "total_events", "avg_hourly_demand", "after_hours_share",
+            "weekend_share", "high_demand_rate", "rank",
+        )
+    )
+
+
+@query
+def scenario_plan(spark: SparkSession, folder: str) -> DataFrame:
+    return tidy(planner.plan(_risk(spark, folder)))
+
+
+@query
+def recommendations(spark: SparkSession, folder: str) -> DataFrame:
+    fact = given.fact(spark, folder)
+    risk = marts.risk_table(fact, zonehour.build(fact))
+    return planner.recommendations(risk, marts.category_share(fact))
+
+
+@query
+def executive_kpis(spark: SparkSession, folder: str) -> DataFrame:
+    fact = given.fact(spark, folder)
+    return marts.executive_kpis(fact, marts.risk_table(fact, zonehour.build(fact)))
+
+
+@query
+def dashboard_kpis(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned, fact = given.order_events(spark, folder), given.order_fact(spark, folder)
+    kpis = marts.dashboard_kpis(marts.mart_input(zonehour.build(fact)), cleaned, fact, given.LOOKUP_ZONES)
+    return tidy(kpis.withColumn("periods", F.array_join("periods", ",")))
+
+
+# --- cleaning, collapse, audit, quality -----------------------------------
+
+
+@query
+def clean_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Messy raw records resolved, parsed and normalized."""
+    return tidy(cleaning.clean_events(given.raw_records(spark, folder)))
+
+
+@query
+def record_completeness(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = given.cleaned_events(spark, folder)
+    return cleaned.groupBy(cleaning.completeness_score().alias("record_completeness_score")).agg(
+        F.count(F.lit(1)).alias("events")
+    )
+
+
+@query
+def collapse_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Latest order line per key with the number of copies."""
+    order = ["l_shipdate", "l_extendedprice", "l_partkey", "l_suppkey", "l_quantity"]
+    best = collapse.collapse(given.keyed_lines(spark, folder), ["l_orderkey", "l_linenumber"], order)
+    return best.select("l_orderkey", "l_linenumber", *order, "duplicate_count")
+
+
+@query
+def first_per_key(spark: SparkSession, folder: str) -> DataFrame:
+    order = ["l_shipdate", "l_extendedprice", "l_partkey", "l_suppkey", "l_quantity"]
+    first = collapse.keep_first(given.keyed_lines(spark, folder), ["l_orderkey", "l_linenumber"], order)
+    return first.select("l_orderkey", "l_linenumber", *order)
+
+
+@query
+def collapse_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Cleaned copies collapsed to unique ids with their audited duplicate history."""
+    copies = given.copied_events(spark, folder)
+    cleaned = cleaning.clean_events(copies.withColumn("event_datetime", F.col("event_datetime").cast("string")), keep=("source_row_number",))
+    audited = audit.groups(audit.canonical_copies(copies, keep=("source_row_number",)))
+    out = collapse.collapse_events(cleaned, ["source_row_number"], audited)
+    return out.select(
+        "event_id", "event_datetime", "zone_id", "normalized_service_category", "disposition", "source_row_number",
+        "record_completeness_score", "duplicate_count", "duplicate_reason", "has_duplicate_history",
+        "duplicate_collapse_rule",
+    )
+
+
+def _copies(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.canonical_copies(given.copied_events(spark, folder), keep=("source_row_number",))
+
+
+@query
+def duplicate_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per duplicated id: what differs between its copies and why."""
+    return audit.groups(_copies(spark, folder))
+
+
+@query
+def audit_reasons(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.reason_counts(audit.groups(_copies(spark, folder)))
+
+
+@query
+def audit_flags(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.flag_counts(audit.groups(_copies(spark, folder)))
+
+
+@query
+def audit_verdict(spark: SparkSession, folder: str) -> DataFrame:
+    return tidy(audit.verdict(audit.groups(_copies(spark, folder))))
+
+
+@query
+def audit_largest(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.largest_groups(audit.groups(_copies(spark, folder))).select(
+        "event_id", "duplicate_group_size", "duplicate_reason"
+    )
+
+
+@query
+def audit_samples(spark: SparkSession, folder: str) -> DataFrame:
+    """Every copy in the largest groups overall and per reason."""
+    copies = _copies(spark, folder)
+    return audit.samples(copies, audit.groups(copies)).select(
+        "event_id", "source_row_number", "queued_datetime", "zone_id", "normalized_service_category", "disposition",
+        "duplicate_group_size", "duplicate_reason",
+    )
+
+
+@query
+def quality_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    fact = given.fact(spark, folder)
+    return quality.metrics(fact, zonehour.build(fact))
+
+
+@query
+def missing_ratios(spark: SparkSession, folder: str) -> DataFrame:
+    return tidy(quality.missing_ratios(given.fact(spark, folder)))
+
+
+@query
+def row_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Stable keys of events: SHA-256 of their fields."""
+    e = given.service_events(spark, folder)
+    return e.select("event_id", tx.sha_key("event_id", "beat", "final_call_type").alias("fallback_key"))
+
+
+@query
+def upsert_merge(spark: SparkSession, folder: str) -> DataFrame:
+    """Altered copies merged into the service events by id."""
+    copies = given.copied_events(spark, folder)
+    current, new = (copies.filter(F.col("source_row_number") == n) for n in (1, 2))
+    merged = collapse.upsert(current, new, ["event_id"], ["event_datetime"])
+    return merged.select("event_id", "event_datetime", "beat", "final_call_type", "disposition", "source_row_number")
+
+
+# --- segments -------------------------------------------------------------
+
+
+@query
+def zone_cluster_features(spark: SparkSession, folder: str) -> DataFrame:
+    return tidy(segments.zone_features(given.order_zone_hour(spark, folder)))
+
+
+@query
+def zone_feature_vector(spark: SparkSession, folder: str) -> DataFrame:
+    """Nine segmentation features of the event zones."""
+    return tidy(segments.zone_features(given.zone_hour(spark, folder)))
+
+
+def _quintile_profiles(spark: SparkSession, folder: str) -> DataFrame:
+    return segments.profiles(segments.quintiles(segments.zone_features(given.zone_hour(spark, folder))))
+
+
+@query
+def quintile_segments(spark: SparkSession, folder: str) -> DataFrame:
+    segmented = segments.quintiles(segments.zone_features(given.zone_hour(spark, folder)))
+    return tidy(segmented.select("zone_id", "cluster_id", "avg_hourly_demand"))
+
+
+@query
+def cluster_names(spark: SparkSession, folder: str) -> DataFrame:
+    return tidy(_quintile_profiles(spark, folder).select("zone_id", "cluster_id", "cluster_name"))
+
+
+@query
+def cluster_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    return tidy(segments.cluster_rollup(_quintile_profiles(spark, folder)))
+
+
+@query
+def kmeans_profiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Zones clustered on their features, with principal components and cluster names."""
+    _, segmented = segments.fit_clusters(segments.zone_features(given.zone_hour(spark, folder)))
+    return tidy(segments.profiles(segmented))
+
+
+# --- forecast -------------------------------------------------------------
+
+
+@query
+def model_frame(spark: SparkSession, folder: str) -> DataFrame:
+    """Model input with its part of the temporal split."""
+    frame = forecast.model_frame(given.zone_hour(spark, folder))
+    train, test = forecast.split(frame)
+    parts = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    return parts.groupBy("part").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.min("date_hour_epoch").alias("first_epoch"),
+        F.max("date_hour_epoch").alias("last_epoch"),
+        F.sum(forecast.LABEL).alias("high_demand_rows"),
+    )
+
+
+@query
+def baseline_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    return tidy(forecast.baseline_table(given.zone_hour(spark, folder)))
+
+
+@query
+def baseline_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    predicted = forecast.baseline_table(given.zone_hour(spark, folder))
+    return tidy(forecast.metrics(predicted, "baseline_prediction", "baseline"))
+
+
+@query
+def baseline_auc(spark: SparkSession, folder: str) -> DataFrame:
+    predicted = forecast.baseline_table(given.zone_hour(spark, folder))
+    return tidy(forecast.auc(predicted, "baseline_probability"))
+
+
+@query
+def baseline_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Per-class report of the baseline."""
+    predicted = forecast.baseline_table(given.zone_hour(spark, folder))
+    return tidy(forecast.class_report(predicted, "baseline_prediction"))
+
+
+@query
+def highest_risk_hours(spark: SparkSession, folder: str) -> DataFrame:
+    predicted = forecast.baseline_table(given.zone_hour(spark, folder))
+    return tidy(forecast.highest_risk(predicted))
+
+
+@query
+def forest_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    """Random-forest predictions for the later zone-hours, trained on all earlier ones."""
+    _, predicted = forecast.fit_and_predict(forecast.forest_pipeline(), given.zone_hour(spark, folder))
+    return tidy(predicted)
+
+
+@query
+def mlp_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    """Neural-network predictions for the later zone-hours."""
+    _, predicted = forecast.fit_and_predict(forecast.mlp_pipeline(), given.zone_hour(spark, folder))
+    return tidy(predicted)
+
+
+# --- statistics -----------------------------------------------------------
+
+
+@query
+def wilcoxon(spark: SparkSession, folder: str) -> DataFrame:
+    """Rank-sum test of hourly demand, weekdays against weekends."""
+    tested = stats.rank_sum(given.zone_hour(spark, folder), "target_demand_count", "is_weekend")
+    return tidy(tested.drop("p_value"))
+
+
+@query
+def kruskal(spark: SparkSession, folder: str) -> DataFrame:
+    """Kruskal-Wallis test of hourly demand across zones."""
+    tested = stats.kruskal(given.zone_hour(spark, folder), "target_demand_count", "zone_id")
+    return tidy(tested.drop("p_value"))
+
+
+@query
+def group_ci(spark: SparkSession, folder: str) -> DataFrame:
+    """Mean hourly demand per zone with its 95% interval."""
+    return tidy(stats.group_intervals(given.zone_hour(spark, folder), "target_demand_count", "zone_id"))
+
+
+@query
+def ols(spark: SparkSession, folder: str) -> DataFrame:
+    """Regression of hourly demand on weather and calendar."""
+    return tidy(stats.ols(given.zone_hour(spark, folder)))
+
+
+@query
+def ols_single(spark: SparkSession, folder: str) -> DataFrame:
+    return tidy(stats.ols_single(given.zone_hour(spark, folder), "target_demand_count", "temperature_2m"))
+
+
+@query
+def demand_ranks(spark: SparkSession, folder: str) -> DataFrame:
+    """Zone-hours numbered by demand over the whole table."""
+    rolled = zonehour.rollup(given.fact(spark, folder)).select("zone_id", "date_hour", "target_demand_count")
+    return ranking.row_numbers(rolled, "target_demand_count", ["zone_id", "date_hour"], "rank", 1.0)
+
+
+# --- geography ------------------------------------------------------------
+
+
+@query
+def polygon_centroid(spark: SparkSession, folder: str) -> DataFrame:
+    """Area and centroid of one polygon per customer, holes and multi-part shapes included."""
+    return tidy(geo.centroids(given.customer_polygons(spark, folder)))
+
+
+@query
+def polygon_vertices(spark: SparkSession, folder: str) -> DataFrame:
+    """Outer-ring vertices of the customer polygons."""
+    return tidy(geo.vertices(given.customer_polygons(spark, folder)))
+
+
+@query
+def polygon_wkt(spark: SparkSession, folder: str) -> DataFrame:
+    return geo.wkt(given.customer_polygons(spark, folder))
+
+
+@query
+def choropleth(spark: SparkSession, folder: str) -> DataFrame:
+    """Zone polygons with demand, rank, intensity and colour."""
+    summary = marts.zone_summary(_rows(spark, folder))
+    return tidy(geo.choropleth(given.zone_polygons(spark, folder), summary))
+
+
+@query
+def map_coverage(spark: SparkSession, folder: str) -> DataFrame:
+    summary = marts.zone_summary(_rows(spark, folder))
+    coloured = geo.choropleth(given.zone_polygons(spark, folder), summary)
+    return geo.map_coverage(coloured, summary)

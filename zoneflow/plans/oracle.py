@@ -189,3 +189,1091 @@ select zone_id, cast(event_date as varchar) "date", date_hour, event_hour "hour"
   round(category_mix_top_3_share, 6) category_mix_top_3_share, target_demand_count, high_demand_flag
 from features""",
 )
+
+
+# --- calendar and enrichment ----------------------------------------------
+
+_check(
+    "calendar_features",
+    ("holidays(holiday)", "cleaned"),
+    f"""
+select event_id, weather_hour, cast(event_date as varchar) event_date, event_hour, weekday, weekday_name, "month",
+  month_name, "quarter", "year", season, is_weekend, is_holiday, is_business_hour, not is_business_hour is_after_hours
+from (select *, {CALENDAR} from cleaned)""",
+)
+_check(
+    "holiday_flags",
+    ("order_facts",),
+    """
+select cast(event_date as varchar) event_date, is_holiday, season, count(*) events from order_facts group by all""",
+)
+_ROUNDED_WEATHER = ", ".join(f"round({c.strip()}, 6) {c.strip()}" for c in WEATHER.split(","))
+_check(
+    "enrich_fact",
+    ("fact",),
+    f"""
+select event_id, event_datetime, weather_hour, cast(event_date as varchar) event_date, event_hour, weekday,
+  weekday_name, "month", month_name, "quarter", "year", season, is_weekend, is_holiday, is_business_hour,
+  is_after_hours, zone_id, coalesce(beat, zone_id) beat, sector, precinct, round(latitude, 6) latitude,
+  round(longitude, 6) longitude, cast(null as varchar) initial_call_type, final_call_type,
+  category normalized_service_category, disposition, {_ROUNDED_WEATHER}, data_quality_flag, demand_count
+from fact""",
+)
+_check(
+    "weather_coverage",
+    ("fact",),
+    """
+select count(*) fact_rows, count(temperature_2m) weather_rows,
+  round(count(temperature_2m)::double / count(*), 6) weather_join_coverage,
+  min(event_datetime) first_event, max(event_datetime) last_event
+from fact""",
+)
+_check(
+    "lineage_check",
+    ("fact",),
+    """
+select (select count(*) from cleaned) input_rows, (select count(*) from fact) output_rows,
+  (select count(distinct event_id) from cleaned) input_ids, (select count(distinct event_id) from fact) output_ids,
+  (select count(*) from (select event_id from cleaned except select event_id from fact)) missing_ids,
+  (select count(*) from (select event_id from fact except select event_id from cleaned)) new_ids,
+  (select count(*) - count(distinct event_id) from fact) duplicate_rows,
+  (select round((count(*) - count(distinct event_id))::double / count(*), 6) from fact) duplicate_impact""",
+)
+
+# --- zone-hour features ---------------------------------------------------
+
+_check(
+    "zone_hour_demand",
+    ("zone_hours",),
+    f"select zone_id, date_hour, target_demand_count, {_ROUNDED_WEATHER} from zone_hours",
+)
+_check(
+    "category_mix",
+    ("zone_hours",),
+    """
+select zone_id, date_hour, round(category_mix_top_1_share, 6) category_mix_top_1_share,
+  round(category_mix_top_3_share, 6) category_mix_top_3_share
+from zone_hours""",
+)
+_check(
+    "lag_features",
+    ("features",),
+    """
+select zone_id, date_hour, target_demand_count, lag_1_hour_demand, lag_24_hour_demand, prior_week_same_hour_demand
+from features""",
+)
+_check(
+    "rolling_mean",
+    ("features",),
+    "select zone_id, date_hour, round(rolling_7_day_avg, 6) rolling_7_day_avg from features",
+)
+for _name, _quantile in (("exact", "quantile_cont"), ("approx", "quantile_disc")):
+    _check(
+        f"high_demand_{_name}",
+        ("zone_hours",),
+        f"""
+select z.zone_id, date_hour, threshold zone_high_threshold,
+  cast(target_demand_count > threshold as integer) high_demand_flag
+from zone_hours z join (select zone_id, cast({_quantile}(target_demand_count, 0.75) as double) threshold
+                        from zone_hours group by 1) q on z.zone_id = q.zone_id""",
+    )
+CTES["dense_hours"] = (
+    """
+  select s.zone_id, s.date_hour, cast(s.date_hour as date) event_date, cast(hour(s.date_hour) as integer) event_hour,
+    cast(isodow(s.date_hour) - 1 as integer) weekday, isodow(s.date_hour) >= 6 is_weekend,
+    cast(s.date_hour as date) in (select holiday from holidays) is_holiday,
+    coalesce(target_demand_count, 0) target_demand_count
+  from (select zone_id, unnest(generate_series(min(date_hour), max(date_hour), interval 1 hour)) date_hour
+        from zone_hours group by zone_id) s
+  left join zone_hours z on s.zone_id = z.zone_id and s.date_hour = z.date_hour""",
+    ("zone_hours",),
+)
+CTES["dense_features"] = (_features("dense_hours"), ("dense_hours",))
+_check(
+    "dense_zone_hour",
+    ("dense_features",),
+    """
+select zone_id, date_hour, event_hour "hour", weekday, is_weekend, is_holiday, target_demand_count,
+  lag_1_hour_demand, lag_24_hour_demand, prior_week_same_hour_demand, round(rolling_7_day_avg, 6) rolling_7_day_avg,
+  high_demand_flag
+from dense_features""",
+)
+
+# --- named reports --------------------------------------------------------
+
+_check(
+    "q01_demand_by_hour_weekday",
+    ("fact",),
+    "select weekday_name, event_hour, count(*) demand_count from fact group by all",
+)
+_check(
+    "q02_demand_by_month",
+    ("order_facts",),
+    'select "year", "month", month_name, count(*) demand_count from order_facts group by all',
+)
+_check(
+    "q03_demand_by_zone", ("fact",), "select zone_id, precinct, sector, count(*) demand_count from fact group by all"
+)
+_check(
+    "q04_demand_by_service_category",
+    ("order_facts",),
+    "select category normalized_service_category, count(*) demand_count from order_facts group by all",
+)
+_check(
+    "q05_top_demand_zones",
+    ("fact",),
+    "select zone_id, count(*) demand_count from fact group by all order by demand_count desc, zone_id limit 25",
+)
+_check(
+    "q06_peak_demand_windows",
+    ("fact",),
+    """
+select weekday_name, event_hour, demand_count
+from (select weekday, weekday_name, event_hour, count(*) demand_count from fact group by all)
+order by demand_count desc, weekday, event_hour limit 25""",
+)
+_check(
+    "q07_weekend_vs_weekday_demand", ("fact",), "select is_weekend, count(*) demand_count from fact group by all"
+)
+_check(
+    "q08_business_vs_after_hours_demand",
+    ("fact",),
+    "select is_after_hours, count(*) demand_count from fact group by all",
+)
+_check(
+    "q09_weather_and_demand_relationship",
+    ("fact",),
+    """
+select round(temperature_2m, 0) temperature_bucket,
+  case when precipitation > 0 then 'precipitation_observed' else 'no_precipitation' end precipitation_flag,
+  count(*) demand_count
+from fact group by all""",
+)
+_check(
+    "q10_zone_category_concentration",
+    ("fact",),
+    "select zone_id, category normalized_service_category, count(*) demand_count from fact group by all",
+)
+_check(
+    "q11_demand_volatility_by_zone",
+    ("zone_hours",),
+    """
+select zone_id, round(avg(target_demand_count), 6) avg_hourly_demand,
+  round(var_pop(target_demand_count), 6) demand_variance
+from zone_hours group by all""",
+)
+_check(
+    "q12_monthly_trend", ("order_facts",), 'select "year", "month", count(*) demand_count from order_facts group by all'
+)
+_check(
+    "q13_workload_risk_score_by_zone",
+    ("features",),
+    """
+select zone_id, round(avg(target_demand_count), 6) avg_hourly_demand, round(avg(high_demand_flag), 6) high_demand_rate,
+  round(avg(cast(is_after_hours as integer)), 6) after_hours_share,
+  round(avg(cast(is_weekend as integer)), 6) weekend_share
+from features group by all""",
+)
+CTES["predictions"] = (
+    """
+  select zone_id, date_hour, target_demand_count::double target_demand_count, high_demand_flag actual_high_demand,
+    cast(prior_week_same_hour_demand >= threshold as integer) baseline_prediction,
+    least(greatest(prior_week_same_hour_demand / greatest(threshold, 1.0::double), 0), 1) probability
+  from features, (select quantile_disc(date_hour, 0.8) cutoff, max(date_hour) final from features),
+    (select quantile_disc(target_demand_count, 0.75)::double threshold from features
+     where date_hour <= (select quantile_disc(date_hour, 0.8) from features))
+  where date_hour > cutoff or cutoff = final""",
+    ("features",),
+)
+_check(
+    "q14_top_forecasted_high_demand_zones",
+    ("predictions",),
+    """
+select zone_id, round(avg(probability), 6) avg_predicted_probability,
+  round(avg(round_even(probability * 100, 1)), 6) avg_workload_risk_score
+from predictions group by all order by avg(probability) desc, zone_id limit 25""",
+)
+
+
+def _segment_features(features: str) -> str:
+    return f"""
+  select b.*, peak_hour_concentration, coalesce(month_to_month_variability, 0) month_to_month_variability
+  from (select zone_id, avg(target_demand_count) avg_hourly_demand, avg(cast(is_weekend as integer)) weekend_share,
+          avg(cast(is_after_hours as integer)) after_hours_share, avg(category_mix_top_1_share) top_category_share,
+          coalesce(stddev_samp(target_demand_count), 0) demand_volatility,
+          coalesce(case when var_pop(coalesce(precipitation, 0) + coalesce(rain, 0)) > 0
+                         and var_pop(target_demand_count) > 0
+            then abs(corr(target_demand_count, coalesce(precipitation, 0) + coalesce(rain, 0))) end, 0)
+            weather_sensitivity_proxy,
+          avg(cast(is_business_hour as integer)) business_hour_share
+        from {features} group by zone_id) b
+  join (select zone_id, max(d)::double / sum(d) peak_hour_concentration
+        from (select zone_id, event_hour, sum(target_demand_count) d from {features} group by all) group by all) p
+    on b.zone_id = p.zone_id
+  join (select zone_id, stddev_samp(d) month_to_month_variability
+        from (select zone_id, "month", sum(target_demand_count) d from {features} group by all) group by all) m
+    on b.zone_id = m.zone_id
+"""
+
+
+SEGMENT_FEATURES = (
+    "avg_hourly_demand weekend_share after_hours_share top_category_share demand_volatility "
+    "weather_sensitivity_proxy peak_hour_concentration month_to_month_variability business_hour_share"
+).split()
+CTES["zone_vectors"] = (_segment_features("features"), ("features",))
+CTES["quintiles"] = (
+    "select *, cast(ntile(5) over (order by avg_hourly_demand, zone_id) - 1 as integer) cluster_id from zone_vectors",
+    ("zone_vectors",),
+)
+CTES["named"] = (
+    f"""
+  select q.*, n.cluster_name
+  from quintiles q join (
+    select cluster_id, case
+      when avg_hourly_demand >= m_avg_hourly_demand and demand_volatility <= m_demand_volatility
+        then 'High-volume steady demand zones'
+      when weekend_share >= m_weekend_share and peak_hour_concentration >= m_peak_hour_concentration
+        then 'Weekend/event-driven zones'
+      when after_hours_share >= m_after_hours_share then 'Late-night demand zones'
+      when weather_sensitivity_proxy >= m_weather_sensitivity_proxy and weather_sensitivity_proxy > 0
+        then 'Weather-sensitive zones'
+      else 'Low-volume stable zones' end cluster_name
+    from (select cluster_id, {", ".join(f"avg({f}) {f}" for f in SEGMENT_FEATURES)} from quintiles group by 1),
+      (select {", ".join(f"median({f}) m_{f}" for f in SEGMENT_FEATURES)} from quintiles)) n
+  on q.cluster_id = n.cluster_id""",
+    ("quintiles",),
+)
+_check(
+    "q15_cluster_profile_summary",
+    ("named",),
+    """
+select cluster_id, cluster_name, count(*) zone_count, round(avg(avg_hourly_demand), 6) avg_hourly_demand,
+  round(avg(after_hours_share), 6) after_hours_share
+from named group by all""",
+)
+_check(
+    "q16_data_quality_summary", ("fact",), "select data_quality_flag, count(*) row_count from fact group by all"
+)
+_check(
+    "q17_zone_hour_weather_summary",
+    ("features",),
+    """
+select case when coalesce(precipitation, 0) + coalesce(rain, 0) > 0 then 'precipitation_observed'
+            else 'no_precipitation' end precipitation_flag,
+  round(temperature_2m, 0) temperature_bucket, count(*) observed_zone_hours,
+  round(avg(target_demand_count), 6) avg_demand, round(avg(high_demand_flag), 6) high_demand_rate
+from features group by all""",
+)
+
+# --- dimensions and marts -------------------------------------------------
+
+_check(
+    "dim_date",
+    ("fact",),
+    """
+select distinct cast(event_date as varchar) event_date, weekday, weekday_name, "month", month_name, "quarter", "year",
+  season, is_weekend, is_holiday from fact""",
+)
+_check(
+    "dim_location",
+    ("fact",),
+    """
+select distinct zone_id, coalesce(beat, zone_id) beat, sector, precinct, round(latitude, 6) latitude,
+  round(longitude, 6) longitude from fact""",
+)
+_check("dim_service_category", ("fact",), "select distinct category normalized_service_category from fact")
+_check("dim_weather_hour", ("fact",), f"select distinct weather_hour, {_ROUNDED_WEATHER} from fact")
+
+
+def _mart_rows(features: str) -> str:
+    return f"""
+  select zone_id, event_date, event_hour "hour", weekday, dayname(event_date) weekday_name,
+    strftime(event_date, '%Y-%m') "period", cast(year(event_date) as integer) "year",
+    cast(month(event_date) as integer) "month", target_demand_count demand_count, is_weekend, is_after_hours,
+    high_demand_flag, temperature_2m, precipitation, rain
+  from {features}
+"""
+
+
+CTES["mart"] = (_mart_rows("features"), ("features",))
+CTES["order_mart"] = (_mart_rows("order_features"), ("order_features",))
+SELECTED = '"period" between \'1996-03\' and \'1997-11\''
+
+
+def _summary(source: str, by: str = "", where: str = "true") -> str:
+    names = [b.strip() for b in by.split(",") if b.strip()] + ["zone_id"]
+    keys = ", ".join(names)
+    return f"""
+select s.*, p.peak_hour
+from (select {keys}, cast(sum(demand_count) as bigint) total_service_demand, count(*) zone_hour_records,
+        cast(sum(case when is_weekend then demand_count else 0 end) as bigint) weekend_demand,
+        cast(sum(case when is_after_hours then demand_count else 0 end) as bigint) after_hours_demand,
+        cast(sum(high_demand_flag) as bigint) high_demand_hours, max(demand_count) peak_hour_demand,
+        round(sum(demand_count)::double / count(*), 6) avg_calls_per_zone_hour,
+        round(sum(case when is_weekend then demand_count else 0 end)::double / sum(demand_count), 6) weekend_share,
+        round(sum(case when is_after_hours then demand_count else 0 end)::double / sum(demand_count), 6)
+          after_hours_share,
+        round(sum(high_demand_flag)::double / count(*), 6) high_demand_hour_rate
+      from {source} where {where} group by all) s
+join (select {keys}, "hour" peak_hour
+      from (select {keys}, "hour", row_number() over (partition by {keys} order by sum(demand_count) desc, "hour") r
+            from {source} where {where} group by {keys}, "hour")
+      where r = 1) p on {" and ".join(f"s.{n} = p.{n}" for n in names)}"""
+
+
+_check("zone_summary", ("mart",), _summary("mart"))
+_check("zone_summary_by_period", ("order_mart",), _summary("order_mart", '"period", "year", "month"'))
+_check(
+    "hourly_demand",
+    ("mart",),
+    """
+select "period", "year", "month", cast(event_date as varchar) "date", "hour", is_weekend,
+  cast(sum(demand_count) as bigint) demand_count, count(*) zone_hour_records
+from mart group by all""",
+)
+_check(
+    "daily_demand",
+    ("order_mart",),
+    """
+select "period", "year", "month", cast(event_date as varchar) "date", weekday, weekday_name, is_weekend,
+  cast(sum(demand_count) as bigint) demand_count, count(*) zone_hour_records
+from order_mart group by all""",
+)
+_check(
+    "demand_heatmap",
+    ("mart",),
+    """
+select "period", "year", "month", zone_id, "hour", is_weekend, cast(sum(demand_count) as bigint) demand_count,
+  count(*) zone_hour_records
+from mart group by all""",
+)
+CTES["banded"] = (
+    """
+  select *, case when coalesce(precipitation, rain, 0) <= 0 then 'No measured precipitation'
+      when coalesce(precipitation, rain, 0) <= 0.5 then 'Trace to 0.5 mm'
+      when coalesce(precipitation, rain, 0) <= 2 then '0.5 to 2 mm'
+      when coalesce(precipitation, rain, 0) <= 10 then '2 to 10 mm' else '10+ mm' end wet_band,
+    case when temperature_2m is null then 'nan' when temperature_2m <= 0 then 'Below 0 C'
+      when temperature_2m <= 5 then '0 to 5 C' when temperature_2m <= 10 then '5 to 10 C'
+      when temperature_2m <= 15 then '10 to 15 C' when temperature_2m <= 20 then '15 to 20 C'
+      when temperature_2m <= 25 then '20 to 25 C' else '25+ C' end warm_band
+  from mart where coalesce(temperature_2m, precipitation, rain) is not null""",
+    ("mart",),
+)
+_check(
+    "weather_context",
+    ("banded",),
+    """
+select "period", "year", "month", 'Precipitation band' "view", wet_band band,
+  cast(sum(demand_count) as bigint) demand_count, count(*) zone_hour_records,
+  round(sum(demand_count)::double / count(*), 6) avg_demand_per_zone_hour
+from banded group by all
+union all
+select "period", "year", "month", 'Temperature band' "view", warm_band band,
+  cast(sum(demand_count) as bigint) demand_count, count(*) zone_hour_records,
+  round(sum(demand_count)::double / count(*), 6) avg_demand_per_zone_hour
+from banded group by all""",
+)
+_check(
+    "weather_band_totals",
+    ("banded",),
+    "select warm_band band, cast(sum(demand_count) as bigint) demand_count from banded group by all",
+)
+_check(
+    "category_mix_mart",
+    ("order_facts",),
+    """
+select strftime(event_date, '%Y-%m') "period", "year", "month", zone_id, category service_category,
+  count(*) demand_count, count(*) event_rows, false sample_based
+from order_facts group by all""",
+)
+_check(
+    "category_share",
+    ("fact",),
+    """
+select category normalized_service_category, count(*) demand_count,
+  round(count(*)::double / (select count(*) from fact), 6) share_of_total
+from fact group by all""",
+)
+_check(
+    "peak_hours",
+    ("mart",),
+    """
+select zone_id, "hour" peak_hour, d peak_demand
+from (select zone_id, "hour", cast(sum(demand_count) as bigint) d,
+        row_number() over (partition by zone_id order by sum(demand_count) desc, "hour") r
+      from mart group by zone_id, "hour")
+where r = 1""",
+)
+
+
+def _hour_columns(hour: str, amount: str) -> str:
+    return ", ".join(f"cast(coalesce(sum({amount}) filter ({hour} = {h}), 0) as bigint) h{h}" for h in range(24))
+
+
+_check(
+    "weekday_hour_pivot",
+    ("fact",),
+    f"select weekday_name, {_hour_columns('event_hour', 'demand_count')} from fact group by all",
+)
+_check(
+    "top_zone_heatmap",
+    ("mart",),
+    f"""
+select zone_id, {_hour_columns('"hour"', 'demand_count')} from mart
+where zone_id in (select zone_id from mart group by 1 order by sum(demand_count) desc, 1 limit 5) group by all""",
+)
+_check("filtered_view", ("order_mart",), _summary("order_mart", "", SELECTED))
+_check("weekend_view", ("order_mart",), _summary("order_mart", "", f"{SELECTED} and is_weekend"))
+_check(
+    "view_kpis",
+    ("order_mart",),
+    f"""
+select (select cast(sum(demand_count) as bigint) from order_mart where {SELECTED} and not is_weekend) selected_demand,
+  (select count(*) from order_mart where {SELECTED} and not is_weekend) selected_records,
+  (select count(distinct zone_id) from order_mart where {SELECTED} and not is_weekend) active_zones,
+  z.zone_id top_zone, z.d top_zone_demand, h."hour" peak_hour, 'Weekday' peak_context
+from (select zone_id, cast(sum(demand_count) as bigint) d from order_mart where {SELECTED} and not is_weekend
+      group by all order by d desc, zone_id limit 1) z,
+  (select "hour", sum(demand_count) d from order_mart where {SELECTED} and not is_weekend
+   group by all order by d desc, "hour" limit 1) h""",
+)
+_RHYTHM = """
+select "hour", is_weekend, cast(sum(demand_count) as bigint) demand_count,
+  case when is_weekend then 'Weekend' else 'Weekday' end period_type
+from mart group by all"""
+_check("hourly_rhythm", ("mart",), _RHYTHM)
+_check(
+    "rhythm_peak",
+    ("mart",),
+    f"""
+select "hour", period_type, demand_count from ({_RHYTHM}) order by demand_count desc, "hour", is_weekend limit 1""",
+)
+_check(
+    "weekly_pattern",
+    ("mart",),
+    "select weekday, weekday_name, cast(sum(demand_count) as bigint) demand_count from mart group by all",
+)
+_check(
+    "top_categories",
+    ("order_facts",),
+    """
+select category service_category, count(*) demand_count from order_facts group by all
+order by demand_count desc, service_category limit 12""",
+)
+
+# --- zone profile, risk, plan ---------------------------------------------
+
+
+def _mode(column: str) -> str:
+    return f"""
+    (select zone_id, {column} v from (select zone_id, {column},
+       row_number() over (partition by zone_id order by count(*) desc, {column}) r
+       from fact where {column} is not null group by all) where r = 1)"""
+
+
+CTES["zone_profiles"] = (
+    f"""
+  select z.*, p.v primary_precinct, s.v primary_sector, c.v top_category
+  from (select zone_id, count(*) total_events, min(event_datetime) first_event, max(event_datetime) last_event
+        from fact group by all) z
+  left join {_mode("precinct")} p on z.zone_id = p.zone_id
+  left join {_mode("sector")} s on z.zone_id = s.zone_id
+  left join {_mode("category")} c on z.zone_id = c.zone_id""",
+    ("fact",),
+)
+CTES["zone_stats"] = (
+    """
+  select zone_id, avg(target_demand_count) avg_hourly_demand, stddev_samp(target_demand_count) demand_volatility,
+    var_pop(target_demand_count) demand_variance, avg(cast(is_after_hours as integer)) after_hours_share,
+    avg(cast(is_weekend as integer)) weekend_share, avg(high_demand_flag) high_demand_rate
+  from features group by all""",
+    ("features",),
+)
+RISK = {
+    "total_events": 0.35, "avg_hourly_demand": 0.25, "demand_volatility": 0.2, "after_hours_share": 0.1,
+    "weekend_share": 0.1,
+}
+
+
+def _scaled(c: str) -> str:
+    v = f"coalesce({c}::double, 0)"
+    return (
+        f"case when max({v}) over () = min({v}) over () then 50 else round_even(({v} - min({v}) over ()) / "
+        f"(max({v}) over () - min({v}) over ()) * 100, 1) end"
+    )
+
+
+CTES["risk"] = (
+    f"""
+  select *, round_even({" + ".join(f"({_scaled(c)}) * {w}::double" for c, w in RISK.items())}, 1) workload_risk_score
+  from zone_profiles join zone_stats using (zone_id)""",
+    ("zone_profiles", "zone_stats"),
+)
+_check(
+    "zone_profile",
+    ("zone_profiles",),
+    """
+select zone_id, total_events, first_event, last_event, primary_precinct, primary_sector, top_category
+from zone_profiles""",
+)
+_check(
+    "zone_statistics",
+    ("zone_stats",),
+    """
+select zone_id, round(avg_hourly_demand, 6) avg_hourly_demand, round(demand_volatility, 6) demand_volatility,
+  round(demand_variance, 6) demand_variance, round(after_hours_share, 6) after_hours_share,
+  round(weekend_share, 6) weekend_share, round(high_demand_rate, 6) high_demand_rate
+from zone_stats""",
+)
+_check(
+    "risk_score",
+    ("risk",),
+    """
+select zone_id, workload_risk_score, total_events, round(avg_hourly_demand, 6) avg_hourly_demand,
+  round(after_hours_share, 6) after_hours_share, round(weekend_share, 6) weekend_share,
+  round(high_demand_rate, 6) high_demand_rate,
+  cast(row_number() over (order by workload_risk_score desc, zone_id) as integer) "rank"
+from risk""",
+)
+_check(
+    "scenario_plan",
+    ("risk",),
+    """
+select zone_id, total_events::double baseline_events, workload_risk_score, round(weight, 6) priority_weight,
+  round(projected, 6) projected_demand, round(projected * 0.85 / 12, 6) resources_needed,
+  round(30 * weight, 6) allocated_resources, round(30 * weight * 12, 6) projected_capacity,
+  round(greatest(projected * 0.85 - 30 * weight * 12, 0), 6) workload_gap,
+  round(30 * weight * 12 / projected, 6) coverage_pct,
+  case when workload_risk_score >= 70 then 'Prioritize workload-risk review'
+       else 'Monitor recurring demand pattern' end recommendation_text
+from (select *, workload_risk_score / sum(workload_risk_score) over () weight,
+        total_events * 1.1::double * 1.05::double projected
+      from (select * from risk order by workload_risk_score desc, zone_id limit 25))""",
+)
+
+
+def _recommendations() -> str:
+    from zoneflow.operators.planner import RECOMMENDATION_COLUMNS, RECOMMENDATIONS
+
+    rows = ", ".join("(" + ", ".join(f"'{v}'" for v in r) + ")" for r in RECOMMENDATIONS)
+    names = ", ".join(RECOMMENDATION_COLUMNS)
+    return f"""
+select * replace (replace(replace(evidence_signal, '{{zone}}',
+    (select zone_id from risk order by workload_risk_score desc, zone_id limit 1)), '{{category}}',
+    (select category from fact group by category order by count(*) desc, category limit 1)) as evidence_signal)
+from (values {rows}) t({names})"""
+
+
+_check("recommendations", ("risk", "fact"), _recommendations())
+_check(
+    "executive_kpis",
+    ("risk", "fact"),
+    """
+select * from (values
+  ('total_service_events', (select count(*) from fact)::varchar, 'Rows in the fact table'),
+  ('date_start', (select strftime(min(event_datetime), '%Y-%m-%d %H:%M:%S') from fact),
+   'Earliest service-event timestamp'),
+  ('date_end', (select strftime(max(event_datetime), '%Y-%m-%d %H:%M:%S') from fact),
+   'Latest service-event timestamp'),
+  ('unique_zones', (select count(distinct zone_id) from fact)::varchar, 'Distinct zones/beats'),
+  ('unique_categories', (select count(distinct category) from fact)::varchar,
+   'Distinct normalized service categories'),
+  ('top_workload_risk_zone', (select zone_id from risk order by workload_risk_score desc, zone_id limit 1),
+   'Highest workload-risk score'),
+  ('top_service_category', (select category from fact group by category order by count(*) desc, category limit 1),
+   'Largest event category'),
+  ('sample_mode', 'False', 'Whether the run used sample mode')) t(metric, "value", detail)""",
+)
+_check(
+    "dashboard_kpis",
+    ("order_mart", "order_facts"),
+    """
+select (select count(*) from order_mart) zone_hour_records,
+  (select count(distinct zone_id) from order_mart) active_zones_beats,
+  (select cast(min(event_date) as varchar) from order_mart) date_start,
+  (select cast(max(event_date) as varchar) from order_mart) date_end,
+  (select string_agg("period", ',' order by "period") from (select distinct "period" from order_mart)) periods,
+  (select count(*) from order_cleaned) cleaned_input_events, (select count(*) from order_facts) fact_output_rows,
+  (select count(distinct event_id) from order_facts) unique_event_ids,
+  (select count(*) - count(distinct event_id) from order_facts) post_enrichment_duplicate_fact_rows,
+  (select round((count(*) - count(distinct event_id))::double / count(*), 6) from order_facts)
+    post_enrichment_duplicate_impact,
+  (select min("period") from order_mart) period_start, (select max("period") from order_mart) period_end,
+  cast(7 as integer) mapped_beat_polygons""",
+)
+
+# --- cleaning, collapse, audit, quality -----------------------------------
+
+CTES["raw_clean"] = (
+    r"""
+  select event_id, case when cast(event_id as bigint) % 5 <> 2
+      then date_trunc('second', event_datetime) end event_datetime,
+    case when cast(event_id as bigint) % 7 <> 0 then upper(final_call_type) || '- o''neil/7-eleven' end final_call_type,
+    case when cast(event_id as bigint) % 3 = 0 then 'dv -no ' || final_call_type end service_category,
+    disposition, upper(beat) beat,
+    case when cast(event_id as bigint) % 11 = 0 then 1047.5 when cast(event_id as bigint) % 11 = 1 then null
+      else latitude end latitude
+  from service""",
+    ("service",),
+)
+_check(
+    "clean_events",
+    ("raw_clean",),
+    r"""
+select *, concat_ws(';', case when event_datetime is null then 'missing_datetime' end,
+    case when beat is null then 'missing_zone' end,
+    case when normalized_service_category = 'Uncategorized' then 'missing_category' end,
+    case when event_datetime is not null and beat is not null and normalized_service_category <> 'Uncategorized'
+      then 'ok' end) data_quality_flag
+from (
+  select event_id, event_datetime, cast(null as varchar) call_type, cast(null as varchar) initial_call_type,
+    final_call_type, service_category,
+    coalesce(array_to_string(list_transform(regexp_extract_all(
+        regexp_replace(regexp_replace(coalesce(service_category, final_call_type), '\s*-\s*', ' - ', 'g'),
+          '\s+', ' ', 'g'), '[A-Za-z]+|[^A-Za-z]+'), lambda x: upper(x[1]) || lower(x[2:])), ''), 'Uncategorized')
+      normalized_service_category,
+    disposition, coalesce(beat, 'UNKNOWN') zone_id, beat, cast(null as varchar) sector, cast(null as varchar) precinct,
+    round(latitude, 6) latitude, cast(null as double) longitude, cast(null as varchar) neighborhood,
+    cast(null as varchar) reporting_area
+  from raw_clean)""",
+)
+_check(
+    "record_completeness",
+    ("cleaned",),
+    """
+select cast(3 + (beat is not null)::integer + (latitude is not null)::integer + (longitude is not null)::integer
+            + (disposition is not null)::integer as integer) record_completeness_score, count(*) events
+from cleaned group by all""",
+)
+_ORDER = "l_shipdate, l_extendedprice, l_partkey, l_suppkey, l_quantity"
+_check(
+    "collapse_duplicates",
+    (),
+    f"""
+select l_orderkey, l_linenumber, {_ORDER}, duplicate_count
+from (select *, count(*) over (partition by l_orderkey, l_linenumber) duplicate_count,
+        row_number() over (partition by l_orderkey, l_linenumber order by
+          {", ".join(f"{c.strip()} desc" for c in _ORDER.split(","))}) r
+      from lineitem) where r = 1""",
+)
+_check(
+    "first_per_key",
+    (),
+    f"""
+select l_orderkey, l_linenumber, {_ORDER}
+from (select *, row_number() over (partition by l_orderkey, l_linenumber order by {_ORDER}) r from lineitem)
+where r = 1""",
+)
+CTES["copies"] = (
+    """
+  select *, 1 source_row_number from service
+  union all
+  select event_id, case when k in (2, 6) then event_datetime + interval 1 minute else event_datetime end,
+    case when k = 3 then 'Z99' else beat end, case when k in (4, 6) then 'moved' else final_call_type end,
+    case when k = 5 then 'x' else disposition end, latitude, longitude, value,
+    case when k = 1 then raw_props || ' ' else raw_props end, 2
+  from (select *, cast(event_id as bigint) % 40 k from service) where k <= 6""",
+    ("service",),
+)
+CTES["audited"] = (
+    """
+  select event_id, count(*) duplicate_group_size, count(*) observed_rows_in_audit_pass, count(*) - 1 rows_beyond_first,
+    k = 0 exact_duplicate_all_fields, k = 1 same_event_id_identical_core_fields,
+    k in (2, 6) same_event_id_conflicting_timestamp, k = 3 same_event_id_conflicting_location,
+    k in (4, 6) same_event_id_conflicting_category, k = 5 same_event_id_conflicting_disposition,
+    k >= 2 possible_event_update_or_history,
+    cast(case when k = 6 then 2 when k >= 2 then 1 else 0 end as integer) conflict_type_count,
+    case k when 0 then 'A. exact_duplicate_all_fields' when 1 then 'B. same_event_id_identical_core_fields'
+      when 2 then 'C. same_event_id_conflicting_timestamp' when 3 then 'D. same_event_id_conflicting_location'
+      when 4 then 'E. same_event_id_conflicting_category' when 5 then 'F. same_event_id_conflicting_disposition'
+      else 'G. possible_event_update_or_history' end duplicate_reason
+  from (select *, cast(event_id as bigint) % 40 k from copies) group by event_id, k having count(*) > 1""",
+    ("copies",),
+)
+_check(
+    "collapse_events",
+    ("audited",),
+    """
+select event_id, event_datetime, coalesce(beat, 'UNKNOWN') zone_id,
+  upper(final_call_type[1]) || lower(final_call_type[2:]) normalized_service_category, disposition,
+  source_row_number, score record_completeness_score, coalesce(duplicate_group_size, 1) duplicate_count,
+  coalesce(duplicate_reason, 'not_duplicated') duplicate_reason, duplicate_group_size is not null has_duplicate_history,
+  'max(record_completeness_score, event_datetime, source_row_number)' duplicate_collapse_rule
+from (select *, row_number() over (partition by event_id order by score desc, event_datetime desc,
+        source_row_number desc) r
+      from (select *, cast(3 + (beat is not null)::integer + (latitude is not null)::integer
+              + (longitude is not null)::integer + (disposition is not null)::integer as integer) score
+            from copies)) c
+left join audited using (event_id) where r = 1""",
+)
+_check("duplicate_audit", ("audited",), "select * from audited")
+_check(
+    "audit_reasons",
+    ("audited",),
+    """
+select duplicate_reason, count(*) event_ids, cast(sum(rows_beyond_first) as bigint) rows_beyond_first
+from audited group by all""",
+)
+_FLAGS = (
+    "exact_duplicate_all_fields same_event_id_identical_core_fields same_event_id_conflicting_timestamp "
+    "same_event_id_conflicting_location same_event_id_conflicting_category same_event_id_conflicting_disposition "
+    "possible_event_update_or_history"
+).split()
+_check(
+    "audit_flags",
+    ("audited",),
+    " union all ".join(
+        f"select '{f}' category, count(*) filter ({f}) event_ids, "
+        f"cast(coalesce(sum(rows_beyond_first) filter ({f}), 0) as bigint) rows_beyond_first from audited"
+        for f in _FLAGS
+    ),
+)
+_check(
+    "audit_verdict",
+    ("audited",),
+    f"""
+select *, round(non_exact_rows::double / rows_beyond_first, 6) non_exact_share,
+  case when non_exact_rows::double / rows_beyond_first > 0.01 or conflicting_rows > 0
+    then 'FAIL - current event_id-only collapse is too aggressive'
+    else 'PASS - removed duplicates are overwhelmingly exact' end status
+from (select count(*) duplicated_event_ids, cast(sum(duplicate_group_size) as bigint) rows_in_groups,
+        cast(sum(rows_beyond_first) as bigint) rows_beyond_first, max(duplicate_group_size) largest_group,
+        cast(sum(rows_beyond_first) filter (not exact_duplicate_all_fields) as bigint) non_exact_rows,
+        cast(sum(rows_beyond_first) filter ({" or ".join(_FLAGS[2:])}) as bigint) conflicting_rows
+      from audited)""",
+)
+_check(
+    "audit_largest",
+    ("audited",),
+    """
+select event_id, duplicate_group_size, duplicate_reason from audited
+order by duplicate_group_size desc, event_id limit 20""",
+)
+_check(
+    "audit_samples",
+    ("audited",),
+    """
+select c.event_id, cast(source_row_number as integer) source_row_number,
+  strftime(event_datetime, '%Y-%m-%d %H:%M:%S') queued_datetime, coalesce(beat, 'UNKNOWN') zone_id,
+  upper(final_call_type[1]) || lower(final_call_type[2:]) normalized_service_category, disposition,
+  duplicate_group_size, duplicate_reason
+from copies c join audited a on c.event_id = a.event_id
+where c.event_id in (select event_id from audited order by duplicate_group_size desc, event_id limit 20)
+  or c.event_id in (select event_id from (select event_id, row_number() over (partition by duplicate_reason
+       order by duplicate_group_size desc, event_id) r from audited) where r <= 10)""",
+)
+
+
+def _quality() -> str:
+    def missing(c: str) -> str:
+        return f"round_even(count(*) filter ({c} is null)::double / count(*) * 100, 2)"
+
+    whole = "from fact"
+    fixed = [
+        ("sample_mode", "select 'False'", "Pipeline run mode"),
+        ("fact_rows", f"select count(*) {whole}", "Rows in fact_service_events"),
+        ("duplicate_event_ids", f"select count(*) - count(distinct event_id) {whole}",
+         "Duplicate event identifiers after cleaning"),
+        ("date_start", f"select strftime(min(event_datetime), '%Y-%m-%d %H:%M:%S') {whole}",
+         "Earliest parsed service-event timestamp"),
+        ("date_end", f"select strftime(max(event_datetime), '%Y-%m-%d %H:%M:%S') {whole}",
+         "Latest parsed service-event timestamp"),
+        ("missing_event_datetime_pct", f"select {missing('event_datetime')} {whole}",
+         "Missing or unparsed event timestamps"),
+        ("missing_zone_id_pct", f"select {missing('zone_id')} {whole}", "Zone/beat coverage"),
+        ("distinct_zone_id", f"select count(distinct zone_id) {whole}", "Zone/beat coverage"),
+        ("missing_normalized_service_category_pct", f"select {missing('category')} {whole}",
+         "Service category coverage"),
+        ("distinct_normalized_service_category", f"select count(distinct category) {whole}",
+         "Service category coverage"),
+        ("missing_temperature_2m_pct", f"select {missing('temperature_2m')} {whole}", "Weather join coverage"),
+        ("missing_latitude_pct", f"select {missing('latitude')} {whole}", "Latitude availability"),
+        ("missing_longitude_pct", f"select {missing('longitude')} {whole}", "Longitude availability"),
+        ("zone_hour_rows", "select count(*) from features", "Rows in zone-hour feature table"),
+        ("high_demand_rate_pct", "select round_even(avg(high_demand_flag) * 100, 2) from features",
+         "Share of observed zone-hours above zone-specific threshold"),
+    ]
+    fixed_rows = [f"select '{m}' metric, cast(({q}) as varchar) \"value\", '{d}' detail" for m, q, d in fixed]
+    columns = ["sector", "precinct", "latitude", "longitude", "disposition", *map(str.strip, WEATHER.split(","))]
+    columns_rows = [
+        f"select 'column_missingness:{c}' metric, cast({missing(c)} as varchar) \"value\", "
+        f"'Column-level missingness' detail {whole} having count(*) filter ({c} is null) > 0"
+        for c in columns
+    ]
+    empty = "select 'column_missingness:initial_call_type' metric, '100.0' \"value\", 'Column-level missingness' detail"
+    return " union all ".join([*fixed_rows, *columns_rows, empty])
+
+
+_check("quality_metrics", ("features",), _quality())
+_check(
+    "missing_ratios",
+    ("fact",),
+    """
+select count(*) fact_rows, round(count(temperature_2m)::double / count(*), 6) weather_join_coverage,
+  round(count(*) filter (latitude is null)::double / count(*), 6) missing_latitude_pct,
+  round(count(*) filter (longitude is null)::double / count(*), 6) missing_longitude_pct
+from fact""",
+)
+_check(
+    "row_fingerprints",
+    ("service",),
+    "select event_id, sha256(event_id || '-' || coalesce(beat, '') || '-' || final_call_type) fallback_key from service",
+)
+_check(
+    "upsert_merge",
+    ("copies",),
+    """
+select event_id, event_datetime, beat, final_call_type, disposition,
+  cast(source_row_number as integer) source_row_number
+from (select *, row_number() over (partition by event_id order by source_row_number desc) r from copies) where r = 1""",
+)
+
+# --- segments -------------------------------------------------------------
+
+_VECTOR = ", ".join(f"round({f}, 6) {f}" for f in SEGMENT_FEATURES)
+CTES["order_vectors"] = (_segment_features("order_features"), ("order_features",))
+_check("zone_cluster_features", ("order_vectors",), f"select zone_id, {_VECTOR} from order_vectors")
+_check("zone_feature_vector", ("zone_vectors",), f"select zone_id, {_VECTOR} from zone_vectors")
+_check(
+    "quintile_segments",
+    ("quintiles",),
+    "select zone_id, cluster_id, round(avg_hourly_demand, 6) avg_hourly_demand from quintiles",
+)
+_check("cluster_names", ("named",), "select zone_id, cluster_id, cluster_name from named")
+_check(
+    "cluster_rollup",
+    ("named",),
+    """
+select cluster_name, count(*) zone_count, round(avg(avg_hourly_demand), 6) avg_hourly_demand from named group by all""",
+)
+
+# --- forecast -------------------------------------------------------------
+
+_check(
+    "model_frame",
+    ("features",),
+    """
+select part, count(*) "rows", cast(min(epoch(date_hour)) as bigint) first_epoch,
+  cast(max(epoch(date_hour)) as bigint) last_epoch, cast(sum(high_demand_flag) as bigint) high_demand_rows
+from (select *, case when date_hour <= (select quantile_disc(date_hour, 0.8) from features) then 'train'
+                     else 'test' end part from features)
+group by all""",
+)
+_check(
+    "baseline_predictions",
+    ("predictions",),
+    """
+select zone_id, date_hour, target_demand_count, actual_high_demand, baseline_prediction,
+  round(probability, 6) baseline_probability, baseline_prediction ml_prediction,
+  round(probability, 6) predicted_high_demand_probability, round_even(probability * 100, 1) workload_risk_score
+from predictions""",
+)
+CTES["confusion"] = (
+    """
+  select count(*) filter (y = 0 and p = 0) tn, count(*) filter (y = 0 and p = 1) fp,
+    count(*) filter (y = 1 and p = 0) fn, count(*) filter (y = 1 and p = 1) tp
+  from (select actual_high_demand y, baseline_prediction p from predictions)""",
+    ("predictions",),
+)
+_check(
+    "baseline_metrics",
+    ("confusion",),
+    """
+select 'baseline' model, tn, fp, fn, tp, round((tn + tp)::double / (tn + fp + fn + tp), 6) accuracy,
+  case when tp + fp = 0 then 0 else round(tp::double / (tp + fp), 6) end "precision",
+  case when tp + fn = 0 then 0 else round(tp::double / (tp + fn), 6) end recall,
+  case when 2 * tp + fp + fn = 0 then 0 else round(2 * tp::double / (2 * tp + fp + fn), 6) end f1
+from confusion""",
+)
+_check(
+    "baseline_auc",
+    ("predictions",),
+    """
+select cast(sum(y) as bigint) positives, cast(sum(1 - y) as bigint) negatives,
+  round((sum(y * mid) - sum(y) * (sum(y) + 1) / 2.0::double) / (sum(y) * sum(1 - y)), 6) roc_auc
+from (select actual_high_demand y,
+        rank() over (order by probability) + (count(*) over (partition by probability) - 1) / 2.0::double mid
+      from predictions)""",
+)
+_check(
+    "baseline_report",
+    ("confusion",),
+    """
+with classes as (
+  select '0' label, case when tn + fn = 0 then 0 else tn::double / (tn + fn) end p,
+    case when tn + fp = 0 then 0 else tn::double / (tn + fp) end r,
+    case when 2 * tn + fn + fp = 0 then 0 else 2 * tn::double / (2 * tn + fn + fp) end f, tn + fp n, tn hit
+  from confusion
+  union all
+  select '1', case when tp + fp = 0 then 0 else tp::double / (tp + fp) end,
+    case when tp + fn = 0 then 0 else tp::double / (tp + fn) end,
+    case when 2 * tp + fp + fn = 0 then 0 else 2 * tp::double / (2 * tp + fp + fn) end, tp + fn, tp
+  from confusion)
+select label, round(p, 6) "precision", round(r, 6) recall, round(f, 6) f1, n support from classes
+union all
+select 'accuracy', round(sum(hit)::double / sum(n), 6), round(sum(hit)::double / sum(n), 6),
+  round(sum(hit)::double / sum(n), 6), cast(sum(n) as bigint) from classes
+union all
+select 'macro avg', round(avg(p), 6), round(avg(r), 6), round(avg(f), 6), cast(sum(n) as bigint) from classes
+union all
+select 'weighted avg', round(sum(p * n) / sum(n), 6), round(sum(r * n) / sum(n), 6), round(sum(f * n) / sum(n), 6),
+  cast(sum(n) as bigint) from classes""",
+)
+_check(
+    "highest_risk_hours",
+    ("predictions",),
+    """
+select zone_id, date_hour, target_demand_count, actual_high_demand, baseline_prediction,
+  round(probability, 6) baseline_probability, baseline_prediction ml_prediction,
+  round(probability, 6) predicted_high_demand_probability, round_even(probability * 100, 1) workload_risk_score
+from predictions order by probability desc, zone_id, date_hour limit 20""",
+)
+
+# --- statistics -----------------------------------------------------------
+
+CTES["demand_mid_ranks"] = (
+    """
+  select *, rank() over (order by target_demand_count)
+      + (count(*) over (partition by target_demand_count) - 1) / 2.0::double mid from features""",
+    ("features",),
+)
+_TIES = "(select sum(t * t * t - t) from (select count(*)::double t from features group by target_demand_count))"
+_check(
+    "wilcoxon",
+    ("demand_mid_ranks",),
+    f"""
+select w statistic, round((w - n1 * n2 / 2 - sign(w - n1 * n2 / 2) * 0.5) /
+    sqrt(n1 * n2 / 12 * (n1 + n2 + 1 - ties / ((n1 + n2) * (n1 + n2 - 1)))), 6) z,
+  cast(n1 as bigint) n_false, cast(n2 as bigint) n_true, round(m1, 6) mean_false, round(m2, 6) mean_true,
+  round(m2 - m1, 6) mean_difference
+from (select r1 - n1 * (n1 + 1) / 2 w, *
+      from (select count(*) filter (not is_weekend)::double n1, count(*) filter (is_weekend)::double n2,
+              sum(mid) filter (not is_weekend) r1, avg(target_demand_count) filter (not is_weekend) m1,
+              avg(target_demand_count) filter (is_weekend) m2, {_TIES} ties
+            from demand_mid_ranks))""",
+)
+_check(
+    "kruskal",
+    ("demand_mid_ranks",),
+    f"""
+select round((12 / (n * (n + 1)) * q - 3 * (n + 1)) / (1 - ties / (n * n * n - n)), 6) statistic, degrees,
+  cast(n as bigint) "rows"
+from (select sum(size) n, sum(ranks * ranks / size) q, count(*) - 1 degrees, {_TIES} ties
+      from (select zone_id, count(*)::double size, sum(mid) ranks from demand_mid_ranks group by all))""",
+)
+_check(
+    "group_ci",
+    ("features",),
+    """
+select zone_id, round(m, 6) mean, round(s, 6) sd, n, round(m - 1.96::double * s / sqrt(n), 6) ci_low,
+  round(m + 1.96::double * s / sqrt(n), 6) ci_high
+from (select zone_id, avg(target_demand_count) m, stddev_samp(target_demand_count) s, count(*) n
+      from features group by all)""",
+)
+_check(
+    "ols_single",
+    ("features",),
+    """
+select round(regr_slope(target_demand_count, temperature_2m), 6) slope,
+  round(regr_intercept(target_demand_count, temperature_2m), 6) intercept,
+  round(regr_r2(target_demand_count, temperature_2m), 6) r2, count(temperature_2m) "rows"
+from features""",
+)
+_check(
+    "demand_ranks",
+    ("zone_hours",),
+    """
+select zone_id, date_hour, target_demand_count,
+  cast(row_number() over (order by target_demand_count, zone_id, date_hour) as integer) "rank"
+from zone_hours""",
+)
+
+# --- geography ------------------------------------------------------------
+
+CTES["shapes"] = (
+    """
+  select concat('C', cast(c_custkey as varchar)) zone_id, c_custkey % 3 kind, (c_custkey % 100)::double x,
+    (c_nationkey * 5)::double y, (c_nationkey + 4)::double s
+  from customer""",
+    (),
+)
+_check(
+    "polygon_centroid",
+    ("shapes",),
+    """
+select zone_id, round(case kind when 1 then s * s - 4 when 2 then 2 * s * s else s * s end, 6) area,
+  round(case kind when 1 then ((x + s / 2) * s * s - (x + 2) * 4) / (s * s - 4) when 2 then x + s / 2 + 100
+             else x + s / 2 end, 6) centroid_x,
+  round(case kind when 1 then ((y + s / 2) * s * s - (y + 2) * 4) / (s * s - 4) else y + s / 2 end, 6) centroid_y
+from shapes""",
+)
+_check(
+    "polygon_vertices",
+    ("shapes",),
+    """
+select zone_id, cast(part as integer) part, cast(seq as integer) seq,
+  x + 200 * part + case when seq in (1, 2) then s else 0 end x, y + case when seq in (2, 3) then s else 0 end y
+from shapes, unnest([0, 1]) p(part), unnest([0, 1, 2, 3, 4]) q(seq) where part = 0 or kind = 2""",
+)
+
+
+def _ring_text(x: str, y: str, s: str) -> str:
+    corners = [(x, y), (f"{x} + {s}", y), (f"{x} + {s}", f"{y} + {s}"), (x, f"{y} + {s}"), (x, y)]
+    points = " || ', ' || ".join(f"cast({a} as varchar) || ' ' || cast({b} as varchar)" for a, b in corners)
+    return f"'(' || {points} || ')'"
+
+
+_check(
+    "polygon_wkt",
+    ("shapes",),
+    f"""
+select zone_id, case kind when 0 then 'POLYGON (' || {_ring_text("x", "y", "s")} || ')'
+  when 1 then 'POLYGON (' || {_ring_text("x", "y", "s")} || ', ' || {_ring_text("x + 1", "y + 1", "2")} || ')'
+  else 'MULTIPOLYGON ((' || {_ring_text("x", "y", "s")} || '), (' || {_ring_text("x + 200", "y", "s")} || '))'
+  end geometry_wkt
+from shapes""",
+)
+CTES["coloured"] = (
+    """
+  with totals as (
+    select zone_id, sum(demand_count)::double d, count(*) n,
+      sum(case when is_weekend then demand_count else 0 end)::double w from mart group by all),
+  peaks as (
+    select zone_id, "hour" peak_hour
+    from (select zone_id, "hour", row_number() over (partition by zone_id order by sum(demand_count) desc, "hour") r
+          from mart group by zone_id, "hour") where r = 1),
+  ranked as (select *, row_number() over (order by d desc, zone_id) rk, greatest(max(d) over (), 1) top from totals)
+  select p.zone_id, coalesce(d, 0) total_service_demand, coalesce(d / n, 0) avg_calls_per_zone_hour,
+    coalesce(w / d, 0) weekend_share, peak_hour, cast(rk as integer) "rank", d is not null matched,
+    coalesce(d / top, 0) intensity,
+    case when d is null then 'rgba(216,226,235,0.34)' else concat('rgba(', cast(floor(38 + 160 * d / top) as integer),
+      ',', cast(floor(185 - 80 * d / top) as integer), ',148,0.72)') end fill_color
+  from (select zone_id from lookup union all select 'Z99') p
+  left join ranked r on p.zone_id = r.zone_id left join peaks k on p.zone_id = k.zone_id""",
+    ("mart", "lookup"),
+)
+_check(
+    "choropleth",
+    ("coloured",),
+    """
+select zone_id, total_service_demand, round(avg_calls_per_zone_hour, 6) avg_calls_per_zone_hour,
+  round(weekend_share, 6) weekend_share, peak_hour, "rank", matched, round(intensity, 6) intensity, fill_color
+from coloured""",
+)
+_check(
+    "map_coverage",
+    ("coloured",),
+    """
+select count(*) polygons, count(*) filter (matched) matched_polygons,
+  min(total_service_demand) filter (total_service_demand > 0) lowest_demand,
+  max(total_service_demand) filter (total_service_demand > 0) highest_demand,
+  (select count(distinct zone_id) from mart) analytic_zones,
+  case when min(total_service_demand) filter (total_service_demand > 0) >= 1000
+    then printf('%.1fK', min(total_service_demand) filter (total_service_demand > 0) / 1000)
+    else cast(cast(min(total_service_demand) filter (total_service_demand > 0) as bigint) as varchar) end low_label,
+  case when max(total_service_demand) filter (total_service_demand > 0) >= 1000
+    then printf('%.1fK', max(total_service_demand) filter (total_service_demand > 0) / 1000)
+    else cast(cast(max(total_service_demand) filter (total_service_demand > 0) as bigint) as varchar) end high_label
+from coloured""",
+)

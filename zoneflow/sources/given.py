@@ -179,3 +179,40 @@ def raw_records(spark: SparkSession, folder: str) -> DataFrame:
 def keyed_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines, whose (order, line) key repeats, as input for the collapse of duplicates."""
     return table(spark, folder, "lineitem")
+
+
+def _square(x: Column, y: Column, side: Column) -> Column:
+    """Closed ring of a square with its lower left corner at (x, y), as JSON text."""
+    corners = [(x, y), (x + side, y), (x + side, y + side), (x, y + side), (x, y)]
+    points = [F.concat(F.lit("["), a.cast("string"), F.lit(","), b.cast("string"), F.lit("]")) for a, b in corners]
+    return F.concat(F.lit("["), F.concat_ws(",", *points), F.lit("]"))
+
+
+def customer_polygons(spark: SparkSession, folder: str) -> DataFrame:
+    """One geometry per customer: squares, squares with a hole, and pairs of squares."""
+    c = table(spark, folder, "customer")
+    key = F.col("c_custkey")
+    x, y = (key % 100).cast("double"), (F.col("c_nationkey") * 5).cast("double")
+    side = (F.col("c_nationkey") + 4).cast("double")
+    outer, far = _square(x, y, side), _square(x + 200, y, side)
+    hole = _square(x + 1, y + 1, F.lit(2.0))
+    kind = key % 3
+
+    def wrap(text: Column) -> Column:
+        return F.concat(F.lit("["), text, F.lit("]"))
+
+    both = wrap(F.concat_ws(",", wrap(outer), wrap(far)))
+    with_hole = wrap(F.concat_ws(",", outer, hole))
+    return c.select(
+        F.concat(F.lit("C"), key.cast("string")).alias("zone_id"),
+        F.when(kind == 2, "MultiPolygon").otherwise("Polygon").alias("type"),
+        F.when(kind == 0, wrap(outer)).when(kind == 1, with_hole).otherwise(both).alias("coordinates"),
+    )
+
+
+def zone_polygons(spark: SparkSession, folder: str) -> DataFrame:
+    """Zones of the lookup plus one the events never reach, as polygon keys."""
+    nation = table(spark, folder, "nation").filter(F.col("n_nationkey") < LOOKUP_ZONES)
+    return nation.select(zone_code(F.col("n_nationkey")).alias("zone_id")).unionAll(
+        nation.agg(F.lit("Z99").alias("zone_id"))
+    )
