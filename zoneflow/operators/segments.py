@@ -6,7 +6,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zoneflow.operators import schema
@@ -30,6 +30,13 @@ STABLE = "Low-volume stable zones"
 RESTARTS = 10
 
 
+def _correlation(x: str, y: str) -> Column:
+    """Absolute correlation, null when a side is constant; ``corr`` raises there in ANSI mode."""
+    varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
+    ratio = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    return F.when(varies, F.abs(ratio))
+
+
 def zone_features(zone_hour: DataFrame) -> DataFrame:
     """Nine features per zone from one pass over the zone-hour table.
 
@@ -51,7 +58,7 @@ def zone_features(zone_hour: DataFrame) -> DataFrame:
         F.avg("category_mix_top_1_share").alias("top_category_share"),
         F.stddev(demand).alias("demand_volatility"),
         F.avg("is_business_hour").alias("business_hour_share"),
-        F.abs(F.corr(demand, "_wet")).alias("weather_sensitivity_proxy"),
+        _correlation(demand, "_wet").alias("weather_sensitivity_proxy"),
     )
     # grouping_id has one bit per key that is summed over: 3 = zone, 1 = zone and hour, 2 = zone and month
     per_zone, per_hour, per_month = (F.col("_set") == n for n in (3, 1, 2))

@@ -158,20 +158,28 @@ def ols(df: DataFrame, target: str = "target_demand_count", features: Sequence[s
     """Least squares with standard errors, t and p values, one row per term.
 
     The normal equations are summed on the executors; only the small matrix is
-    solved on the driver.  Needs more than 1000 complete rows, else it raises.
+    solved on the driver.  A constant feature has no estimate: its row holds
+    nulls.  Needs more than 1000 complete rows, else it raises.
     """
     data = regression_input(df, target, features)
     if data.limit(MINIMUM_OLS_ROWS + 1).count() <= MINIMUM_OLS_ROWS:
         raise ValueError("regression needs more than 1000 complete rows")
-    vectors = VectorAssembler(inputCols=list(features), outputCol="features").transform(data)
-    fit = LinearRegression(labelCol=target, solver="normal", standardization=False).fit(vectors)
+    bounds = data.agg(*[F.min(c).alias(f"lo_{c}") for c in features], *[F.max(c).alias(f"hi_{c}") for c in features])
+    seen = bounds.first()
+    used = [c for c in features if seen[f"lo_{c}"] < seen[f"hi_{c}"]]
+    vectors = VectorAssembler(inputCols=used, outputCol="features").transform(data)
+    fit = LinearRegression(labelCol=target, solver="normal").fit(vectors)
     s = fit.summary
-    estimates = [*fit.coefficients.toArray().tolist(), fit.intercept]
-    terms = [*features, "(Intercept)"]
-    rows = list(zip(terms, estimates, s.coefficientStandardErrors, s.tValues, s.pValues))
-    rows = [(t, *map(float, values), float(s.r2), int(s.numInstances)) for t, *values in rows]
-    columns = "term string, estimate double, std_error double, t_value double, p_value double, r2 double, rows long"
-    return df.sparkSession.createDataFrame(rows, columns)
+    columns = [[*fit.coefficients.toArray().tolist(), fit.intercept], s.coefficientStandardErrors, s.tValues, s.pValues]
+    solved = dict(zip([*used, "(Intercept)"], zip(*columns)))
+    rows = [
+        (term, *map(float, solved[term]), float(s.r2), int(s.numInstances))
+        if term in solved
+        else (term, None, None, None, None, float(s.r2), int(s.numInstances))
+        for term in [*features, "(Intercept)"]
+    ]
+    names = "term string, estimate double, std_error double, t_value double, p_value double, r2 double, rows long"
+    return df.sparkSession.createDataFrame(rows, names)
 
 
 def ols_single(df: DataFrame, target: str, feature: str) -> DataFrame:

@@ -646,7 +646,8 @@ def polygon_wkt(spark: SparkSession, folder: str) -> DataFrame:
 def choropleth(spark: SparkSession, folder: str) -> DataFrame:
     """Zone polygons with demand, rank, intensity and colour."""
     summary = marts.zone_summary(_rows(spark, folder))
-    return tidy(geo.choropleth(given.zone_polygons(spark, folder), summary))
+    coloured = geo.choropleth(given.zone_polygons(spark, folder), summary)
+    return tidy(coloured.withColumns({c: F.col(c).cast("double") for c in ("peak_hour", "rank")}))
 
 
 @query

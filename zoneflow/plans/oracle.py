@@ -667,9 +667,9 @@ order by demand_count desc, service_category limit 12""",
 
 def _mode(column: str) -> str:
     return f"""
-    (select zone_id, {column} v from (select zone_id, {column},
-       row_number() over (partition by zone_id order by count(*) desc, {column}) r
-       from fact where {column} is not null group by all) where r = 1)"""
+    (select zone_id, v from (select *, row_number() over (partition by zone_id order by n desc, v) r
+       from (select zone_id, {column} v, count(*) n from fact where {column} is not null group by 1, 2))
+     where r = 1)"""
 
 
 CTES["zone_profiles"] = (
@@ -827,7 +827,7 @@ select *, concat_ws(';', case when event_datetime is null then 'missing_datetime
     case when event_datetime is not null and beat is not null and normalized_service_category <> 'Uncategorized'
       then 'ok' end) data_quality_flag
 from (
-  select event_id, event_datetime, cast(null as varchar) call_type, cast(null as varchar) initial_call_type,
+  select event_id, event_datetime, final_call_type call_type, cast(null as varchar) initial_call_type,
     final_call_type, service_category,
     coalesce(array_to_string(list_transform(regexp_extract_all(
         regexp_replace(regexp_replace(coalesce(service_category, final_call_type), '\s*-\s*', ' - ', 'g'),
@@ -1096,11 +1096,8 @@ from (select actual_high_demand y,
         rank() over (order by probability) + (count(*) over (partition by probability) - 1) / 2.0::double mid
       from predictions)""",
 )
-_check(
-    "baseline_report",
-    ("confusion",),
+CTES["classes"] = (
     """
-with classes as (
   select '0' label, case when tn + fn = 0 then 0 else tn::double / (tn + fn) end p,
     case when tn + fp = 0 then 0 else tn::double / (tn + fp) end r,
     case when 2 * tn + fn + fp = 0 then 0 else 2 * tn::double / (2 * tn + fn + fp) end f, tn + fp n, tn hit
@@ -1109,7 +1106,13 @@ with classes as (
   select '1', case when tp + fp = 0 then 0 else tp::double / (tp + fp) end,
     case when tp + fn = 0 then 0 else tp::double / (tp + fn) end,
     case when 2 * tp + fp + fn = 0 then 0 else 2 * tp::double / (2 * tp + fp + fn) end, tp + fn, tp
-  from confusion)
+  from confusion""",
+    ("confusion",),
+)
+_check(
+    "baseline_report",
+    ("classes",),
+    """
 select label, round(p, 6) "precision", round(r, 6) recall, round(f, 6) f1, n support from classes
 union all
 select 'accuracy', round(sum(hit)::double / sum(n), 6), round(sum(hit)::double / sum(n), 6),
@@ -1258,7 +1261,8 @@ _check(
     ("coloured",),
     """
 select zone_id, total_service_demand, round(avg_calls_per_zone_hour, 6) avg_calls_per_zone_hour,
-  round(weekend_share, 6) weekend_share, peak_hour, "rank", matched, round(intensity, 6) intensity, fill_color
+  round(weekend_share, 6) weekend_share, peak_hour::double peak_hour, "rank"::double "rank", matched,
+  round(intensity, 6) intensity, fill_color
 from coloured""",
 )
 _check(
