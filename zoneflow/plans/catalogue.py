@@ -19,7 +19,8 @@ from zoneflow.operators import (
     audit, cleaning, collapse, enrich, forecast, geo, marts, planner, quality, ranking, segments, stats, zonehour,
 )
 from zoneflow.plans import reports
-from zoneflow.sources import given
+from zoneflow.sources import given, readers, writers
+from zoneflow.streaming import rollups
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -655,3 +656,68 @@ def map_coverage(spark: SparkSession, folder: str) -> DataFrame:
     summary = marts.zone_summary(_rows(spark, folder))
     coloured = geo.choropleth(given.zone_polygons(spark, folder), summary)
     return geo.map_coverage(coloured, summary)
+
+
+# --- streaming ------------------------------------------------------------
+
+
+@query
+def stream_zone_hour(spark: SparkSession, folder: str) -> DataFrame:
+    """Events counted per zone and hour as a stream, closed hours only."""
+    counts = rollups.zone_hour_counts(given.event_stream(spark, folder))
+    return rollups.drain_to_parquet(counts, rollups.run_folder(spark, "zone-hour"))
+
+
+@query
+def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines de-duplicated on their order as a stream, counted per ship month."""
+    lines = given.line_stream(spark, folder)
+    first = rollups.first_seen(lines, ["l_orderkey", "l_linenumber"], "l_shipdate", "36500 days")
+    kept = rollups.drain_to_parquet(first, rollups.run_folder(spark, "dedupe"))
+    return kept.groupBy("l_linenumber").agg(F.count(F.lit(1)).alias("lines"))
+
+
+@query
+def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """Latest event per zone kept by keyed upserts from a stream."""
+    run = rollups.run_folder(spark, "upsert")
+    changes = rollups.drain_upserts(given.event_stream(spark, folder), run, ["zone_id"], ["event_datetime", "event_id"])
+    return writers.read_changes(spark, changes, ["zone_id"]).select(
+        "zone_id", "event_id", "event_datetime", "final_call_type"
+    )
+
+
+# --- files ----------------------------------------------------------------
+
+
+@query
+def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw records written as CSV, read back by header, cleaned and counted per zone and flag."""
+    path = f"{rollups.run_folder(spark, 'csv')}/events"
+    given.raw_records(spark, folder).write.option("header", True).csv(path)
+    cleaned = cleaning.clean_events(readers.read_events(spark, path))
+    return cleaned.groupBy("zone_id", "data_quality_flag").agg(F.count(F.lit(1)).alias("events"))
+
+
+@query
+def numbered_source_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of CSV files numbered in file order: files, rows and number bounds."""
+    path = f"{rollups.run_folder(spark, 'numbered')}/lines"
+    given.keyed_lines(spark, folder).select("l_orderkey").write.option("header", True).csv(path)
+    numbered = readers.numbered_rows(readers.read_events(spark, path, position=True))
+    per_file = numbered.groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("n"), F.max("source_row_number").alias("last"),
+        F.count_distinct("source_row_number").alias("distinct_numbers"),
+    )
+    return per_file.agg(
+        F.sum("n").alias("rows"), F.sum("last").alias("highest_numbers"), F.sum("distinct_numbers").alias("numbers")
+    )
+
+
+@query
+def report_export(spark: SparkSession, folder: str) -> DataFrame:
+    """Named reports written as CSV with their row counts; one without its table is listed as failed."""
+    tables = {"fact": given.order_fact(spark, folder)}
+    names = ["monthly_trend", "demand_by_service_category", "demand_volatility_by_zone"]
+    done = reports.export(tables, rollups.run_folder(spark, "reports"), names)
+    return done.select("name", F.coalesce("rows", F.lit(-1).cast("long")).alias("rows"), F.col("error").isNotNull().alias("failed"))

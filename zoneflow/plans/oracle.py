@@ -1281,3 +1281,56 @@ select count(*) polygons, count(*) filter (matched) matched_polygons,
     else cast(cast(max(total_service_demand) filter (total_service_demand > 0) as bigint) as varchar) end high_label
 from coloured""",
 )
+
+
+# --- streaming and files --------------------------------------------------
+
+_check(
+    "stream_zone_hour",
+    (),
+    """
+select zone_id, h date_hour, n demand_count
+from (select concat('Z0', cast(user_id % 8 as varchar)) zone_id, date_trunc('hour', ts) h, count(*) n
+      from events group by all)
+where h + interval 1 hour <= (select max(ts) - interval 2 hour from events)""",
+)
+_check(
+    "stream_dedupe",
+    (),
+    """
+select l_linenumber, count(*) "lines" from (select distinct l_orderkey, l_linenumber from lineitem) group by all""",
+)
+_check(
+    "stream_upsert",
+    (),
+    """
+select zone_id, event_id, event_datetime, final_call_type
+from (select concat('Z0', cast(user_id % 8 as varchar)) zone_id, cast(event_id as varchar) event_id,
+        ts event_datetime, event_type final_call_type,
+        row_number() over (partition by user_id % 8 order by ts desc, cast(event_id as varchar) desc) r
+      from events) where r = 1""",
+)
+_check(
+    "csv_round_trip",
+    ("raw_clean",),
+    """
+select coalesce(beat, 'UNKNOWN') zone_id, concat_ws(';', case when event_datetime is null then 'missing_datetime' end,
+    case when beat is null then 'missing_zone' end,
+    case when coalesce(service_category, final_call_type) is null then 'missing_category' end,
+    case when event_datetime is not null and beat is not null
+      and coalesce(service_category, final_call_type) is not null then 'ok' end) data_quality_flag, count(*) events
+from raw_clean group by all""",
+)
+_check(
+    "numbered_source_rows",
+    (),
+    'select count(*) "rows", count(*) highest_numbers, count(*) numbers from lineitem',
+)
+_check(
+    "report_export",
+    ("order_facts",),
+    """
+select 'monthly_trend' "name", count(distinct ("year", "month")) "rows", false failed from order_facts
+union all select 'demand_by_service_category', count(distinct category), false from order_facts
+union all select 'demand_volatility_by_zone', -1, true""",
+)

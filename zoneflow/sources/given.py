@@ -216,3 +216,23 @@ def zone_polygons(spark: SparkSession, folder: str) -> DataFrame:
     return nation.select(zone_code(F.col("n_nationkey")).alias("zone_id")).unionAll(
         nation.agg(F.lit("Z99").alias("zone_id"))
     )
+
+
+def _stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    schema = table(spark, folder, name).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+
+
+def event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as a file stream with their zone."""
+    return _stream(spark, folder, "events").select(
+        F.col("event_id").cast("string").alias("event_id"),
+        F.col("ts").alias("event_datetime"),
+        zone_code(F.col("user_id") % 8).alias("zone_id"),
+        F.col("event_type").alias("final_call_type"),
+    )
+
+
+def line_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines as a file stream."""
+    return _stream(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
