@@ -41,7 +41,7 @@ def _col(c: Column | str) -> Column:
 
 
 def _pick(names: tuple[str, ...], index: Column) -> Column:
-    return F.try_element_at(F.array(*[F.lit(n) for n in names]), index + 1)
+    return F.try_element_at(F.split(F.lit(",".join(names)), ","), index + 1)
 
 
 def _clock_parts(text: Column, separators: str, order: tuple[int, int, int]) -> tuple[Column, ...]:
@@ -80,15 +80,16 @@ def parse_timestamp(c: Column | str) -> Column:
     )
 
 
-def hour_of(day: Column | str, hour: Column | str) -> Column:
-    """Wall-clock timestamp of an hour of a day."""
-    zero = F.lit(0)
-    return _col(day).cast("timestamp_ntz") + F.make_dt_interval(zero, _col(hour).cast("int"), zero, zero)
+def hour_of(day: str, hour: str) -> Column:
+    """Wall-clock timestamp of an hour of a day, both given as SQL text."""
+    return F.expr(f"cast({day} as timestamp_ntz) + make_dt_interval(0, {hour}, 0, 0)")
 
 
 def floor_hour(ts: Column | str) -> Column:
     """Start of the wall-clock hour; ``date_trunc`` would return a zoned timestamp."""
-    return hour_of(_col(ts).cast("date"), F.hour(_col(ts)))
+    start = _col(ts).cast("date").cast("timestamp_ntz")
+    zero = F.lit(0)
+    return start + F.make_dt_interval(zero, F.hour(_col(ts)), zero, zero)
 
 
 def day_name(weekday: Column | str) -> Column:
@@ -97,32 +98,36 @@ def day_name(weekday: Column | str) -> Column:
     return F.coalesce(F.when(n.between(0, 6), _pick(WEEKDAYS, n)), F.lit("Unknown"))
 
 
-def season(month: Column | str) -> Column:
-    m = _col(month)
-    out = F.lit(None).cast("string")
-    for name, months in SEASONS.items():
-        out = F.when(m.isin(*months), name).otherwise(out)
-    return out
+def season(month: str) -> Column:
+    """Season of a month number given as SQL text."""
+    cases = " ".join(f"when {month} in {months} then '{name}'" for name, months in SEASONS.items())
+    return F.expr(f"case {cases} end")
 
 
-def is_holiday(day: Column | str) -> Column:
-    """US federal holiday by rule, the observed days of Saturday and Sunday holidays included.
+def _holiday_sql(day: str) -> str:
+    codes = ", ".join(str(m * 100 + n) for m, n in FIXED_HOLIDAYS)
 
-    A closed form on the date: no list of years to keep, broadcast or join.
-    """
-    d = _col(day)
+    def on_fixed(d: str) -> str:
+        return f"month({d}) * 100 + day({d}) in ({codes})"
 
-    def on_fixed(x: Column) -> Column:
-        return (F.month(x) * 100 + F.dayofmonth(x)).isin(*[m * 100 + n for m, n in FIXED_HOLIDAYS])
+    floating = [
+        f"(month({day}) = {m} and weekday({day}) = {w} and day({day}) between {first} and {last})"
+        for m, w, first, last in FLOATING_HOLIDAYS
+    ]
+    observed = [
+        f"(weekday({day}) = 4 and {on_fixed(f'date_add({day}, 1)')})",
+        f"(weekday({day}) = 0 and {on_fixed(f'date_add({day}, -1)')})",
+    ]
+    return "(" + " or ".join([on_fixed(day), *observed, *floating]) + ")"
 
-    holiday = on_fixed(d)
-    holiday = holiday | ((F.weekday(d) == 4) & on_fixed(F.date_add(d, 1)))
-    holiday = holiday | ((F.weekday(d) == 0) & on_fixed(F.date_sub(d, 1)))
-    for month, weekday, first, last in FLOATING_HOLIDAYS:
-        holiday = holiday | (
-            (F.month(d) == month) & (F.weekday(d) == weekday) & F.dayofmonth(d).between(first, last)
-        )
-    return holiday
+
+def is_holiday(day: str) -> Column:
+    """US federal holiday by rule, the observed days of Saturday and Sunday holidays included.
+
+    A closed form on the date, given as SQL text: no list of years to keep,
+    broadcast or join.
+    """
+    return F.expr(_holiday_sql(day))
 
 
 def holiday_dates(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
@@ -134,39 +139,35 @@ def holiday_dates(spark: SparkSession, first_year: int, last_year: int) -> DataF
     return days.filter(is_holiday("holiday"))
 
 
-def calendar_columns(day: Column, hour: Column) -> dict[str, Column]:
-    """Calendar parts and flags of a date and an hour, all null when these are null."""
-    weekday = F.weekday(day)
-    weekend = weekday.isin(5, 6)
-    holiday = is_holiday(day)
-    business = hour.between(FIRST_BUSINESS_HOUR, LAST_BUSINESS_HOUR) & ~weekend & ~holiday
-    return {
-        "weekday": weekday,
-        "month": F.month(day),
-        "quarter": F.quarter(day),
+def calendar_columns(day: str, hour: str) -> dict[str, Column]:
+    """Calendar parts and flags of a date and an hour given as SQL text; null when these are null."""
+    weekend, holiday = f"weekday({day}) in (5, 6)", _holiday_sql(day)
+    busy = f"{hour} between {FIRST_BUSINESS_HOUR} and {LAST_BUSINESS_HOUR}"
+    business = f"({busy} and not {weekend} and not {holiday})"
+    parts = {
+        "weekday": f"weekday({day})",
+        "month": f"month({day})",
+        "quarter": f"quarter({day})",
         "is_weekend": weekend,
         "is_holiday": holiday,
         "is_business_hour": business,
-        "is_after_hours": ~business,
+        "is_after_hours": f"not {business}",
     }
+    return {name: F.expr(sql) for name, sql in parts.items()}
 
 
 def add_calendar(df: DataFrame, ts: str = "event_datetime") -> DataFrame:
     """Add the hour key, date, calendar parts, season and the four time flags of an event time."""
-    day, hour = F.col(ts).cast("date"), F.hour(ts)
-    parts = calendar_columns(day, hour)
-    return df.withColumns(
-        {
-            "weather_hour": floor_hour(ts),
-            "event_date": day,
-            "event_hour": hour,
-            "weekday_name": _pick(WEEKDAYS, parts["weekday"]),
-            "month_name": _pick(MONTHS, parts["month"] - 1),
-            "year": F.year(day),
-            "season": season(parts["month"]),
-            **parts,
-        }
+    dated = df.withColumns(
+        {"weather_hour": floor_hour(ts), "event_date": F.col(ts).cast("date"), "event_hour": F.hour(ts)}
     )
+    named = {
+        "weekday_name": _pick(WEEKDAYS, F.weekday("event_date")),
+        "month_name": _pick(MONTHS, F.month("event_date") - 1),
+        "year": F.year("event_date"),
+        "season": season("month(event_date)"),
+    }
+    return dated.withColumns({**named, **calendar_columns("event_date", "event_hour")})
 
 
 def period(day: Column | str) -> Column:

@@ -60,7 +60,7 @@ def rollup(fact: DataFrame) -> DataFrame:
             top(3).alias("category_mix_top_3_share"),
         )
         .withColumnsRenamed({"event_date": "date", "event_hour": "hour"})
-        .withColumns({"date_hour": hour_of("date", "hour"), **calendar_columns(F.col("date"), F.col("hour"))})
+        .withColumns({"date_hour": hour_of("date", "hour"), **calendar_columns("date", "hour")})
     )
 
 
@@ -79,7 +79,7 @@ def densify(zone_hour: DataFrame) -> DataFrame:
         .filter("date_hour between _first and _last")
         .select("zone_id", "date", "hour", "date_hour")
     )
-    parts = calendar_columns(F.col("date"), F.col("hour"))
+    parts = calendar_columns("date", "hour")
     measured = zone_hour.drop("date", "hour", *parts)
     dense = spine.join(measured, ["zone_id", "date_hour"], "left").withColumns(parts)
     undated = zone_hour.filter(F.col("date_hour").isNull())
