@@ -41,7 +41,7 @@ def _col(c: Column | str) -> Column:
 
 
 def _pick(names: tuple[str, ...], index: Column) -> Column:
-    return F.try_element_at(F.split(F.lit(",".join(names)), ","), index + 1)
+    return F.get(F.split(F.lit(",".join(names)), ","), index.cast("int"))
 
 
 def _clock_parts(text: Column, separators: str, order: tuple[int, int, int]) -> tuple[Column, ...]:
@@ -70,7 +70,7 @@ def parse_timestamp(c: Column | str) -> Column:
     text = F.trim(_col(c))
     slashed = _make(*_clock_parts(text, "[/: ]", (2, 0, 1)))
     year, name, day, hour, minute, second = _clock_parts(text, "[: ]", (0, 1, 2))
-    abbreviations = F.array(*[F.lit(m[:3].lower()) for m in MONTHS])
+    abbreviations = F.split(F.lit(",".join(m[:3].lower() for m in MONTHS)), ",")
     number = F.nullif(F.array_position(abbreviations, F.lower(name)), F.lit(0))
     named = _make(year, number, day, hour, minute, second)
     return (
@@ -94,8 +94,7 @@ def floor_hour(ts: Column | str) -> Column:
 
 def day_name(weekday: Column | str) -> Column:
     """Name of a Monday-based weekday number; ``Unknown`` for anything else."""
-    n = _col(weekday)
-    return F.coalesce(F.when(n.between(0, 6), _pick(WEEKDAYS, n)), F.lit("Unknown"))
+    return F.coalesce(_pick(WEEKDAYS, _col(weekday)), F.lit("Unknown"))
 
 
 def season(month: str) -> Column:
