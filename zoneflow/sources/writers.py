@@ -105,7 +105,7 @@ def append_changes(
     newest = collapse(df, key, [*order, F.lit(0)], count_as=None)
     stamped = newest.withColumns(
         {
-            "_pipeline_load_tag": F.lit(tag),
+            "_pipeline_load_tag": F.lit(tag).cast("string"),
             "_loaded_at": F.lit(datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")),
         }
     )
