@@ -110,9 +110,16 @@ def fit_clusters(features: DataFrame, k: int = 5, seed: int = 42) -> tuple[Pipel
 
 
 def name_clusters(segmented: DataFrame) -> DataFrame:
-    """Name each cluster by comparing its mean features with the medians over all zones."""
-    medians = segmented.agg(F.struct(*[F.median(f).alias(f) for f in FEATURES]).alias("m")).scalar()
-    means = segmented.groupBy("cluster_id").agg(*[F.avg(f).alias(f) for f in FEATURES]).withColumn("_m", medians)
+    """Name each cluster by comparing its mean features with the medians over all zones.
+
+    Both are compared at nine decimals: the mean of two zones can equal the
+    median, and the order of summation must not decide such a tie.
+    """
+    def summary(measure):
+        return [F.round(measure(f), 9).alias(f) for f in FEATURES]
+
+    medians = segmented.agg(F.struct(*summary(F.median)).alias("m")).scalar()
+    means = segmented.groupBy("cluster_id").agg(*summary(F.avg)).withColumn("_m", medians)
 
     def at_least(f):
         return F.col(f) >= F.col(f"_m.{f}")

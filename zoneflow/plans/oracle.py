@@ -438,8 +438,8 @@ CTES["named"] = (
       when weather_sensitivity_proxy >= m_weather_sensitivity_proxy and weather_sensitivity_proxy > 0
         then 'Weather-sensitive zones'
       else 'Low-volume stable zones' end cluster_name
-    from (select cluster_id, {", ".join(f"avg({f}) {f}" for f in SEGMENT_FEATURES)} from quintiles group by 1),
-      (select {", ".join(f"median({f}) m_{f}" for f in SEGMENT_FEATURES)} from quintiles)) n
+    from (select cluster_id, {", ".join(f"round(avg({f}), 9) {f}" for f in SEGMENT_FEATURES)} from quintiles group by 1),
+      (select {", ".join(f"round(median({f}), 9) m_{f}" for f in SEGMENT_FEATURES)} from quintiles)) n
   on q.cluster_id = n.cluster_id""",
     ("quintiles",),
 )
