@@ -344,10 +344,14 @@ def add_risk_score(zones: DataFrame) -> DataFrame:
     return scored.withColumn("workload_risk_score", F.bround(total, 1)).drop("_b")
 
 
+def zone_measures(fact: DataFrame, zone_hour: DataFrame) -> DataFrame:
+    """Zone profile with the statistics of its hourly demand."""
+    return zone_profile(fact).join(zone_statistics(zone_hour), "zone_id", "left")
+
+
 def risk_table(fact: DataFrame, zone_hour: DataFrame) -> DataFrame:
     """Zone profile with its statistics and workload risk score."""
-    zones = zone_profile(fact).join(zone_statistics(zone_hour), "zone_id", "left")
-    return add_risk_score(zones)
+    return add_risk_score(zone_measures(fact, zone_hour))
 
 
 def rank_zones(zones: DataFrame, measure: str = "workload_risk_score", width: float = 1.0) -> DataFrame:

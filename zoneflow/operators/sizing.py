@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of a frame that is read many times, such as model input."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write a frame that several steps read as a table in the shared folder and read it back.
+
+    Later steps then prune its columns, push filters into its scan and know its
+    size, and a lost executor costs a file read instead of the whole history.
+    """
+    path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

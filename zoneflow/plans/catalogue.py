@@ -18,6 +18,7 @@ from zoneflow.functions import time as tm
 from zoneflow.operators import (
     audit, cleaning, collapse, enrich, forecast, geo, marts, planner, quality, ranking, segments, stats, zonehour,
 )
+from zoneflow.operators.sizing import cut_lineage
 from zoneflow.plans import reports
 from zoneflow.sources import given, readers, writers
 from zoneflow.streaming import rollups
@@ -43,6 +44,11 @@ def tidy(df: DataFrame, places: int = 6) -> DataFrame:
     return df.withColumns(columns) if columns else df
 
 
+def written_hours(spark: SparkSession, folder: str) -> DataFrame:
+    """Zone-hour table written once, for queries that read it several times."""
+    return cut_lineage(given.zone_hour(spark, folder))
+
+
 # --- calendar and enrichment ----------------------------------------------
 
 
@@ -176,7 +182,7 @@ def _report_input(spark: SparkSession, folder: str, table: str) -> dict[str, Dat
     if table == "order_fact":
         return {"fact": given.order_fact(spark, folder)}
     if table == "predictions":
-        return {table: forecast.baseline_table(given.zone_hour(spark, folder))}
+        return {table: forecast.baseline_table(written_hours(spark, folder))}
     if table == "profiles":
         return {table: _quintile_profiles(spark, folder)}
     return {table: getattr(given, table)(spark, folder)}
@@ -265,7 +271,7 @@ def weekday_hour_pivot(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def top_zone_heatmap(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.top_zone_heatmap(_rows(spark, folder), n=5)
+    return marts.top_zone_heatmap(marts.mart_input(written_hours(spark, folder)), n=5)
 
 
 @query
@@ -324,8 +330,9 @@ def zone_statistics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _risk(spark: SparkSession, folder: str) -> DataFrame:
+    """Zone risk table, written once like every table that several steps read."""
     fact = given.fact(spark, folder)
-    return marts.risk_table(fact, zonehour.build(fact))
+    return marts.add_risk_score(cut_lineage(marts.zone_measures(fact, zonehour.build(fact))))
 
 
 @query
@@ -347,15 +354,12 @@ def scenario_plan(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def recommendations(spark: SparkSession, folder: str) -> DataFrame:
-    fact = given.fact(spark, folder)
-    risk = marts.risk_table(fact, zonehour.build(fact))
-    return planner.recommendations(risk, marts.category_share(fact))
+    return planner.recommendations(_risk(spark, folder), marts.category_share(given.fact(spark, folder)))
 
 
 @query
 def executive_kpis(spark: SparkSession, folder: str) -> DataFrame:
-    fact = given.fact(spark, folder)
-    return marts.executive_kpis(fact, marts.risk_table(fact, zonehour.build(fact)))
+    return marts.executive_kpis(given.fact(spark, folder), _risk(spark, folder))
 
 
 @query
@@ -495,12 +499,13 @@ def zone_feature_vector(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _quintile_profiles(spark: SparkSession, folder: str) -> DataFrame:
-    return segments.profiles(segments.quintiles(segments.zone_features(given.zone_hour(spark, folder))))
+    features = cut_lineage(segments.zone_features(given.zone_hour(spark, folder)))
+    return segments.profiles(cut_lineage(segments.quintiles(features)))
 
 
 @query
 def quintile_segments(spark: SparkSession, folder: str) -> DataFrame:
-    segmented = segments.quintiles(segments.zone_features(given.zone_hour(spark, folder)))
+    segmented = segments.quintiles(cut_lineage(segments.zone_features(given.zone_hour(spark, folder))))
     return tidy(segmented.select("zone_id", "cluster_id", "avg_hourly_demand"))
 
 
@@ -518,7 +523,7 @@ def cluster_rollup(spark: SparkSession, folder: str) -> DataFrame:
 def kmeans_profiles(spark: SparkSession, folder: str) -> DataFrame:
     """Zones clustered on their features, with principal components and cluster names."""
     _, segmented = segments.fit_clusters(segments.zone_features(given.zone_hour(spark, folder)))
-    return tidy(segments.profiles(segmented))
+    return tidy(segments.profiles(cut_lineage(segmented)))
 
 
 # --- forecast -------------------------------------------------------------
@@ -527,7 +532,7 @@ def kmeans_profiles(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def model_frame(spark: SparkSession, folder: str) -> DataFrame:
     """Model input with its part of the temporal split."""
-    frame = forecast.model_frame(given.zone_hour(spark, folder))
+    frame = forecast.model_frame(written_hours(spark, folder))
     train, test = forecast.split(frame)
     parts = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
     return parts.groupBy("part").agg(
@@ -540,31 +545,31 @@ def model_frame(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def baseline_predictions(spark: SparkSession, folder: str) -> DataFrame:
-    return tidy(forecast.baseline_table(given.zone_hour(spark, folder)))
+    return tidy(forecast.baseline_table(written_hours(spark, folder)))
 
 
 @query
 def baseline_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    predicted = forecast.baseline_table(given.zone_hour(spark, folder))
+    predicted = forecast.baseline_table(written_hours(spark, folder))
     return tidy(forecast.metrics(predicted, "baseline_prediction", "baseline"))
 
 
 @query
 def baseline_auc(spark: SparkSession, folder: str) -> DataFrame:
-    predicted = forecast.baseline_table(given.zone_hour(spark, folder))
+    predicted = forecast.baseline_table(written_hours(spark, folder))
     return tidy(forecast.auc(predicted, "baseline_probability"))
 
 
 @query
 def baseline_report(spark: SparkSession, folder: str) -> DataFrame:
     """Per-class report of the baseline."""
-    predicted = forecast.baseline_table(given.zone_hour(spark, folder))
+    predicted = forecast.baseline_table(written_hours(spark, folder))
     return tidy(forecast.class_report(predicted, "baseline_prediction"))
 
 
 @query
 def highest_risk_hours(spark: SparkSession, folder: str) -> DataFrame:
-    predicted = forecast.baseline_table(given.zone_hour(spark, folder))
+    predicted = forecast.baseline_table(written_hours(spark, folder))
     return tidy(forecast.highest_risk(predicted))
 
 
@@ -588,14 +593,14 @@ def mlp_predictions(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def wilcoxon(spark: SparkSession, folder: str) -> DataFrame:
     """Rank-sum test of hourly demand, weekdays against weekends."""
-    tested = stats.rank_sum(given.zone_hour(spark, folder), "target_demand_count", "is_weekend")
+    tested = stats.rank_sum(written_hours(spark, folder), "target_demand_count", "is_weekend")
     return tidy(tested.drop("p_value"))
 
 
 @query
 def kruskal(spark: SparkSession, folder: str) -> DataFrame:
     """Kruskal-Wallis test of hourly demand across zones."""
-    tested = stats.kruskal(given.zone_hour(spark, folder), "target_demand_count", "zone_id")
+    tested = stats.kruskal(written_hours(spark, folder), "target_demand_count", "zone_id")
     return tidy(tested.drop("p_value"))
 
 
@@ -608,7 +613,7 @@ def group_ci(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def ols(spark: SparkSession, folder: str) -> DataFrame:
     """Regression of hourly demand on weather and calendar."""
-    return tidy(stats.ols(given.zone_hour(spark, folder)))
+    return tidy(stats.ols(written_hours(spark, folder)))
 
 
 @query
@@ -619,7 +624,9 @@ def ols_single(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def demand_ranks(spark: SparkSession, folder: str) -> DataFrame:
     """Zone-hours numbered by demand over the whole table."""
-    rolled = zonehour.rollup(given.fact(spark, folder)).select("zone_id", "date_hour", "target_demand_count")
+    rolled = cut_lineage(
+        zonehour.rollup(given.fact(spark, folder)).select("zone_id", "date_hour", "target_demand_count")
+    )
     return ranking.row_numbers(rolled, "target_demand_count", ["zone_id", "date_hour"], "rank", 1.0)
 
 
@@ -646,14 +653,14 @@ def polygon_wkt(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def choropleth(spark: SparkSession, folder: str) -> DataFrame:
     """Zone polygons with demand, rank, intensity and colour."""
-    summary = marts.zone_summary(_rows(spark, folder))
+    summary = cut_lineage(marts.zone_summary(_rows(spark, folder)))
     coloured = geo.choropleth(given.zone_polygons(spark, folder), summary)
     return tidy(coloured.withColumns({c: F.col(c).cast("double") for c in ("peak_hour", "rank")}))
 
 
 @query
 def map_coverage(spark: SparkSession, folder: str) -> DataFrame:
-    summary = marts.zone_summary(_rows(spark, folder))
+    summary = cut_lineage(marts.zone_summary(_rows(spark, folder)))
     coloured = geo.choropleth(given.zone_polygons(spark, folder), summary)
     return geo.map_coverage(coloured, summary)
 

@@ -50,10 +50,11 @@ def run(spark: SparkSession, sources: Sources, out: str, run_tag: str, number: i
     hours = writers.write_table(zonehour.build(fact), f"{out}/zone_hour", sort_by=["zone_id", "date_hour"])
 
     rows = marts.mart_input(hours)
-    risk = writers.write_table(marts.risk_table(fact, hours), f"{out}/zone_risk")
-    profiles = writers.write_table(
-        segments.profiles(segments.quintiles(segments.zone_features(hours))), f"{out}/cluster_profiles"
-    )
+    measures = writers.write_table(marts.zone_measures(fact, hours), f"{out}/zone_measures")
+    risk = writers.write_table(marts.add_risk_score(measures), f"{out}/zone_risk")
+    features = writers.write_table(segments.zone_features(hours), f"{out}/zone_features")
+    segmented = writers.write_table(segments.quintiles(features), f"{out}/zone_segments")
+    profiles = writers.write_table(segments.profiles(segmented), f"{out}/cluster_profiles")
     predictions = writers.write_table(forecast.baseline_table(hours), f"{out}/model_predictions")
     categories = marts.category_share(fact)
     small = {
