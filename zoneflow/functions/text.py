@@ -12,6 +12,8 @@ NULL_TEXTS = ("", "nan", "<NA>")
 UNCATEGORIZED = "Uncategorized"
 UNKNOWN_ZONE = "UNKNOWN"
 TRUE_TEXTS = ("true", "1", "yes", "y")
+# White space of any script, cheaper for the regex engine than its Unicode mode.
+WHITE_SPACE = r"[\s\x1c-\x1f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 
 
 def _col(c: Column | str) -> Column:
@@ -20,8 +22,10 @@ def _col(c: Column | str) -> Column:
 
 def clean_text(c: Column | str) -> Column:
     """Trim, squeeze inner whitespace to one space, turn null-like texts into null."""
-    text = F.trim(F.regexp_replace(_col(c), r"(?U)\s+", " "))
-    return F.when(~text.isin(*NULL_TEXTS), text)
+    text = F.trim(F.regexp_replace(_col(c), WHITE_SPACE, " "))
+    for nothing in NULL_TEXTS:
+        text = F.nullif(text, F.lit(nothing))
+    return text
 
 
 def upper_key(c: Column | str) -> Column:
@@ -40,14 +44,22 @@ def title_case(c: Column | str) -> Column:
     return F.when(inner_start, F.array_join(F.transform(runs, F.initcap), "")).otherwise(F.initcap(_col(c)))
 
 
-def normalize_category(*candidates: Column | str) -> Column:
-    """First present candidate, hyphens spaced, title cased, with a default."""
-    text = F.coalesce(*[_col(c) for c in candidates])
-    text = F.regexp_replace(text, r"\s*-\s*", " - ")
-    text = F.regexp_replace(text, r"\s+", " ")
+def category_text(*candidates: Column | str) -> Column:
+    """First present candidate with hyphens spaced and white space squeezed."""
+    text = F.regexp_replace(F.coalesce(*[_col(c) for c in candidates]), r"\s*-\s*", " - ")
+    return F.regexp_replace(text, r"\s+", " ")
+
+
+def category_title(text: Column | str) -> Column:
+    """Title case of a category text; the default category when there is none."""
     return F.coalesce(F.nullif(title_case(text), F.lit("")), F.lit(UNCATEGORIZED))
 
 
+def normalize_category(*candidates: Column | str) -> Column:
+    """Normalized category of the first present candidate as one expression."""
+    return category_title(category_text(*candidates))
+
+
 def to_number(c: Column | str) -> Column:
     """Double from text with thousands commas; null when it is no number."""
     number = F.regexp_replace(F.trim(_col(c)), ",", "").try_cast("double")
@@ -55,7 +67,8 @@ def to_number(c: Column | str) -> Column:
 
 
 def nan_to_null(c: Column | str) -> Column:
-    return F.when(~F.isnan(_col(c)), _col(c))
+    """Null for not-a-number; ``nullif`` evaluates its argument once."""
+    return F.nullif(_col(c), F.lit(float("nan")))
 
 
 def to_bool(c: Column | str) -> Column:

@@ -22,6 +22,9 @@ SEASONS = {
     "Fall": (9, 10, 11),
 }
 FIRST_BUSINESS_HOUR, LAST_BUSINESS_HOUR = 8, 17
+TWELVE_HOUR = (
+    r"^(\d{1,2}/\d{1,2}/\d{4}|\d{4} [A-Za-z]{3} \d{1,2}) (0?[1-9]|1[0-2]):\d{2}:\d{2} [AaPp][Mm]$"
+)
 
 # Holidays on a set day of the year as (month, day) ...
 FIXED_HOLIDAYS = ((1, 1), (6, 19), (7, 4), (11, 11), (12, 25))
@@ -44,40 +47,23 @@ def _pick(names: tuple[str, ...], index: Column) -> Column:
     return F.get(F.split(F.lit(",".join(names)), ","), index.cast("int"))
 
 
-def _clock_parts(text: Column, separators: str, order: tuple[int, int, int]) -> tuple[Column, ...]:
-    """Year, month text, day, 24-hour hour, minute, second of a 12-hour clock text."""
-    parts = F.split(text, separators)
-    year, month, day = (F.get(parts, F.lit(i)) for i in order)
-    hour12 = F.get(parts, F.lit(3)).try_cast("int")
-    afternoon = F.upper(F.get(parts, F.lit(6))) == "PM"
-    hour = F.when(hour12.between(1, 12), hour12 % 12 + F.when(afternoon, 12).otherwise(0))
-    return year, month, day, hour, F.get(parts, F.lit(4)), F.get(parts, F.lit(5))
-
-
-def _make(year, month, day, hour, minute, second) -> Column:
-    return F.try_make_timestamp_ntz(
-        year.try_cast("int"), month.try_cast("int"), day.try_cast("int"),
-        hour, minute.try_cast("int"), second.try_cast("int"),
-    )
-
-
 def parse_timestamp(c: Column | str) -> Column:
     """Timestamp from ``06/02/2009 03:43:08 AM``, ``2026 Jul 04 01:02:03 PM`` or ISO text, else null.
 
-    The parts are read from the text and put together without a time zone;
-    impossible dates give null instead of an error.
+    A 12-hour text is first turned into ISO text, then everything is cast to a
+    timestamp without time zone; impossible dates give null instead of an error.
     """
     text = F.trim(_col(c))
-    slashed = _make(*_clock_parts(text, "[/: ]", (2, 0, 1)))
-    year, name, day, hour, minute, second = _clock_parts(text, "[: ]", (0, 1, 2))
-    abbreviations = F.split(F.lit(",".join(m[:3].lower() for m in MONTHS)), ",")
-    number = F.nullif(F.array_position(abbreviations, F.lower(name)), F.lit(0))
-    named = _make(year, number, day, hour, minute, second)
-    return (
-        F.when(text.rlike(r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2} [AaPp][Mm]$"), slashed)
-        .when(text.rlike(r"^\d{4} [A-Za-z]{3} \d{1,2} \d{1,2}:\d{2}:\d{2} [AaPp][Mm]$"), named)
-        .otherwise(text.try_cast("timestamp_ntz"))
-    )
+    names = ",".join(m[:3].lower() for m in MONTHS)
+    month = F.find_in_set(F.lower(F.substring(text, 6, 3)), F.lit(names)).cast("string")
+    named = F.concat_ws("-", F.substring(text, 1, 4), month, F.substring_index(F.substring(text, 10, 2), " ", 1))
+    slashed = F.regexp_replace(text, r"^(\d+)/(\d+)/(\d+) .*", "$3-$1-$2")
+    day = F.when(F.substring(text, 5, 1) == " ", named).otherwise(slashed)
+    clock = F.substring_index(text, " ", -2)
+    hour = F.substring_index(clock, ":", 1).cast("int") % 12
+    hour = hour + F.when(F.upper(F.right(text, F.lit(2))) == "PM", 12).otherwise(0)
+    iso = F.concat(day, F.lit(" "), hour.cast("string"), F.substring(F.right(text, F.lit(9)), 1, 6))
+    return F.when(text.rlike(TWELVE_HOUR), iso).otherwise(text).try_cast("timestamp_ntz")
 
 
 def hour_of(day: str, hour: str) -> Column:
@@ -138,21 +124,31 @@ def holiday_dates(spark: SparkSession, first_year: int, last_year: int) -> DataF
     return days.filter(is_holiday("holiday"))
 
 
-def calendar_columns(day: str, hour: str) -> dict[str, Column]:
-    """Calendar parts and flags of a date and an hour given as SQL text; null when these are null."""
-    weekend, holiday = f"weekday({day}) in (5, 6)", _holiday_sql(day)
-    busy = f"{hour} between {FIRST_BUSINESS_HOUR} and {LAST_BUSINESS_HOUR}"
-    business = f"({busy} and not {weekend} and not {holiday})"
-    parts = {
-        "weekday": f"weekday({day})",
-        "month": f"month({day})",
-        "quarter": f"quarter({day})",
-        "is_weekend": weekend,
-        "is_holiday": holiday,
-        "is_business_hour": business,
-        "is_after_hours": f"not {business}",
-    }
-    return {name: F.expr(sql) for name, sql in parts.items()}
+CALENDAR_PARTS = [
+    "weekday", "month", "quarter", "is_weekend", "is_holiday", "is_business_hour", "is_after_hours",
+]
+
+
+def add_calendar_parts(df: DataFrame, day: str, hour: str) -> DataFrame:
+    """Add calendar parts and flags of a date column and an hour column; null when these are null.
+
+    The flags build on each other step by step, so the holiday rule is
+    evaluated once per row and the generated code stays small enough for the
+    JVM to compile.
+    """
+    parts = df.withColumns(
+        {
+            "weekday": F.weekday(day),
+            "month": F.month(day),
+            "quarter": F.quarter(day),
+            "is_weekend": F.weekday(day).isin(5, 6),
+            "is_holiday": is_holiday(day),
+        }
+    )
+    busy = F.col(hour).between(FIRST_BUSINESS_HOUR, LAST_BUSINESS_HOUR)
+    return parts.withColumn("is_business_hour", busy & ~F.col("is_weekend") & ~F.col("is_holiday")).withColumn(
+        "is_after_hours", ~F.col("is_business_hour")
+    )
 
 
 def add_calendar(df: DataFrame, ts: str = "event_datetime") -> DataFrame:
@@ -166,7 +162,7 @@ def add_calendar(df: DataFrame, ts: str = "event_datetime") -> DataFrame:
         "year": F.year("event_date"),
         "season": season("month(event_date)"),
     }
-    return dated.withColumns({**named, **calendar_columns("event_date", "event_hour")})
+    return add_calendar_parts(dated.withColumns(named), "event_date", "event_hour")
 
 
 def period(day: Column | str) -> Column:

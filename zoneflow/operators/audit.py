@@ -17,7 +17,7 @@ from zoneflow.functions import text as tx
 from zoneflow.functions.numeric import safe_divide
 from zoneflow.functions.time import iso_text, parse_timestamp
 from zoneflow.operators import schema
-from zoneflow.operators.cleaning import KEY_FIELDS, TEXT_FIELDS
+from zoneflow.operators.cleaning import CATEGORY_SOURCES, KEY_FIELDS, TEXT_FIELDS, add_category
 
 # The fields compared per family.
 LOCATION_FIELDS = ["zone_id", "beat", "sector", "precinct", "latitude", "longitude"]
@@ -71,10 +71,8 @@ def canonical_copies(raw: DataFrame, mapping: Mapping[str, str | None] | None =
             "longitude": F.bround(tx.to_number("longitude"), 6),
         }
     )
-    category = tx.normalize_category("service_category", "final_call_type", "initial_call_type", "call_type")
-    return fields.withColumns(
-        {"zone_id": F.coalesce("beat", F.lit(tx.UNKNOWN_ZONE)), "normalized_service_category": category}
-    ).select(*CORE_FIELDS, "raw_row_hash", *keep)
+    fields = fields.withColumn("zone_id", F.coalesce("beat", F.lit(tx.UNKNOWN_ZONE)))
+    return add_category(fields, *CATEGORY_SOURCES).select(*CORE_FIELDS, "raw_row_hash", *keep)
 
 
 def _reason() -> Column:

@@ -21,12 +21,24 @@ TEXT_FIELDS = [
     "neighborhood", "reporting_area",
 ]
 KEY_FIELDS = ["beat", "sector", "precinct"]
+CATEGORY_SOURCES = ["service_category", "final_call_type", "initial_call_type", "call_type"]
 SCORED_COLUMNS = [
     "event_datetime", "zone_id", "beat", "sector", "precinct", "latitude", "longitude",
     "normalized_service_category", "disposition",
 ]
 
 
+def add_category(df: DataFrame, *candidates: str) -> DataFrame:
+    """Add the normalized category of the first present candidate.
+
+    Two steps, so that the spaced text is worked out once and not at each of
+    its uses inside the title case.
+    """
+    name = "normalized_service_category"
+    spaced = df.withColumn(name, tx.category_text(*candidates))
+    return spaced.withColumn(name, tx.category_title(name))
+
+
 def clean_events(
     raw: DataFrame,
     mapping: Mapping[str, str | None] | None = None,
@@ -53,13 +65,8 @@ def clean_events(
         events = events.withColumn(
             "event_id", F.concat(F.lit("generated_"), F.monotonically_increasing_id().cast("string"))
         )
-    category = tx.normalize_category("service_category", "final_call_type", "initial_call_type", "call_type")
-    events = events.withColumns(
-        {
-            "zone_id": F.coalesce("beat", F.lit(tx.UNKNOWN_ZONE)),
-            "normalized_service_category": category,
-        }
-    )
+    events = events.withColumn("zone_id", F.coalesce("beat", F.lit(tx.UNKNOWN_ZONE)))
+    events = add_category(events, *CATEGORY_SOURCES)
     flagged_zone = "beat" if flag_zone_before_fill else "zone_id"
     return events.withColumn(
         "data_quality_flag",

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from zoneflow.functions.time import calendar_columns, hour_of
+from zoneflow.functions.time import CALENDAR_PARTS, add_calendar_parts, hour_of
 from zoneflow.operators.enrich import WEATHER_COLUMNS
 
 # The calendar columns follow from date and hour, so they are no part of the key:
@@ -50,7 +50,7 @@ def rollup(fact: DataFrame) -> DataFrame:
         return F.sum(F.when(F.col("_rank") <= k, F.col("_rows")).otherwise(0)) / total
 
     means = [F.try_divide(F.sum(f"_sum_{c}"), F.sum(f"_n_{c}")).alias(c) for c in MEANS]
-    return (
+    rolled = (
         ranked.groupBy(*KEYS)
         .agg(
             F.sum("_demand").alias("target_demand_count"),
@@ -60,8 +60,9 @@ def rollup(fact: DataFrame) -> DataFrame:
             top(3).alias("category_mix_top_3_share"),
         )
         .withColumnsRenamed({"event_date": "date", "event_hour": "hour"})
-        .withColumns({"date_hour": hour_of("date", "hour"), **calendar_columns("date", "hour")})
+        .withColumn("date_hour", hour_of("date", "hour"))
     )
+    return add_calendar_parts(rolled, "date", "hour")
 
 
 def densify(zone_hour: DataFrame) -> DataFrame:
@@ -79,9 +80,8 @@ def densify(zone_hour: DataFrame) -> DataFrame:
         .filter("date_hour between _first and _last")
         .select("zone_id", "date", "hour", "date_hour")
     )
-    parts = calendar_columns("date", "hour")
-    measured = zone_hour.drop("date", "hour", *parts)
-    dense = spine.join(measured, ["zone_id", "date_hour"], "left").withColumns(parts)
+    measured = zone_hour.drop("date", "hour", *CALENDAR_PARTS)
+    dense = add_calendar_parts(spine.join(measured, ["zone_id", "date_hour"], "left"), "date", "hour")
     undated = zone_hour.filter(F.col("date_hour").isNull())
     return dense.withColumn("target_demand_count", F.coalesce("target_demand_count", F.lit(0))).unionByName(undated)
 

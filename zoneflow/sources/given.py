@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from zoneflow.functions import text as tx
 from zoneflow.functions.time import floor_hour
 from zoneflow.operators import enrich, zonehour
-from zoneflow.operators.cleaning import CLEAN_COLUMNS
+from zoneflow.operators.cleaning import CLEAN_COLUMNS, add_category
 
 FIRST_DAY = "2024-01-01"
 WEATHER_DAYS = 20  # the weather station reports on the first days of a month only
@@ -46,11 +46,10 @@ def service_events(spark: SparkSession, folder: str) -> DataFrame:
 
 def cleaned_events(spark: SparkSession, folder: str) -> DataFrame:
     """Service events in the 17-column cleaned layout."""
-    events = service_events(spark, folder)
-    category = tx.normalize_category("final_call_type")
+    events = add_category(service_events(spark, folder), "final_call_type")
+    category = F.col("normalized_service_category")
     events = events.withColumns(
         {
-            "normalized_service_category": category,
             "zone_id": F.coalesce("beat", F.lit(tx.UNKNOWN_ZONE)),
             "data_quality_flag": tx.quality_flag(F.col("event_datetime"), F.col("beat"), category),
         }
@@ -111,9 +110,9 @@ def order_events(spark: SparkSession, folder: str) -> DataFrame:
         zone.alias("zone_id"),
         zone.alias("beat"),
         F.col("o_orderpriority").alias("final_call_type"),
-        tx.normalize_category("o_orderpriority").alias("normalized_service_category"),
         F.lit("ok").alias("data_quality_flag"),
     )
+    events = add_category(events, "final_call_type")
     absent = {c: F.lit(None).cast("string") for c in CLEAN_COLUMNS if c not in events.columns}
     events = events.withColumns(absent)
     return events.withColumns({c: F.col(c).cast("double") for c in ("latitude", "longitude")}).select(*CLEAN_COLUMNS)
