@@ -125,17 +125,19 @@ def mlp_pipeline(hidden: tuple[int, ...] = (32, 16), iterations: int = 220, seed
 def fit_and_predict(pipeline: Pipeline, zone_hour: DataFrame, q: float = 0.8) -> tuple[PipelineModel, DataFrame]:
     """Train on the earlier rows, all of them, and predict the later ones next to the baseline.
 
-    Training reads its input many times, so the frame is checkpointed first.
+    Training reads its input many times, so both parts are written as tables
+    first; the models then run on plain scans without the split's subqueries.
     Raises when the training rows hold one class only.
     """
-    frame = cut_lineage(model_frame(zone_hour))
-    train, test = split(frame, q)
+    train, test = split(cut_lineage(model_frame(zone_hour)), q)
+    train = cut_lineage(train)
+    test = cut_lineage(add_baseline(train, test))
     classes = train.agg(F.min(LABEL), F.max(LABEL)).first()
     if classes[0] == classes[1]:
         raise ValueError("training rows hold fewer than two classes")
     model = pipeline.fit(train)
     probability = F.get(vector_to_array("probability"), F.lit(1))
-    scored = model.transform(add_baseline(train, test)).withColumns(
+    scored = model.transform(test).withColumns(
         {"ml_prediction": F.col("ml_prediction").cast("int"), "predicted_high_demand_probability": probability}
     )
     return model, prediction_table(scored)
