@@ -4,9 +4,10 @@ import pytest
 from comparing import differences, duck
 
 import __spark_entry__ as entry
+from zoneflow.plans.catalogue import QUERIES
+from zoneflow.plans.oracle import ORACLE
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 UNCHECKED = {"kmeans_profiles", "forest_predictions", "mlp_predictions", "ols"}
 
 
@@ -18,6 +19,7 @@ def con():
 def test_every_query_has_a_check_but_the_iterative_ones():
     assert set(QUERIES) - set(ORACLE) == UNCHECKED
     assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - UNCHECKED))
