@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.llm import minhash
+from zoneflow.llm import minhash, positional
 from zoneflow.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -29,3 +29,13 @@ def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate components of all documents: three-word shingles, similarity of 0.85 or more."""
     params = minhash.Params(shingle=3, percent=85, rows=4, bands=20)
     return minhash.near_duplicates(table(spark, folder, "documents"), params)
+
+
+@query
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document that lie in 13-word windows of the benchmark items."""
+    judged = positional.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    names = F.array_sort(F.transform("items", lambda x: x.cast("string")))
+    return judged.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join(names, ","), 256).alias("items_sha256"), "contaminated"
+    )

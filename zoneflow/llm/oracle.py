@@ -9,7 +9,7 @@ with recursive words as (
   select doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') w from documents
 ), shingles as (
   select doc_id, unnest(case
-    when len(w) >= 3 then list_distinct(list_transform(range(1, len(w) - 1), i -> w[i:i+2]))
+    when len(w) >= 3 then list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i:i+2]))
     when len(w) > 0 then [w] else [] end) s
   from words
 ), sizes as (select doc_id, count(*) n from shingles group by 1
@@ -28,3 +28,29 @@ with recursive words as (
 select doc_id, coalesce(n, 0) n_shingles, component_id, doc_id = component_id kept
 from documents left join sizes using (doc_id) join least using (doc_id)
 """
+
+_ALNUM = "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'"
+
+ORACLE["op1_decontamination"] = f"""
+with dw as (select doc_id, regexp_extract_all({_LOWER}, {_ALNUM}) w from documents
+), iw as (select item_id, regexp_extract_all({_LOWER}, {_ALNUM}) w from benchmark
+), windows as (
+  select item_id, unnest(case
+    when len(w) >= 13 then list_transform(range(1, len(w) - 11), lambda i: w[i:i+12])
+    when len(w) > 0 then [w] else [] end) s from iw
+), lengths as (select distinct len(s) k from windows
+), starts as (
+  select doc_id, k, unnest(range(1, len(w) - k + 2)) i, w from dw, lengths where len(w) >= k
+), found as (
+  select doc_id, i, k, item_id from starts join windows on k = len(s) and list_slice(w, i, i + k - 1) = s
+), hits as (
+  select doc_id, count(distinct p) n_hit from (select doc_id, unnest(range(i, i + k)) p from found) group by 1
+), items as (
+  select doc_id, count(*) n_items, string_agg(id, ',' order by id) ids
+  from (select distinct doc_id, cast(item_id as varchar) id from found) group by 1
+)
+select doc_id, cast(coalesce(len(w), 0) as bigint) n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_items,
+  sha256(coalesce(ids, '')) items_sha256,
+  coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= coalesce(len(w), 0) contaminated
+from dw left join hits using (doc_id) left join items using (doc_id)
+"""
