@@ -67,6 +67,7 @@ _alnum = (_bytes >= 0x80) | ((_bytes >= 48) & (_bytes <= 57)) | ((_bytes >= 97)
 _upper = (_bytes >= 65) & (_bytes <= 90)
 _space = (_bytes == 0x20) | ((_bytes >= 0x09) & (_bytes <= 0x0D))
 ALNUM_WORDS = np.where(_upper, _bytes + 32, np.where(_alnum, _bytes, 0)).astype(np.uint8)
+TOKEN_KINDS = np.where(_space, 0, np.where(_alnum | _upper, 1, 2)).astype(np.uint8)  # letters and digits, or signs
 SPACED_WORDS = np.where(_space, 0, np.where(_upper, _bytes + 32, _bytes)).astype(np.uint8)
 
 
@@ -94,11 +95,15 @@ def hash_spans(mapped: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mix((sums[ends] - sums[starts]) * _power_table(_INVERSE, n + 1)[starts] + (ends - starts).astype(np.uint64))
 
 
-def split(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, first_row: int = 0) -> Words:
+def split(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, first_row: int = 0, kinds=None) -> Words:
+    """Words under a byte map; with ``kinds``, a word also ends where the kind of its bytes changes."""
     mapped = table[data]
     inside = mapped != 0
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[offsets] = True
+    if kinds is not None and len(data):
+        kind = kinds[data]
+        edge[1:-1] |= kind[1:] != kind[:-1]
     before = np.concatenate([[False], inside[:-1]]) if len(data) else inside
     after = np.concatenate([inside[1:], [False]]) if len(data) else inside
     starts = np.flatnonzero(inside & (~before | edge[:-1]))
@@ -130,9 +135,9 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[in
         row = end
 
 
-def words_of(column: pa.Array, table: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[Words]:
+def words_of(column: pa.Array, table: np.ndarray, limit: int = SLICE_BYTES, kinds=None) -> Iterator[Words]:
     for row, data, offsets in text_slices(column, limit):
-        yield split(data, offsets, table, row)
+        yield split(data, offsets, table, row, kinds)
 
 
 def shingle_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
