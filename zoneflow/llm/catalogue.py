@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.llm import minhash, positional, quality
+from zoneflow.llm import minhash, positional, quality, secrets
 from zoneflow.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -49,3 +49,19 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(docs, model).select(
         "doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
     )
+
+
+@query
+def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in every document: counts of the base rules, their digest, and the spans of all rules."""
+    found = secrets.scan(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda x: x["kind"].isin(*[r.kind for r in secrets.BASE]))
+
+    def count(kind: str) -> F.Column:
+        return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(r.kind) for r in secrets.BASE]
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.span_list(base), 256).alias("base_sha256"),
+        secrets.span_list(F.col("spans")).alias("spans"),
+    )

@@ -54,3 +54,43 @@ select doc_id, cast(coalesce(len(w), 0) as bigint) n_words, coalesce(n_hit, 0) n
   coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= coalesce(len(w), 0) contaminated
 from dw left join hits using (doc_id) left join items using (doc_id)
 """
+
+
+def _found(kind: str, number: int, pattern: str, group: int, least: int, flags: str) -> str:
+    """Spans of one rule: split the text around its matches and add up the lengths."""
+    return f"""
+  select doc_id, '{kind}' kind, {number} number, unnest(list_transform(range(1, len(m) + 1), lambda i: {{
+    's': list_sum(list_transform(p[1:i], lambda x: length(x)))
+       + coalesce(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0),
+    'n': length(m[i]), 'v': length(v[i])}}), recursive := true)
+  from (select doc_id, regexp_extract_all(text, '{pattern}', 0, '{flags}') m,
+          regexp_extract_all(text, '{pattern}', {group}, '{flags}') v,
+          string_split(regexp_replace(text, '{pattern}', chr(1), 'g{flags}'), chr(1)) p from texts)
+  where len(m) > 0 and v is not null"""
+
+
+_RULES = [
+    ("assign", """(password|passwd|secret|token|api_?key)["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 6, "i"),
+    ("access", "AKIA[A-Z0-9]+", 0, 20, "c"),
+    ("hex", "[0-9a-f]+", 0, 24, "c"),
+    ("pem", "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 1, "c"),
+    ("forge", "gh[pousr]_[A-Za-z0-9]{36,}", 0, 1, "c"),
+    ("chat", "xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1, "c"),
+]
+
+ORACLE["op7_secrets"] = f"""
+with texts as (select doc_id, coalesce(text, '') text from documents
+), found as ({" union all ".join(_found(k, i, p, g, n, f) for i, (k, p, g, n, f) in enumerate(_RULES))}
+), spans as (
+  select doc_id, kind, number, cast(s as bigint) s, kind || ':' || cast(s as bigint) || ':' || cast(s + n as bigint) t
+  from found where v >= case kind when 'assign' then 6 when 'access' then 20 when 'hex' then 24 else 1 end
+), listed as (
+  select doc_id, count(*) filter (kind = 'assign') n_assign, count(*) filter (kind = 'access') n_access,
+    count(*) filter (kind = 'hex') n_hex, string_agg(t, ',' order by s, number) filter (number < 3) base,
+    string_agg(t, ',' order by s, number) spans
+  from spans group by 1
+)
+select doc_id, coalesce(n_assign, 0) n_assign, coalesce(n_access, 0) n_access, coalesce(n_hex, 0) n_hex,
+  sha256(coalesce(base, '')) base_sha256, coalesce(spans, '') spans
+from texts left join listed using (doc_id)
+"""
