@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.llm import minhash, positional, quality, secrets
+from zoneflow.llm import minhash, pieces, positional, quality, secrets
 from zoneflow.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
 
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -65,3 +67,10 @@ def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", *counts, F.sha2(secrets.span_list(base), 256).alias("base_sha256"),
         secrets.span_list(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Piece ids of every whole document, and whether they decode to it."""
+    encoded = pieces.encode(table(spark, folder, "documents").select("doc_id", "text"), PIECE_MODEL)
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "round_trip")
