@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.llm import minhash, pieces, positional, quality, secrets
+from zoneflow.llm import minhash, pieces, positional, quality, secrets, sharding, urlfilter
 from zoneflow.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -74,3 +74,63 @@ def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Piece ids of every whole document, and whether they decode to it."""
     encoded = pieces.encode(table(spark, folder, "documents").select("doc_id", "text"), PIECE_MODEL)
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "round_trip")
+
+
+@query
+def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Sixteen contiguous shards of near equal bytes."""
+    dealt = sharding.assign(table(spark, folder, "documents"), 16)
+    return dealt.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def fetched_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages with a fetch day derived from their number: the days of 2024 in turn."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 366).cast("int"))
+    return table(spark, folder, "pages").select("page_id", "url", day.alias("fetched"))
+
+
+def list_entries(pages: DataFrame) -> DataFrame:
+    """Dated entries of two lists derived from the hosts of the pages, by the least page number of each host.
+
+    A third of the hosts enter the list ``hosts``, half of them leave it later and a fifth of those come back; the
+    parent domains of all hosts are in the list ``domains`` for a part of the year; the first path step of every
+    seventh host is in the list ``paths``.
+    """
+    start = F.lit("2024-01-01").cast("date")
+    hosts = pages.select(urlfilter.host_of("url").alias("host"), "page_id").where("host is not null")
+    hosts = hosts.groupBy("host").agg(F.min("page_id").alias("m"))
+    day = (F.col("m") % 200).cast("int")
+    own = hosts.where("m % 3 = 0")
+    leave = own.where("m % 2 = 0")
+    away = day + 50 + (F.col("m") % 40).cast("int")
+
+    def entry(df: DataFrame, name: str, key: F.Column, listed: bool, after: F.Column) -> DataFrame:
+        return df.select(
+            F.lit(name).alias("list"), key.alias("key"), F.lit(listed).alias("listed"), F.date_add(start, after).alias("at")
+        )
+
+    host = F.col("host")
+    parents = hosts.select(F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1).alias("host"), "m").where("host <> ''")
+    parents = parents.groupBy("host").agg(F.min("m").alias("m"))
+    return (
+        entry(own, "hosts", host, True, day)
+        .union(entry(leave, "hosts", host, False, away))
+        .union(entry(leave.where("m % 5 = 0"), "hosts", host, True, away + 30))
+        .union(entry(parents, "domains", host, True, day + 100))
+        .union(entry(parents, "domains", host, False, day + 120))
+        .union(entry(hosts.where("m % 7 = 0"), "paths", F.concat(host, F.lit("/fr")), True, day))
+    )
+
+
+@query
+def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page against the list entries that were active on the day of its fetch."""
+    pages = fetched_pages(spark, folder)
+    judged = urlfilter.evaluate(pages, list_entries(pages))
+    return judged.select(
+        "page_id", "host", F.col("fetched").cast("string").alias("fetched"), "blocked",
+        F.array_join("lists", ",").alias("lists"), "n_active", F.col("listed_since").cast("string").alias("listed_since"),
+    )

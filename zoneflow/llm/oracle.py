@@ -94,3 +94,34 @@ select doc_id, coalesce(n_assign, 0) n_assign, coalesce(n_access, 0) n_access, c
   sha256(coalesce(base, '')) base_sha256, coalesce(spans, '') spans
 from texts left join listed using (doc_id)
 """
+
+ORACLE["op6_url_filters"] = r"""
+with captures as (
+  select page_id, nullif(regexp_replace(regexp_extract(lower(trim(url)),
+      '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '\.$', ''), '') host,
+    coalesce(regexp_extract(trim(url), '^[^:]+://[^/?#]*/([^/?#]+)', 1), '') step,
+    date '2024-01-01' + cast(page_id % 366 as integer) fetched
+  from pages
+), hosts as (select host, min(page_id) m from captures where host is not null group by 1
+), parents as (
+  select regexp_extract(host, '([^.]+\.[^.]+)$', 1) host, min(m) m from hosts group by 1 having host <> ''
+), dated as (
+  select 'hosts' list, host key, true listed, m % 200 d from hosts where m % 3 = 0
+  union all select 'hosts', host, false, m % 200 + 50 + m % 40 from hosts where m % 6 = 0
+  union all select 'hosts', host, true, m % 200 + 80 + m % 40 from hosts where m % 30 = 0
+  union all select 'domains', host, true, m % 200 + 100 from parents
+  union all select 'domains', host, false, m % 200 + 120 from parents
+  union all select 'paths', host || '/fr', true, m % 200 from hosts where m % 7 = 0
+), valid as (
+  select list, key, listed, date '2024-01-01' + cast(d as integer) a,
+    date '2024-01-01' + cast(lead(d) over (partition by list, key order by d) as integer) b from dated
+), active as (
+  select page_id, string_agg(distinct list, ',' order by list) lists, count(*) n_active, min(a) since
+  from captures join valid on listed and a <= fetched and (b is null or fetched < b)
+    and (host = key or ends_with(host, '.' || key) or (step <> '' and host || '/' || step = key))
+  group by 1
+)
+select page_id, host, cast(fetched as varchar) fetched, lists is not null blocked, coalesce(lists, '') lists,
+  coalesce(n_active, 0) n_active, cast(since as varchar) listed_since
+from captures left join active using (page_id)
+"""
