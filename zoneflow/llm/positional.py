@@ -200,22 +200,19 @@ def search(index: DataFrame, windows: DataFrame, size: int = WINDOW, slop: int =
         raise ValueError(f"slop must be between 0 and {MAX_SLOP}")
     spark = index.sparkSession
     distinct = windows.select("window_id", "terms").distinct()
-    frequency = index.where("term is not null").groupBy("term").agg(F.sum("n").alias("df"))
-    placed = distinct.select("window_id", F.posexplode("terms").alias("offset", "term"))
     packs = max(1, math.ceil(distinct.count() / PACK))
-    ranked = (
-        placed.join(frequency.join(placed.select("term").distinct(), "term", "left_semi"), "term", "left")
-        .groupBy("window_id")
-        .agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "offset", "term"))).alias("ordered"))
-        .withColumn("pack", F.pmod(F.col("window_id"), F.lit(packs)))
-    )
+    postings = index.where("term is not null")
     found = None
     for number in range(packs):
-        own = ranked.where(F.col("pack") == number).select("window_id", "ordered")
-        held = spark.sparkContext.broadcast(_pack(own.toArrow(), size))
-        terms = own.select(F.explode("ordered.term").alias("term")).distinct()
-        postings = index.where("term is not null").join(terms, "term", "left_semi")
-        needed = postings.select("block", "term", "positions", "ordinal").union(
+        own = distinct.where(F.pmod("window_id", F.lit(packs)) == number)
+        placed = own.select("window_id", F.posexplode("terms").alias("offset", "term"))
+        # At most PACK windows of ``size`` terms: a few megabytes whatever the size of the benchmark.
+        terms = F.broadcast(placed.select("term").distinct())
+        frequency = postings.join(terms, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("df"))
+        ordered = F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "offset", "term")))
+        ranked = placed.join(frequency, "term", "left").groupBy("window_id").agg(ordered.alias("ordered"))
+        held = spark.sparkContext.broadcast(_pack(ranked.toArrow(), size))
+        needed = postings.join(terms, "term", "left_semi").select("block", "term", "positions", "ordinal").union(
             index.where("term is null").select("block", "term", "positions", "ordinal")
         )
 
