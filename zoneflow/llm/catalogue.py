@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.llm import minhash, pieces, positional, quality, secrets, sharding, urlfilter
+from zoneflow.llm import minhash, pieces, positional, quality, secrets, sharding, urlfilter, vectors
 from zoneflow.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -134,3 +134,9 @@ def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
         "page_id", "host", F.col("fetched").cast("string").alias("fetched"), "blocked",
         F.array_join("lists", ",").alias("lists"), "n_active", F.col("listed_since").cast("string").alias("listed_since"),
     )
+
+
+@query
+def op8_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and components of all embeddings at a cosine of 0.9 or more."""
+    return vectors.near_duplicates(table(spark, folder, "embeddings"), vectors.Params(threshold=0.9))

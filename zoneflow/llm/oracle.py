@@ -125,3 +125,21 @@ select page_id, host, cast(fetched as varchar) fetched, lists is not null blocke
   coalesce(n_active, 0) n_active, cast(since as varchar) listed_since
 from captures left join active using (page_id)
 """
+
+ORACLE["op8_embeddings"] = """
+with recursive usable as (
+  select vec_id, cast(embedding as double[]) v from embeddings
+  where embedding is not null and list_count(embedding) = len(embedding)
+    and len(list_filter(embedding, lambda x: not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links as (
+  select a.vec_id a, b.vec_id b from usable a join usable b on a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+  where list_cosine_similarity(a.v, b.v) >= 0.9
+), counts as (select a vec_id, count(*) n from links group by 1
+), reach as (
+  select vec_id a, vec_id b from embeddings
+  union
+  select reach.a, links.b from reach join links on reach.b = links.a
+), least as (select a vec_id, min(b) component_id from reach group by 1)
+select vec_id, coalesce(n, 0) n_links, component_id, vec_id = component_id kept
+from embeddings left join counts using (vec_id) join least using (vec_id)
+"""
