@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.llm import minhash, pieces, positional, quality, secrets, sharding, urlfilter, vectors
+from zoneflow.llm import minhash, paragraphs, pieces, positional, quality, secrets, sharding, urlfilter, vectors
 from zoneflow.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -140,3 +140,9 @@ def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
 def op8_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     """Links and components of all embeddings at a cosine of 0.9 or more."""
     return vectors.near_duplicates(table(spark, folder, "embeddings"), vectors.Params(threshold=0.9))
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with passages that repeat across documents, and where those stand."""
+    return paragraphs.find_repeats(table(spark, folder, "documents"))
