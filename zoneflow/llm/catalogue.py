@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.llm import minhash, paragraphs, pieces, positional, quality, secrets, sharding, urlfilter, vectors
+from zoneflow.llm import minhash, paragraphs, pieces, positional, quality, secrets, sharding, urlfilter, vectors, warc
 from zoneflow.llm.oracle import ORACLE
+from zoneflow.llm.scratch import Scratch
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -146,3 +147,18 @@ def op8_embeddings(spark: SparkSession, folder: str) -> DataFrame:
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with passages that repeat across documents, and where those stand."""
     return paragraphs.find_repeats(table(spark, folder, "documents"))
+
+
+@query
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Write every page to archives, find it again through the capture index, and read its record."""
+    scratch = Scratch(spark)
+    pages = table(spark, folder, "pages")
+    archives = scratch.path()
+    warc.write_archives(pages, archives)
+    index = warc.build_index(warc.captures(spark, archives), scratch)
+    keys = pages.select(warc.clean_uri("url").alias("uri")).select(warc.url_key("uri").alias("key"))
+    found = scratch.keep(warc.lookup(index, keys))
+    return warc.read_records(spark, archives, found).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )

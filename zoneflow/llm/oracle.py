@@ -143,3 +143,15 @@ with recursive usable as (
 select vec_id, coalesce(n, 0) n_links, component_id, vec_id = component_id kept
 from embeddings left join counts using (vec_id) join least using (vec_id)
 """
+
+ORACLE["op2_warc"] = """
+with payloads as (
+  select page_id, coalesce(strlen(html), 0) payload_bytes, sha1(coalesce(html, '')) payload_digest from pages
+), firsts as (
+  select payload_digest d, max(page_id) first_page from payloads where payload_bytes >= 1000 group by 1
+)
+select page_id, payload_bytes, payload_digest,
+  case when page_id < first_page then 'revisit' else 'response' end record_type,
+  case when page_id < first_page then first_page end refers_to
+from payloads left join firsts on payload_bytes >= 1000 and payload_digest = d
+"""
