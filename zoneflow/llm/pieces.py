@@ -19,7 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zoneflow.llm import words as wd
 
@@ -558,7 +558,8 @@ def encode(docs: DataFrame, model_path: str, text_column: str = "text", output:
                     [*part.columns, lists, pa.array(exact)], names=[*part.schema.names, output, "round_trip"]
                 )
 
-    schema = docs.select("*", F.array().cast("array<int>").alias(output), F.lit(True).alias("round_trip")).schema
+    new = [T.StructField(output, T.ArrayType(T.IntegerType())), T.StructField("round_trip", T.BooleanType())]
+    schema = T.StructType([*docs.schema.fields, *new])
     return docs.mapInArrow(run, schema)
 
 
@@ -583,4 +584,4 @@ def decode(rows: DataFrame, model_path: str, ids_column: str = "ids", output: st
                 [*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, output]
             )
 
-    return rows.mapInArrow(run, rows.select("*", F.lit("").alias(output)).schema)
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(output, T.StringType())]))

@@ -79,11 +79,13 @@ def _shard(twice_middle: F.Column, total: int, shards: int) -> F.Column:
 
 def write(docs: DataFrame, path: str, shards: int = 16, id_column: str = "doc_id", text_column: str = "text") -> None:
     """Write ``docs`` as Parquet folders ``shard=0`` and so on; rows are known by id and text."""
-    own = assign(docs, shards, id_column, text_column).select(id_column, "text_crc32", "size", "shard").distinct()
+    own = assign(docs, shards, id_column, text_column).select(
+        F.col(id_column).alias("_id"), F.col("text_crc32").alias("_c"), F.col("size").alias("_s"), F.col("shard").alias("_shard")
+    )
+    # Repeated rows are written as often as they occur: all of them to the shard of the first.
+    own = own.groupBy("_id", "_c", "_s").agg(F.min("_shard").alias("_shard"))
     text = F.coalesce(F.col(text_column), F.lit(""))
     keyed = docs.withColumn("_crc", F.crc32(text.cast("binary"))).withColumn("_size", (F.octet_length(text) + 1).cast("long"))
-    same = (
-        keyed[id_column].eqNullSafe(own[id_column]) & (keyed["_crc"] == own["text_crc32"]) & (keyed["_size"] == own["size"])
-    )
-    joined = keyed.join(own, same).select(*[keyed[c] for c in docs.columns], own["shard"])
+    same = F.col(id_column).eqNullSafe(F.col("_id")) & (F.col("_crc") == F.col("_c")) & (F.col("_size") == F.col("_s"))
+    joined = keyed.join(own, same).select(*docs.columns, F.col("_shard").alias("shard"))
     joined.write.partitionBy("shard").parquet(path)
