@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,6 +16,7 @@ from zoneflow.llm.components import connected_components
 from zoneflow.llm.scratch import Scratch
 
 CHUNK = 1024  # members of a bucket that one task compares with as many others
+CHUNK_SHINGLES = 500_000  # and about the shingles that they have
 SIGMAS = 5  # a pair is dropped on its signature only this many standard deviations below the threshold
 
 
@@ -76,7 +77,7 @@ def signatures(values: np.ndarray, starts: np.ndarray, p: Params) -> np.ndarray:
     return out
 
 
-def _lists(matrix: np.ndarray, present: np.ndarray, kind: pa.DataType) -> pa.Array:
+def lists(matrix: np.ndarray, present: np.ndarray, kind: pa.DataType) -> pa.Array:
     """Rows of ``matrix`` as lists for the rows marked present, empty lists for the others."""
     offsets = np.concatenate([[0], np.cumsum(np.where(present, matrix.shape[1], 0))]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(matrix).reshape(-1), type=kind))
@@ -106,8 +107,8 @@ def sketch(docs: DataFrame, p: Params, id_column: str = "doc_id", text_column: s
                         pa.array(sizes),
                         pa.array(k1),
                         pa.array(k2),
-                        _lists(band_keys(signature, p).view(np.int64), present, pa.int64()),
-                        _lists(signature.view(np.int32), present, pa.int32()),
+                        lists(band_keys(signature, p).view(np.int64), present, pa.int64()),
+                        lists(signature.view(np.int32), present, pa.int32()),
                     ],
                     names=["id", "n_shingles", "k1", "k2", "bands", "signature"],
                 )
@@ -180,49 +181,156 @@ def similar_sets(pairs: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
     ).select("a", "b")
 
 
-def unsettled_pairs(members: DataFrame, p: Params) -> DataFrame:
-    """Pairs of one bucket that lie in different components and whose signatures allow the threshold.
+def deal(members: DataFrame, chunks: str, columns: list[str]) -> DataFrame:
+    """One row for each pair of chunks of a bucket, with its members' columns as lists; ``own`` is a member's chunk.
 
-    ``members`` has ``key, id, component, n_shingles, signature`` and ``members``, the bucket's size.  A bucket is
-    dealt in chunks of about 1,024 members; each pair of chunks is one row that one task compares, whatever the size
-    of the bucket.  Only pairs that pass are emitted.
+    ``chunks`` is the bucket's number of chunks, so a row is bounded however large the bucket is.
     """
-    chunks = F.ceil(F.col("members") / CHUNK).cast("int")
-    placed = members.withColumn("chunks", chunks).withColumn(
-        "own", F.pmod(F.xxhash64("id"), F.col("chunks").cast("long")).cast("int")
-    )
-    dealt = (
-        placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    placed = members.withColumn("own", F.pmod(F.xxhash64("id"), F.col(chunks).cast("long")).cast("int"))
+    return (
+        placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col(chunks) - 1)))
         .withColumn("i", F.least("own", "other"))
         .withColumn("j", F.greatest("own", "other"))
         .groupBy("key", "i", "j")
-        .agg(F.collect_list(F.struct("own", "id", "component", "n_shingles", "signature")).alias("m"))
-        .select(
-            "i", "j", F.col("m.own").alias("own"), F.col("m.id").alias("id"), F.col("m.component").alias("component"),
-            F.col("m.n_shingles").alias("n"), F.flatten("m.signature").alias("signature"),
-        )
+        .agg(F.collect_list(F.struct("own", *columns)).alias("m"))
+        .select("key", "i", "j", F.col("m.own").alias("own"), *[F.col(f"m.{c}").alias(c) for c in columns])
     )
 
+
+def list_column(batch: pa.RecordBatch, name: str, row: int) -> np.ndarray:
+    values = batch.column(name)[row].values
+    if pa.types.is_list(values.type):
+        return values.flatten().to_numpy(zero_copy_only=False)
+    return values.to_numpy(zero_copy_only=False)
+
+
+class _Bucket:
+    """Members of one pair of chunks of a bucket, and which of them may be linked although they are not yet."""
+
+    def __init__(self, batch: pa.RecordBatch, row: int, p: Params):
+        self.p = p
+        self.ids, self.component = list_column(batch, "id", row), list_column(batch, "component", row).copy()
+        self.n, own = list_column(batch, "n_shingles", row), list_column(batch, "own", row)
+        self.signature = list_column(batch, "signature", row).reshape(len(self.ids), -1)
+        bands = list_column(batch, "bands", row).reshape(len(self.ids), -1)
+        self.earlier = bands[:, : int(np.argmax(bands[0] == batch.column("key")[row].as_py()))]
+        i, j = batch.column("i")[row].as_py(), batch.column("j")[row].as_py()
+        self.left = np.flatnonzero(own == i)
+        self.right = np.flatnonzero(own == j)
+        self.inner = i == j
+
+    def open_partners(self, x: int) -> np.ndarray:
+        """Members of other components that this bucket is the first to bring to ``x`` and that may be similar."""
+        p = self.p
+        y = self.right[self.right > x] if self.inner else self.right
+        y = y[self.component[y] != self.component[x]]
+        y = y[np.minimum(self.n[y], self.n[x]) * 100 >= np.maximum(self.n[y], self.n[x]) * p.percent]
+        y = y[~(self.earlier[y] == self.earlier[x]).any(axis=1)]
+        return y[(self.signature[y] == self.signature[x]).sum(axis=1) >= p.least_agreement]
+
+
+def open_members(members: DataFrame, p: Params) -> DataFrame:
+    """``key, id`` of members that may be similar to a member of another component of their bucket."""
+    dealt = deal(members, "chunks", ["id", "component", "n_shingles", "signature", "bands"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in range(batch.num_rows):
-                i, j = batch.column(0)[r].as_py(), batch.column(1)[r].as_py()
-                own, ids, component, n = (batch.column(c)[r].values.to_numpy(zero_copy_only=False) for c in (2, 3, 4, 5))
-                signature = batch.column(6)[r].values.to_numpy(zero_copy_only=False).reshape(len(ids), -1)
-                left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-                found = []
-                for x in left:
-                    y = right if i != j else right[right > x]
-                    y = y[component[y] != component[x]]
-                    y = y[np.minimum(n[y], n[x]) * 100 >= np.maximum(n[y], n[x]) * p.percent]
-                    y = y[(signature[y] == signature[x]).sum(axis=1) >= p.least_agreement]
-                    found.append(np.stack([np.minimum(ids[y], ids[x]), np.maximum(ids[y], ids[x])]))
-                out = np.concatenate(found, axis=1) if found else np.zeros((2, 0), dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], names=["a", "b"])
+            for row in range(batch.num_rows):
+                bucket = _Bucket(batch, row, p)
+                seen = np.zeros(len(bucket.ids), dtype=bool)
+                for x in bucket.left:
+                    y = bucket.open_partners(x)
+                    seen[y] = True
+                    seen[x] |= len(y) > 0
+                ids = bucket.ids[seen]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(ids), batch.column("key")[row].as_py())), pa.array(ids)], names=["key", "id"]
+                )
+
+    return dealt.mapInArrow(run, "key long, id long").distinct()
+
+
+def open_links(members: DataFrame, p: Params) -> DataFrame:
+    """``a, b``: links between components within buckets, confirmed on the full ``shingles`` of the members.
+
+    Pairs are compared in the task that holds them.  Of the links found, those that join what the task has not joined
+    yet are emitted, at most one less than the members, so a group of n copies never makes n * n rows.
+    """
+    dealt = deal(members, "chunks", ["id", "component", "n_shingles", "signature", "bands", "shingles"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                yield _links_of(_Bucket(batch, row, p), list_column(batch, "shingles", row))
 
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def _links_of(bucket: _Bucket, shingles: np.ndarray) -> pa.RecordBatch:
+    ends = np.cumsum(bucket.n)
+    _, shingle = np.unique(shingles, return_inverse=True)
+    order = np.argsort(shingle, kind="stable")
+    holder = np.repeat(np.arange(len(ends)), bucket.n)[order]
+    sizes = np.bincount(shingle)
+    begins = np.cumsum(sizes) - sizes
+    found = []
+    for x in bucket.left:
+        y = bucket.open_partners(x)
+        if not len(y):
+            continue
+        own = shingle[ends[x] - bucket.n[x] : ends[x]]
+        counts = sizes[own]
+        at = np.repeat(begins[own] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+        shared = np.bincount(holder[at], minlength=len(ends))[y]
+        y = y[shared * 100 >= (bucket.n[x] + bucket.n[y] - shared) * bucket.p.percent]
+        for other in y:
+            if bucket.component[other] != bucket.component[x]:
+                bucket.component[bucket.component == bucket.component[other]] = bucket.component[x]
+                found.append((min(bucket.ids[x], bucket.ids[other]), max(bucket.ids[x], bucket.ids[other])))
+    pairs = np.array(found, dtype=np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+
+def link_classes(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], p: Params, scratch: Scratch) -> DataFrame:
+    """``node, component`` of the linked ``classes(id, n_shingles, bands, signature)``; ids are distinct.
+
+    ``sets_of`` gives ``id, shingles`` for a frame of ids; it is asked only for classes that share a band.
+    """
+    rows, full = buckets(classes)
+    full = scratch.keep(full)
+    members = scratch.keep(rows.join(full, "key"))
+    stars = members.where("id <> pivot").select(*ordered("id", "pivot")).distinct()
+    pairs = scratch.keep(similar_signatures(stars, classes, p))
+    sets = scratch.keep(
+        sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
+    )
+    links = scratch.keep(similar_sets(pairs, sets, p))
+    scratch.drop(pairs, sets)
+    first = scratch.keep(connected_components(links, scratch))
+
+    joined = (
+        members.where("members > 2")
+        .join(classes.select("id", "n_shingles"), "id")
+        .join(first.withColumnRenamed("node", "id"), "id", "left")
+        .select("key", "id", F.coalesce("component", "id").alias("component"), "n_shingles")
+    )
+    joined = scratch.keep(joined)
+    mixed = joined.groupBy("key").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("m"), F.sum("n_shingles").alias("s")
+    )
+    chunks = F.ceil(F.greatest(F.col("m") / CHUNK, F.col("s") / CHUNK_SHINGLES)).cast("int")
+    placed = joined.join(mixed.where("x <> y").select("key", chunks.alias("chunks")), "key")
+    side = classes.select("id", "signature", "bands")
+    waiting = scratch.keep(open_members(placed.join(side, "id"), p))
+    rest = placed.join(waiting, ["key", "id"], "left_semi").join(side, "id")
+    sets = scratch.keep(sets_of(waiting.select("id").distinct()))
+    more = scratch.keep(open_links(rest.join(sets.select("id", "shingles"), "id"), p))
+    known = first.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    last = scratch.keep(connected_components(known.union(more), scratch))
+    scratch.drop(joined, members, full, sets, waiting)
+    return last
+
+
 def near_duplicates(docs: DataFrame, p: Params, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row of ``docs``.
 
@@ -244,43 +352,20 @@ def near_duplicates(docs: DataFrame, p: Params, id_column: str = "doc_id", text_
             F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("signature").alias("signature")
         )
     )
-    rows, full = buckets(classes)
-    full = scratch.keep(full)
-    members = scratch.keep(rows.join(full, "key"))
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
 
-    def verified(candidates: DataFrame) -> DataFrame:
-        pairs = scratch.keep(similar_signatures(candidates, classes, p))
-        ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    def sets_of(ids: DataFrame) -> DataFrame:
         wanted = classes.select("id", "k1", "k2").join(ids, "id", "left_semi")
-        sets = scratch.keep(
+        return (
             shingle_sets(texts.join(wanted.select("id").distinct(), "id", "left_semi"), p.shingle)
             .join(wanted, ["id", "k1", "k2"], "left_semi")
             .dropDuplicates(["id", "k1", "k2"])
         )
-        links = scratch.keep(similar_sets(pairs, sets, p))
-        scratch.drop(pairs, sets)
-        return links
 
-    stars = scratch.keep(members.where("id <> pivot").select(*ordered("id", "pivot")).distinct())
-    links = verified(stars)
-    first = scratch.keep(connected_components(links, scratch))
-    placed = members.where("members > 2").join(first.withColumnRenamed("node", "id"), "id", "left").select(
-        "key", "id", "members", F.coalesce("component", "id").alias("component")
-    )
-    placed = scratch.keep(placed)
-    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    rest = placed.join(mixed.select("key"), "key", "left_semi").join(
-        classes.select("id", "n_shingles", "signature"), "id"
-    )
-    pending = scratch.keep(unsettled_pairs(rest, p).join(stars, ["a", "b"], "left_anti"))
-    more = verified(pending)
-    known = first.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    last = scratch.keep(connected_components(known.union(more), scratch))
+    last = link_classes(classes, sets_of, p, scratch)
     named = classes.select("k1", "k2", "n_shingles", "id").join(last, F.col("id") == F.col("node"), "left").select(
         "k1", "k2", "n_shingles", F.coalesce("component", "id").alias("component_id")
     )
-    scratch.drop(placed, members, full, stars, pending)
     result = sketches.select(F.col("id").alias(id_column), "n_shingles", "k1", "k2").join(
         named, ["k1", "k2", "n_shingles"], "left"
     )
