@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from zoneflow.operators.sizing import shared_folder
 
+BATCH_ROWS = 2_000  # rows that Spark hands to Python at a time: long texts make large batches
+
 
 class Scratch:
     """A folder of written tables; ``drop`` removes those that no later step reads.
@@ -29,7 +31,8 @@ class Scratch:
     def keep(self, df: DataFrame) -> DataFrame:
         """Write ``df`` and return a frame that reads the written table."""
         path = self.path()
-        df.write.parquet(path)
+        with settings(self.spark, spark__sql__execution__arrow__maxRecordsPerBatch=str(BATCH_ROWS)):
+            df.write.parquet(path)
         back = self.spark.read.schema(df.schema).parquet(path)
         self._paths[id(back)] = path
         return back
