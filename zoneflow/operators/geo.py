@@ -112,14 +112,19 @@ def reproject(points: DataFrame) -> DataFrame:
 
 
 def _ring_moments(ring: Column) -> Column:
-    """Twice the signed area of a closed ring and its first moments, by the shoelace sums."""
+    """Twice the signed area of a closed ring and its first moments around its first vertex, by the shoelace sums.
+
+    Around the origin of the map the sums of a small ring cancel to few digits.
+    """
     zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
 
     def at(i: Column, k: int) -> Column:
         return F.get(F.get(ring, i), F.lit(k))
 
     def add(s: Column, i: Column) -> Column:
-        x0, y0, x1, y1 = at(i, 0), at(i, 1), at(i + 1, 0), at(i + 1, 1)
+        zero = F.lit(0)
+        x0, x1 = at(i, 0) - at(zero, 0), at(i + 1, 0) - at(zero, 0)
+        y0, y1 = at(i, 1) - at(zero, 1), at(i + 1, 1) - at(zero, 1)
         cross = x0 * y1 - x1 * y0
         return F.struct(
             (s["a"] + cross).alias("a"),
@@ -134,18 +139,26 @@ def _ring_moments(ring: Column) -> Column:
 def centroids(features: DataFrame) -> DataFrame:
     """Area and centroid per zone over all its polygons; inner rings count as holes."""
     rings = parts(features).select("zone_id", F.posexplode("rings").alias("inner", "ring"))
-    moments = rings.select("zone_id", "inner", _ring_moments(F.col("ring")).alias("m"))
+    corner = F.get("ring", F.lit(0))
+    moments = rings.select(
+        "zone_id", "inner", _ring_moments(F.col("ring")).alias("m"),
+        F.get(corner, F.lit(0)).alias("x"), F.get(corner, F.lit(1)).alias("y"),
+    )
+    # Moments of all rings of a zone are moved to one corner of it, then summed.
+    origin = moments.groupBy("zone_id").agg(F.min("x").alias("ox"), F.min("y").alias("oy"))
     outward = F.when(F.col("inner") == 0, 1.0).otherwise(-1.0) * F.signum("m.a")
-    sums = moments.groupBy("zone_id").agg(
-        F.sum(outward * F.col("m.a")).alias("a"),
-        F.sum(outward * F.col("m.mx")).alias("mx"),
-        F.sum(outward * F.col("m.my")).alias("my"),
+    a = F.col("m.a")
+    sums = moments.join(origin, "zone_id").groupBy("zone_id").agg(
+        F.min("ox").alias("ox"), F.min("oy").alias("oy"),
+        F.sum(outward * a).alias("a"),
+        F.sum(outward * (F.col("m.mx") + 3 * a * (F.col("x") - F.col("ox")))).alias("mx"),
+        F.sum(outward * (F.col("m.my") + 3 * a * (F.col("y") - F.col("oy")))).alias("my"),
     )
     return sums.select(
         "zone_id",
         (F.col("a") / 2).alias("area"),
-        F.try_divide("mx", F.col("a") * 3).alias("centroid_x"),
-        F.try_divide("my", F.col("a") * 3).alias("centroid_y"),
+        (F.col("ox") + F.try_divide("mx", F.col("a") * 3)).alias("centroid_x"),
+        (F.col("oy") + F.try_divide("my", F.col("a") * 3)).alias("centroid_y"),
     )
 
 
@@ -199,7 +212,7 @@ def map_zones(lookup: DataFrame, features: DataFrame) -> DataFrame:
 
 def choropleth(polygons: DataFrame, summary: DataFrame) -> DataFrame:
     """Each polygon zone with its demand, rank, intensity and fill colour; unmatched ones get defaults."""
-    ranked = rank_zones(summary.withColumn("zone_id", upper_key("zone_id")), "total_service_demand", 4096.0)
+    ranked = rank_zones(summary.withColumn("zone_id", upper_key("zone_id")), "total_service_demand")
     peak = summary.agg(F.greatest(F.max("total_service_demand").cast("double"), F.lit(1.0))).scalar()
     zones = polygons.select(upper_key("zone_id").alias("zone_id")).distinct()
     demand = F.col("total_service_demand")

@@ -354,10 +354,10 @@ def risk_table(fact: DataFrame, zone_hour: DataFrame) -> DataFrame:
     return add_risk_score(zone_measures(fact, zone_hour))
 
 
-def rank_zones(zones: DataFrame, measure: str = "workload_risk_score", width: float = 1.0) -> DataFrame:
+def rank_zones(zones: DataFrame, measure: str = "workload_risk_score", blocks: int | None = None) -> DataFrame:
     """Add the rank of each zone by falling measure, zone id on a tie."""
     lowered = zones.withColumn("_fall", -F.col(measure))
-    return row_numbers(lowered, "_fall", ["zone_id"], "rank", width).drop("_fall")
+    return row_numbers(lowered, "_fall", ["zone_id"], "rank", blocks).drop("_fall")
 
 
 def zone_weather_summary(zone_hour: DataFrame) -> DataFrame:

@@ -9,16 +9,13 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zoneflow.operators.ranking import mid_ranks
 
-VALUES_PER_BLOCK = 4096.0
 OLS_FEATURES = ["temperature_2m", "precipitation", "is_weekend", "is_after_hours", "month", "hour"]
-MINIMUM_OLS_ROWS = 1000
 
 
 def _frequencies(df: DataFrame, value: str, group: str) -> DataFrame:
@@ -26,17 +23,18 @@ def _frequencies(df: DataFrame, value: str, group: str) -> DataFrame:
     return known.groupBy(F.col(value).alias("value"), F.col(group).alias("grp")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _ranked(frequencies: DataFrame, width: float) -> DataFrame:
+def _ranked(frequencies: DataFrame, blocks: int | None) -> DataFrame:
     """Distinct values with their total count and the mid-rank of each copy."""
     values = frequencies.groupBy("value").agg(F.sum("n").alias("copies"))
-    return mid_ranks(values, "value", "copies", width)
+    return mid_ranks(values, "value", "copies", blocks)
 
 
-def rank_sum(df: DataFrame, value: str, group: str, width: float = VALUES_PER_BLOCK) -> DataFrame:
+def rank_sum(df: DataFrame, value: str, group: str, blocks: int | None = None) -> DataFrame:
     """Wilcoxon rank-sum test of a boolean group: false against true.
 
     One row: the statistic, the normal score with tie and continuity
-    correction, its two-sided p-value, group sizes and means.
+    correction, its two-sided p-value, group sizes and means.  The score is null
+    where all values are equal or a group is empty.
     """
     freq = _frequencies(df, value, group)
     pivot = freq.groupBy("value").agg(
@@ -44,7 +42,7 @@ def rank_sum(df: DataFrame, value: str, group: str, width: float = VALUES_PER_BL
         F.sum(F.when(F.col("grp"), F.col("n")).otherwise(0)).alias("b"),
         F.sum("n").alias("copies"),
     )
-    ranked = mid_ranks(pivot, "value", "copies", width)
+    ranked = mid_ranks(pivot, "value", "copies", blocks)
     a, b, t, v = (F.col(c).cast("double") for c in ("a", "b", "copies", "value"))
     sums = ranked.agg(
         F.sum(a).alias("n1"), F.sum(b).alias("n2"), F.sum(t * t * t - t).alias("ties"),
@@ -53,28 +51,31 @@ def rank_sum(df: DataFrame, value: str, group: str, width: float = VALUES_PER_BL
     n1, n2 = F.col("n1"), F.col("n2")
     n = n1 + n2
     w = F.col("rank_total") - n1 * (n1 + 1) / 2
-    sd = F.sqrt(n1 * n2 / 12 * (n + 1 - F.col("ties") / (n * (n - 1))))
+    sd = F.sqrt(n1 * n2 / 12 * (n + 1 - F.try_divide(F.col("ties"), n * (n - 1))))
     centred = F.col("w") - n1 * n2 / 2
     return (
         sums.withColumns({"w": w, "sd": sd})
-        .withColumn("z", (centred - F.signum(centred) * 0.5) / F.col("sd"))
+        .withColumn("z", F.try_divide(centred - F.signum(centred) * 0.5, F.col("sd")))
         .select(
             F.col("w").alias("statistic"),
             "z",
             normal_two_sided(F.col("z")).alias("p_value"),
             n1.cast("long").alias("n_false"),
             n2.cast("long").alias("n_true"),
-            (F.col("s1") / n1).alias("mean_false"),
-            (F.col("s2") / n2).alias("mean_true"),
-            (F.col("s2") / n2 - F.col("s1") / n1).alias("mean_difference"),
+            F.try_divide("s1", n1).alias("mean_false"),
+            F.try_divide("s2", n2).alias("mean_true"),
+            (F.try_divide("s2", n2) - F.try_divide("s1", n1)).alias("mean_difference"),
         )
     )
 
 
-def kruskal(df: DataFrame, value: str, group: str, width: float = VALUES_PER_BLOCK) -> DataFrame:
-    """Kruskal-Wallis test over the groups: statistic with tie correction, degrees of freedom, p-value."""
+def kruskal(df: DataFrame, value: str, group: str, blocks: int | None = None) -> DataFrame:
+    """Kruskal-Wallis test over the groups: statistic with tie correction, degrees of freedom, p-value.
+
+    The statistic is null where all values are equal or there are fewer than two rows.
+    """
     freq = _frequencies(df, value, group)
-    ranked = _ranked(freq, width)
+    ranked = _ranked(freq, blocks)
     per_group = (
         freq.join(ranked.select("value", "mid_rank"), "value")
         .groupBy("grp")
@@ -88,7 +89,8 @@ def kruskal(df: DataFrame, value: str, group: str, width: float = VALUES_PER_BLO
         (F.count(F.lit(1)) - 1).alias("degrees"),
     ).withColumn("ties", ties)
     n = F.col("n")
-    h = (F.col("q") * 12 / (n * (n + 1)) - 3 * (n + 1)) / (1 - F.col("ties") / (n * n * n - n))
+    spread = 1 - F.try_divide(F.col("ties"), n * n * n - n)
+    h = F.try_divide(F.try_divide(F.col("q") * 12, n * (n + 1)) - 3 * (n + 1), spread)
     out = sums.withColumn("statistic", h)
     return out.select(
         "statistic", "degrees", chi_square_tail(F.col("statistic"), F.col("degrees")).alias("p_value"),
@@ -158,28 +160,81 @@ def ols(df: DataFrame, target: str = "target_demand_count", features: Sequence[s
     """Least squares with standard errors, t and p values, one row per term.
 
     The normal equations are summed on the executors; only the small matrix is
-    solved on the driver.  A constant feature has no estimate: its row holds
-    nulls.  Needs more than 1000 complete rows, else it raises.
+    solved on the driver.  A feature that is constant or follows
+    from those before it has no estimate: its row holds nulls.  With no more
+    complete rows than terms all estimates are null.
     """
     data = regression_input(df, target, features)
-    if data.limit(MINIMUM_OLS_ROWS + 1).count() <= MINIMUM_OLS_ROWS:
-        raise ValueError("regression needs more than 1000 complete rows")
-    bounds = data.agg(*[F.min(c).alias(f"lo_{c}") for c in features], *[F.max(c).alias(f"hi_{c}") for c in features])
-    seen = bounds.first()
-    used = [c for c in features if seen[f"lo_{c}"] < seen[f"hi_{c}"]]
-    vectors = VectorAssembler(inputCols=used, outputCol="features").transform(data)
-    fit = LinearRegression(labelCol=target, solver="normal").fit(vectors)
-    s = fit.summary
-    columns = [[*fit.coefficients.toArray().tolist(), fit.intercept], s.coefficientStandardErrors, s.tValues, s.pValues]
-    solved = dict(zip([*used, "(Intercept)"], zip(*columns)))
-    rows = [
-        (term, *map(float, solved[term]), float(s.r2), int(s.numInstances))
-        if term in solved
-        else (term, None, None, None, None, float(s.r2), int(s.numInstances))
-        for term in [*features, "(Intercept)"]
-    ]
-    names = "term string, estimate double, std_error double, t_value double, p_value double, r2 double, rows long"
-    return df.sparkSession.createDataFrame(rows, names)
+    names = [*features, "(Intercept)"]
+    values = [*[F.col(c) for c in features], F.lit(1.0), F.col(target)]
+    size = len(names)
+    # Means first, then centred products: sums of raw products lose digits.
+    means = data.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate([*features, target])]).first()
+    rows = means["n"]
+    schema = "term string, estimate double, std_error double, t_value double, p_value double, r2 double, rows long"
+    empty = [(t, None, None, None, None, None, rows) for t in names]
+    if rows == 0:
+        return df.sparkSession.createDataFrame(empty, schema)
+    centred = [v - F.lit(means[f"m{i}"]) for i, v in enumerate([*values[: size - 1], values[-1]])]
+    pairs = [(i, j) for i in range(size) for j in range(i, size)]
+    sums = data.agg(*[F.sum(centred[i] * centred[j]).alias(f"s{i}_{j}") for i, j in pairs]).first()
+    products = np.zeros((size, size))
+    for i, j in pairs:
+        products[i, j] = products[j, i] = sums[f"s{i}_{j}"]
+    used: list[int] = []
+    for i in range(size - 1):  # what a feature adds to those before it
+        rest = products[i, i]
+        if used:
+            rest -= products[i, used] @ np.linalg.solve(products[np.ix_(used, used)], products[used, i])
+        if products[i, i] > 0 and rest > 1e-10 * products[i, i]:
+            used.append(i)
+    free = rows - len(used) - 1
+    if free <= 0:
+        return df.sparkSession.createDataFrame(empty, schema)
+    inverse = np.linalg.inv(products[np.ix_(used, used)]) if used else np.zeros((0, 0))
+    beta = inverse @ products[used, -1]
+    total = products[-1, -1]
+    residual = max(0.0, total - beta @ products[used, -1])
+    variance = residual / free
+    mean = np.array([means[f"m{i}"] for i in used])
+    estimates = {i: (b, math.sqrt(variance * inverse[k, k])) for k, (i, b) in enumerate(zip(used, beta))}
+    intercept = means[f"m{size - 1}"] - float(beta @ mean)
+    estimates[size - 1] = (intercept, math.sqrt(variance * (1 / rows + mean @ inverse @ mean)))
+    r2 = float(1 - residual / total) if total > 0 else None
+    out = []
+    for i, term in enumerate(names):
+        if i not in estimates:
+            out.append((term, None, None, None, None, r2, rows))
+            continue
+        estimate, error = map(float, estimates[i])
+        t = estimate / error if error > 0 else None
+        p = None if t is None else float(2 * student_tail(abs(t), free))
+        out.append((term, estimate, error, t, p, r2, rows))
+    return df.sparkSession.createDataFrame(out, schema)
+
+
+def student_tail(t: float, degrees: int) -> float:
+    """Upper tail of Student's t for whole degrees of freedom: half the incomplete beta function, by its fraction."""
+    x = degrees / (degrees + t * t)
+    a, b = degrees / 2, 0.5
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) if 0 < x < 1 else 0.0
+    if x >= 1:
+        return 0.5
+
+    def fraction(p: float, q: float, y: float) -> float:
+        c, d = 1.0, 1 / max(1 - (p + q) * y / (p + 1), 1e-300)
+        out = d
+        for m in range(1, 10_000):
+            for step in (m * (q - m) * y / ((p + 2 * m - 1) * (p + 2 * m)), -(p + m) * (p + q + m) * y / ((p + 2 * m) * (p + 2 * m + 1))):
+                d, c = 1 / ((1 + step * d) or 1e-300), (1 + step / c) or 1e-300
+                out *= d * c
+            if abs(d * c - 1) < 1e-15:
+                break
+        return out
+
+    if x < (a + 1) / (a + b + 2):
+        return front * fraction(a, b, x) / a / 2
+    return (1 - front * fraction(b, a, 1 - x) / b) / 2
 
 
 def ols_single(df: DataFrame, target: str, feature: str) -> DataFrame:
