@@ -67,13 +67,6 @@ def split(frame: DataFrame, q: float = 0.8) -> tuple[DataFrame, DataFrame]:
     return train, test
 
 
-def sample_rows(df: DataFrame, cap: int, total: int, seed: int = SEED) -> DataFrame:
-    """At most ``cap`` random rows: a Bernoulli sample slightly above the cap, then a limit."""
-    if total <= cap:
-        return df
-    return df.sample(False, min(1.0, cap / total * 1.15), seed).limit(cap)
-
-
 def add_baseline(train: DataFrame, test: DataFrame, q: float = 0.75) -> DataFrame:
     """Predict high demand where last week's same-hour demand reaches the training quantile."""
     threshold = train.agg(discrete_quantile("target_demand_count", q)).scalar()
@@ -135,7 +128,9 @@ def fit_and_predict(pipeline: Pipeline, zone_hour: DataFrame, q: float = 0.8) ->
     classes = train.agg(F.min(LABEL), F.max(LABEL)).first()
     if classes[0] == classes[1]:
         raise ValueError("training rows hold fewer than two classes")
-    model = pipeline.fit(train)
+    # A fitted forest holds its training summary and with it the session, which cannot be sent to executors once an
+    # observation has run in it; a copy leaves the summary behind.
+    model = pipeline.fit(train).copy()
     probability = F.get(vector_to_array("probability"), F.lit(1))
     scored = model.transform(test).withColumns(
         {"ml_prediction": F.col("ml_prediction").cast("int"), "predicted_high_demand_probability": probability}
@@ -188,13 +183,13 @@ def metrics(predictions: DataFrame, predicted: str, model: str) -> DataFrame:
     )
 
 
-def auc(predictions: DataFrame, score: str, width: float = 1.0 / 1024) -> DataFrame:
+def auc(predictions: DataFrame, score: str, blocks: int | None = None) -> DataFrame:
     """Area under the ROC curve from the table of distinct scores; null for one class."""
     y = F.col(LABEL) == 1
     table = predictions.groupBy(F.col(score).alias("score")).agg(
         F.count(F.when(y, 1)).alias("pos"), F.count(F.when(~y, 1)).alias("neg")
     )
-    ranked = running_total(table, "score", ["neg"], width)
+    ranked = running_total(table, "score", ["neg"], blocks)
     won = F.col("pos") * (F.col("neg_before") + F.col("neg") / F.lit(2.0))
     return ranked.agg(
         F.sum("pos").alias("positives"),
@@ -249,7 +244,12 @@ def class_report(predictions: DataFrame, predicted: str) -> DataFrame:
 
 
 def compare(predictions: DataFrame) -> DataFrame:
-    """Baseline and model side by side, each with its metrics and area under the curve."""
+    """Baseline and model side by side, each with its metrics and area under the curve.
+
+    The predictions are written first, so the model scores every row once.
+    """
+    used = ["baseline_prediction", "baseline_probability", "ml_prediction", "predicted_high_demand_probability"]
+    predictions = cut_lineage(predictions.select(LABEL, *used))
     pairs = [
         ("baseline", "baseline_prediction", "baseline_probability"),
         ("traditional_ml", "ml_prediction", "predicted_high_demand_probability"),

@@ -74,9 +74,9 @@ def zone_features(zone_hour: DataFrame) -> DataFrame:
     return out.withColumns(filled).select("zone_id", *FEATURES)
 
 
-def quintiles(features: DataFrame, groups: int = 5, width: float = 1.0) -> DataFrame:
+def quintiles(features: DataFrame, groups: int = 5, blocks: int | None = None) -> DataFrame:
     """Segments by rank of mean demand, numbered from 0, components 0: the fallback without clustering."""
-    numbered = quantile_groups(features, "avg_hourly_demand", ["zone_id"], groups, "cluster_id", width)
+    numbered = quantile_groups(features, "avg_hourly_demand", ["zone_id"], groups, "cluster_id", blocks)
     return numbered.withColumns(
         {"cluster_id": F.col("cluster_id") - 1, "pca_1": F.lit(0.0), "pca_2": F.lit(0.0)}
     )
@@ -101,7 +101,7 @@ def fit_clusters(features: DataFrame, k: int = 5, seed: int = 42) -> tuple[Pipel
         for i in range(RESTARTS)
     ]
     best = min(trials, key=lambda m: m.summary.trainingCost)
-    model = PipelineModel(stages=[*prepare.stages, best])
+    model = PipelineModel(stages=[*prepare.stages, best.copy()])  # without its summary, which holds the session
     # the scaler divides by the sample deviation; components are shown for the population deviation
     factor = (zones / (zones - 1)) ** 0.5
     parts = vector_to_array("_components")
