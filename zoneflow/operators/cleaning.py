@@ -39,6 +39,12 @@ def add_category(df: DataFrame, *candidates: str) -> DataFrame:
     return spaced.withColumn(name, tx.category_title(name))
 
 
+def _own_text(raw: DataFrame, keep) -> Column:
+    """What tells a record without an id from others: its place in the source if known, else all its fields."""
+    place = [c for c in ("source_file", "source_row") if c in keep and c in raw.columns]
+    return F.to_json(F.struct(*[F.col(f"`{c}`") for c in place or raw.columns]))
+
+
 def clean_events(
     raw: DataFrame,
     mapping: Mapping[str, str | None] | None = None,
@@ -51,7 +57,8 @@ def clean_events(
     its default is already in place when the flag is built.
     """
     mapping = schema.resolve(raw.columns) if mapping is None else mapping
-    events = schema.canonicalize(raw, mapping, keep)
+    generated = "_own"
+    events = schema.canonicalize(raw.withColumn(generated, F.sha2(_own_text(raw, keep), 256)), mapping, [*keep, generated])
     events = events.withColumns(
         {
             **{c: tx.clean_text(c) for c in TEXT_FIELDS},
@@ -61,10 +68,8 @@ def clean_events(
             "longitude": tx.to_number("longitude"),
         }
     )
-    if mapping.get("event_id") is None:
-        events = events.withColumn(
-            "event_id", F.concat(F.lit("generated_"), F.monotonically_increasing_id().cast("string"))
-        )
+    named = F.nullif(F.trim(F.col("event_id").cast("string")), F.lit(""))
+    events = events.withColumn("event_id", F.coalesce(named, F.concat(F.lit("generated_"), F.col(generated))))
     events = events.withColumn("zone_id", F.coalesce("beat", F.lit(tx.UNKNOWN_ZONE)))
     events = add_category(events, *CATEGORY_SOURCES)
     flagged_zone = "beat" if flag_zone_before_fill else "zone_id"

@@ -38,7 +38,7 @@ def prepare_events(spark: SparkSession, sources: Sources, out: str) -> tuple[Dat
     return audited, writers.write_table(events.drop(*place), f"{out}/cleaned_events")
 
 
-def run(spark: SparkSession, sources: Sources, out: str, run_tag: str, number: int = 0) -> dict[str, DataFrame]:
+def run(spark: SparkSession, sources: Sources, out: str, run_tag: str) -> dict[str, DataFrame]:
     """Run every stage; the returned tables are read from the written files."""
     started = time.time()
     audited, events = prepare_events(spark, sources, out)
@@ -75,7 +75,7 @@ def run(spark: SparkSession, sources: Sources, out: str, run_tag: str, number: i
         "audit_verdict": audit.verdict(audited),
     }
     for name, mart in small.items():
-        writers.write_csv(mart, f"{out}/marts/{name}")
+        writers.write_csv(mart, f"{out}/marts/{name}", single_file=True)
     polygons = 0 if sources.polygons is None else readers.read_geojson(spark, sources.polygons).count()
     writers.write_record(marts.dashboard_kpis(rows, events, fact, polygons), f"{out}/marts/dashboard_kpis")
 
@@ -90,6 +90,6 @@ def run(spark: SparkSession, sources: Sources, out: str, run_tag: str, number: i
         F.count(F.lit(1)).alias("zone_hour_rows"), F.count_distinct("zone_id").alias("zones")
     ).first().asDict()
     figures["elapsed_seconds"] = round(time.time() - started, 1)
-    writers.record_run(spark, f"{out}/run_metadata", run_tag, figures, number)
+    writers.record_run(spark, f"{out}/run_metadata", run_tag, figures)
     writers.publish({**small, "cluster_profiles": profiles, "model_predictions": predictions, "zone_summary": risk})
     return {**tables, **small, "reports": exported}

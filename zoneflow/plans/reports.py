@@ -174,5 +174,5 @@ def export(tables: Tables, folder: str, names: Iterable[str] | None = None) -> D
             rows.write.mode("overwrite").option("header", True).csv(f"{folder}/{name}")
             results.append((name, int(seen.get["rows"]), None))
         except Exception as error:  # a failing report must not stop the others
-            results.append((name, None, f"{type(error).__name__}: {error}"[:500]))
+            results.append((name, None, f"{type(error).__name__}: {error}"))
     return spark.createDataFrame(results, "name string, rows long, error string")

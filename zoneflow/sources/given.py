@@ -16,8 +16,8 @@ from zoneflow.operators import enrich, zonehour
 from zoneflow.operators.cleaning import CLEAN_COLUMNS, add_category
 
 FIRST_DAY = "2024-01-01"
-WEATHER_DAYS = 20  # the weather station reports on the first days of a month only
-LOOKUP_ZONES = 7   # zones Z00..Z06 are in the lookup, Z07 stays unmatched
+REPORTED_DAYS = 20  # on later days of a month the weather station leaves its measures empty
+KNOWN_ZONES = 7     # zones Z00..Z06 have a sector and a precinct in the lookup, the others have none
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -59,33 +59,30 @@ def cleaned_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def weather(spark: SparkSession, folder: str) -> DataFrame:
-    """Hourly weather for the event hours in the first days of a month, measures by arithmetic on the hour."""
+    """Hourly weather for the event hours, measures by arithmetic on the hour, empty on the last days of a month."""
     hours = table(spark, folder, "events").select(floor_hour("ts").alias("weather_hour")).distinct()
-    hours = hours.filter(F.dayofmonth("weather_hour") <= WEATHER_DAYS)
+    reported = F.dayofmonth("weather_hour") <= REPORTED_DAYS
     n = F.datediff(F.col("weather_hour").cast("date"), F.lit(FIRST_DAY).cast("date")) * 24 + F.hour("weather_hour")
     rain = F.when(n % 4 == 0, (n % 37) / F.lit(3.0)).otherwise(0.0)
-    return hours.select(
-        "weather_hour",
-        F.when(n % 97 != 0, (n * 7 % 350) / F.lit(10.0) - 5).alias("temperature_2m"),
-        (n % 50 + 40).cast("double").alias("relative_humidity_2m"),
-        rain.alias("precipitation"),
-        (rain * 0.8).alias("rain"),
-        F.when(n % 50 == 0, 1.5).otherwise(0.0).alias("snowfall"),
-        (n % 5).cast("double").alias("weather_code"),
-        F.when(n % 53 != 0, (n % 23) * F.lit(0.5)).alias("wind_speed_10m"),
-    )
+    measures = {
+        "temperature_2m": F.when(n % 97 != 0, (n * 7 % 350) / F.lit(10.0) - 5),
+        "relative_humidity_2m": (n % 50 + 40).cast("double"),
+        "precipitation": rain,
+        "rain": rain * 0.8,
+        "snowfall": F.when(n % 50 == 0, 1.5).otherwise(0.0),
+        "weather_code": (n % 5).cast("double"),
+        "wind_speed_10m": F.when(n % 53 != 0, (n % 23) * F.lit(0.5)),
+    }
+    return hours.select("weather_hour", *[F.when(reported, m).alias(c) for c, m in measures.items()])
 
 
 def zone_lookup(spark: SparkSession, folder: str) -> DataFrame:
     nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
-    return (
-        nation.join(region, nation.n_regionkey == region.r_regionkey)
-        .filter(F.col("n_nationkey") < LOOKUP_ZONES)
-        .select(
-            zone_code(F.col("n_nationkey")).alias("zone_id"),
-            F.col("n_name").alias("sector"),
-            F.col("r_name").alias("precinct"),
-        )
+    known = F.col("n_nationkey") < KNOWN_ZONES
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+        zone_code(F.col("n_nationkey")).alias("zone_id"),
+        F.when(known, F.col("n_name")).alias("sector"),
+        F.when(known, F.col("r_name")).alias("precinct"),
     )
 
 
@@ -210,16 +207,17 @@ def customer_polygons(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def zone_polygons(spark: SparkSession, folder: str) -> DataFrame:
-    """Zones of the lookup plus one the events never reach, as polygon keys."""
-    nation = table(spark, folder, "nation").filter(F.col("n_nationkey") < LOOKUP_ZONES)
-    return nation.select(zone_code(F.col("n_nationkey")).alias("zone_id")).unionAll(
+    """Zones of the lookup that have a sector, plus one the events never reach, as polygon keys."""
+    nation = zone_lookup(spark, folder).where("sector is not null")
+    return nation.select("zone_id").unionAll(
         nation.agg(F.lit("Z99").alias("zone_id"))
     )
 
 
 def _stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """File stream over a table, which may be one file or a folder of files."""
     schema = table(spark, folder, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    return spark.readStream.schema(schema).parquet(f"{folder}/{name}.parque[t]")  # a stream takes a file by pattern only
 
 
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:

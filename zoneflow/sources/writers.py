@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timezone
+from functools import partial
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zoneflow.functions.time import iso_text
-from zoneflow.operators.collapse import collapse
+from zoneflow.operators.collapse import collapse, keep_first
 
-SINGLE_FILE_ROWS = 1_000_000
 PREVIEW_ROWS = 5_000
 # Published alias -> mart.
 ALIASES = {
@@ -27,6 +28,7 @@ ALIASES = {
     "tableau_workload_risk_scores": "workload_risk_scores",
 }
 BATCH = "_batch"
+RUN = "_run"
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> DataFrame:
@@ -37,20 +39,21 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort
     return df.sparkSession.read.parquet(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header, in one file when the table is small enough for one."""
-    small = df.limit(SINGLE_FILE_ROWS + 1).count() <= SINGLE_FILE_ROWS
-    (df.coalesce(1) if small else df).write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """CSV with a header; ``single_file`` gathers the finished rows in one task, for tables known to be small."""
+    (df.repartition(1) if single_file else df).write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_preview(df: DataFrame, path: str, key: Sequence[str], rows: int = PREVIEW_ROWS) -> None:
     """First rows in key order as one CSV file."""
-    write_csv(df.orderBy(*key).limit(rows), path)
+    df.orderBy(*key).limit(rows).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_record(df: DataFrame, path: str) -> None:
-    """A one-row table as one JSON file."""
-    df.limit(1).coalesce(1).write.mode("overwrite").json(path)
+    """A one-row table as one JSON file; more rows are an error."""
+    if len(df.take(2)) > 1:
+        raise ValueError("a record has one row")
+    df.repartition(1).write.mode("overwrite").json(path)
 
 
 def sql_types(df: DataFrame) -> DataFrame:
@@ -95,14 +98,19 @@ def build_once(spark: SparkSession, path: str, build: Callable[[], DataFrame], i
 
 
 def append_changes(
-    df: DataFrame, path: str, key: Sequence[str], batch: int, order: Sequence = (), tag: str | None = None
+    df: DataFrame, path: str, key: Sequence[str], batch: int, order: Sequence, tag: str | None = None
 ) -> None:
     """Write the newest record per key of one batch next to earlier batches.
 
+    ``order`` decides between records of a key and must not be empty: a retried
+    batch then picks the same record.
+
     Each batch has its own folder and replaces it when retried, so a repeated
     batch changes nothing.  The cost follows the batch, not the table.
     """
-    newest = collapse(df, key, [*order, F.lit(0)], count_as=None)
+    if not order:
+        raise ValueError("an order is needed to choose between records of one key")
+    newest = collapse(df, key, order, count_as=None)
     stamped = newest.withColumns(
         {
             "_pipeline_load_tag": F.lit(tag).cast("string"),
@@ -112,13 +120,25 @@ def append_changes(
     stamped.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch}")
 
 
-def read_changes(spark: SparkSession, path: str, key: Sequence[str]) -> DataFrame:
-    """Current state of a keyed table: per key the record of the latest batch."""
-    return collapse(spark.read.parquet(path), key, [BATCH], count_as=None).drop(BATCH)
+def read_changes(spark: SparkSession, path: str, key: Sequence[str], first: bool = False) -> DataFrame:
+    """Current state of a keyed table: per key the record of the latest batch, or of the ``first`` one."""
+    pick = keep_first if first else partial(collapse, count_as=None)
+    return pick(spark.read.parquet(path), key, [BATCH]).drop(BATCH)
+
+
+def compact_changes(spark: SparkSession, path: str, key: Sequence[str], into: str) -> None:
+    """Write the current state as the first batch of a new folder of changes, so later reads start from it."""
+    read_changes(spark, path, key).write.mode("overwrite").parquet(f"{into}/{BATCH}=0")
 
 
-def record_run(spark: SparkSession, path: str, run_tag: str, facts: Mapping[str, object], batch: int) -> None:
-    """Store one run's figures under its tag; a later record of the same tag replaces it."""
+def record_run(spark: SparkSession, path: str, run_tag: str, facts: Mapping[str, object]) -> None:
+    """Store one run's figures in the folder of its tag; a later record of the same tag replaces it, others stay."""
     details = {k: None if v is None else str(v) for k, v in facts.items()}
     row = spark.createDataFrame([(run_tag, details)], "run_tag string, details map<string, string>")
-    append_changes(row, path, ["run_tag"], batch)
+    loaded = F.lit(datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ"))
+    row.withColumn("_loaded_at", loaded).write.mode("overwrite").parquet(f"{path}/{RUN}={quote(run_tag, safe='')}")
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """One row per recorded run tag."""
+    return spark.read.parquet(path).drop(RUN)

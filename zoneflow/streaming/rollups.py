@@ -25,7 +25,10 @@ def with_watermark(stream: DataFrame, ts: str, delay: str) -> DataFrame:
 
 
 def zone_hour_counts(stream: DataFrame, ts: str = "event_datetime", zone: str = "zone_id", delay: str = "2 hours") -> DataFrame:
-    """Events per zone and hour, emitted once an hour lies behind the watermark; later events are dropped."""
+    """Events per zone and hour; events of hours that lie behind the watermark are dropped.
+
+    In append mode an hour is emitted once it is closed, in update mode whenever it changes.
+    """
     hours = with_watermark(stream, ts, delay).groupBy(F.window(INSTANT, "1 hour"), zone)
     return hours.agg(F.count(F.lit(1)).alias("demand_count")).select(
         zone, instant_to_ntz("window.start").alias("date_hour"), "demand_count"
@@ -37,7 +40,7 @@ def first_seen(stream: DataFrame, key: Sequence[str] = ("event_id",), ts: str =
     return with_watermark(stream, ts, delay).dropDuplicatesWithinWatermark(list(key)).drop(INSTANT)
 
 
-def upsert_to(path: str, key: Sequence[str], order: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
+def upsert_to(path: str, key: Sequence[str], order: Sequence[str]) -> Callable[[DataFrame, int], None]:
     """Sink function for ``foreachBatch`` that adds each micro-batch as keyed changes."""
     def write(batch: DataFrame, number: int) -> None:
         append_changes(batch, path, key, number, order)
@@ -64,10 +67,17 @@ def drain_to_parquet(stream: DataFrame, folder: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/rows")
 
 
-def drain_upserts(stream: DataFrame, folder: str, key: Sequence[str], order: Sequence[str] = ()) -> str:
-    """Process all available input as keyed upserts and return the path of the changes."""
+def drain_upserts(
+    stream: DataFrame, folder: str, key: Sequence[str], order: Sequence[str], mode: str = "append"
+) -> str:
+    """Process all available input as keyed upserts and return the path of the changes.
+
+    In update mode an aggregated stream writes every group it has changed, closed
+    or still open, and a later batch replaces it: nothing waits for a watermark.
+    """
     query = (
-        stream.writeStream.foreachBatch(upsert_to(f"{folder}/changes", key, order))
+        stream.writeStream.outputMode(mode)
+        .foreachBatch(upsert_to(f"{folder}/changes", key, order))
         .option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(availableNow=True)
         .start()
