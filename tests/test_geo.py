@@ -40,6 +40,12 @@ def test_centroid_of_shapes_with_holes_and_parts(spark):
     pair = shape(spark, "MultiPolygon", "[" + square + "],[[[10,0],[14,0],[14,4],[10,4],[10,0]]]]")
     row = geo.centroids(pair).first()
     assert (row.area, row.centroid_x) == pytest.approx((32.0, 7.0))
+    for side in (0.0005, 0.00002):
+        x, y = -122.33, 47.61
+        ring = [[x, y], [x + side, y], [x + side, y + side], [x, y + side], [x, y]]
+        small = spark.createDataFrame([("S", "Polygon", str([ring]))], "zone_id string, type string, coordinates string")
+        row = geo.centroids(small).first()
+        assert abs(row.centroid_x - (x + side / 2)) < 1e-9 and abs(row.centroid_y - (y + side / 2)) < 1e-9
     assert geo.vertices(pair).count() == 10
     assert geo.wkt(clockwise).first().geometry_wkt.startswith("POLYGON ((0.0 0.0, 0.0 4.0,")
 

@@ -4,7 +4,9 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from zoneflow.operators import cleaning, collapse
 from zoneflow.plans import pipeline, reports
+from zoneflow.plans.catalogue import QUERIES
 from zoneflow.sources import given, readers, writers
 from zoneflow.streaming import rollups
 
@@ -92,13 +94,15 @@ def test_inventory_and_report_metrics(spark, tmp_path):
 
 def test_writers(spark, tmp_path):
     df = spark.createDataFrame([(2, True, datetime(2024, 1, 2)), (1, False, datetime(2024, 1, 1))], "k int, b boolean, t timestamp_ntz")
-    writers.write_csv(df, str(tmp_path / "csv"))
+    writers.write_csv(df, str(tmp_path / "csv"), single_file=True)
     assert len(list((tmp_path / "csv").glob("part-*.csv"))) == 1
     writers.write_preview(df, str(tmp_path / "preview"), ["k"], 1)
     assert spark.read.csv(str(tmp_path / "preview"), header=True).first().k == "1"
     assert writers.sql_types(df).orderBy("k").first() == (1, 0, "2024-01-01 00:00:00")
     writers.write_record(df.limit(1), str(tmp_path / "json"))
     assert spark.read.json(str(tmp_path / "json")).count() == 1
+    with pytest.raises(ValueError, match="one row"):
+        writers.write_record(df, str(tmp_path / "json"))
     table = writers.write_table(df, str(tmp_path / "t"), partition_by=["k"], sort_by=["t"])
     assert table.filter("k = 2").count() == 1
     calls = []
@@ -116,14 +120,18 @@ def test_changes_are_idempotent_per_batch(spark, tmp_path):
     first = spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int")
     second = spark.createDataFrame([("b", 2), ("b", 3), ("c", 4)], "k string, v int")
     for _ in range(2):
-        writers.append_changes(first, path, ["k"], 0)
+        writers.append_changes(first, path, ["k"], 0, ["v"])
         writers.append_changes(second, path, ["k"], 1, ["v"], tag="run-1")
     state = {r.k: (r.v, r._pipeline_load_tag) for r in writers.read_changes(spark, path, ["k"]).collect()}
     assert state == {"a": (1, None), "b": (3, "run-1"), "c": (4, "run-1")}
-    writers.record_run(spark, str(tmp_path / "runs"), "r1", {"rows": 1}, 0)
-    writers.record_run(spark, str(tmp_path / "runs"), "r1", {"rows": 2, "none": None}, 1)
-    [run] = writers.read_changes(spark, str(tmp_path / "runs"), ["run_tag"]).collect()
-    assert run.details == {"rows": "2", "none": None}
+    writers.compact_changes(spark, path, ["k"], str(tmp_path / "compact"))
+    assert {r.k: r.v for r in writers.read_changes(spark, str(tmp_path / "compact"), ["k"]).collect()} == {"a": 1, "b": 3, "c": 4}
+    with pytest.raises(ValueError, match="order"):
+        writers.append_changes(first, path, ["k"], 2, [])
+    for tag, rows in (("r1", 1), ("r/2 é", 5), ("r1", 2)):
+        writers.record_run(spark, str(tmp_path / "runs"), tag, {"rows": rows, "none": None})
+    runs = {r.run_tag: r.details for r in writers.read_runs(spark, str(tmp_path / "runs")).collect()}
+    assert runs == {"r1": {"rows": "2", "none": None}, "r/2 é": {"rows": "5", "none": None}}
 
 
 def test_late_events_are_dropped_and_first_seen_kept(spark, tmp_path):
@@ -146,6 +154,33 @@ def test_late_events_are_dropped_and_first_seen_kept(spark, tmp_path):
     assert sorted(r.event_id for r in kept.collect()) == ["1", "2", "3", "4", "5", "6"]
 
 
+@pytest.mark.parametrize("name", ["stream_zone_hour", "stream_dedupe", "stream_upsert"])
+def test_streams_read_folder_tables(spark, tmp_path, name):
+    for table in ("events", "lineitem"):
+        spark.read.parquet(f"{FOLDER}/{table}.parquet").repartition(3).write.parquet(str(tmp_path / f"{table}.parquet"))
+    found, same = (sorted(map(tuple, QUERIES[name](spark, f).collect())) for f in (str(tmp_path), FOLDER))
+    assert found == same and len(found) > 0
+    if name == "stream_zone_hour":
+        assert sum(r[2] for r in found) == spark.read.parquet(f"{FOLDER}/events.parquet").where("ts is not null").count()
+
+
+def test_records_without_an_id_are_all_kept(spark):
+    raw = spark.createDataFrame([(None, "a"), (" ", "b"), ("", "c"), ("7", "d"), ("7", "e")], "event_id string, call_type string")
+    events = collapse.collapse_events(cleaning.clean_events(raw), ["call_type"])
+    assert sorted(r.call_type for r in events.collect()) == ["a", "b", "c", "e"]
+
+
+def test_building_reports_runs_no_job_but_file_listings(spark):
+    tracker = spark.sparkContext.statusTracker()
+    group = "plan-only"
+    for name in [q for q in QUERIES if q.startswith(("q01", "q02", "q03", "q05", "q09", "q12"))]:
+        spark.sparkContext.setJobGroup(group, name)
+        QUERIES[name](spark, FOLDER)
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert all(s.name.startswith("parquet") for s in stages if s)
+
+
 def test_stream_upserts(spark, tmp_path):
     source, run = str(tmp_path / "in"), str(tmp_path / "run")
     for rows in ([("a", 1), ("b", 1)], [("b", 2), ("c", 1)]):
@@ -179,5 +214,5 @@ def test_pipeline_from_raw_files(spark, tmp_path):
     assert tables["zone_hour"].agg(F.sum("target_demand_count")).first()[0] == 1000
     kpis = spark.read.json(f"{out}/marts/dashboard_kpis").first()
     assert (kpis.fact_output_rows, kpis.post_enrichment_duplicate_fact_rows, kpis.mapped_beat_polygons) == (1000, 0, 2)
-    [run] = writers.read_changes(spark, f"{out}/run_metadata", ["run_tag"]).collect()
+    [run] = writers.read_runs(spark, f"{out}/run_metadata").collect()
     assert run.details["output_rows"] == "1000"

@@ -18,21 +18,35 @@ def hours(spark, tmp_path_factory):
     return spark.read.parquet(path)
 
 
-def test_running_total_matches_brute_force_for_any_block_width(spark):
+def test_running_total_matches_brute_force_for_any_number_of_blocks(spark):
     rng = random.Random(7)
     values = sorted({rng.uniform(-50, 50) for _ in range(200)})
     rows = [(v, rng.randint(1, 9)) for v in values]
     df = spark.createDataFrame(rows, "v double, n long")
     expected = {v: sum(n for w, n in rows if w < v) for v in values}
-    for width in (0.5, 7.0, 1000.0):
-        found = {r.v: r.n_before for r in ranking.running_total(df, "v", ["n"], width).collect()}
+    for blocks in (1, 3, 40):
+        found = {r.v: r.n_before for r in ranking.running_total(df, "v", ["n"], blocks).collect()}
         assert found == expected
 
 
+@pytest.mark.parametrize("values", [[None, None, 3.0], [1.0] * 450 + [2.0] * 50, [float(10**12 - i) for i in range(50)] + [0.0]])
+def test_row_numbers_keep_nulls_and_split_heavy_values(spark, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i long, v double")
+    found = {r.i: r.r for r in ranking.row_numbers(df, "v", ["i"], "r", 6).collect()}
+    order = sorted(range(len(values)), key=lambda i: (values[i] is not None, values[i] or 0.0, i))
+    assert found == {i: n for n, i in enumerate(order, 1)}
+
+
+def test_a_heavy_value_is_dealt_to_several_ranges(spark):
+    df = spark.range(9000).select("id", F.when(F.col("id") < 8100, 1.0).otherwise(2.0).alias("v"))
+    ranged = df.repartitionByRange(8, "v", "id").groupBy(F.spark_partition_id()).count()
+    assert ranged.agg(F.max("count")).first()[0] < 4500
+
+
 @pytest.mark.parametrize("rows", [1, 4, 5, 13])
 def test_quantile_groups_match_ntile(spark, rows):
     df = spark.createDataFrame([(f"z{i:02d}", float((i * 7) % 5)) for i in range(rows)], "z string, v double")
-    mine = {r.z: r.g for r in ranking.quantile_groups(df, "v", ["z"], 5, "g", 1.0).collect()}
+    mine = {r.z: r.g for r in ranking.quantile_groups(df, "v", ["z"], 5, "g").collect()}
     df.createOrReplaceTempView("ranked_input")
     theirs = {r.z: r.g for r in spark.sql("select z, ntile(5) over (order by v, z) g from ranked_input").collect()}
     assert mine == theirs
@@ -46,7 +60,7 @@ def brute_ranks(values):
 def test_rank_sum_matches_brute_force(spark):
     rng = random.Random(3)
     data = [(rng.randint(0, 12), rng.random() < 0.4) for _ in range(400)]
-    row = stats.rank_sum(spark.createDataFrame(data, "v long, g boolean"), "v", "g", width=3.0).first()
+    row = stats.rank_sum(spark.createDataFrame(data, "v long, g boolean"), "v", "g", blocks=3).first()
     ranks = brute_ranks([v for v, _ in data])
     n1 = sum(not g for _, g in data)
     n2 = len(data) - n1
@@ -63,7 +77,7 @@ def test_rank_sum_matches_brute_force(spark):
 def test_kruskal_matches_brute_force(spark):
     rng = random.Random(5)
     data = [(rng.randint(0, 9), rng.choice("abcd")) for _ in range(300)]
-    row = stats.kruskal(spark.createDataFrame(data, "v long, g string"), "v", "g", width=2.0).first()
+    row = stats.kruskal(spark.createDataFrame(data, "v long, g string"), "v", "g", blocks=2).first()
     ranks, n = brute_ranks([v for v, _ in data]), len(data)
     groups = {g: [ranks[v] for v, h in data if h == g] for g in "abcd"}
     h = 12 / (n * (n + 1)) * sum(sum(r) ** 2 / len(r) for r in groups.values()) - 3 * (n + 1)
@@ -92,8 +106,33 @@ def test_ols_matches_least_squares(spark, hours):
     beta, *_ = np.linalg.lstsq(x, pdf["target_demand_count"].to_numpy(), rcond=None)
     assert [rows[t].estimate for t in [*used, "(Intercept)"]] == pytest.approx(beta.tolist(), rel=1e-6)
     assert rows["month"].estimate is None and rows["hour"].rows == len(pdf)
-    with pytest.raises(ValueError, match="1000 complete rows"):
-        stats.ols(hours.limit(100))
+    errors, p = least_squares_errors(x, pdf["target_demand_count"].to_numpy())
+    assert [rows[t].std_error for t in [*used, "(Intercept)"]] == pytest.approx(errors, rel=1e-6)
+    few = {r.term: r for r in stats.ols(hours.limit(100)).collect()}
+    assert few["hour"].estimate is not None and few["hour"].rows <= 100
+    assert {r.estimate for r in stats.ols(hours.limit(1)).collect()} == {None}
+    assert {r.rows for r in stats.ols(hours.limit(0)).collect()} == {0}
+
+
+def least_squares_errors(x, y):
+    beta, *_ = np.linalg.lstsq(x, y, rcond=None)
+    rest = y - x @ beta
+    variance = rest @ rest / (len(y) - x.shape[1])
+    return np.sqrt(np.diag(np.linalg.inv(x.T @ x)) * variance).tolist(), beta
+
+
+def test_student_tail():
+    # Upper tails from published tables.
+    for t, degrees, p in [(12.706205, 1, 0.025), (2.228139, 10, 0.025), (1.959964, 10**7, 0.025), (0.0, 5, 0.5), (3.169273, 10, 0.005)]:
+        assert stats.student_tail(t, degrees) == pytest.approx(p, rel=1e-5)
+
+
+def test_rank_tests_on_equal_values(spark):
+    df = spark.createDataFrame([(5, i % 2 == 0) for i in range(10)], "v long, g boolean")
+    row = stats.rank_sum(df, "v", "g").first()
+    assert row.z is None and row.p_value is None and row.n_true == 5
+    assert stats.kruskal(df, "v", "g").first().statistic is None
+    assert stats.rank_sum(df.limit(0), "v", "g").first().z is None
 
 
 def test_constant_zone_has_zero_sensitivity(spark):
@@ -137,7 +176,7 @@ def test_metrics_against_brute_force(spark):
     rng = random.Random(11)
     data = [(rng.randint(0, 1), rng.choice([0.1, 0.2, 0.35, 0.35, 0.9])) for _ in range(200)]
     df = spark.createDataFrame([(y, int(s > 0.3), s) for y, s in data], "actual_high_demand int, p int, s double")
-    row = forecast.auc(df, "s", width=0.25).first()
+    row = forecast.auc(df, "s", blocks=3).first()
     pairs = [(a, b) for y, a in data if y for z, b in data if not z]
     assert row.roc_auc == pytest.approx(sum(1.0 if a > b else 0.5 if a == b else 0.0 for a, b in pairs) / len(pairs))
     assert forecast.auc(df.filter("actual_high_demand = 1"), "s").first().roc_auc is None
@@ -151,12 +190,6 @@ def test_metrics_against_brute_force(spark):
     assert report["1"].recall == pytest.approx(m.recall) and report["accuracy"].f1 == pytest.approx(m.accuracy)
 
 
-def test_sample_rows_is_capped(spark):
-    df = spark.range(1000)
-    assert forecast.sample_rows(df, 2000, 1000) is df
-    assert 0 < forecast.sample_rows(df, 100, 1000).count() <= 100
-
-
 @pytest.mark.parametrize("pipeline", [lambda: forecast.forest_pipeline(trees=8, depth=6), lambda: forecast.mlp_pipeline((8,), 30)])
 def test_models_learn_and_can_be_saved(spark, hours, tmp_path, pipeline):
     """On a label that follows the last hour's demand, a model must beat chance."""

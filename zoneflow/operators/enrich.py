@@ -1,6 +1,8 @@
 """Enrichment of events with zone attributes and hourly context.
 
 Both joins keep the row count: each dimension is made unique on its key first.
+How they are joined is left to Spark, which knows the sizes at run time and
+splits skewed keys.
 """
 
 from __future__ import annotations
@@ -13,7 +15,6 @@ from zoneflow.functions.text import UNKNOWN_ZONE, completeness, upper_key
 from zoneflow.functions.time import add_calendar, floor_hour
 from zoneflow.operators import schema
 from zoneflow.operators.collapse import keep_first
-from zoneflow.operators.sizing import broadcast_if_small
 
 WEATHER_COLUMNS = [
     "temperature_2m", "relative_humidity_2m", "precipitation", "rain", "snowfall", "weather_code",
@@ -57,7 +58,7 @@ def join_zone(events: DataFrame, lookup: DataFrame) -> DataFrame:
         "zone_id", F.col("precinct").alias("_precinct"), F.col("sector").alias("_sector")
     )
     return (
-        events.join(broadcast_if_small(zones), "zone_id", "left")
+        events.join(zones, "zone_id", "left")
         .withColumns(
             {
                 "precinct": F.coalesce("precinct", "_precinct"),
@@ -70,7 +71,7 @@ def join_zone(events: DataFrame, lookup: DataFrame) -> DataFrame:
 
 def join_hourly(events: DataFrame, hourly: DataFrame) -> DataFrame:
     """Add the weather of the event's hour; events without weather stay."""
-    return events.join(broadcast_if_small(unique_hours(hourly)), "weather_hour", "left")
+    return events.join(unique_hours(hourly), "weather_hour", "left")
 
 
 def build_fact(events: DataFrame, hourly: DataFrame, lookup: DataFrame | None = None) -> DataFrame:

@@ -8,23 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# One row per hour for a century is below 900,000 rows, so an hourly dimension
-# or a zone lookup that stays under this count fits every executor.
-BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Ask for a broadcast only after counting that the table holds at most ``max_rows`` rows.
-
-    The count stops at ``max_rows + 1``.  A larger table is returned as it is:
-    Spark then shuffles both sides and splits skewed join partitions at run time.
-    """
-    rows = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if rows <= max_rows else df
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """Checkpoint folder of the session; a temporary one only where none is set in local mode."""
+    """Checkpoint folder of the session; one of its own only where none is set in local mode, as in tests."""
     context = spark.sparkContext
     folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:

@@ -365,7 +365,7 @@ def executive_kpis(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def dashboard_kpis(spark: SparkSession, folder: str) -> DataFrame:
     cleaned, fact = given.order_events(spark, folder), given.order_fact(spark, folder)
-    kpis = marts.dashboard_kpis(marts.mart_input(zonehour.build(fact)), cleaned, fact, given.LOOKUP_ZONES)
+    kpis = marts.dashboard_kpis(marts.mart_input(zonehour.build(fact)), cleaned, fact, given.zone_polygons(spark, folder).where("zone_id <> 'Z99'").count())
     return tidy(kpis.withColumn("periods", F.array_join("periods", ",")))
 
 
@@ -390,14 +390,16 @@ def record_completeness(spark: SparkSession, folder: str) -> DataFrame:
 def collapse_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Latest order line per key with the number of copies."""
     order = ["l_shipdate", "l_extendedprice", "l_partkey", "l_suppkey", "l_quantity"]
-    best = collapse.collapse(given.keyed_lines(spark, folder), ["l_orderkey", "l_linenumber"], order)
+    lines = given.keyed_lines(spark, folder).select("l_orderkey", "l_linenumber", *order)
+    best = collapse.collapse(lines, ["l_orderkey", "l_linenumber"], order)
     return best.select("l_orderkey", "l_linenumber", *order, "duplicate_count")
 
 
 @query
 def first_per_key(spark: SparkSession, folder: str) -> DataFrame:
     order = ["l_shipdate", "l_extendedprice", "l_partkey", "l_suppkey", "l_quantity"]
-    first = collapse.keep_first(given.keyed_lines(spark, folder), ["l_orderkey", "l_linenumber"], order)
+    lines = given.keyed_lines(spark, folder).select("l_orderkey", "l_linenumber", *order)
+    first = collapse.keep_first(lines, ["l_orderkey", "l_linenumber"], order)
     return first.select("l_orderkey", "l_linenumber", *order)
 
 
@@ -450,8 +452,8 @@ def audit_largest(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def audit_samples(spark: SparkSession, folder: str) -> DataFrame:
     """Every copy in the largest groups overall and per reason."""
-    copies = _copies(spark, folder)
-    return audit.samples(copies, audit.groups(copies)).select(
+    copies = cut_lineage(_copies(spark, folder))
+    return audit.samples(copies, cut_lineage(audit.groups(copies))).select(
         "event_id", "source_row_number", "queued_datetime", "zone_id", "normalized_service_category", "disposition",
         "duplicate_group_size", "duplicate_reason",
     )
@@ -459,8 +461,8 @@ def audit_samples(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def quality_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    fact = given.fact(spark, folder)
-    return quality.metrics(fact, zonehour.build(fact))
+    fact = cut_lineage(given.fact(spark, folder))
+    return quality.metrics(fact, cut_lineage(zonehour.build(fact)))
 
 
 @query
@@ -587,6 +589,13 @@ def mlp_predictions(spark: SparkSession, folder: str) -> DataFrame:
     return tidy(predicted)
 
 
+@query
+def model_comparison(spark: SparkSession, folder: str) -> DataFrame:
+    """Baseline and forest side by side on the later zone-hours."""
+    _, predicted = forecast.fit_and_predict(forecast.forest_pipeline(trees=20, depth=8), given.zone_hour(spark, folder))
+    return tidy(forecast.compare(predicted))
+
+
 # --- statistics -----------------------------------------------------------
 
 
@@ -594,14 +603,31 @@ def mlp_predictions(spark: SparkSession, folder: str) -> DataFrame:
 def wilcoxon(spark: SparkSession, folder: str) -> DataFrame:
     """Rank-sum test of hourly demand, weekdays against weekends."""
     tested = stats.rank_sum(written_hours(spark, folder), "target_demand_count", "is_weekend")
-    return tidy(tested.drop("p_value"))
+    return tidy(tested)
 
 
 @query
 def kruskal(spark: SparkSession, folder: str) -> DataFrame:
     """Kruskal-Wallis test of hourly demand across zones."""
-    tested = stats.kruskal(written_hours(spark, folder), "target_demand_count", "zone_id")
-    return tidy(tested.drop("p_value"))
+    return tidy(stats.kruskal(written_hours(spark, folder), "target_demand_count", "zone_id"))
+
+
+def _clustered_hours(spark: SparkSession, folder: str) -> DataFrame:
+    """Zone-hours with the cluster name of their zone."""
+    names = _quintile_profiles(spark, folder).select("zone_id", "cluster_name")
+    return cut_lineage(given.zone_hour(spark, folder).join(names, "zone_id"))
+
+
+@query
+def kruskal_by_cluster(spark: SparkSession, folder: str) -> DataFrame:
+    """Kruskal-Wallis test of hourly demand across cluster names."""
+    return tidy(stats.kruskal(_clustered_hours(spark, folder), "target_demand_count", "cluster_name"))
+
+
+@query
+def group_ci_by_cluster(spark: SparkSession, folder: str) -> DataFrame:
+    """Mean hourly demand per cluster name with its 95% interval."""
+    return tidy(stats.group_intervals(_clustered_hours(spark, folder), "target_demand_count", "cluster_name"))
 
 
 @query
@@ -627,7 +653,14 @@ def demand_ranks(spark: SparkSession, folder: str) -> DataFrame:
     rolled = cut_lineage(
         zonehour.rollup(given.fact(spark, folder)).select("zone_id", "date_hour", "target_demand_count")
     )
-    return ranking.row_numbers(rolled, "target_demand_count", ["zone_id", "date_hour"], "rank", 1.0)
+    return ranking.row_numbers(rolled, "target_demand_count", ["zone_id", "date_hour"], "rank")
+
+
+@query
+def event_ranks(spark: SparkSession, folder: str) -> DataFrame:
+    """Events numbered by disposition, whose missing values come first."""
+    events = given.service_events(spark, folder).select("event_id", F.col("disposition").cast("double").alias("measure"))
+    return ranking.row_numbers(events, "measure", ["event_id"], "rank")
 
 
 # --- geography ------------------------------------------------------------
@@ -670,17 +703,23 @@ def map_coverage(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stream_zone_hour(spark: SparkSession, folder: str) -> DataFrame:
-    """Events counted per zone and hour as a stream, closed hours only."""
+    """Events counted per zone and hour as a stream, the last hours included."""
     counts = rollups.zone_hour_counts(given.event_stream(spark, folder))
-    return rollups.drain_to_parquet(counts, rollups.run_folder(spark, "zone-hour"))
+    run, cell = rollups.run_folder(spark, "zone-hour"), ["zone_id", "date_hour"]
+    changes = rollups.drain_upserts(counts, run, cell, ["demand_count"], mode="update")
+    return writers.read_changes(spark, changes, cell).select(*cell, "demand_count")
 
 
 @query
 def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines de-duplicated on their order as a stream, counted per ship month."""
-    lines = given.line_stream(spark, folder)
-    first = rollups.first_seen(lines, ["l_orderkey", "l_linenumber"], "l_shipdate", "36500 days")
-    kept = rollups.drain_to_parquet(first, rollups.run_folder(spark, "dedupe"))
+    """Order lines de-duplicated on order and line number as a stream, counted per line number.
+
+    Copies may lie years apart, so no watermark fits: each batch is added as keyed
+    changes, and the first batch that holds a key keeps it.
+    """
+    key = ["l_orderkey", "l_linenumber"]
+    changes = rollups.drain_upserts(given.line_stream(spark, folder), rollups.run_folder(spark, "dedupe"), key, ["l_shipdate"])
+    kept = writers.read_changes(spark, changes, key, first=True)
     return kept.groupBy("l_linenumber").agg(F.count(F.lit(1)).alias("lines"))
 
 

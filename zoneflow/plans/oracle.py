@@ -1142,28 +1142,64 @@ CTES["demand_mid_ranks"] = (
     ("features",),
 )
 _TIES = "(select sum(t * t * t - t) from (select count(*)::double t from features group by target_demand_count))"
+
+
+def _erfc(x: str) -> str:
+    """Complementary error function of a non-negative expression by a published Chebyshev fit."""
+    # Coefficients of the fit, highest power first.
+    poly = "0.0"
+    for c in (0.17087277, -0.82215223, 1.48851587, -1.13520398, 0.27886807, -0.18628806, 0.09678418, 0.37409196,
+              1.00002368, -1.26551223):
+        poly = f"({poly} / (1 + 0.5 * ({x})) + {c})"
+    return f"exp(-({x}) * ({x}) + {poly}) / (1 + 0.5 * ({x}))"
+
+
 _check(
     "wilcoxon",
     ("demand_mid_ranks",),
     f"""
-select w statistic, round((w - n1 * n2 / 2 - sign(w - n1 * n2 / 2) * 0.5) /
-    sqrt(n1 * n2 / 12 * (n1 + n2 + 1 - ties / ((n1 + n2) * (n1 + n2 - 1)))), 6) z,
-  cast(n1 as bigint) n_false, cast(n2 as bigint) n_true, round(m1, 6) mean_false, round(m2, 6) mean_true,
+select w statistic, round(z, 6) z, round({_erfc("abs(z) / sqrt(2)")}, 6) p_value, cast(n1 as bigint) n_false, cast(n2 as bigint) n_true, round(m1, 6) mean_false, round(m2, 6) mean_true,
   round(m2 - m1, 6) mean_difference
-from (select r1 - n1 * (n1 + 1) / 2 w, *
+from (select *, (w - n1 * n2 / 2 - sign(w - n1 * n2 / 2) * 0.5) /
+        sqrt(n1 * n2 / 12 * (n1 + n2 + 1 - ties / ((n1 + n2) * (n1 + n2 - 1)))) z
+      from (select r1 - n1 * (n1 + 1) / 2 w, *
       from (select count(*) filter (not is_weekend)::double n1, count(*) filter (is_weekend)::double n2,
               sum(mid) filter (not is_weekend) r1, avg(target_demand_count) filter (not is_weekend) m1,
               avg(target_demand_count) filter (is_weekend) m2, {_TIES} ties
-            from demand_mid_ranks))""",
+            from demand_mid_ranks)))""",
 )
+
+
+def _kruskal(groups: str) -> str:
+    """Test over a query that gives the size and the rank sum of each group."""
+    odd = f"{_erfc('sqrt(h / 2)')} + exp(-h / 2) * coalesce(list_sum(list_transform(range(0, (degrees - 1) // 2), lambda i: (h / 2) ^ (i + 0.5) / gamma(i + 1.5))), 0)"
+    even = "exp(-h / 2) * list_sum(list_transform(range(0, degrees // 2), lambda i: (h / 2) ^ i / gamma(i + 1.0)))"
+    return f"""
+select round(h, 6) statistic, degrees, round(case when degrees % 2 = 1 then {odd} else {even} end, 6) p_value, cast(n as bigint) "rows"
+from (select *, (12 / (n * (n + 1)) * q - 3 * (n + 1)) / (1 - ties / (n * n * n - n)) h
+      from (select sum(size) n, sum(ranks * ranks / size) q, count(*) - 1 degrees, {_TIES} ties from ({groups})))"""
+
+
 _check(
     "kruskal",
     ("demand_mid_ranks",),
-    f"""
-select round((12 / (n * (n + 1)) * q - 3 * (n + 1)) / (1 - ties / (n * n * n - n)), 6) statistic, degrees,
-  cast(n as bigint) "rows"
-from (select sum(size) n, sum(ranks * ranks / size) q, count(*) - 1 degrees, {_TIES} ties
-      from (select zone_id, count(*)::double size, sum(mid) ranks from demand_mid_ranks group by all))""",
+    _kruskal("select zone_id, count(*)::double size, sum(mid) ranks from demand_mid_ranks group by all"),
+)
+_check(
+    "kruskal_by_cluster",
+    ("demand_mid_ranks", "named"),
+    _kruskal(
+        "select cluster_name, count(*)::double size, sum(mid) ranks from demand_mid_ranks join named using (zone_id) group by all"
+    ),
+)
+_check(
+    "group_ci_by_cluster",
+    ("features", "named"),
+    """
+select cluster_name, round(m, 6) mean, round(s, 6) sd, n, round(m - 1.96::double * s / sqrt(n), 6) ci_low,
+  round(m + 1.96::double * s / sqrt(n), 6) ci_high
+from (select cluster_name, avg(target_demand_count) m, stddev_samp(target_demand_count) s, count(*) n
+      from features join named using (zone_id) group by all)""",
 )
 _check(
     "group_ci",
@@ -1191,6 +1227,14 @@ select zone_id, date_hour, target_demand_count,
   cast(row_number() over (order by target_demand_count, zone_id, date_hour) as integer) "rank"
 from zone_hours""",
 )
+_check(
+    "event_ranks",
+    ("service",),
+    """
+select event_id, cast(disposition as double) measure,
+  cast(row_number() over (order by cast(disposition as double) nulls first, event_id) as integer) "rank"
+from service""",
+)
 
 # --- geography ------------------------------------------------------------
 
@@ -1291,8 +1335,7 @@ _check(
     """
 select zone_id, h date_hour, n demand_count
 from (select concat('Z0', cast(user_id % 8 as varchar)) zone_id, date_trunc('hour', ts) h, count(*) n
-      from events group by all)
-where h + interval 1 hour <= (select max(ts) - interval 2 hour from events)""",
+      from events group by all)""",
 )
 _check(
     "stream_dedupe",
