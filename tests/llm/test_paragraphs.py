@@ -39,7 +39,7 @@ def test_planted_passage(spark):
 
 
 def test_edited_paragraphs_are_linked(spark):
-    """Single sentences of 60 words with one word changed are similar, not equal; all links come from the bands."""
+    """Sentences of 60 words with one word changed are similar to their base, not equal; all links come from the bands."""
     rng = random.Random(9)
     base = [f"v{i}" for i in range(60)]
     docs = []
@@ -47,9 +47,10 @@ def test_edited_paragraphs_are_linked(spark):
         words = list(base)
         words[rng.randrange(5, 55)] = f"x{i}"
         docs.append((i, " ".join(words) + "."))
+    docs.append((50, " ".join(base) + "."))
     docs += [(100 + i, sentence(rng, 60)) for i in range(20)]
     rows = pg.find_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()
-    assert {r.doc_id for r in rows} >= set(range(38)) and not any(r.doc_id >= 100 for r in rows)
+    assert {r.doc_id for r in rows} >= {*range(40), 50} and not any(r.doc_id >= 100 for r in rows)
 
 
 def test_defined_cases(spark):
@@ -63,6 +64,7 @@ def test_defined_cases(spark):
     kept = pg.remove_repeats(df)
     assert kept.columns == df.columns and kept.count() == len(rows)
     texts = {r.doc_id: r.text for r in kept.where("doc_id is not null").collect()}
-    assert texts[1] is None and texts[4] == p and texts[5] == long and texts[6].strip() == "Kopf." and texts[7].strip() == ""
+    assert texts[1] is None and texts[4] == p and texts[5] == long and texts[6].startswith("Kopf.")
+    assert len(texts[6].split()) < 30 and texts[7].strip() == ""
     alone = spark.createDataFrame([(1, p + "\n" + p)], "doc_id long, text string")
     assert pg.find_repeats(alone).count() == 0 and pg.find_repeats(df.limit(0)).count() == 0
