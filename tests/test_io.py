@@ -84,6 +84,9 @@ def test_inventory_and_report_metrics(spark, tmp_path):
     (tmp_path / "a.csv").write_text("x" * 2048)
     rows = {r.source: r for r in readers.inventory(spark, {"a": str(tmp_path / "a.csv"), "b": str(tmp_path / "no")}).collect()}
     assert (rows["a"].exists, rows["a"].size_readable, rows["b"].exists) == (True, "2.00 KB", False)
+    (tmp_path / "c.csv").write_text("k,v\n" + "1,2\n" * 150)
+    [c] = readers.inventory(spark, {"c": str(tmp_path / "c.csv")}).collect()
+    assert (c.readable, c.columns, c.sample_rows, rows["b"].readable) == (True, "k, v", readers.SAMPLE_ROWS, False)
     with pytest.raises(FileNotFoundError, match="b "):
         readers.inventory(spark, {"b": str(tmp_path / "no")}, strict=True)
     (tmp_path / "r.md").write_text("# T\n- Rows: `1,234`\n- Coverage: `25.15%`\n- Rows: `9`\n- Mode: full\n")

@@ -11,6 +11,7 @@ from zoneflow.functions import text as tx
 from zoneflow.functions.time import parse_timestamp
 from zoneflow.operators import schema
 
+# Columns of a cleaned event, and those that are cleaned as text, as keys, for the category and the score.
 CLEAN_COLUMNS = [
     "event_id", "event_datetime", "call_type", "initial_call_type", "final_call_type", "service_category",
     "normalized_service_category", "disposition", "zone_id", "beat", "sector", "precinct", "latitude",

@@ -16,6 +16,7 @@ from zoneflow.functions.time import add_calendar, floor_hour
 from zoneflow.operators import schema
 from zoneflow.operators.collapse import keep_first
 
+# Weather measures and columns of the fact table.
 WEATHER_COLUMNS = [
     "temperature_2m", "relative_humidity_2m", "precipitation", "rain", "snowfall", "weather_code",
     "wind_speed_10m",

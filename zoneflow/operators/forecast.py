@@ -17,6 +17,7 @@ from zoneflow.operators.enrich import WEATHER_COLUMNS
 from zoneflow.operators.ranking import running_total
 from zoneflow.operators.sizing import cut_lineage
 
+# Features of the demand models.
 FEATURES = [
     "hour", "weekday", "month", "quarter", "is_weekend", "is_holiday", "is_business_hour", "is_after_hours",
     *WEATHER_COLUMNS, "lag_1_hour_demand", "lag_24_hour_demand", "rolling_7_day_avg",

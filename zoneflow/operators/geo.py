@@ -16,6 +16,7 @@ from zoneflow.operators.marts import rank_zones
 
 POLYGON = "array<array<array<double>>>"
 MULTIPOLYGON = f"array<{POLYGON}>"
+# Colours of the map.
 UNMATCHED_COLOUR = "rgba(216,226,235,0.34)"
 OPACITY = 0.72
 

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 PLANNED_ZONES = 25
+# Texts of the recommendations.
 REVIEW, MONITOR = "Prioritize workload-risk review", "Monitor recurring demand pattern"
 
 # What each assumption means.

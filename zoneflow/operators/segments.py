@@ -13,6 +13,7 @@ from zoneflow.operators import schema
 from zoneflow.operators.ranking import quantile_groups
 from zoneflow.operators.sizing import cut_lineage
 
+# Features of the segmentation and figures of a profile.
 FEATURES = [
     "avg_hourly_demand", "weekend_share", "after_hours_share", "top_category_share", "demand_volatility",
     "weather_sensitivity_proxy", "peak_hour_concentration", "month_to_month_variability", "business_hour_share",

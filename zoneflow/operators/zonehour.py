@@ -20,6 +20,7 @@ from zoneflow.operators.enrich import WEATHER_COLUMNS
 # the keys stay narrow and the calendar is worked out per zone-hour, not per event.
 KEYS = ["zone_id", "event_date", "event_hour"]
 MEANS = [c for c in WEATHER_COLUMNS if c != "weather_code"]
+# Columns of the zone-hour table.
 ZONE_HOUR_COLUMNS = [
     "zone_id", "date", "date_hour", "hour", "weekday", "month", "quarter", "is_weekend", "is_holiday",
     "is_business_hour", "is_after_hours", *WEATHER_COLUMNS, "lag_1_hour_demand", "lag_24_hour_demand",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, SparkRuntimeException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -15,7 +15,8 @@ from zoneflow.operators import schema
 from zoneflow.operators.collapse import keep_first
 from zoneflow.operators.enrich import WEATHER_COLUMNS
 
-BYTE_ORDER_MARK = "﻿"
+SAMPLE_ROWS = 100
+BYTE_ORDER_MARK = "\ufeff"
 # Texts read as missing in a raw extract.
 MISSING_TEXTS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
@@ -150,9 +151,10 @@ def read_geojson(spark: SparkSession, path: str, zone_property: str = "beat") ->
 
 
 def inventory(spark: SparkSession, sources: Mapping[str, str], strict: bool = False) -> DataFrame:
-    """One row per source: size, last change, and whether it exists; ``strict`` raises for missing ones.
+    """One row per source: size, last change, columns, and whether it exists and can be read as CSV with a header.
 
-    File listings give size and time; no content is read.
+    File listings give size and time.  ``sample_rows`` counts the rows among the first ``SAMPLE_ROWS`` that parse, so
+    a source costs no full read.  ``strict`` raises for missing sources.
     """
     found, missing = None, []
     for name, path in sources.items():
@@ -161,16 +163,23 @@ def inventory(spark: SparkSession, sources: Mapping[str, str], strict: bool = Fa
         except AnalysisException:
             missing.append(name)
             continue
+        try:
+            content = spark.read.option("header", True).option("recursiveFileLookup", True).csv(path)
+            columns, sample = content.columns, content.limit(SAMPLE_ROWS).count()
+        except (AnalysisException, SparkRuntimeException):
+            columns, sample = [], None
         row = files.agg(
             F.lit(name).alias("source"), F.lit(path).alias("path"), F.lit(True).alias("exists"),
             F.count(F.lit(1)).alias("files"), F.sum("length").alias("size_bytes"),
             F.max("modificationTime").cast("string").alias("last_modified"),
+            F.lit(bool(columns)).alias("readable"), F.lit(", ".join(columns) or None).alias("columns"),
+            F.lit(sample).cast("long").alias("sample_rows"),
         )
         found = row if found is None else found.unionAll(row)
     if missing and strict:
         raise FileNotFoundError("missing sources: " + ", ".join(f"{n} ({sources[n]})" for n in missing))
-    columns = "source string, path string, exists boolean, files long, size_bytes long, last_modified string"
-    absent = spark.createDataFrame([(n, sources[n], False, None, None, None) for n in missing], columns)
+    columns = "source string, path string, exists boolean, files long, size_bytes long, last_modified string, readable boolean, columns string, sample_rows long"
+    absent = spark.createDataFrame([(n, sources[n], False, None, None, None, False, None, None) for n in missing], columns)
     listed = absent if found is None else found.unionAll(absent)
     return listed.withColumn("size_readable", tx.human_size("size_bytes"))
 
