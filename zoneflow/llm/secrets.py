@@ -213,13 +213,15 @@ def _spans(rule: Rule, number: int, text: str, found: str) -> Column:
     return F.when(F.size(found) > 0, spans).otherwise(empty)
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + ADDED, text_column: str = "text") -> DataFrame:
-    """``docs`` with ``spans``: the matches of all rules, by start, then by the order of the rules.
+def scan(
+    docs: DataFrame, rules: tuple[Rule, ...] = BASE + ADDED, text_column: str = "text", output: str = "spans"
+) -> DataFrame:
+    """``docs`` with ``output``: the matches of all rules, by start, then by the order of the rules.
 
     Rules with trigrams are tried on their candidates only; a rule without is tried on every text.
 
     Defined cases: a null or empty text has no spans; a text that the index holds by a clashing hash is only tried in
-    vain; repeated rows each get their spans; other columns are kept, so ``docs`` must not have ``spans`` itself.
+    vain; repeated rows each get their spans; other columns are kept, but one named like ``output`` is replaced.
     """
     scratch = Scratch(docs.sparkSession)
     indexed = [r for r in rules if trigram_query(r.pattern) is not None]
@@ -249,7 +251,8 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + ADDED, text_column: s
             x["start"].alias("start"), x["end"].alias("end"),
         ),
     )
-    return rows.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns)], shown.alias("spans"))
+    kept = [F.col(n).alias(c) for n, c in zip(names, docs.columns) if c != output]
+    return rows.select(*kept, shown.alias(output))
 
 
 def span_list(spans: Column) -> Column:
@@ -258,7 +261,7 @@ def span_list(spans: Column) -> Column:
 
 def redact(docs: DataFrame, mask: str = "<secret>", text_column: str = "text") -> DataFrame:
     """``docs`` with each run of overlapping spans replaced by ``mask``; texts without spans are unchanged."""
-    found = scan(docs, text_column=text_column)
+    found = scan(docs, text_column=text_column, output="_found")
     text = F.col(text_column)
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -270,6 +273,6 @@ def redact(docs: DataFrame, mask: str = "<secret>", text_column: str = "text") -
             F.when(apart, F.concat(s["out"], between, F.lit(mask))).otherwise(s["out"]).alias("out"),
         )
 
-    done = F.aggregate("spans", start, step)
+    done = F.aggregate("_found", start, step)
     new = F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))
-    return found.withColumn(text_column, F.when(F.size("spans") > 0, new).otherwise(text)).select(*docs.columns)
+    return found.withColumn(text_column, F.when(F.size("_found") > 0, new).otherwise(text)).select(*docs.columns)
