@@ -41,9 +41,14 @@ def add_category(df: DataFrame, *candidates: str) -> DataFrame:
 
 
 def _own_text(raw: DataFrame, keep) -> Column:
-    """What tells a record without an id from others: its place in the source if known, else all its fields."""
+    """What tells a record without an id from others: its place in the source if known.
+
+    Without a place all fields and a number that Spark gives the row; equal records then stay apart, but the id may
+    differ from one run to the next.
+    """
     place = [c for c in ("source_file", "source_row") if c in keep and c in raw.columns]
-    return F.to_json(F.struct(*[F.col(f"`{c}`") for c in place or raw.columns]))
+    fields = F.to_json(F.struct(*[F.col(f"`{c}`") for c in place or raw.columns]))
+    return fields if place else F.concat(fields, F.monotonically_increasing_id().cast("string"))
 
 
 def clean_events(
