@@ -88,7 +88,7 @@ def sketch(docs: DataFrame, p: Params, id_column: str = "doc_id", text_column: s
     picked = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in wd.parts(batches):
             for w in wd.words_of(batch.column(1), wd.SPACED_WORDS, 250_000):
                 sets = [wd.shingle_set(w.hashes[a:b], p.shingle) for a, b in zip(w.bounds, w.bounds[1:])]
                 sizes = np.array([len(s) for s in sets], dtype=np.int64)
@@ -120,7 +120,7 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
     """``id, k1, k2, shingles`` of ``docs(id, text)`` rows that have words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in wd.parts(batches):
             for w in wd.words_of(batch.column(1), wd.SPACED_WORDS, 1_000_000):
                 rows = np.flatnonzero(np.diff(w.bounds))
                 if not len(rows):

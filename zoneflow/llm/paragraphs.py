@@ -90,7 +90,7 @@ def occurrences(docs: DataFrame, p: Params) -> DataFrame:
     m = p.minhash
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in wd.parts(batches):
             for w in wd.words_of(batch.column(1), wd.SPACED_WORDS, 500_000):
                 u = units(w, p.shingle)
                 if not len(u.key):
@@ -118,7 +118,7 @@ def unit_sets(docs: DataFrame, p: Params) -> DataFrame:
     """``id, shingles``: banded paragraphs of ``docs(id, text)`` by their key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in wd.parts(batches):
             for w in wd.words_of(batch.column(1), wd.SPACED_WORDS, 500_000):
                 u = units(w, p.shingle)
                 banded = u.sizes >= p.banded

@@ -25,8 +25,9 @@ from zoneflow.llm import words as wd
 
 SPACE = "▁".encode()
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # fixed values: kinds of pieces in a model file
-SLICE = 2_000_000
-CACHED_WORDS = 600_000  # distinct words that a worker remembers; beyond that it starts anew
+SLICE = 1_000_000
+CACHED_WORDS = 400_000  # distinct words that a worker remembers; beyond that it starts anew
+MATCHED_BYTES = 400_000  # text that is indexed at a time
 NEVER = np.int64(2**40)
 
 
@@ -412,6 +413,17 @@ class Memory:
         self.sizes = np.concatenate([self.sizes, sizes])[order]
 
 
+def _match(rows: np.ndarray, w: wd.Words, data: np.ndarray, spaced: np.ndarray, t: Tables) -> tuple:
+    """Encodings of some words, concatenated into one text to be indexed."""
+    body = w.ends[rows] - w.starts[rows]
+    sizes = body + spaced[rows] + 1
+    starts = np.cumsum(sizes) - sizes
+    joined = np.full(int(sizes.sum()), 32, dtype=np.uint8)
+    joined[starts + sizes - 1] = 0
+    joined[_ranges(starts + spaced[rows], body)] = data[_ranges(w.starts[rows], body)]
+    return encode_words(joined, starts, t)
+
+
 def encode_texts(data: np.ndarray, offsets: np.ndarray, t: Tables, memory: Memory) -> tuple[np.ndarray, np.ndarray]:
     """(ids, sizes) of the texts ``data[offsets[i]:offsets[i + 1]]``."""
     n_texts = len(offsets) - 1
@@ -441,13 +453,9 @@ def encode_texts(data: np.ndarray, offsets: np.ndarray, t: Tables, memory: Memor
             known[:] = False
         new, rows = np.unique(hashes[~known], return_index=True)
         rows = np.flatnonzero(~known)[rows]
-        sizes = w.ends[rows] - w.starts[rows] + spaced[rows] + 1
-        starts = np.cumsum(sizes) - sizes
-        joined = np.full(int(sizes.sum()), 32, dtype=np.uint8)
-        joined[starts + sizes - 1] = 0
-        body = w.ends[rows] - w.starts[rows]
-        joined[_ranges(starts + spaced[rows], body)] = data[_ranges(w.starts[rows], body)]
-        memory.add(new, *encode_words(joined, starts, t))
+        part = np.cumsum(w.ends[rows] - w.starts[rows] + 2) // MATCHED_BYTES
+        found = [_match(rows[part == k], w, data, spaced, t) for k in np.unique(part)]
+        memory.add(new, np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found]))
     at, _ = memory.find(hashes)
     word_from, word_size = memory.starts[at] if words else at, memory.sizes[at] if words else at
 
@@ -473,7 +481,7 @@ def encode_texts(data: np.ndarray, offsets: np.ndarray, t: Tables, memory: Memor
         ids = t.gap_ids(b" " * int(tail_dummy[k]) + raw[tail_from[k] : offsets[k + 1]])
         pool_at[words + k], pool_size[words + k] = base + len(gap_ids), len(ids)
         gap_ids += ids
-    pool = np.concatenate([memory.ids, np.array(gap_ids, dtype=np.int32)])
+    pool = np.concatenate([memory.ids, np.array(gap_ids, dtype=np.int32)]) if gap_ids else memory.ids
     # Interleave: slot numbers order the gaps and words of a text, then its tail.
     slot_text = np.concatenate([text, text, np.arange(n_texts)])
     slot_rank = np.concatenate([2 * np.arange(words), 2 * np.arange(words) + 1, np.full(n_texts, 2 * words)])
@@ -538,7 +546,7 @@ def encode(docs: DataFrame, model_path: str, text_column: str = "text", output:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t, memory = _worker(held.value)
-        for batch in batches:
+        for batch in wd.parts(batches):
             plain = _plain(batch.column(place))
             own = batch.column(place).cast(pa.large_binary()).fill_null(b"")
             for row, data, offsets in wd.text_slices(plain, SLICE):

@@ -20,14 +20,15 @@ from zoneflow.llm import words as wd
 from zoneflow.llm.scratch import Scratch
 
 WINDOW = 13
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 2_000_000
+BLOCK_ROWS = 2_000
 MAX_SLOP = 500
 GAP = 1024  # free positions between documents: no window, slop included, reaches over one
 PACK = 50_000  # windows searched at a time; bounds what a task holds of the query set
 
 
 def build_index(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Postings and documents of blocks of about 4 MB of text.
+    """Postings and documents of blocks of about 2 MB of text.
 
     ``term`` is the 64-bit hash of a lower-cased word and ``positions`` where it stands in the block, ascending.  Rows
     without a term are documents: ``positions`` holds the first position and the number of words.  ``text_sha256``
@@ -40,7 +41,7 @@ def build_index(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
-        for batch in batches:
+        for batch in wd.parts(batches, BLOCK_ROWS):
             for w in wd.words_of(batch.column(1), wd.ALNUM_WORDS, BLOCK_BYTES):
                 counts = np.diff(w.bounds)
                 first = GAP + w.bounds[:-1] + GAP * np.arange(w.n)
@@ -86,7 +87,7 @@ def windows_of(items: DataFrame, size: int = WINDOW, id_column: str = "item_id",
     picked = items.select(F.col(id_column).alias("item"), F.col(text_column).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in wd.parts(batches):
             for w in wd.words_of(batch.column(1), wd.ALNUM_WORDS, 200_000):
                 rows, parts = [], []
                 for i, (a, b) in enumerate(zip(w.bounds, w.bounds[1:])):

@@ -31,18 +31,29 @@ def _byte_values() -> np.ndarray:
 
 
 _VALUES = _byte_values()
-_powers: dict[int, np.ndarray] = {}
+_CHUNK = 4096
+_tables: dict[int, np.ndarray] = {}
 
 
-def _power_table(base: int, n: int) -> np.ndarray:
-    table = _powers.get(base)
+def _series(base: int, n: int) -> np.ndarray:
+    """``base`` to the powers 0 .. n - 1."""
+    table = _tables.get(base)
     if table is None or len(table) < n:
-        size = max(n, SLICE_BYTES + 1)
-        with np.errstate(over="ignore"):
-            table = np.multiply.accumulate(np.concatenate([np.ones(1, _U), np.full(size - 1, base, dtype=np.uint64)]))
-        if size <= 4 * SLICE_BYTES:
-            _powers[base] = table
-    return table
+        table = np.full(max(n, _CHUNK), base, dtype=np.uint64)
+        table[0] = 1
+        table = _tables[base] = np.multiply.accumulate(table)
+    return table[:n]
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """Powers 0 .. n - 1 from two short tables, so a worker keeps little between slices."""
+    high = _series(pow(base, _CHUNK, 2**64), n // _CHUNK + 1)
+    return np.multiply.outer(high, _series(base, _CHUNK)).reshape(-1)[:n]
+
+
+def _powers_at(base: int, exponents: np.ndarray) -> np.ndarray:
+    high = _series(pow(base, _CHUNK, 2**64), int(exponents.max(initial=0)) // _CHUNK + 1)
+    return high[exponents // _CHUNK] * _series(base, _CHUNK)[exponents % _CHUNK]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -89,10 +100,12 @@ class Words:
 
 
 def hash_spans(mapped: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    n = len(mapped)
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_VALUES[mapped] * _power_table(_BASE, n)[:n], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * _power_table(_INVERSE, n + 1)[starts] + (ends - starts).astype(np.uint64))
+    """Hashes of the byte ranges ``starts .. ends``, none of them empty."""
+    sums = _VALUES[mapped]
+    sums *= _powers(_BASE, len(mapped))
+    np.cumsum(sums, out=sums)
+    before = np.where(starts > 0, sums[starts - 1], _U(0)) if len(starts) else np.zeros(0, dtype=np.uint64)
+    return mix((sums[ends - 1] - before) * _powers_at(_INVERSE, starts) + (ends - starts).astype(np.uint64))
 
 
 def split(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, first_row: int = 0, kinds=None) -> Words:
@@ -112,6 +125,13 @@ def split(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, first_row: i
     return Words(first_row, len(offsets) - 1, data, offsets, hash_spans(mapped, starts, ends), starts, ends, bounds)
 
 
+def parts(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Batches cut into runs of few rows, so that only those are copied at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) of runs of rows that hold about ``limit`` bytes; a null text has no bytes.
 
