@@ -134,7 +134,8 @@ def fit(
         .limit(p.sample)
     )
     texts = docs.select(F.col(id_column).alias("id"), F.coalesce(text_column, F.lit("")).alias("text"))
-    rows = texts.join(bounded, "id").withColumn("shard", F.pmod("place", F.lit(p.shards)).cast("long"))
+    # At most ``sample`` ids and labels: a few hundred kilobytes.
+    rows = texts.join(F.broadcast(bounded), "id").withColumn("shard", F.pmod("place", F.lit(p.shards)).cast("long"))
     learned = rows.groupBy("shard").applyInArrow(_learner(p), "shard long, bucket long, weight double").toArrow()
     learned = learned.sort_by([("shard", "ascending"), ("bucket", "ascending")])
     shards = max(1, len(learned["shard"].unique()))
@@ -170,7 +171,7 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in wd.parts(batches):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(scores(batch.column(1), held.value))], names=[id_column, "score"]
             )
@@ -184,7 +185,7 @@ def accepted(docs: DataFrame, model: Model, threshold: float, text_column: str =
     place = docs.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in wd.parts(batches):
             yield batch.filter(pa.array(scores(batch.column(place), held.value) >= threshold))
 
     return docs.mapInArrow(run, docs.schema)
