@@ -153,7 +153,8 @@ def write_archives(
         .select("page", "sha1", "first")
         .distinct()
     )
-    marked = packed.join(linked, ["page", "sha1"], "left")
+    # Both tables grow with the pages: the same plan at every size.
+    marked = packed.join(linked.hint("merge"), ["page", "sha1"], "left")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,7 +236,7 @@ def read_records(spark: SparkSession, path: str, entries: DataFrame) -> DataFram
                 for at in range(0, len(rows), 500):
                     yield pa.RecordBatch.from_pylist(rows[at : at + 500], schema=schema)
 
-    return read_files(spark, path).join(ranges, "path").mapInArrow(
+    return read_files(spark, path).join(ranges.hint("merge"), "path").mapInArrow(
         run,
         "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, uri string, payload binary",
     )
