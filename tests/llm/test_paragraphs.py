@@ -2,9 +2,12 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 from brute import spaced
 
 from zoneflow.llm import paragraphs as pg
+from zoneflow.llm import words as wd
 
 
 def sentence(rng, n):
@@ -68,3 +71,29 @@ def test_defined_cases(spark):
     assert len(texts[6].split()) < 30 and texts[7].strip() == ""
     alone = spark.createDataFrame([(1, p + "\n" + p)], "doc_id long, text string")
     assert pg.find_repeats(alone).count() == 0 and pg.find_repeats(df.limit(0)).count() == 0
+
+
+def test_every_word_lies_in_a_paragraph():
+    rng = random.Random(11)
+    ends = ["", "", ".", "!", "\n"]
+    texts = [" ".join(f"v{rng.randrange(300)}{rng.choice(ends)}" for _ in range(n)) for n in (5, 6, 9, 200, 3000)]
+    texts += ["BUY!! NOW!! " * 40, "a\nb\nc\n" * 30, "", "one two", "x. " * 7]
+    for w in wd.words_of(pa.array(texts), wd.SPACED_WORDS):
+        u = pg.units(w, 5)
+        for i, text in enumerate(texts):
+            mine = u.row == i
+            covered = np.zeros(len(spaced(text)), dtype=int)
+            for a, n in zip(u.first[mine], u.words[mine]):
+                assert n >= 5
+                covered[a : a + n] += 1
+            assert (covered == (len(covered) >= 5)).all()
+
+
+def test_equal_texts_of_short_lines(spark):
+    rng = random.Random(12)
+    lines = lambda: "\n".join(" ".join(f"v{rng.randrange(4000)}" for _ in range(rng.randrange(1, 5))) for _ in range(60))
+    shouts = " ".join(f"v{rng.randrange(4000)}!!" for _ in range(169))
+    menu = lines()
+    docs = [(1, menu), (2, menu), (3, shouts), (4, shouts), (5, lines())]
+    rows = pg.find_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_words for r in rows} == {i: len(spaced(t)) for i, t in docs if i < 5}

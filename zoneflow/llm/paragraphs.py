@@ -56,14 +56,27 @@ class Units:
 def units(w: wd.Words, k: int) -> Units:
     """Paragraphs end with a line, a sentence, or a word whose hash says so, which cuts long text without signs.
 
-    All three depend on the words alone, so a passage has the same inner paragraphs wherever it stands.
+    Of such ends less than ``k`` words apart the one whose word has the least hash stays, and none stays so near to an
+    end of the text: every word of a text of ``k`` words lies in a paragraph.  All of it depends on the words nearby
+    alone, so a passage has the same inner paragraphs wherever it stands.
     """
     n = len(w.hashes)
     cut = _ENDS[w.data[w.ends - 1]] | (w.hashes % np.uint64(64) == 0)
     lines = np.concatenate([[0], np.cumsum(w.data == 10)])
     cut[:-1] |= lines[w.starts[1:]] > lines[w.ends[:-1]]
-    cut[w.bounds[1:][np.diff(w.bounds) > 0] - 1] = True
+    last = w.bounds[1:][np.diff(w.bounds) > 0] - 1
+    cut[last] = True
     ends = np.flatnonzero(cut) + 1
+    closes = np.isin(ends - 1, last)
+    rank = np.where(closes, np.uint64(0), w.hashes[ends - 1] | np.uint64(1))
+    stays = np.ones(len(ends), dtype=bool)
+    if len(ends):
+        stays[: np.searchsorted(ends, k)] = False
+    for j in range(1, k):
+        near = ends[j:] - ends[:-j] < k
+        stays[j:] &= ~near | (rank[j:] < rank[:-j])
+        stays[:-j] &= ~near | (rank[:-j] <= rank[j:])
+    ends = ends[stays | closes]
     starts = np.concatenate([[0], ends[:-1]])[: len(ends)]
     long = ends - starts >= k
     starts, ends = starts[long], ends[long]
