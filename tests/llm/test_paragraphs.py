@@ -97,3 +97,34 @@ def test_equal_texts_of_short_lines(spark):
     docs = [(1, menu), (2, menu), (3, shouts), (4, shouts), (5, lines())]
     rows = pg.find_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     assert {r.doc_id: r.n_words for r in rows} == {i: len(spaced(t)) for i, t in docs if i < 5}
+
+
+def test_every_repeated_run_of_words(spark):
+    """Runs of 30 words and more that begin and end inside sentences, against all windows of 30 words."""
+    rng = random.Random(13)
+    plain = lambda n: [f"v{rng.randrange(4000)}" for _ in range(n)]
+    ended = lambda n: [x + rng.choice(["", "", "", ".", "!"]) for x in plain(n)]
+    shared = [make(n) for make in (plain, ended) for n in (29, 30, 31, 51, 60, 81, 169)]
+    shared.append(["na"] * 70)
+    docs = []
+    for i in range(45):
+        run = shared[i % len(shared)]
+        cut = rng.randrange(0, 4) if i % 2 else 0
+        docs.append((i, " ".join(plain(rng.randrange(40, 60)) + run[cut:] + plain(rng.randrange(40, 60)))))
+    docs += [(100, docs[0][1]), (101, docs[0][1]), (102, " ".join(plain(80)))]
+    found = {r.doc_id: r for r in pg.find_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    holders = {}
+    for i, text in docs:
+        words = spaced(text)
+        for at in range(len(words) - 29):
+            holders.setdefault(tuple(words[at : at + 30]), set()).add(i)
+    for i, text in docs:
+        words = spaced(text)
+        inside = {x for s in (found[i].passages if i in found else []) for x in range(s.first, s.end)}
+        removed = {x for s in (found[i].passages if i in found else []) for x in range(s.first, s.end) if s.removed}
+        for at in range(len(words) - 29):
+            held = holders[tuple(words[at : at + 30])]
+            if len(held) > 1:
+                assert inside >= set(range(at, at + 30))
+                assert min(held) == i or removed >= set(range(at, at + 30))
+    assert 102 not in found and sum(r.n_words for r in found.values()) > 1500

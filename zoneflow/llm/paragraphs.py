@@ -24,8 +24,9 @@ class Params:
     99.995 %.
 
     A paragraph of fewer than ``banded`` shingles reaches 0.8 only with an almost equal one and is compared whole.
-    Repeated paragraphs at most ``gap`` words apart make one passage; passages under ``least_words`` stay, as short
-    lines recur by chance.
+    Repeated paragraphs and runs at most ``gap`` words apart make one passage; passages under ``least_words`` stay, as
+    short lines recur by chance.  Equal runs of ``least_words`` are found wherever they begin: each holds an anchor, a
+    run of ``anchor`` words.
     """
 
     shingle: int = 5
@@ -35,6 +36,7 @@ class Params:
     banded: int = 9
     gap: int = 8
     least_words: int = 30
+    anchor: int = 8
 
     @property
     def minhash(self) -> minhash.Params:
@@ -148,16 +150,134 @@ def unit_sets(docs: DataFrame, p: Params) -> DataFrame:
     return docs.mapInArrow(run, "id long, shingles array<long>")
 
 
+@dataclass
+class Windows:
+    """Runs of ``least_words`` words of a slice: text row, first word in it, anchor's word in it, and the anchor's hash."""
+
+    at: np.ndarray
+    row: np.ndarray
+    first: np.ndarray
+    place: np.ndarray
+    anchor: np.ndarray
+
+
+def windows(w: wd.Words, p: Params) -> Windows:
+    """Every window has the anchor of the least hash in it, so equal windows have equal anchors."""
+    k, n = p.anchor, p.least_words
+    grams = wd.shingle_hashes(w.hashes, k)
+    if len(w.hashes) < n:
+        none = np.zeros(0, dtype=np.int64)
+        return Windows(none, none, none, none, grams[:0])
+    # Running minima over doubling spans; the last two spans together are the window.
+    size, least, span = n - k + 1, grams, 1
+    while span * 2 <= size:
+        least, span = np.minimum(least[:-span], least[span:]), span * 2
+    least = np.minimum(least[: len(grams) - size + 1], least[size - span :])
+    text = w.text_of_word()
+    at = np.flatnonzero(text[: len(least)] == text[n - 1 :])
+    # The first place of the least hash at or after the window's start.
+    place = np.full(len(at), -1, dtype=np.int64)
+    for j in range(size - 1, -1, -1):
+        place = np.where(grams[at + j] == least[at], at + j, place)
+    row = text[at]
+    return Windows(at, row, at - w.bounds[row], place - w.bounds[row], least[at])
+
+
+def anchors(texts: DataFrame, p: Params) -> DataFrame:
+    """``id, text_hash, words, anchor`` of every distinct anchor of each of ``texts(id, text, text_hash)``; ``words``,
+    the length of the text, is null but for one of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in wd.parts(batches):
+            for w in wd.words_of(batch.column(1), wd.SPACED_WORDS, 500_000):
+                x = windows(w, p)
+                order = np.lexsort((x.anchor, x.row))
+                row, anchor = x.row[order], x.anchor[order]
+                new = np.ones(len(row), dtype=bool)
+                new[1:] = (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])
+                row, anchor = row[new], anchor[new]
+                later = np.concatenate([[False], row[1:] == row[:-1]])[: len(row)]
+                rows = pa.array(w.first_row + row)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(rows), batch.column(2).take(rows),
+                        pa.array(np.diff(w.bounds)[row].astype(np.int32), mask=later),
+                        pa.array(anchor.view(np.int64)),
+                    ],
+                    names=["id", "text_hash", "words", "anchor"],
+                )
+
+    return texts.mapInArrow(run, "id long, text_hash long, words int, anchor long")
+
+
+def asked_windows(texts: DataFrame, p: Params) -> DataFrame:
+    """``window, id, last, first, place, anchor`` of the windows of ``texts(id, text, last, anchors)`` with such an anchor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in wd.parts(batches):
+            for w in wd.words_of(batch.column(1), wd.SPACED_WORDS, 500_000):
+                x = windows(w, p)
+                keep = np.zeros(len(x.at), dtype=bool)
+                for i in np.unique(x.row):
+                    mine = slice(*np.searchsorted(x.row, [i, i + 1]))
+                    asked = batch.column(3)[w.first_row + int(i)].values.to_numpy()
+                    keep[mine] = np.isin(x.anchor[mine].view(np.int64), asked)
+                rows = pa.array(w.first_row + x.row[keep])
+                hashes = wd.shingle_hashes(w.hashes, p.least_words)[x.at[keep]]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(hashes.view(np.int64)), batch.column(0).take(rows), batch.column(2).take(rows),
+                        pa.array(x.first[keep].astype(np.int32)), pa.array(x.place[keep].astype(np.int32)),
+                        pa.array(x.anchor[keep].view(np.int64)),
+                    ],
+                    names=["window", "id", "last", "first", "place", "anchor"],
+                )
+
+    return texts.mapInArrow(run, "window long, id long, last long, first int, place int, anchor long")
+
+
+def equal_runs(texts: DataFrame, p: Params, scratch: Scratch) -> DataFrame:
+    """``id, first, words, component, a``: runs of at least ``least_words`` equal words that another id holds as well.
+
+    Equal texts are one text, and only windows with an anchor that another text has are compared, so what is exchanged
+    follows the anchors and the repeated words.  The runs name a window's anchor as component.
+    """
+    hashed = texts.withColumn("text_hash", F.xxhash64("text"))
+    held = scratch.keep(anchors(hashed, p))
+    both = held.groupBy("anchor").agg(F.min("text_hash").alias("x"), F.max("text_hash").alias("y")).where("x <> y")
+    same = held.where("words is not null").groupBy("text_hash").agg(F.min("id").alias("a"), F.max("id").alias("last"))
+    same = scratch.keep(same)
+    copies = held.where("words is not null").join(same.where("a <> last"), "text_hash").select(
+        "id", F.lit(0).alias("first"), "words", F.col("text_hash").alias("component"), "a"
+    )
+    asked = held.join(both.select("anchor"), "anchor", "left_semi").groupBy("text_hash").agg(
+        F.collect_set("anchor").alias("anchors")
+    )
+    asked = same.join(asked, "text_hash").select(F.col("a").alias("id"), "text_hash", "last", "anchors")
+    found = scratch.keep(
+        asked_windows(hashed.join(asked, ["id", "text_hash"]).select("id", "text", "last", "anchors"), p)
+    )
+    shared = found.groupBy("window").agg(F.min("id").alias("a"), F.max("last").alias("b")).where("a <> b").select("window", "a")
+    runs = (
+        found.join(shared, "window")
+        .groupBy("id", "place", "anchor", "a")
+        .agg(F.min("first").alias("first"), F.max("first").alias("end"))
+        .select("id", "first", (F.col("end") - F.col("first") + p.least_words).alias("words"), F.col("anchor").alias("component"), "a")
+    )
+    return runs.union(copies)
+
+
 def find_repeats(docs: DataFrame, p: Params = Params(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Documents that hold a passage which also stands in another document.
 
     ``doc_id, n_passages, n_words, n_removed, passages, clusters, first_docs``: passages are ranges of words, parted where
-    ``removed`` changes, which marks paragraphs that an earlier document holds; ``clusters`` are the components of the
-    paragraphs, ``first_docs`` the smallest documents that hold them.
+    ``removed`` changes, which marks words that an earlier document holds; ``clusters`` are the components of the
+    paragraphs and runs, ``first_docs`` the smallest documents that hold them.
 
     1. Documents are cut in paragraphs; equal shingle sets are one class.
     2. Longer classes that share a band are linked if their exact Jaccard similarity reaches 0.8.
-    3. Components that stand in two or more documents are repeated; neighbouring ones make a passage.
+    3. Components that stand in two or more documents are repeated.
+    4. So are equal runs of 30 words, whatever paragraphs they lie in; neighbouring repeated ranges make a passage.
 
     Defined cases: null, empty or short texts hold no passage; rows without an id are not searched; rows that share an
     id are one document; copies within one document alone are no repeat; an empty table gives no rows.  Other columns
@@ -201,8 +321,8 @@ def find_repeats(docs: DataFrame, p: Params = Params(), id_column: str = "doc_id
     )
     roots = members.select("key").distinct()
     repeated = scratch.keep(alone.join(roots, "key", "left_anti").union(members))
-    marked = held.select("id", "first", "words", "key").join(repeated, "key")
-    listed = marked.groupBy("id").agg(
+    marked = held.select("id", "first", "words", "key").join(repeated, "key").select("id", "first", "words", "component", "a")
+    listed = marked.union(equal_runs(texts, p, scratch)).groupBy("id").agg(
         F.array_sort(F.collect_list(F.struct("first", "words", "component", "a"))).alias("u")
     )
     passages = listed.select(
@@ -216,6 +336,23 @@ def find_repeats(docs: DataFrame, p: Params = Params(), id_column: str = "doc_id
     return passages.withColumnRenamed("id", id_column)
 
 
+def _spans(first: np.ndarray, ends: np.ndarray, later: np.ndarray, begin: int) -> list[dict]:
+    """Ranges of a passage, parted where words begin or cease to stand in an earlier document.
+
+    Words between two ranges go with the one before them.
+    """
+    marks = np.zeros((2, int(ends.max()) + 1), dtype=np.int64)
+    np.add.at(marks, (later.astype(np.int64), first), 1)
+    np.add.at(marks, (later.astype(np.int64), ends), -1)
+    own, removed = np.cumsum(marks, axis=1)[:, :-1] > 0
+    known = np.maximum.accumulate(np.where(own | removed, np.arange(len(own)), 0))
+    removed = removed[known]
+    edges = np.concatenate([[0], 1 + np.flatnonzero(removed[1:] != removed[:-1]), [len(removed)]])
+    return [
+        {"first": begin + int(x), "end": begin + int(y), "removed": bool(removed[x])} for x, y in zip(edges, edges[1:])
+    ]
+
+
 def _passages(p: Params):
     span = pa.struct([("first", pa.int32()), ("end", pa.int32()), ("removed", pa.bool_())])
 
@@ -228,14 +365,12 @@ def _passages(p: Params):
                     minhash.list_column(batch, n, row) for n in ("first", "words", "component", "a")
                 )
                 ends = first + words
-                breaks = np.flatnonzero(first[1:] - ends[:-1] > p.gap) + 1
+                breaks = np.flatnonzero(first[1:] - np.maximum.accumulate(ends)[:-1] > p.gap) + 1
                 spans, clusters, docs, runs = [], set(), set(), 0
                 for lo, hi in zip(np.concatenate([[0], breaks]), np.append(breaks, len(first))):
-                    if ends[hi - 1] - first[lo] >= p.least_words:
-                        later = a[lo:hi] != doc
-                        parts = np.concatenate([[lo], lo + 1 + np.flatnonzero(later[1:] != later[:-1]), [hi]])
-                        for x, y in zip(parts, parts[1:]):
-                            spans.append({"first": int(first[x]), "end": int(ends[y - 1]), "removed": bool(later[x - lo])})
+                    begin, end = int(first[lo]), int(ends[lo:hi].max())
+                    if end - begin >= p.least_words:
+                        spans += _spans(first[lo:hi] - begin, ends[lo:hi] - begin, a[lo:hi] != doc, begin)
                         runs += 1
                         clusters.update(component[lo:hi].tolist())
                         docs.update(a[lo:hi].tolist())
