@@ -1,6 +1,7 @@
 """Passages that repeat across documents against a search of all runs of words."""
 
 import random
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -128,3 +129,35 @@ def test_every_repeated_run_of_words(spark):
                 assert inside >= set(range(at, at + 30))
                 assert min(held) == i or removed >= set(range(at, at + 30))
     assert 102 not in found and sum(r.n_words for r in found.values()) > 1500
+
+
+def test_all_pairs_of_short_sets():
+    """Sets of under nine shingles against all others at 0.8, with texts that repeat their words as well."""
+    rng = random.Random(14)
+    texts = []
+    for _ in range(400):
+        words = [f"v{rng.randrange(rng.choice([2, 3, 500]))}" for _ in range(rng.randrange(8, 15))]
+        texts += [words, words[1:], words[:-1], words[2:], words[1:-1], words + words[:1]]
+    p, sets, held = pg.Params(), {}, {}
+    for w in wd.words_of(pa.array([" ".join(x) for x in texts]), wd.SPACED_WORDS):
+        u = pg.units(w, p.shingle)
+        ends = np.cumsum(u.sizes)
+        sets |= {int(u.key[i]): frozenset(u.values[ends[i] - u.sizes[i] : ends[i]].tolist()) for i in range(len(ends))}
+        for i, key in zip(*pg.held_keys(w, u, p)):
+            held.setdefault(int(u.key[i]), set()).add(int(key))
+    near = {
+        tuple(sorted((x, y), key=lambda z: len(sets[z])))
+        for x, y in combinations(sets, 2)
+        if min(len(sets[x]), len(sets[y])) < p.banded and len(sets[x] & sets[y]) * 100 >= len(sets[x] | sets[y]) * p.percent
+    }
+    assert len(near) > 300 and {len(sets[x]) for x, _ in near} == {4, 5, 6, 7, 8}
+    assert {(x, y) for y, keys in held.items() for x in keys if x in sets} == near
+
+
+def test_short_lines_with_a_word_more(spark):
+    rng = random.Random(15)
+    lines = [[f"w{rng.randrange(9000)}" for _ in range(12)] for _ in range(6)]
+    more = [["and", *x] if i % 2 else [*x, "too"] for i, x in enumerate(lines)]
+    docs = [(i, "\n".join(" ".join(x) for x in part)) for i, part in enumerate([lines, more])]
+    rows = pg.find_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_words for r in rows} == {0: 72, 1: 78}

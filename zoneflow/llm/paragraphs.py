@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -12,18 +13,28 @@ from pyspark.sql import functions as F
 
 from zoneflow.llm import minhash
 from zoneflow.llm import words as wd
+from zoneflow.llm.components import connected_components
 from zoneflow.llm.scratch import Scratch
 
 _ENDS = np.zeros(256, dtype=bool)
 _ENDS[[ord(c) for c in ".!?"]] = True
 
 
+class _Bands(minhash.Params):
+    """Bands stand for the signature: any pair that shares one goes to the exact comparison."""
+
+    @property
+    def least_agreement(self) -> int:
+        return 1
+
+
 @dataclass(frozen=True)
 class Params:
     """Shingles of five words and a similarity of 0.8; two rows by six bands find a pair at 0.8 with 99.8 %, at 0.9 with
     99.995 %.
 
-    A paragraph of fewer than ``banded`` shingles reaches 0.8 only with an almost equal one and is compared whole.
+    A set of fewer than ``banded`` shingles reaches 0.8 only with one that holds it and one or two shingles more; such
+    pairs are found by the key of the larger set without those, all of them.
     Repeated paragraphs and runs at most ``gap`` words apart make one passage; passages under ``least_words`` stay, as
     short lines recur by chance.  Equal runs of ``least_words`` are found wherever they begin: each holds an anchor, a
     run of ``anchor`` words.
@@ -40,7 +51,7 @@ class Params:
 
     @property
     def minhash(self) -> minhash.Params:
-        return minhash.Params(self.shingle, self.percent, self.rows, self.bands)
+        return _Bands(self.shingle, self.percent, self.rows, self.bands)
 
 
 @dataclass
@@ -97,10 +108,46 @@ def units(w: wd.Words, k: int) -> Units:
     return Units(text, starts - w.bounds[text], ends - starts, values, sizes, key)
 
 
+def held_keys(w: wd.Words, u: Units, p: Params) -> tuple[np.ndarray, np.ndarray]:
+    """(paragraphs, keys): the keys of all smaller sets, under ``banded``, that a paragraph's set is similar to.
+
+    Where no four words recur, only shingles at the ends can be absent, as the rest must be a run of words.
+    """
+    k = p.shingle
+    count = u.words - k + 1
+    small = np.flatnonzero((u.sizes > 1) & ((p.banded - 1) * 100 >= u.sizes * p.percent))
+    low = (u.first + w.bounds[u.row])[small]
+    inner = count[small] + 1
+    owner = np.repeat(np.arange(len(small)), inner)
+    at = np.repeat(low - (np.cumsum(inner) - inner), inner) + np.arange(inner.sum())
+    short = wd.shingle_hashes(w.hashes, k - 1)[at]
+    order = np.lexsort((short, owner))
+    equal = (short[order][1:] == short[order][:-1]) & (owner[order][1:] == owner[order][:-1])
+    plain = np.ones(len(small), dtype=bool)
+    plain[owner[order][1:][equal]] = False
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(wd.mix(wd.shingle_hashes(w.hashes, k)))])
+    ends = np.cumsum(u.sizes)
+    owners, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for less in range(1, p.banded):
+        left = u.sizes[small] - less
+        fits = (left > 0) & (left < p.banded) & (left * 100 >= u.sizes[small] * p.percent)
+        run, n = low[fits & plain], left[fits & plain]
+        for j in range(less + 1):
+            owners.append(small[fits & plain])
+            keys.append(wd.mix(sums[run + j + n] - sums[run + j] + n.astype(np.uint64)))
+        for i in small[fits & ~plain]:
+            values = wd.mix(u.values[ends[i] - u.sizes[i] : ends[i]])
+            rest = [np.sum(np.delete(values, x)) for x in combinations(range(len(values)), less)]
+            owners.append(np.full(len(rest), i))
+            keys.append(wd.mix(np.array(rest, dtype=np.uint64) + np.uint64(len(values) - less)))
+    return np.concatenate(owners), np.concatenate(keys)
+
+
 def occurrences(docs: DataFrame, p: Params) -> DataFrame:
-    """``id, first, words, key, n_shingles, bands, signature`` of every paragraph of ``docs(id, text)``.
+    """``id, first, words, key, n_shingles, bands, held`` of every paragraph of ``docs(id, text)``.
 
-    ``key`` is a 64-bit hash of the shingle set; short paragraphs have empty bands.
+    ``key`` is a 64-bit hash of the shingle set; short paragraphs have empty bands, ``held`` are the keys of the short
+    sets that the set is similar to.
     """
     m = p.minhash
 
@@ -113,19 +160,22 @@ def occurrences(docs: DataFrame, p: Params) -> DataFrame:
                 banded = u.sizes >= p.banded
                 starts = np.cumsum(u.sizes) - u.sizes
                 signature = minhash.signatures(u.values, starts, m)[banded]
+                owner, smaller = held_keys(w, u, p)
+                order = np.argsort(owner, kind="stable")
+                offsets = np.searchsorted(owner[order], np.arange(len(u.key) + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array(w.first_row + u.row)),
                         pa.array(u.first.astype(np.int32)), pa.array(u.words.astype(np.int32)),
                         pa.array(u.key.view(np.int64)), pa.array(u.sizes.astype(np.int64)),
                         minhash.lists(minhash.band_keys(signature, m).view(np.int64), banded, pa.int64()),
-                        minhash.lists(signature.view(np.int32), banded, pa.int32()),
+                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(smaller[order].view(np.int64))),
                     ],
-                    names=["id", "first", "words", "key", "n_shingles", "bands", "signature"],
+                    names=["id", "first", "words", "key", "n_shingles", "bands", "held"],
                 )
 
     return docs.mapInArrow(
-        run, "id long, first int, words int, key long, n_shingles long, bands array<long>, signature array<int>"
+        run, "id long, first int, words int, key long, n_shingles long, bands array<long>, held array<long>"
     )
 
 
@@ -275,7 +325,8 @@ def find_repeats(docs: DataFrame, p: Params = Params(), id_column: str = "doc_id
     paragraphs and runs, ``first_docs`` the smallest documents that hold them.
 
     1. Documents are cut in paragraphs; equal shingle sets are one class.
-    2. Longer classes that share a band are linked if their exact Jaccard similarity reaches 0.8.
+    2. Longer classes that share a band are linked if their exact Jaccard similarity reaches 0.8, short ones with those
+       that hold them and little more.
     3. Components that stand in two or more documents are repeated.
     4. So are equal runs of 30 words, whatever paragraphs they lie in; neighbouring repeated ranges make a passage.
 
@@ -294,12 +345,11 @@ def find_repeats(docs: DataFrame, p: Params = Params(), id_column: str = "doc_id
     rows = banded.select(F.col("key").alias("id"), F.explode("bands").alias("band"))
     shared = rows.groupBy("band").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("band")
     ids = scratch.keep(rows.join(shared, "band", "left_semi").select("id").distinct())
-    mine = banded.withColumnRenamed("id", "doc").withColumnRenamed("key", "id").join(ids, "id", "left_semi")
+    mine = banded.drop("held").withColumnRenamed("id", "doc").withColumnRenamed("key", "id").join(ids, "id", "left_semi")
     classes = scratch.keep(
         mine.groupBy("id").agg(
-            F.min("doc").alias("doc"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"),
-            F.first("signature").alias("signature"),
-        )
+            F.min("doc").alias("doc"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")
+        ).withColumn("signature", F.col("bands"))
     )
 
     def sets_of(wanted: DataFrame) -> DataFrame:
@@ -308,6 +358,10 @@ def find_repeats(docs: DataFrame, p: Params = Params(), id_column: str = "doc_id
         return unit_sets(found, p).join(own.select("id"), "id", "left_semi").dropDuplicates(["id"])
 
     linked = minhash.link_classes(classes, sets_of, p.minhash, scratch)
+    short = held.where(F.col("n_shingles") < p.banded).select("key").distinct()
+    within = held.select(F.explode("held").alias("a"), F.col("key").alias("b")).join(short.toDF("a"), "a", "left_semi").distinct()
+    joined = linked.select(F.col("node").alias("a"), F.col("component").alias("b")).union(within)
+    linked = scratch.keep(connected_components(joined, scratch))
     spread = held.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b"))
     named = spread.join(linked.select(F.col("node").alias("key"), "component"), "key", "left").withColumn(
         "component", F.coalesce("component", "key")
