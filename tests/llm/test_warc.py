@@ -68,3 +68,13 @@ def test_keys(spark):
             ("http://x.org?q", "org,x)/?q")]
     df = spark.createDataFrame(rows, "url string, want string")
     assert all(r.key == r.want for r in df.withColumn("key", warc.url_key("url")).collect())
+
+
+def test_urls_that_end_in_other_white_space(spark, tmp_path):
+    rows = [(i, f"http://end.example/{i}{c}", "a") for i, c in enumerate(" 　 \u0085x")]
+    pages, path = spark.createDataFrame(rows, "page_id long, url string, html string"), str(tmp_path / "ends")
+    warc.write_archives(pages, path)
+    index = warc.build_index(warc.captures(spark, path), Scratch(spark))
+    keys = pages.select(warc.clean_uri("url").alias("uri")).select(warc.url_key("uri").alias("key"))
+    read = warc.read_records(spark, path, warc.lookup(index, keys)).collect()
+    assert sorted((r.page_id, r.uri) for r in read) == [(i, u) for i, u, _ in rows]

@@ -64,7 +64,7 @@ def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
     headers = {}
     for line in head.decode().split("\r\n")[1:]:
         name, _, value = line.partition(":")
-        headers[name.lower()] = value.strip()
+        headers[name.lower()] = value.strip(" \t")
     block = rest[: int(headers["content-length"])]
     return headers, block.partition(b"\r\n\r\n")[2]
 
