@@ -71,7 +71,7 @@ def test_keys(spark):
 
 
 def test_urls_that_end_in_other_white_space(spark, tmp_path):
-    rows = [(i, f"http://end.example/{i}{c}", "a") for i, c in enumerate(" 　 \u0085x")]
+    rows = [(i, f"http://end.example/{i}{c}", "a") for i, c in enumerate(map(chr, (0xA0, 0x3000, 0x2028, 0x85, 0x78)))]
     pages, path = spark.createDataFrame(rows, "page_id long, url string, html string"), str(tmp_path / "ends")
     warc.write_archives(pages, path)
     index = warc.build_index(warc.captures(spark, path), Scratch(spark))
