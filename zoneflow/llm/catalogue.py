@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.llm import minhash, paragraphs, pieces, positional, quality, secrets, sharding, urlfilter, vectors, warc
+from zoneflow.llm import (
+    exact, minhash, paragraphs, pieces, positional, quality, secrets, sharding, spelling, urlfilter, vectors, warc,
+)
 from zoneflow.llm.oracle import ORACLE
 from zoneflow.llm.scratch import Scratch
 
@@ -162,3 +164,15 @@ def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read_records(spark, archives, found).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """Frequent words of all documents with the more frequent form that they are a variant of."""
+    return spelling.group_variants(table(spark, folder, "documents"))
+
+
+@query
+def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Equal texts of all documents; the row with the largest number stays."""
+    return exact.find_duplicates(table(spark, folder, "documents"))

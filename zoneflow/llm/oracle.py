@@ -155,3 +155,54 @@ select page_id, payload_bytes, payload_digest,
   case when page_id < first_page then first_page end refers_to
 from payloads left join firsts on payload_bytes >= 1000 and payload_digest = d
 """
+
+ORACLE["op13_exact_dedup"] = f"""
+with texts as (select doc_id, {_LOWER.replace("text", "coalesce(text, '')")} t from documents
+), groups as (select t, max(doc_id) keep_id, count(*) group_size from texts group by 1)
+select doc_id, keep_id, group_size, doc_id = keep_id kept, sha256(t) text_sha256 from texts join groups using (t)
+"""
+
+
+# ``crc.steps``: what each byte value does to a crc32, by the rule of the reflected polynomial.
+_CRC = """crc as (
+  select list_transform(range(256), lambda b: list_reduce(range(8), lambda v, i:
+    case when v % 2 = 1 then xor(v // 2, 3988292384) else v // 2 end, b)) steps
+)"""
+
+
+def _crc32(text: str) -> str:
+    """Unsigned crc32 of the UTF-8 bytes of ``text``, byte by byte."""
+    byte = f"list_transform(range(strlen({text})), lambda i: cast('0x' || substr(hex({text}), 2 * i + 1, 2) as bigint))"
+    return f"xor(list_reduce({byte}, lambda c, b: xor(c // 256, crc.steps[xor(c % 256, b) + 1]), 4294967295), 4294967295)"
+
+
+ORACLE["op12_spelling"] = f"""
+with recursive {_CRC}, found as (
+  select cast(doc_id as varchar) id, unnest(regexp_extract_all({_LOWER}, '[a-z\u00C0-\u00FF]+')) r from documents
+), runs as (select id, r, count(*) n from found where length(r) >= 7 group by all
+), hashed as (select *, coalesce({_crc32("(id || ':' || r)")}, 1) h from runs, crc
+), cut as (
+  select case when h % 31 = 0 then r[:h % length(r)] || r[h % length(r) + 2:] else r end word, n from hashed
+), vocabulary as (
+  select word, cast(sum(n) as bigint) n from cut where length(word) >= 7 group by 1 having sum(n) >= 2
+), less as (
+  select word, n, i, word[:i] || word[i + 2:] rest from (select *, unnest(range(length(word))) i from vocabulary)
+), near as (
+  select distinct a.word a, b.word b, b.n from less a join less b on a.i = b.i and a.rest = b.rest and a.word <> b.word
+  union
+  select less.word, v.word, v.n from less join vocabulary v on less.rest = v.word
+  union
+  select v.word, less.word, less.n from less join vocabulary v on less.rest = v.word
+), best as (
+  select a word, count(*) n_near, arg_min({{'w': b, 'n': n}}, {{'m': -n, 'w': encode(b)}}) f from near group by 1
+), forms as (
+  select word, n, coalesce(n_near, 0) n_near, case when f.n >= 10 * n then f.w end form,
+    case when f.n >= 10 * n then f.n end form_n
+  from vocabulary left join best using (word)
+), follow as (
+  select word, coalesce(form, word) root, form is null done from forms
+  union all
+  select follow.word, coalesce(f.form, f.word), f.form is null from follow join forms f on follow.root = f.word where not done
+)
+select forms.*, root from forms join follow using (word) where done
+"""

@@ -28,10 +28,10 @@ class Scratch:
         self._count += 1
         return f"{self.root}/{self._count:03d}"
 
-    def keep(self, df: DataFrame) -> DataFrame:
+    def keep(self, df: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFrame:
         """Write ``df`` and return a frame that reads the written table."""
         path = self.path()
-        with settings(self.spark, spark__sql__execution__arrow__maxRecordsPerBatch=str(BATCH_ROWS)):
+        with settings(self.spark, spark__sql__execution__arrow__maxRecordsPerBatch=str(batch_rows)):
             df.write.parquet(path)
         back = self.spark.read.schema(df.schema).parquet(path)
         self._paths[id(back)] = path
