@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zoneflow.llm import (
-    exact, minhash, paragraphs, pieces, positional, quality, secrets, sharding, spelling, urlfilter, vectors, warc,
+    exact, manifest, minhash, paragraphs, pieces, positional, quality, secrets, sharding, spelling, urlfilter, vectors,
+    warc,
 )
 from zoneflow.llm.oracle import ORACLE
 from zoneflow.llm.scratch import Scratch
@@ -166,6 +167,23 @@ def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op11_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Manifest of all documents by source; every proof is folded from the row as it is after tampering.
+
+    Where crc32 of the number is even, tampering takes the line ends out of the text.
+    """
+    docs = table(spark, folder, "documents")
+    columns = ["doc_id", "source", "lang", "n_chars"]
+    leaf = manifest.leaf_digest([*columns, "text"])
+    tampered = manifest.leaf_digest([*columns, F.replace("text", F.lit("\n"), F.lit(""))])
+    even = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0) & F.contains("text", F.lit("\n"))
+    leaves = docs.select("doc_id", "source", leaf.alias("leaf"), F.when(even, tampered).alias("seen"))
+    leaves = leaves.withColumn("seen", F.coalesce("seen", "leaf"))
+    made = manifest.build(leaves, "source", ["doc_id", "leaf"])
+    return manifest.check(made, "seen").drop("source", "seen")
+
+
 @query
 def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
     """Frequent words of all documents with the more frequent form that they are a variant of."""

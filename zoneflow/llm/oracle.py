@@ -176,6 +176,59 @@ def _crc32(text: str) -> str:
     return f"xor(list_reduce({byte}, lambda c, b: xor(c // 256, crc.steps[xor(c % 256, b) + 1]), 4294967295), 4294967295)"
 
 
+def _value(column: str) -> str:
+    text = f"cast({column} as varchar)"
+    return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_value(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+_UP = "list_transform(range((len(nodes) + 2) // 3), lambda i: sha256(array_to_string(nodes[3 * i + 1:3 * i + 3], '')))"
+
+# Levels of the trees as lists of digests; ``place`` of a row is its place in the list of its level.
+ORACLE["op11_manifest"] = f"""
+with recursive {_CRC}, marked as (
+  select *, row_number() over (partition by source order by doc_id) - 1 pos, {_crc32("cast(doc_id as varchar)")} h
+  from documents, crc
+), leaves as (
+  select doc_id, source, pos, {_leaf("text")} leaf,
+    case when h % 2 = 0 then {_leaf("replace(text, chr(10), '')")} else {_leaf("text")} end seen
+  from marked
+), levels as (
+  select source, 0 level, list(leaf order by pos) nodes from leaves group by source
+  union all
+  select source, level + 1, {_UP} from levels where len(nodes) > 1
+), subroots as (
+  select source, nodes[1] subroot, level height, row_number() over (order by source nulls first) - 1 pos
+  from levels where len(nodes) = 1
+), tops as (
+  select 0 level, list(subroot order by pos) nodes from subroots
+  union all
+  select level + 1, {_UP} from tops where len(nodes) > 1
+), folded as (
+  select doc_id, source, 0 step, pos, seen digest, '' siblings, false above from leaves
+  union all
+  select f.doc_id, f.source, f.step + 1, f.pos // 3,
+    sha256(array_to_string(list_transform(n.run, lambda x, i: case when i = f.pos % 3 + 1 then f.digest else x end), '')),
+    f.siblings || array_to_string(list_transform(n.run, lambda x, i: case when i = f.pos % 3 + 1 then '' else x end), ''),
+    f.above
+  from (
+    select f.doc_id, f.source, f.step, case when not f.above and f.step = s.height then s.pos else f.pos end pos, f.digest,
+      f.siblings, f.above or f.step = s.height above, s.height
+    from folded f join subroots s on f.source is not distinct from s.source
+  ) f join (
+    select source, false above, level, nodes from levels
+    union all select s.source, true, s.height + t.level, t.nodes from subroots s, tops t
+  ) l on l.source is not distinct from f.source and l.above = f.above and l.level = f.step and len(l.nodes) > 1,
+  lateral (select l.nodes[f.pos - f.pos % 3 + 1:f.pos - f.pos % 3 + 3] run) n
+), lasts as (select doc_id, source, arg_max(digest, step) folded_root, arg_max(siblings, step) siblings from folded group by all)
+select l.doc_id, leaf, subroot, root, sha256(siblings) proof_sha256, folded_root, folded_root = root verified
+from leaves l join lasts on l.doc_id = lasts.doc_id join subroots s on s.source is not distinct from l.source,
+  (select nodes[1] root from tops where len(nodes) = 1)
+"""
+
 ORACLE["op12_spelling"] = f"""
 with recursive {_CRC}, found as (
   select cast(doc_id as varchar) id, unnest(regexp_extract_all({_LOWER}, '[a-z\u00C0-\u00FF]+')) r from documents
