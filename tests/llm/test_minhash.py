@@ -126,3 +126,14 @@ def test_no_python_pairs_blow_up(spark):
     band_rows, full = minhash.buckets(classes)
     stars = band_rows.join(full, "key").where("id <> pivot")
     assert stars.groupBy("key").count().join(full, "key").where(F.col("count") >= F.col("members")).count() == 0
+
+
+def test_keep_one_with_repeated_ids(spark):
+    rng = random.Random(21)
+    a, b, c, d = (" ".join(f"v{rng.randrange(9000)}" for _ in range(60)) for _ in range(4))
+    rows = [(1, a, "x"), (1, b, "y"), (2, c, "z"), (2, c, "z"), (3, c + " more", "w"), (None, d, "q"), (None, d, "q"), (4, None, "n")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, component_id string")
+    kept = minhash.keep_one(df, minhash.Params())
+    assert kept.columns == df.columns
+    got = sorted((tuple(r) for r in kept.collect()), key=str)
+    assert got == sorted([rows[i] for i in (0, 1, 2, 5, 6, 7)], key=str)

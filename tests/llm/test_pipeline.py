@@ -6,6 +6,7 @@ import pytest
 import sentencepiece
 from brute import Union, alnum, shingles, spaced
 from comparing import differences, duck
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 from zoneflow.llm import quality
@@ -14,21 +15,32 @@ from zoneflow.llm.catalogue import ORACLE, QUERIES
 FOLDER = "/root/testdata/sf0.001"
 
 
-def test_stages(spark, tmp_path):
+def planted(spark, folder):
+    """The tables with a secret at the end of every second document."""
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{FOLDER}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
-    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    text = F.when(F.col("doc_id") % 2 == 0, F.concat("text", F.lit("\napi_key = Zx81kq77pl\n"))).otherwise(F.col("text"))
+    docs.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).write.parquet(f"{folder}/documents.parquet")
+    return folder
+
+
+def test_stages(spark, tmp_path):
+    folder = planted(spark, str(tmp_path / "tables"))
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
     before = {r.doc_id: r for r in docs.collect()}
     names = docs.columns
     frames = []
     for number, (name, stage) in enumerate(cp.STAGES):
-        stage(spark, docs, FOLDER).write.parquet(str(tmp_path / f"{number}-{name}"))
+        stage(spark, docs, folder).write.parquet(str(tmp_path / f"{number}-{name}"))
         docs = spark.read.parquet(str(tmp_path / f"{number}-{name}"))
         frames.append(docs)
         assert number == len(cp.STAGES) - 1 or docs.columns == names
     kept, deduped, cleaned, redacted, encoded = ({r.doc_id: r for r in f.collect()} for f in frames)
 
-    model = quality.fit(spark.read.parquet(f"{FOLDER}/documents.parquet"), labels.where(~quality.held_out()))
-    scored = quality.score(spark.read.parquet(f"{FOLDER}/documents.parquet"), model)
+    start = spark.read.parquet(f"{folder}/documents.parquet")
+    scored = quality.score(start, quality.fit(start, labels.where(~quality.held_out())))
     assert set(kept) == {r.doc_id for r in scored.collect() if r.score >= 0.3}
 
     sets = {i: shingles(spaced(r.text), 5) for i, r in kept.items()}
@@ -40,7 +52,7 @@ def test_stages(spark, tmp_path):
                 union.join(a, b)
     assert set(deduped) == {union.find(i) for i in ids}
 
-    items = [alnum(r.text) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
+    items = [alnum(r.text) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
     windows = {tuple(w[i : i + 13]) for w in items if w for i in range(max(1, len(w) - 12))}
     sizes = {len(w) for w in windows}
 
@@ -60,7 +72,8 @@ def test_stages(spark, tmp_path):
     for i, r in redacted.items():
         assert not pattern.search(r.text) and r.n_chars == len(r.text)
         assert not re.search("AKIA[A-Z0-9]{16}|[0-9a-f]{24}", r.text)
-    assert any("<secret>" in r.text for r in redacted.values())
+    hidden = {i for i, r in redacted.items() if "<secret>" in r.text}
+    assert hidden >= {i for i in redacted if i % 2 == 0} and len(hidden) > 20
 
     library = sentencepiece.SentencePieceProcessor(model_file=cp.PIECE_MODEL)
     assert all(encoded[i].ids == library.encode(r.text) for i, r in redacted.items())

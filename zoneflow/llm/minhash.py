@@ -342,7 +342,8 @@ def near_duplicates(docs: DataFrame, p: Params, id_column: str = "doc_id", text_
 
     Defined cases: a null, empty or blank text has no shingles and links with nothing; a text of fewer words than a
     shingle has one shingle, its whole sequence; repeated rows get the same component; a row without an id links with
-    nothing, has a null component and is kept; an empty table gives no rows.  Other columns are ignored.
+    nothing, has a null component and is kept; rows that share an id are one document, linked with whatever one of them
+    is like; an empty table gives no rows.  Other columns are ignored.
     """
     scratch = Scratch(docs.sparkSession)
     sketches = scratch.keep(sketch(docs, p, id_column, text_column))
@@ -377,11 +378,14 @@ def near_duplicates(docs: DataFrame, p: Params, id_column: str = "doc_id", text_
 
 
 def keep_one(docs: DataFrame, p: Params, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Rows of ``docs`` with one row for each group of near duplicates: that of the smallest id.
+    """Rows of ``docs`` with one document for each group of near duplicates: that of the smallest id.
 
-    Rows without an id are all kept.  Of repeated rows with one id and text, one stays.  Columns are returned as they are.
+    Defined cases: rows that share an id are one document, so they stay or go together, and of those that share their
+    text too one stays; rows without an id and texts without words are all kept; an empty table gives no rows.  Columns
+    of any name are returned as they are.
     """
     marked = near_duplicates(docs, p, id_column, text_column)
     kept = marked.where(F.col("kept") & F.col(id_column).isNotNull()).select(id_column).distinct()
-    named = docs.where(F.col(id_column).isNotNull()).join(kept, id_column, "left_semi").dropDuplicates([id_column])
+    named = docs.where(F.col(id_column).isNotNull()).join(kept, id_column, "left_semi")
+    named = named.dropDuplicates([id_column, text_column])
     return named.unionByName(docs.where(F.col(id_column).isNull())).select(*docs.columns)
