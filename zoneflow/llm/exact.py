@@ -16,6 +16,7 @@ from zoneflow.llm import words as wd
 from zoneflow.llm.scratch import Scratch
 
 ROW_BYTES = 64  # what an entry weighs besides its text
+FINER = 5  # bits of the keys beyond those that as many full buckets need, by which bytes are counted
 
 
 @dataclass(frozen=True)
@@ -63,14 +64,19 @@ def grow_directory(counted: DataFrame, p: Params, scratch: Scratch) -> DataFrame
     many copies of one text, splits go on only until the rest of the bucket is below it: the bucket then overflows, and
     its rows are dealt to ``parts`` owners by their id.
     """
-    placed = counted.select("cell", "bytes", F.lit(0).cast("long").alias("bucket"), F.lit(0).alias("depth"))
     total = counted.agg(F.sum("bytes")).first()[0] or 0
     limit = F.lit(max(p.bucket_bytes, 4 * total >> p.max_depth))
+    deepest = min(p.max_depth, (total // p.bucket_bytes).bit_length() + FINER)
+    # Counts only as fine as the splits need them, so that a round costs a few rows for each bucket.
+    rest = p.max_depth - deepest
+    counted = counted.groupBy(F.expr(f"(cell >> {rest}) << {rest}").alias("cell")).agg(F.sum("bytes").alias("bytes"))
+    placed = counted.select("cell", "bytes", F.lit(0).cast("long").alias("bucket"), F.lit(0).alias("depth"))
     settled = None
-    for depth in range(p.max_depth + 1):
+    for depth in range(deepest + 1):
+        placed = scratch.keep(placed)
         sized = placed.groupBy("bucket", "depth").agg(F.sum("bytes").alias("bytes"), F.max("bytes").alias("most"))
-        rest = F.when(F.col("most") > limit, F.col("bytes") - F.col("most")).otherwise(F.col("bytes"))
-        splits = (rest > limit) & (F.col("depth") < p.max_depth)
+        others = F.when(F.col("most") > limit, F.col("bytes") - F.col("most")).otherwise(F.col("bytes"))
+        splits = (others > limit) & (F.col("depth") < deepest)
         parts = F.ceil(F.col("bytes") / limit).cast("int")
         directory = scratch.keep(sized.select("bucket", "depth", splits.alias("splits"), parts.alias("parts")))
         done = directory.where(~F.col("splits")).drop("splits")
