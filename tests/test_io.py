@@ -118,19 +118,7 @@ def test_writers(spark, tmp_path):
     assert writers.register({"facts_sql": df}) == ["facts_sql"]
 
 
-def test_changes_are_idempotent_per_batch(spark, tmp_path):
-    path = str(tmp_path / "changes")
-    first = spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int")
-    second = spark.createDataFrame([("b", 2), ("b", 3), ("c", 4)], "k string, v int")
-    for _ in range(2):
-        writers.append_changes(first, path, ["k"], 0, ["v"])
-        writers.append_changes(second, path, ["k"], 1, ["v"], tag="run-1")
-    state = {r.k: (r.v, r._pipeline_load_tag) for r in writers.read_changes(spark, path, ["k"]).collect()}
-    assert state == {"a": (1, None), "b": (3, "run-1"), "c": (4, "run-1")}
-    writers.compact_changes(spark, path, ["k"], str(tmp_path / "compact"))
-    assert {r.k: r.v for r in writers.read_changes(spark, str(tmp_path / "compact"), ["k"]).collect()} == {"a": 1, "b": 3, "c": 4}
-    with pytest.raises(ValueError, match="order"):
-        writers.append_changes(first, path, ["k"], 2, [])
+def test_runs_keep_the_last_record_of_a_tag(spark, tmp_path):
     for tag, rows in (("r1", 1), ("r/2 é", 5), ("r1", 2)):
         writers.record_run(spark, str(tmp_path / "runs"), tag, {"rows": rows, "none": None})
     runs = {r.run_tag: r.details for r in writers.read_runs(spark, str(tmp_path / "runs")).collect()}
@@ -189,8 +177,8 @@ def test_stream_upserts(spark, tmp_path):
     for rows in ([("a", 1), ("b", 1)], [("b", 2), ("c", 1)]):
         spark.createDataFrame(rows, "k string, v int").write.mode("append").parquet(source)
         stream = spark.readStream.schema("k string, v int").parquet(source)
-        path = rollups.drain_upserts(stream, run, ["k"], ["v"])
-    assert {r.k: r.v for r in writers.read_changes(spark, path, ["k"]).collect()} == {"a": 1, "b": 2, "c": 1}
+        log = rollups.drain_upserts(stream, run, ["k"], ["v"])
+    assert {r.k: r.v for r in log.read().collect()} == {"a": 1, "b": 2, "c": 1}
 
 
 def test_report_export_lists_failures(spark, tmp_path):

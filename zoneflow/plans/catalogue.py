@@ -20,11 +20,12 @@ from zoneflow.operators import (
 )
 from zoneflow.operators.sizing import cut_lineage
 from zoneflow.plans import reports
-from zoneflow.sources import given, readers, writers
+from zoneflow.sources import changelog, given, readers, writers
 from zoneflow.streaming import rollups
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+BATCHES = 12
 VIEW_START, VIEW_END = "1997-11", "1996-03"  # reversed on purpose: the bounds are swapped
 
 
@@ -706,8 +707,8 @@ def stream_zone_hour(spark: SparkSession, folder: str) -> DataFrame:
     """Events counted per zone and hour as a stream, the last hours included."""
     counts = rollups.zone_hour_counts(given.event_stream(spark, folder))
     run, cell = rollups.run_folder(spark, "zone-hour"), ["zone_id", "date_hour"]
-    changes = rollups.drain_upserts(counts, run, cell, ["demand_count"], mode="update")
-    return writers.read_changes(spark, changes, cell).select(*cell, "demand_count")
+    log = rollups.drain_upserts(counts, run, cell, ["demand_count"], mode="update")
+    return log.read().select(*cell, "demand_count")
 
 
 @query
@@ -718,8 +719,8 @@ def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
     changes, and the first batch that holds a key keeps it.
     """
     key = ["l_orderkey", "l_linenumber"]
-    changes = rollups.drain_upserts(given.line_stream(spark, folder), rollups.run_folder(spark, "dedupe"), key, ["l_shipdate"])
-    kept = writers.read_changes(spark, changes, key, first=True)
+    run = rollups.run_folder(spark, "dedupe")
+    kept = rollups.drain_upserts(given.line_stream(spark, folder), run, key, ["l_shipdate"], keep=changelog.FIRST).read()
     return kept.groupBy("l_linenumber").agg(F.count(F.lit(1)).alias("lines"))
 
 
@@ -727,10 +728,21 @@ def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
 def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Latest event per zone kept by keyed upserts from a stream."""
     run = rollups.run_folder(spark, "upsert")
-    changes = rollups.drain_upserts(given.event_stream(spark, folder), run, ["zone_id"], ["event_datetime", "event_id"])
-    return writers.read_changes(spark, changes, ["zone_id"]).select(
-        "zone_id", "event_id", "event_datetime", "final_call_type"
-    )
+    log = rollups.drain_upserts(given.event_stream(spark, folder), run, ["zone_id"], ["event_datetime", "event_id"])
+    return log.read().select("zone_id", "event_id", "event_datetime", "final_call_type")
+
+
+@query
+def upsert_levels(spark: SparkSession, folder: str) -> DataFrame:
+    """State of every user after the events came in twelve batches, merged on three levels of a log.
+
+    A batch holds the events of every twelfth number; of a user's events in one batch the latest counts.
+    """
+    log = changelog.ChangeLog(spark, rollups.run_folder(spark, "levels"), ["user_id"], fan=3)
+    events = given.table(spark, folder, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    for number in range(BATCHES):
+        log.append(events.where(F.col("event_id") % BATCHES == number), number, ["ts", "event_id"], tag=f"run-{number}")
+    return tidy(log.read().drop(changelog.LOADED).withColumnRenamed(changelog.TAG, "load_tag"))
 
 
 # --- files ----------------------------------------------------------------

@@ -1353,6 +1353,14 @@ from (select concat('Z0', cast(user_id % 8 as varchar)) zone_id, cast(event_id a
         row_number() over (partition by user_id % 8 order by ts desc, cast(event_id as varchar) desc) r
       from events) where r = 1""",
 )
+_check(
+    "upsert_levels",
+    (),
+    """
+select user_id, event_id, ts, event_type, round(value, 6) "value", 'run-' || cast(event_id % 12 as varchar) load_tag
+from (select *, row_number() over (partition by user_id order by event_id % 12 desc, ts desc, event_id desc) r from events)
+where r = 1""",
+)
 _check(
     "csv_round_trip",
     ("raw_clean",),

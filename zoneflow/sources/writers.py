@@ -1,10 +1,9 @@
-"""Writers: tables, single files, previews, views, keyed changes and run records."""
+"""Writers: tables, single files, previews, views and run records."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timezone
-from functools import partial
 from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
@@ -13,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zoneflow.functions.time import iso_text
-from zoneflow.operators.collapse import collapse, keep_first
 
 PREVIEW_ROWS = 5_000
 # Published alias -> mart.
@@ -27,7 +25,6 @@ ALIASES = {
     "tableau_executive_kpis": "executive_kpis",
     "tableau_workload_risk_scores": "workload_risk_scores",
 }
-BATCH = "_batch"
 RUN = "_run"
 
 
@@ -94,43 +91,6 @@ def build_once(spark: SparkSession, path: str, build: Callable[[], DataFrame], i
     return write_table(build(), path)
 
 
-# --- keyed changes --------------------------------------------------------
-
-
-def append_changes(
-    df: DataFrame, path: str, key: Sequence[str], batch: int, order: Sequence, tag: str | None = None
-) -> None:
-    """Write the newest record per key of one batch next to earlier batches.
-
-    ``order`` decides between records of a key and must not be empty: a retried
-    batch then picks the same record.
-
-    Each batch has its own folder and replaces it when retried, so a repeated
-    batch changes nothing.  The cost follows the batch, not the table.
-    """
-    if not order:
-        raise ValueError("an order is needed to choose between records of one key")
-    newest = collapse(df, key, order, count_as=None)
-    stamped = newest.withColumns(
-        {
-            "_pipeline_load_tag": F.lit(tag).cast("string"),
-            "_loaded_at": F.lit(datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")),
-        }
-    )
-    stamped.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch}")
-
-
-def read_changes(spark: SparkSession, path: str, key: Sequence[str], first: bool = False) -> DataFrame:
-    """Current state of a keyed table: per key the record of the latest batch, or of the ``first`` one."""
-    pick = keep_first if first else partial(collapse, count_as=None)
-    return pick(spark.read.parquet(path), key, [BATCH]).drop(BATCH)
-
-
-def compact_changes(spark: SparkSession, path: str, key: Sequence[str], into: str) -> None:
-    """Write the current state as the first batch of a new folder of changes, so later reads start from it."""
-    read_changes(spark, path, key).write.mode("overwrite").parquet(f"{into}/{BATCH}=0")
-
-
 def record_run(spark: SparkSession, path: str, run_tag: str, facts: Mapping[str, object]) -> None:
     """Store one run's figures in the folder of its tag; a later record of the same tag replaces it, others stay."""
     details = {k: None if v is None else str(v) for k, v in facts.items()}

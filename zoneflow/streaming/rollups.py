@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from zoneflow.functions.time import instant_to_ntz, ntz_to_instant
 from zoneflow.operators.sizing import shared_folder
-from zoneflow.sources.writers import append_changes
+from zoneflow.sources.changelog import LAST, ChangeLog
 
 INSTANT = "_instant"
 
@@ -40,10 +40,10 @@ def first_seen(stream: DataFrame, key: Sequence[str] = ("event_id",), ts: str =
     return with_watermark(stream, ts, delay).dropDuplicatesWithinWatermark(list(key)).drop(INSTANT)
 
 
-def upsert_to(path: str, key: Sequence[str], order: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """Sink function for ``foreachBatch`` that adds each micro-batch as keyed changes."""
+def upsert_to(log: ChangeLog, order: Sequence[str]) -> Callable[[DataFrame, int], None]:
+    """Sink function for ``foreachBatch`` that applies each micro-batch to a log; a repeated one changes nothing."""
     def write(batch: DataFrame, number: int) -> None:
-        append_changes(batch, path, key, number, order)
+        log.append(batch, number, order)
 
     return write
 
@@ -68,22 +68,23 @@ def drain_to_parquet(stream: DataFrame, folder: str) -> DataFrame:
 
 
 def drain_upserts(
-    stream: DataFrame, folder: str, key: Sequence[str], order: Sequence[str], mode: str = "append"
-) -> str:
-    """Process all available input as keyed upserts and return the path of the changes.
+    stream: DataFrame, folder: str, key: Sequence[str], order: Sequence[str], mode: str = "append", keep: str = LAST
+) -> ChangeLog:
+    """Process all available input as keyed upserts and return their log.
 
     In update mode an aggregated stream writes every group it has changed, closed
     or still open, and a later batch replaces it: nothing waits for a watermark.
     """
+    log = ChangeLog(stream.sparkSession, f"{folder}/changes", key, keep=keep)
     query = (
         stream.writeStream.outputMode(mode)
-        .foreachBatch(upsert_to(f"{folder}/changes", key, order))
+        .foreachBatch(upsert_to(log, order))
         .option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(availableNow=True)
         .start()
     )
     _finish(query)
-    return f"{folder}/changes"
+    return log
 
 
 def _finish(query: StreamingQuery) -> None:
