@@ -81,6 +81,11 @@ def zone_summary(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.sum("high_demand_flag").alias("high"),
         F.max(demand).alias("peak"),
     )
+    return summary_of_hours(per_hour, by)
+
+
+def summary_of_hours(per_hour: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Zone summary from the totals of each hour of the day."""
     zones = per_hour.groupBy(*by, "zone_id").agg(
         F.sum("total").alias("total_service_demand"),
         F.sum("records").alias("zone_hour_records"),

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from zoneflow.functions import text as tx
 from zoneflow.functions import time as tm
 from zoneflow.operators import (
-    audit, cleaning, collapse, enrich, forecast, geo, marts, planner, quality, ranking, segments, stats, zonehour,
+    audit, cleaning, collapse, enrich, forecast, geo, marts, partials, planner, quality, ranking, segments, stats, zonehour,
 )
 from zoneflow.operators.sizing import cut_lineage
 from zoneflow.plans import reports
@@ -26,6 +26,8 @@ from zoneflow.streaming import rollups
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 BATCHES = 12
+SLICES = 4
+QUANTILES = {"p50": 0.5, "p75": 0.75, "p95": 0.95}
 VIEW_START, VIEW_END = "1997-11", "1996-03"  # reversed on purpose: the bounds are swapped
 
 
@@ -281,6 +283,52 @@ def filtered_view(spark: SparkSession, folder: str) -> DataFrame:
     return tidy(marts.view(_long_rows(spark, folder), VIEW_START, VIEW_END))
 
 
+def _sliced_mart(spark: SparkSession, rows: DataFrame) -> partials.CellMart:
+    """Mart of cells from a slice for every fourth year; one slice first comes with half its hours, then again."""
+    mart = partials.CellMart(spark, rollups.run_folder(spark, "cells"))
+    own = F.col("year") % SLICES
+    mart.write_slice(rows.where((own == 1) & (F.col("hour") < 12)), "1")
+    for number in range(SLICES):
+        mart.write_slice(rows.where(own == number), str(number))
+    return mart
+
+
+@query
+def incremental_mart(spark: SparkSession, folder: str) -> DataFrame:
+    """Zone summary by period from slices, one of which was replaced."""
+    return tidy(_sliced_mart(spark, cut_lineage(_long_rows(spark, folder))).summary(marts.PERIOD))
+
+
+@query
+def incremental_view(spark: SparkSession, folder: str) -> DataFrame:
+    """Weekend summary of a range of months, from cells alone."""
+    mart = _sliced_mart(spark, cut_lineage(_long_rows(spark, folder)))
+    return tidy(mart.summary(start=VIEW_START, end=VIEW_END, day_type=marts.WEEKEND))
+
+
+@query
+def sketch_view(spark: SparkSession, folder: str) -> DataFrame:
+    """Quantiles of hourly demand and active days of a range of months from merged sketches, held against the rows.
+
+    A quantile is within bounds if at most its share of the rows, and two percent, is smaller, and at least its share
+    less two percent is not larger; active days are if they differ by at most five percent.
+    """
+    rows = cut_lineage(_long_rows(spark, folder))
+    found = _sliced_mart(spark, rows).distribution(start=VIEW_START, end=VIEW_END)
+    chosen = marts.in_periods(rows, VIEW_START, VIEW_END).select("zone_id", "demand_count", "date")
+    shares = chosen.join(found, "zone_id").groupBy("zone_id", "zone_hours", "active_days").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("date").alias("days"),
+        *[F.avg((F.col("demand_count") < F.col(q)).cast("int")).alias(f"{q}_below") for q in QUANTILES],
+        *[F.avg((F.col("demand_count") <= F.col(q)).cast("int")).alias(f"{q}_upto") for q in QUANTILES],
+    )
+    within = [
+        ((F.col(f"{q}_below") <= share + 0.02) & (F.col(f"{q}_upto") >= share - 0.02)).alias(f"{q}_within")
+        for q, share in QUANTILES.items()
+    ]
+    days = F.abs(F.col("active_days") - F.col("days")) <= 0.05 * F.col("days")
+    return shares.select("zone_id", "zone_hours", *within, days.alias("days_within"))
+
+
 @query
 def weekend_view(spark: SparkSession, folder: str) -> DataFrame:
     return tidy(marts.view(_long_rows(spark, folder), VIEW_START, VIEW_END, marts.WEEKEND))

@@ -624,6 +624,15 @@ select zone_id, {_hour_columns('"hour"', 'demand_count')} from mart
 where zone_id in (select zone_id from mart group by 1 order by sum(demand_count) desc, 1 limit 5) group by all""",
 )
 _check("filtered_view", ("order_mart",), _summary("order_mart", "", SELECTED))
+_check("incremental_mart", ("order_mart",), _summary("order_mart", '"period", "year", "month"'))
+_check("incremental_view", ("order_mart",), _summary("order_mart", "", f"{SELECTED} and is_weekend"))
+_check(
+    "sketch_view",
+    ("order_mart",),
+    f"""
+select zone_id, count(*) zone_hours, true p50_within, true p75_within, true p95_within, true days_within
+from order_mart where {SELECTED} group by all""",
+)
 _check("weekend_view", ("order_mart",), _summary("order_mart", "", f"{SELECTED} and is_weekend"))
 _check(
     "view_kpis",
