@@ -16,11 +16,12 @@ from pyspark.sql import types as T
 from zoneflow.functions import text as tx
 from zoneflow.functions import time as tm
 from zoneflow.operators import (
-    audit, cleaning, collapse, enrich, forecast, geo, marts, partials, planner, quality, ranking, segments, stats, zonehour,
+    audit, cleaning, collapse, enrich, forecast, geo, marts, partials, planner, quality, ranking, sampling,
+    segments, stats, zonehour,
 )
 from zoneflow.operators.sizing import cut_lineage
 from zoneflow.plans import reports
-from zoneflow.sources import changelog, given, readers, writers
+from zoneflow.sources import builds, changelog, given, readers, writers
 from zoneflow.streaming import rollups
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -827,3 +828,52 @@ def report_export(spark: SparkSession, folder: str) -> DataFrame:
     names = ["monthly_trend", "demand_by_service_category", "demand_volatility_by_zone"]
     done = reports.export(tables, rollups.run_folder(spark, "reports"), names)
     return done.select("name", F.coalesce("rows", F.lit(-1).cast("long")).alias("rows"), F.col("error").isNotNull().alias("failed"))
+
+
+@query
+def catalog_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Events loaded into a catalog table in three batches, one of them twice."""
+    run = rollups.run_folder(spark, "catalog")
+    name = "events_" + run.rsplit("-", 1)[1]
+    events = given.cleaned_events(spark, folder).select(
+        "event_id", "event_datetime", "zone_id", (F.col("event_id").cast("long") % 2 == 0).alias("is_even")
+    )
+    for batch in (0, 1, 2, 1):
+        writers.load_table(events.where(F.col("event_id").cast("long") % 3 == batch), name, batch, run)
+    return spark.table(name).withColumnRenamed(writers.BATCH, "batch")
+
+
+@query
+def capped_sample(spark: SparkSession, folder: str) -> DataFrame:
+    """A hundred events of each type, drawn by a seeded hash."""
+    events = given.table(spark, folder, "events").select("event_id", "event_type", "user_id")
+    return sampling.capped_sample(events, 100, ["event_id"], seed=42, by=["event_type"])
+
+
+@query
+def capped_sample_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Five hundred orders, drawn by a seeded hash."""
+    orders = given.table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    return sampling.capped_sample(orders, 500, ["o_orderkey"], seed=7)
+
+
+@query
+def tracked_build(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily events built from files: first, again, with another parameter, and after more files came."""
+    run = rollups.run_folder(spark, "build")
+    events = f"{folder}/events.parquet"
+    given.table(spark, folder, "events").where("event_id % 2 = 0").write.parquet(f"{run}/more")
+
+    def daily(least: int):
+        def build(files):
+            rows = spark.read.parquet(*files).where(F.col("value") >= least)
+            return rows.groupBy(F.col("ts").cast("date").cast("string").alias("day")).agg(F.count(F.lit(1)).alias("events"))
+
+        return build
+
+    steps = []
+    for number, (inputs, least) in enumerate([([events], 0), ([events], 0), ([events], 5), ([events, f"{run}/more"], 5)]):
+        made = builds.build_tracked(spark, f"{run}/daily", inputs, daily(least), {"least": least}, additive=True)
+        total = made.table.agg(F.sum("events").alias("events"))
+        steps.append(cut_lineage(total.select(F.lit(number).alias("step"), F.lit(made.decision).alias("decision"), "events")))
+    return steps[0].union(steps[1]).union(steps[2]).union(steps[3])

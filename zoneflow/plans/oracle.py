@@ -1394,3 +1394,33 @@ select 'monthly_trend' "name", count(distinct ("year", "month")) "rows", false f
 union all select 'demand_by_service_category', count(distinct category), false from order_facts
 union all select 'demand_volatility_by_zone', -1, true""",
 )
+_check(
+    "catalog_load",
+    ("service",),
+    """
+select event_id, strftime(event_datetime, '%Y-%m-%d %H:%M:%S') event_datetime, coalesce(beat, 'UNKNOWN') zone_id,
+  cast(cast(event_id as bigint) % 2 = 0 as integer) is_even, cast(cast(event_id as bigint) % 3 as integer) batch
+from service""",
+)
+_check(
+    "capped_sample",
+    (),
+    """
+select event_id, event_type, user_id
+from (select *, row_number() over (partition by event_type order by sha256('42:' || event_id), event_id) r from events)
+where r <= 100""",
+)
+_check(
+    "capped_sample_all",
+    (),
+    "select o_orderkey, o_custkey from orders order by sha256('7:' || o_orderkey), o_orderkey limit 500",
+)
+_check(
+    "tracked_build",
+    (),
+    """
+select 0 step, 'built' decision, cast(count(*) as bigint) events from events where "value" >= 0
+union all select 1, 'skipped', count(*) from events where "value" >= 0
+union all select 2, 'rebuilt', count(*) from events where "value" >= 5
+union all select 3, 'extended', count(*) + count(*) filter (event_id % 2 = 0) from events where "value" >= 5""",
+)

@@ -25,6 +25,7 @@ ALIASES = {
     "tableau_executive_kpis": "executive_kpis",
     "tableau_workload_risk_scores": "workload_risk_scores",
 }
+BATCH = "_batch"
 RUN = "_run"
 
 
@@ -47,10 +48,11 @@ def write_preview(df: DataFrame, path: str, key: Sequence[str], rows: int = PREV
 
 
 def write_record(df: DataFrame, path: str) -> None:
-    """A one-row table as one JSON file; more rows are an error."""
-    if len(df.take(2)) > 1:
+    """A one-row table as one JSON file; more rows are an error, and an earlier record then stays."""
+    rows = df.take(2)
+    if len(rows) > 1:
         raise ValueError("a record has one row")
-    df.repartition(1).write.mode("overwrite").json(path)
+    df.sparkSession.createDataFrame(rows, df.schema).coalesce(1).write.mode("overwrite").json(path)
 
 
 def sql_types(df: DataFrame) -> DataFrame:
@@ -81,6 +83,32 @@ def publish(marts: Mapping[str, DataFrame], aliases: Mapping[str, str] = ALIASES
     return list(present)
 
 
+def load_table(df: DataFrame, table: str, batch: int, path: str | None = None) -> None:
+    """Load one batch of rows into a catalog table, partitioned by batch, with columns in SQL types.
+
+    The first batch creates the table (``path`` gives its place; the warehouse by default), later ones add their rows,
+    and a batch that is loaded again replaces its own rows only, so a retry adds nothing.  Columns are matched by name;
+    one that the table has not is an error, one that the batch has not is null.  An empty batch changes nothing.
+    """
+    spark = df.sparkSession
+    stamped = sql_types(df).withColumn(BATCH, F.lit(batch).cast("int"))
+    if not spark.catalog.tableExists(table):
+        writer = stamped.write.partitionBy(BATCH).format("parquet")
+        (writer.option("path", path) if path else writer).saveAsTable(table)
+        return
+    known = spark.table(table).schema
+    unknown = set(stamped.columns) - set(known.names)
+    if unknown:
+        raise ValueError(f"columns that {table} has not: {sorted(unknown)}")
+    aligned = [(F.col(f.name) if f.name in stamped.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in known]
+    mode, before = "spark.sql.sources.partitionOverwriteMode", spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set(mode, "dynamic")
+    try:
+        stamped.select(*aligned).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
+
+
 def build_once(spark: SparkSession, path: str, build: Callable[[], DataFrame], if_exists: str = "skip") -> DataFrame:
     """The table at the path; built and written only when absent or ``if_exists`` is ``overwrite``."""
     if if_exists == "skip":
