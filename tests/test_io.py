@@ -181,6 +181,33 @@ def test_stream_upserts(spark, tmp_path):
     assert {r.k: r.v for r in log.read().collect()} == {"a": 1, "b": 2, "c": 1}
 
 
+def test_closed_hours_and_late_events(spark, tmp_path):
+    """Out-of-order batches: an hour is counted once, late events stand apart, the state holds the hours within the delay."""
+    hours = rollups.ClosedHours(spark, str(tmp_path / "hours"))
+    at = lambda h, m=0: datetime(2024, 1, 1 + h // 24, h % 24, m)
+    batches = [
+        [("a", at(0, 5)), ("a", at(0, 50)), ("b", at(1))],
+        [("a", at(0, 59)), ("a", at(5, 30)), ("b", None)],        # closes hours before 3
+        [("a", at(1)), ("b", at(2, 59)), ("b", at(3)), ("b", at(4))],
+        [],
+        [("a", at(100, 10))],
+        [("b", at(97)), ("b", at(98))],
+    ]
+    frames = [spark.createDataFrame(b, "zone_id string, event_datetime timestamp_ntz") for b in batches]
+    for number, df in enumerate(frames):
+        hours.apply(df, number)
+        if number in (1, 2):
+            hours.apply(df, number)  # a retry
+    got = lambda df: sorted((r.zone_id, r.date_hour, r.demand_count) for r in df.collect())
+    assert got(hours.closed()) == [("a", at(0), 3), ("a", at(5), 1), ("b", at(1), 1), ("b", at(3), 1), ("b", at(4), 1)]
+    assert got(hours.still_open()) == [("a", at(100), 1), ("b", at(98), 1)]
+    late = sorted(((r.zone_id, r.event_datetime) for r in hours.late().collect()), key=str)
+    assert late == sorted([("a", at(1)), ("b", at(2, 59)), ("b", at(97)), ("b", None)], key=str)
+    for number in range(12):
+        hours.apply(spark.createDataFrame([("a", at(101 + number))], frames[0].schema), 6 + number)
+    assert hours.still_open().count() == 3
+
+
 def test_report_export_lists_failures(spark, tmp_path):
     fact = spark.createDataFrame([("ok",), ("ok",)], "data_quality_flag string")
     rows = {r.name: r for r in reports.export({"fact": fact}, str(tmp_path), ["data_quality_summary", "top_demand_zones"]).collect()}

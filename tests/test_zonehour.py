@@ -1,8 +1,10 @@
+import random
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from zoneflow.functions import time as tm
 from zoneflow.operators import enrich, zonehour
 from zoneflow.operators.cleaning import CLEAN_COLUMNS
 from zoneflow.sources import given
@@ -125,3 +127,21 @@ def test_plan_combines_before_the_first_shuffle(spark):
     assert text.count("SortMergeJoin") == 0
     main = text.split("Scan parquet")[0]
     assert main.count("Exchange hashpartitioning(zone_id") == 3
+
+
+def test_history_by_time_equals_the_dense_table(spark):
+    rng = random.Random(17)
+    hours = {z: sorted(rng.sample(range(600), n)) for z, n in (("a", 200), ("b", 5), ("c", 1), ("d", 0))}
+    start = datetime(2024, 3, 1)
+    rows = [(z, start + timedelta(hours=h), rng.randrange(1, 9)) for z, hs in hours.items() for h in hs] + [("a", None, 4)]
+    df = spark.createDataFrame(rows, "zone_id string, date_hour timestamp_ntz, target_demand_count long")
+    df = tm.add_calendar_parts(df.withColumn("date", F.col("date_hour").cast("date")).withColumn("hour", F.hour("date_hour")), "date", "hour")
+    dated = df.where("date_hour is not null")
+    names = ["zone_id", "date_hour", *zonehour.LAG_NAMES.values(), "rolling_7_day_avg"]
+    dense = zonehour.add_history(zonehour.densify(dated)).where("target_demand_count > 0").select(*names)
+    by_time = zonehour.add_history_by_time(df).select(*names)
+    rounded = lambda d: sorted(tuple(round(x, 9) if isinstance(x, float) else str(x) for x in r) for r in d.collect())
+    assert rounded(by_time.where("date_hour is not null")) == rounded(dense)
+    assert [tuple(r)[2:] for r in by_time.where("date_hour is null").collect()] == [(0, 0, 0, 0.0)]
+    plan = by_time._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from zoneflow.functions.time import CALENDAR_PARTS, add_calendar_parts, hour_of
+from zoneflow.functions.time import CALENDAR_PARTS, add_calendar_parts, epoch_seconds, hour_of
 from zoneflow.operators.enrich import WEATHER_COLUMNS
 
 # The calendar columns follow from date and hour, so they are no part of the key:
@@ -102,6 +102,28 @@ def add_history(zone_hour: DataFrame, window: int = 168) -> DataFrame:
     return zone_hour.withColumns(columns)
 
 
+def add_history_by_time(zone_hour: DataFrame, window: int = 168) -> DataFrame:
+    """The history that a dense table would give, from the observed rows alone.
+
+    Offsets are hours: frames over the time axis find the row of that hour, or nothing, which is no demand.  The mean
+    divides by the hours since the zone's first, at most ``window``.  A row without a time has no history.
+    """
+    hours = F.floor(epoch_seconds("date_hour") / 3600)
+    by_hour = W.partitionBy("zone_id").orderBy("_hour")
+    demand = F.sum("target_demand_count")
+    none = F.lit(0).cast("long")
+    dated = F.col("_hour").isNotNull()
+    columns = {
+        name: F.when(dated, F.coalesce(demand.over(by_hour.rangeBetween(-n, -n)), none)).otherwise(none)
+        for n, name in LAG_NAMES.items()
+    }
+    first = F.min("_hour").over(W.partitionBy("zone_id"))
+    passed = F.least(F.col("_hour") - first, F.lit(window))
+    mean = F.try_divide(demand.over(by_hour.rangeBetween(-window, -1)), passed)
+    columns["rolling_7_day_avg"] = F.when(dated & (passed > 0), F.coalesce(mean, F.lit(0.0))).otherwise(0.0)
+    return zone_hour.withColumn("_hour", hours).withColumns(columns).drop("_hour")
+
+
 def add_high_demand(zone_hour: DataFrame, quantile: float = 0.75, exact: bool = True) -> DataFrame:
     """Flag hours above the zone's own quantile of hourly demand.
 
@@ -120,11 +142,13 @@ def add_high_demand(zone_hour: DataFrame, quantile: float = 0.75, exact: bool =
 
 
 def build(
-    fact: DataFrame, exact: bool = True, dense: bool = False, window: int = 168, quantile: float = 0.75
+    fact: DataFrame, exact: bool = True, dense: bool = False, window: int = 168, quantile: float = 0.75,
+    by_time: bool = False,
 ) -> DataFrame:
-    """The 26-column zone-hour feature table."""
+    """The 26-column zone-hour feature table; history counts rows, or hours with ``by_time`` or on a ``dense`` table."""
     zone_hour = rollup(fact)
     if dense:
         zone_hour = densify(zone_hour)
-    zone_hour = add_high_demand(add_history(zone_hour, window), quantile, exact)
+    history = add_history_by_time if by_time else add_history
+    zone_hour = add_high_demand(history(zone_hour, window), quantile, exact)
     return zone_hour.select(*ZONE_HOUR_COLUMNS)

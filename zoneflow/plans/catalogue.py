@@ -139,6 +139,18 @@ def high_demand_approx(spark: SparkSession, folder: str) -> DataFrame:
     return _high_demand(spark, folder, False)
 
 
+@query
+def time_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Lags and rolling mean by hours, as on the dense table, for the observed hours only."""
+    built = given.zone_hour(spark, folder, by_time=True)
+    return tidy(
+        built.select(
+            "zone_id", "date_hour", "target_demand_count", "lag_1_hour_demand", "lag_24_hour_demand",
+            "prior_week_same_hour_demand", "rolling_7_day_avg",
+        )
+    )
+
+
 @query
 def dense_zone_hour(spark: SparkSession, folder: str) -> DataFrame:
     """Zone-hour table with every hour present, so lags are hours."""
@@ -760,6 +772,23 @@ def stream_zone_hour(spark: SparkSession, folder: str) -> DataFrame:
     return log.read().select(*cell, "demand_count")
 
 
+@query
+def stream_late_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Hours counted until they close, from files out of order; late events, counted too, make up for what is missing."""
+    run = rollups.run_folder(spark, "late")
+    events = given.table(spark, folder, "events")
+    zoned = events.select(given.zone_code(F.col("user_id") % 8).alias("zone_id"), F.col("ts").alias("event_datetime"))
+    for part in range(3):  # a later file goes back to the first days
+        zoned.where(F.dayofyear("event_datetime") % 3 == part).write.mode("append").parquet(f"{run}/in")
+    stream = spark.readStream.schema(zoned.schema).option("maxFilesPerTrigger", 1).parquet(f"{run}/in")
+    hours = rollups.drain_closed_hours(stream, run)
+    late = hours.late().groupBy("zone_id", rollups.floor_hour("event_datetime").alias("date_hour")).agg(
+        F.count(F.lit(1)).alias("demand_count")
+    )
+    parts = hours.closed().unionByName(hours.still_open()).unionByName(late)
+    return parts.groupBy("zone_id", "date_hour").agg(F.sum("demand_count").alias("demand_count"))
+
+
 @query
 def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines de-duplicated on order and line number as a stream, counted per line number.

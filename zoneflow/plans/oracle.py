@@ -1424,3 +1424,18 @@ union all select 1, 'skipped', count(*) from events where "value" >= 0
 union all select 2, 'rebuilt', count(*) from events where "value" >= 5
 union all select 3, 'extended', count(*) + count(*) filter (event_id % 2 = 0) from events where "value" >= 5""",
 )
+_check(
+    "time_history",
+    ("dense_features",),
+    """
+select zone_id, date_hour, target_demand_count, lag_1_hour_demand, lag_24_hour_demand, prior_week_same_hour_demand,
+  round(rolling_7_day_avg, 6) rolling_7_day_avg
+from dense_features where target_demand_count > 0""",
+)
+_check(
+    "stream_late_events",
+    (),
+    """
+select concat('Z0', cast(user_id % 8 as varchar)) zone_id, date_trunc('hour', ts) date_hour, count(*) demand_count
+from events group by all""",
+)
