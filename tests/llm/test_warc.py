@@ -3,6 +3,9 @@
 import glob
 import gzip
 import hashlib
+import io
+
+import pytest
 
 from zoneflow.llm import warc
 from zoneflow.llm.scratch import Scratch
@@ -78,3 +81,50 @@ def test_urls_that_end_in_other_white_space(spark, tmp_path):
     keys = pages.select(warc.clean_uri("url").alias("uri")).select(warc.url_key("uri").alias("key"))
     read = warc.read_records(spark, path, warc.lookup(index, keys)).collect()
     assert sorted((r.page_id, r.uri) for r in read) == [(i, u) for i, u, _ in rows]
+
+
+def test_one_key_reads_only_its_ranges(spark, tmp_path, monkeypatch):
+    rows, path = material(), str(tmp_path / "archives")
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2), path)
+    entries = warc.captures(spark, path)
+    wanted = entries.where("key = 'org,example,hot,www)/x' or page in (7, 2004)").collect()
+    assert "content" not in warc.archives(spark, path)[0].columns
+
+    class Counting:
+        def __init__(self, name):
+            self.file, self.bytes = warc.open_archive(name), 0
+
+        def seek(self, at):
+            self.file.seek(at)
+
+        def read(self, n):
+            self.bytes += n
+            return self.file.read(n)
+
+    for name in {e.path for e in wanted}:
+        ranges, source = sorted((e.offset, e.length) for e in wanted if e.path == name), Counting(name)
+        records = list(warc.read_ranges(source, ranges))
+        assert len(records) == len(ranges) and source.bytes == sum(n for _, n in ranges)
+        assert all(r.startswith(b"WARC/1.1") for r in records)
+    again = entries.where("page = 7").withColumn("other", warc.F.lit(1))
+    none = again.withColumn("path", warc.F.lit(None).cast("string"))
+    read = warc.read_records(spark, path, again.unionByName(again).unionByName(none)).collect()
+    assert [r.page_id for r in read] == [7]
+
+
+def test_archives_that_tasks_cannot_open(spark, tmp_path, monkeypatch):
+    rows = [(i, f"http://a.b/{i}", "x" * i * 10) for i in range(120)]
+    path = str(tmp_path / "far")
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), path)
+    near = warc.captures(spark, path).cache()
+    direct = sorted(warc.read_records(spark, path, near).collect())
+    monkeypatch.setattr(warc, "OPENED", set())
+    assert sorted(warc.captures(spark, path).collect()) == sorted(near.collect())
+    assert sorted(warc.read_records(spark, path, near).collect()) == direct and len(direct) == 120
+
+
+def test_an_archive_that_is_cut_off(tmp_path):
+    whole = warc.gzip_members(warc.record("response", 1, "http://a.b/", "2024", b"x" * 5000, 5000, b"0" * 20, None))
+    assert len(list(warc.members(io.BytesIO(whole * 3)))) == 3
+    with pytest.raises(EOFError):
+        list(warc.members(io.BytesIO(whole + whole[:-9])))

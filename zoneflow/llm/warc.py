@@ -15,9 +15,12 @@ import base64
 import hashlib
 import zlib
 from collections.abc import Iterator
+from itertools import groupby
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as fs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +32,8 @@ REVISIT_BYTES = 1_000  # equal payloads of at least so many bytes are stored onc
 RECORDS_PER_FILE = 2_000
 BLOCK_ENTRIES = 3_000
 MEMBER_BYTES = 8 << 20
+READ_STEP, READ_BYTES = 1 << 15, 4 << 20
+OPENED = {"file", "hdfs", "s3", "s3a", "gs"}  # kinds of files that tasks can open themselves
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  # fixed value
 
 # --- records -----------------------------------------------------------------
@@ -74,16 +79,21 @@ def _page(urn: str | None) -> int | None:
     return int(digits) if digits else None
 
 
-def members(content: memoryview) -> Iterator[tuple[int, int, bytes]]:
-    """(offset, length, record) of each record of an archive; bytes are handed to the inflater in small steps."""
-    at, total, step = 0, len(content), 1 << 15
+def members(source) -> Iterator[tuple[int, int, bytes]]:
+    """(offset, length, record) of each record of an archive, an open file that is read in small steps.
+
+    An archive that ends inside a record is an error.
+    """
+    at, held = 0, b""
     start, parts, wanted = 0, [], None
-    while at < total:
-        inflate, end = zlib.decompressobj(31), at
-        while not inflate.eof and end < total:
-            parts.append(inflate.decompress(content[end : end + step]))
-            end += step
-        at = min(end, total) - len(inflate.unused_data)
+    while held := held or source.read(READ_STEP):
+        inflate = zlib.decompressobj(31)
+        while held and not inflate.eof:
+            parts.append(inflate.decompress(held))
+            at += len(held) - len(inflate.unused_data)
+            held = inflate.unused_data if inflate.eof else source.read(READ_STEP)
+        if not inflate.eof:
+            raise EOFError("the archive ends inside a record")
         if wanted is None:
             head, _, rest = b"".join(parts).partition(b"\r\n\r\n")
             size = next(int(x[15:]) for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:"))
@@ -91,6 +101,8 @@ def members(content: memoryview) -> Iterator[tuple[int, int, bytes]]:
         if sum(map(len, parts)) >= wanted:
             yield start, at - start, b"".join(parts)
             start, parts, wanted = at, [], None
+    if parts:
+        raise EOFError("the archive ends inside a record")
 
 
 # --- writing and reading -----------------------------------------------------
@@ -109,7 +121,8 @@ def write_archives(
 
     Of equal payloads of at least 1,000 bytes the one with the largest id is the response and the others revisit it;
     smaller payloads and pages without an id are responses.  A null payload is empty; repeated rows that share the
-    largest id are all responses.
+    largest id are all responses.  A payload of over 8 MiB is several gzip members of one record.  An empty table gives
+    no records; other columns of ``pages`` are not written.
     """
     day = F.col(date_column).cast("string") if date_column else F.lit("2024-01-01T00:00:00Z")
     picked = pages.select(
@@ -174,72 +187,131 @@ def write_archives(
     scratch.drop(packed)
 
 
-def read_files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+def open_archive(path: str) -> pa.NativeFile:
+    """An archive opened for reads at any place, by the name that Spark gives a file."""
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        return fs.LocalFileSystem().open_input_file("/" + rest.lstrip("/"))
+    system, name = fs.FileSystem.from_uri(("s3" if scheme == "s3a" else scheme) + ":" + quote(rest, safe="/@:"))
+    return system.open_input_file(name)
+
+
+def archives(spark: SparkSession, path: str) -> tuple[DataFrame, bool]:
+    """Files of the archives, and whether tasks can open them; where they cannot, the rows hold the whole content."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    first = files.select("path").first()
+    opened = first is None or first[0].partition(":")[0] in OPENED
+    return files.select("path") if opened else files.select("path", "content"), opened
+
+
+def _reader(batch: pa.RecordBatch, i: int, opened: bool) -> pa.NativeFile:
+    return open_archive(batch.column("path")[i].as_py()) if opened else pa.BufferReader(batch.column("content")[i].as_buffer())
 
 
 def captures(spark: SparkSession, path: str) -> DataFrame:
-    """``key, stamp, page, kind, path, offset, length`` of every record of the archives."""
+    """``key, stamp, page, kind, path, offset, length`` of every record of the archives, which are read as streams.
+
+    Defined cases: no archives give no rows; a record without a page has a null page; records with the same key, time and
+    page all count; a record of any length is held alone; headers other than these are not looked at.
+    """
+    files, opened = archives(spark, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 name = batch.column("path")[i].as_py()
                 rows = []
-                for offset, length, raw in members(memoryview(batch.column("content")[i].as_buffer())):
-                    h, _ = parse(raw)
-                    rows.append({
-                        "uri": h.get("warc-target-uri", ""), "stamp": h.get("warc-date", ""), "kind": h["warc-type"],
-                        "page": _page(h.get("warc-record-id")), "path": name, "offset": offset, "length": length,
-                    })
+                with _reader(batch, i, opened) as source:
+                    for offset, length, raw in members(source):
+                        h, _ = parse(raw)
+                        rows.append({
+                            "uri": h.get("warc-target-uri", ""), "stamp": h.get("warc-date", ""), "kind": h["warc-type"],
+                            "page": _page(h.get("warc-record-id")), "path": name, "offset": offset, "length": length,
+                        })
                 schema = pa.schema([
                     ("uri", pa.string()), ("stamp", pa.string()), ("kind", pa.string()), ("page", pa.int64()),
                     ("path", pa.string()), ("offset", pa.int64()), ("length", pa.int64()),
                 ])
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    found = read_files(spark, path).mapInArrow(
+    found = files.mapInArrow(
         run, "uri string, stamp string, kind string, page long, path string, offset long, length long"
     )
     return found.select(url_key("uri").alias("key"), "stamp", "page", "kind", "path", "offset", "length")
 
 
+def read_ranges(source: pa.NativeFile, ranges: list[tuple[int, int]]) -> Iterator[bytes]:
+    """Records at sorted ``(offset, length)`` of an open archive; ranges that touch are read together up to 4 MiB."""
+    at = 0
+    while at < len(ranges):
+        first, end, run = ranges[at][0], ranges[at][0], []
+        while at < len(ranges) and (not run or (ranges[at][0] <= end and ranges[at][0] + ranges[at][1] - first <= READ_BYTES)):
+            run.append(ranges[at])
+            end, at = max(end, sum(ranges[at])), at + 1
+        source.seek(first)
+        held = memoryview(source.read(end - first))
+        for offset, length in run:
+            yield next(members(pa.BufferReader(held[offset - first : offset - first + length])))[2]
+
+
 def read_records(spark: SparkSession, path: str, entries: DataFrame) -> DataFrame:
     """``page_id, payload_bytes, payload_digest, record_type, refers_to, uri, payload`` of ``entries(path, offset, length)``.
 
-    Entries are gathered by archive, and only their ranges are inflated.  Digest and size of a response come from the
-    bytes read, those of a revisit from its headers.
+    Entries are dealt by ranges of path and offset; each task opens its archives and reads these ranges only.  No archive
+    is shuffled.  Where tasks cannot open files of that kind (see ``OPENED``) the archives come whole, by Spark's reader.
+    Digest and size of a response come from the bytes read, those of a revisit from its headers.
+
+    Defined cases: no entries give no rows; an entry that is repeated is read once; entries with a null path, offset or
+    length are ignored; an entry that is no record is an error; further columns of ``entries`` are ignored.
     """
-    ranges = entries.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("offset", "length"))).alias("ranges"))
+    schema = pa.schema([
+        ("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
+        ("record_type", pa.string()), ("refers_to", pa.int64()), ("uri", pa.string()), ("payload", pa.binary()),
+    ])
+    types = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, uri string, payload binary"
+    wanted = entries.select("path", "offset", "length").dropna()
+
+    def row(raw: bytes) -> dict:
+        h, payload = parse(raw)
+        revisit = h["warc-type"] == "revisit"
+        return {
+            "page_id": _page(h.get("warc-record-id")),
+            "payload_bytes": int(h["x-payload-length"]) if revisit else len(payload),
+            "payload_digest": base64.b32decode(h["warc-payload-digest"].removeprefix("sha1:")).hex()
+            if revisit else hashlib.sha1(payload).hexdigest(),
+            "record_type": h["warc-type"], "refers_to": _page(h.get("warc-refers-to")),
+            "uri": h.get("warc-target-uri", ""), "payload": None if revisit else payload,
+        }
+
+    def packed(records: Iterator[bytes]) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
+        for raw in records:
+            rows.append(row(raw))
+            size += len(raw)
+            if size >= READ_BYTES or len(rows) >= 500:
+                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                rows, size = [], 0
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([
-            ("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
-            ("record_type", pa.string()), ("refers_to", pa.int64()), ("uri", pa.string()), ("payload", pa.binary()),
-        ])
+    def by_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, group in groupby(zip(*[c.to_pylist() for c in batch.columns]), key=lambda x: x[0]):
+                with open_archive(name) as source:
+                    yield from packed(read_ranges(source, sorted({x[1:] for x in group})))
+
+    def by_content(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                content = memoryview(batch.column("content")[i].as_buffer())
-                rows = []
-                for r in batch.column("ranges")[i].as_py():
-                    _, _, raw = next(members(content[r["offset"] : r["offset"] + r["length"]]))
-                    h, payload = parse(raw)
-                    revisit = h["warc-type"] == "revisit"
-                    rows.append({
-                        "page_id": _page(h.get("warc-record-id")),
-                        "payload_bytes": int(h["x-payload-length"]) if revisit else len(payload),
-                        "payload_digest": base64.b32decode(h["warc-payload-digest"].removeprefix("sha1:")).hex()
-                        if revisit else hashlib.sha1(payload).hexdigest(),
-                        "record_type": h["warc-type"], "refers_to": _page(h.get("warc-refers-to")),
-                        "uri": h.get("warc-target-uri", ""), "payload": None if revisit else payload,
-                    })
-                for at in range(0, len(rows), 500):
-                    yield pa.RecordBatch.from_pylist(rows[at : at + 500], schema=schema)
-
-    return read_files(spark, path).join(ranges.hint("merge"), "path").mapInArrow(
-        run,
-        "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, uri string, payload binary",
-    )
+                ranges = [(r["offset"], r["length"]) for r in batch.column("ranges")[i].as_py()]
+                yield from packed(read_ranges(_reader(batch, i, False), ranges))
+
+    files, opened = archives(spark, path)
+    if opened:
+        once = wanted.distinct()
+        return once.repartitionByRange("path", "offset").sortWithinPartitions("path", "offset").mapInArrow(by_range, types)
+    ranges = wanted.groupBy("path").agg(F.array_sort(F.collect_set(F.struct("offset", "length"))).alias("ranges"))
+    return files.join(ranges.hint("merge"), "path").mapInArrow(by_content, types)
 
 
 # --- index -------------------------------------------------------------------
