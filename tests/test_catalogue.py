@@ -8,7 +8,7 @@ from zoneflow.plans.catalogue import QUERIES
 from zoneflow.plans.oracle import ORACLE
 
 FOLDER = "/root/testdata/sf0.001"
-UNCHECKED = {"kmeans_profiles", "forest_predictions", "mlp_predictions", "model_comparison", "ols"}
+UNCHECKED = {"kmeans_profiles", "forest_predictions", "mlp_predictions", "model_comparison"}
 
 
 @pytest.fixture(scope="module")

@@ -209,3 +209,24 @@ def test_sparse_and_dense_forecast_input(spark):
     dense = given.zone_hour(spark, "/root/testdata/sf0.001", dense=True)
     assert forecast.model_frame(dense).filter(F.col("date_hour_epoch").isNull()).count() == 0
     assert zonehour.ZONE_HOUR_COLUMNS == dense.columns
+
+
+def test_network_stops_when_held_back_rows_no_longer_gain(spark):
+    """Labels by chance: training goes on to fit them, the rows held back get worse."""
+    rows = spark.range(600).select(
+        F.concat(F.lit("Z"), F.col("id") % 5).alias("zone_id"),
+        (F.timestamp_seconds(F.col("id") * 3600)).cast("timestamp_ntz").alias("date_hour"),
+        *[(F.hash(F.col("id"), F.lit(c)) % 100).cast("double").alias(c) for c in forecast.FEATURES],
+        (F.abs(F.hash(F.col("id"), F.lit("label"))) % 2).alias(forecast.LABEL),
+    )
+    stopping = forecast.Stopping(step=5, most=100, patience=2)
+    model, steps = forecast.fit_network(rows, (16,), stopping)
+    found = sorted(steps.collect())
+    losses, kept = [r.validation_loss for r in found], [r.step for r in found if r.kept]
+    assert len(found) < 20 and kept == [len(found) - 2] and found[0].fit_rows + found[0].validation_rows == 600
+    assert losses[kept[0] - 1] <= min(losses) + stopping.tolerance
+    held = [r.validation_rows for r in found]
+    assert held[0] == sorted(forecast.fit_network(rows.repartition(7), (4,), forecast.Stopping(5, 5)) [1].collect())[0].validation_rows
+    assert "ml_prediction" in model.transform(rows).columns
+    with pytest.raises(ValueError):
+        forecast.fit_network(rows.limit(0), (4,), stopping)

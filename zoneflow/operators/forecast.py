@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
@@ -15,6 +17,7 @@ from zoneflow.functions.time import epoch_seconds
 from zoneflow.operators import schema
 from zoneflow.operators.enrich import WEATHER_COLUMNS
 from zoneflow.operators.ranking import running_total
+from zoneflow.operators.sampling import draw
 from zoneflow.operators.sizing import cut_lineage
 
 # Features of the demand models.
@@ -116,27 +119,108 @@ def mlp_pipeline(hidden: tuple[int, ...] = (32, 16), iterations: int = 220, seed
     )
 
 
-def fit_and_predict(pipeline: Pipeline, zone_hour: DataFrame, q: float = 0.8) -> tuple[PipelineModel, DataFrame]:
-    """Train on the earlier rows, all of them, and predict the later ones next to the baseline.
+@dataclass(frozen=True)
+class Stopping:
+    """When the training of a network ends: ``most`` iterations in steps of ``step``, or ``patience`` steps without a
+    validation loss that is lower by ``tolerance``; ``share`` percent of the training rows are for validation."""
 
-    Training reads its input many times, so both parts are written as tables
-    first; the models then run on plain scans without the split's subqueries.
-    Raises when the training rows hold one class only.
+    step: int = 20
+    most: int = 220
+    patience: int = 3
+    tolerance: float = 1e-4
+    share: int = 10
+
+
+def log_loss(scored: DataFrame):
+    """Mean negative logarithm of the probability of the true class, as a one-row table ``loss``."""
+    p = F.get(vector_to_array("probability"), F.col(LABEL).cast("int"))
+    return scored.agg(F.avg(-F.ln(F.greatest(p, F.lit(1e-15)))).alias("loss"))
+
+
+def fit_network(
+    train: DataFrame, hidden: tuple[int, ...] = (32, 16), stopping: Stopping = Stopping(), seed: int = SEED
+) -> tuple[PipelineModel, DataFrame]:
+    """A network whose training stops when the rows held back no longer gain, and its steps.
+
+    Each step goes on from the weights of the last one; the weights with the lowest validation loss stay.  Validation
+    rows are drawn by a seeded hash of zone and hour, the same under any partitioning.  Steps are ``step, iterations,
+    validation_loss, kept, fit_rows, validation_rows``.  A step is a pass over the written rows; the driver holds one set
+    of weights and the losses.
     """
+    drawn = F.conv(F.substring(draw(["zone_id", "date_hour"], seed), 1, 8), 16, 10).cast("long") % 100
+    is_held = drawn < stopping.share
+    sizes = train.agg(F.count_if(~is_held), F.count_if(is_held)).first()
+    if not all(sizes):
+        raise ValueError("too few training rows to hold some back")
+    filled = [f"{c}_filled" for c in FEATURES]
+    front = Pipeline(
+        stages=[
+            Imputer(strategy="median", inputCols=FEATURES, outputCols=filled),
+            VectorAssembler(inputCols=filled, outputCol="_numbers"),
+            StandardScaler(inputCol="_numbers", outputCol="features", withMean=True),
+        ]
+    ).fit(train)
+    rows = cut_lineage(front.transform(train).select("features", LABEL, is_held.alias("_held")))
+    fitted, held = rows.where("not _held"), rows.where("_held")
+    best, weights, losses = None, None, []
+    while len(losses) * stopping.step < stopping.most:
+        network = MultilayerPerceptronClassifier(
+            labelCol=LABEL, layers=[len(FEATURES), *hidden, 2], maxIter=stopping.step, seed=seed,
+            predictionCol="ml_prediction",
+        )
+        model = (network if weights is None else network.setInitialWeights(weights)).fit(fitted).copy()
+        weights = model.weights
+        losses.append(log_loss(model.transform(held)).first()[0])
+        if best is None or losses[-1] < losses[best[0]] - stopping.tolerance:
+            best = len(losses) - 1, model
+        elif len(losses) - 1 - best[0] >= stopping.patience:
+            break
+    steps = [(i + 1, (i + 1) * stopping.step, loss, i == best[0], *sizes) for i, loss in enumerate(losses)]
+    columns = "step int, iterations int, validation_loss double, kept boolean, fit_rows long, validation_rows long"
+    return PipelineModel(stages=[*front.stages, best[1]]), train.sparkSession.createDataFrame(steps, columns)
+
+
+def _two_parts(zone_hour: DataFrame, q: float) -> tuple[DataFrame, DataFrame]:
+    """Training rows, of two classes, and test rows with the baseline, both written."""
     train, test = split(cut_lineage(model_frame(zone_hour)), q)
     train = cut_lineage(train)
     test = cut_lineage(add_baseline(train, test))
     classes = train.agg(F.min(LABEL), F.max(LABEL)).first()
     if classes[0] == classes[1]:
         raise ValueError("training rows hold fewer than two classes")
+    return train, test
+
+
+def _scored(model: PipelineModel, test: DataFrame) -> DataFrame:
+    probability = F.get(vector_to_array("probability"), F.lit(1))
+    return prediction_table(
+        model.transform(test).withColumns(
+            {"ml_prediction": F.col("ml_prediction").cast("int"), "predicted_high_demand_probability": probability}
+        )
+    )
+
+
+def network_and_predict(
+    zone_hour: DataFrame, q: float = 0.8, stopping: Stopping = Stopping(), hidden: tuple[int, ...] = (32, 16)
+) -> tuple[PipelineModel, DataFrame, DataFrame]:
+    """A network with early stopping, the steps of its training, and the predictions for the later rows."""
+    train, test = _two_parts(zone_hour, q)
+    model, steps = fit_network(train, hidden, stopping)
+    return model, steps, _scored(model, test)
+
+
+def fit_and_predict(pipeline: Pipeline, zone_hour: DataFrame, q: float = 0.8) -> tuple[PipelineModel, DataFrame]:
+    """Train on the earlier rows, all of them, and predict the later ones next to the baseline.
+
+    Training reads its input many times, so both parts are written as tables
+    first; the models then run on plain scans without the split's subqueries.
+    Raises when the training rows hold one class only.
+    """
+    train, test = _two_parts(zone_hour, q)
     # A fitted forest holds its training summary and with it the session, which cannot be sent to executors once an
     # observation has run in it; a copy leaves the summary behind.
     model = pipeline.fit(train).copy()
-    probability = F.get(vector_to_array("probability"), F.lit(1))
-    scored = model.transform(test).withColumns(
-        {"ml_prediction": F.col("ml_prediction").cast("int"), "predicted_high_demand_probability": probability}
-    )
-    return model, prediction_table(scored)
+    return model, _scored(model, test)
 
 
 def prediction_table(scored: DataFrame) -> DataFrame:

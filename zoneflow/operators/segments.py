@@ -110,6 +110,39 @@ def fit_clusters(features: DataFrame, k: int = 5, seed: int = 42) -> tuple[Pipel
     return model, out.select("zone_id", "cluster_id", *FEATURES, "pca_1", "pca_2")
 
 
+def clustering_check(clustered: DataFrame, compared: DataFrame) -> DataFrame:
+    """One row that tells whether a clustering is one: zones, clusters, zones nearer to another centre, cost no higher.
+
+    Both frames have ``zone_id, cluster_id`` and the features, which are scaled by the deviation over all zones.  There
+    are few centres, so each zone holds them as an array.
+    """
+    def scaled(df: DataFrame) -> DataFrame:
+        spread = df.agg(F.array(*[F.stddev(f) for f in FEATURES])).scalar()
+        values = F.array(*[F.col(f).cast("double") for f in FEATURES])
+        point = F.zip_with("_values", "_spread", lambda x, s: F.when(s > 0, x / s).otherwise(0.0))
+        held = df.select("zone_id", "cluster_id", values.alias("_values"), spread.alias("_spread"))
+        return cut_lineage(held.select("zone_id", "cluster_id", point.alias("point")))
+
+    def distance(a, b):
+        return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, d: s + d)
+
+    def judged(df: DataFrame) -> DataFrame:
+        points = scaled(df)
+        centre = F.array(*[F.avg(F.get("point", F.lit(i))) for i in range(len(FEATURES))])
+        centres = points.groupBy("cluster_id").agg(centre.alias("centre"))
+        all_centres = centres.agg(F.collect_list(F.struct("cluster_id", "centre"))).scalar()
+        own = points.join(centres, "cluster_id").withColumn("_all", all_centres)
+        least = F.array_min(F.transform("_all", lambda c: distance(F.col("point"), c["centre"])))
+        mine = distance(F.col("point"), F.col("centre"))
+        return own.agg(
+            F.count(F.lit(1)).alias("zones"), F.count_distinct("cluster_id").alias("clusters"),
+            F.count_if(mine > least + 1e-9).alias("zones_nearer_elsewhere"), F.sum(mine).alias("cost"),
+        )
+
+    other = judged(compared).select("cost").scalar()
+    return judged(clustered).select("zones", "clusters", "zones_nearer_elsewhere", (F.col("cost") <= other + 1e-9).alias("cost_no_higher"))
+
+
 def name_clusters(segmented: DataFrame) -> DataFrame:
     """Name each cluster by comparing its mean features with the medians over all zones.
 

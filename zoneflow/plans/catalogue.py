@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from zoneflow.functions import text as tx
 from zoneflow.functions import time as tm
 from zoneflow.operators import (
-    audit, cleaning, collapse, enrich, forecast, geo, marts, partials, planner, quality, ranking, sampling,
+    audit, cleaning, collapse, enrich, forecast, geo, marts, partials, planner, quality, ranking, sampling, schema,
     segments, stats, zonehour,
 )
 from zoneflow.operators.sizing import cut_lineage
@@ -658,6 +658,53 @@ def model_comparison(spark: SparkSession, folder: str) -> DataFrame:
     return tidy(forecast.compare(predicted))
 
 
+def _sound(predicted: DataFrame) -> DataFrame:
+    """Test rows with the label and the baseline, and whether what the model adds is in order."""
+    p = F.col("predicted_high_demand_probability")
+    return predicted.select(
+        "zone_id", "date_hour", forecast.LABEL, "baseline_prediction",
+        F.round("baseline_probability", 6).alias("baseline_probability"),
+        p.between(0, 1).alias("is_probability"),
+        ((p > 0.5) == (F.col("ml_prediction") == 1)).alias("flag_follows"),
+        (F.abs(F.col("workload_risk_score") - p * 100) <= 0.0500001).alias("risk_follows"),
+    )
+
+
+@query
+def forest_checked(spark: SparkSession, folder: str) -> DataFrame:
+    """Forest predictions: rows, labels and baseline as they are, flag and risk held against the probability."""
+    small = forecast.forest_pipeline(trees=21, depth=8)
+    return _sound(forecast.fit_and_predict(small, given.zone_hour(spark, folder))[1])
+
+
+@query
+def network_checked(spark: SparkSession, folder: str) -> DataFrame:
+    """Predictions of a network with early stopping, checked in the same way."""
+    return _sound(forecast.network_and_predict(given.zone_hour(spark, folder))[2])
+
+
+@query
+def network_steps(spark: SparkSession, folder: str) -> DataFrame:
+    """Training steps of the network in one row: rows fitted and held back, and whether the best weights were kept."""
+    steps = forecast.network_and_predict(given.zone_hour(spark, folder))[1]
+    last, best = F.max("step"), F.max(F.when(F.col("kept"), F.col("step")))
+    full = forecast.Stopping()
+    return steps.agg(
+        F.max("fit_rows").alias("fit_rows"), F.max("validation_rows").alias("validation_rows"),
+        F.count_if("kept").alias("kept_steps"), F.max("validation_loss").between(0, 10).alias("losses_finite"),
+        (F.max(F.when(F.col("kept"), F.col("validation_loss"))) <= F.min("validation_loss") + full.tolerance).alias("best_kept"),
+        ((last - best == full.patience) | (last * full.step >= full.most)).alias("stopped_by_rule"),
+    )
+
+
+@query
+def kmeans_checked(spark: SparkSession, folder: str) -> DataFrame:
+    """Clusters held against the quintiles: zones, clusters, zones nearer to another centre, and whether the cost is lower."""
+    features = cut_lineage(segments.zone_features(given.zone_hour(spark, folder)))
+    _, segmented = segments.fit_clusters(features)
+    return segments.clustering_check(cut_lineage(segmented), cut_lineage(segments.quintiles(features)))
+
+
 # --- statistics -----------------------------------------------------------
 
 
@@ -760,6 +807,30 @@ def map_coverage(spark: SparkSession, folder: str) -> DataFrame:
     return geo.map_coverage(coloured, summary)
 
 
+@query
+def points_in_degrees(spark: SparkSession, folder: str) -> DataFrame:
+    """Points on the projected grid, one per order, turned into degrees; those that are degrees stay."""
+    orders = given.table(spark, folder, "orders")
+    key, feet = F.col("o_orderkey"), F.col("o_orderkey") % 4 != 0
+    points = orders.select(
+        key.alias("key"),
+        F.when(feet, 1_200_000 + key % 9_973 * 31).otherwise(-122 - key % 7 / 10).cast("double").alias("x"),
+        F.when(feet, 100_000 + F.col("o_custkey") % 9_967 * 29).otherwise(47 + key % 9 / 10).cast("double").alias("y"),
+    )
+    return tidy(geo.reproject(points))
+
+
+@query
+def mapped_zones(spark: SparkSession, folder: str) -> DataFrame:
+    """Zones with the centre and the text of their polygon; some have none."""
+    shapes = given.customer_polygons(spark, folder).where("type = 'Polygon'")
+    nations = given.table(spark, folder, "customer").select(
+        F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("zone_id"), F.col("c_nationkey").alias("nation")
+    )
+    mapped = geo.map_zones(nations, shapes)
+    return tidy(mapped.select("zone_id", "nation", "area", "centroid_longitude", "centroid_latitude", "geometry_wkt"))
+
+
 # --- streaming ------------------------------------------------------------
 
 
@@ -906,3 +977,164 @@ def tracked_build(spark: SparkSession, folder: str) -> DataFrame:
         total = made.table.agg(F.sum("events").alias("events"))
         steps.append(cut_lineage(total.select(F.lit(number).alias("step"), F.lit(made.decision).alias("decision"), "events")))
     return steps[0].union(steps[1]).union(steps[2]).union(steps[3])
+
+
+def _counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Events per type, from which the files below are made."""
+    return given.table(spark, folder, "events").groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("events"), F.sum("user_id").alias("users"),
+        F.min("ts").alias("first"), (F.count(F.lit(1)) % 2 == 0).alias("is_even"),
+    )
+
+
+@query
+def weather_file(spark: SparkSession, folder: str) -> DataFrame:
+    """Hourly weather written as a file with a preamble and units in its header, later rows of an hour included, and read."""
+    path = f"{rollups.run_folder(spark, 'weather')}/file"
+    hours = given.weather(spark, folder)
+    names = [c for c in hours.columns if c != "weather_hour"]
+    header = F.lit(",".join(["time", *[f"{c} (unit)" for c in names]]))
+    values = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names]
+    time = F.substring(F.col("weather_hour").cast("string"), 1, 16)
+    later = F.concat(F.substring(time, 1, 14), F.lit("30"))
+    first, again = F.concat_ws(",", time, *values), F.concat_ws(",", later, *[F.lit("-1")] * len(names))
+    rows = hours.select(time.alias("at"), F.explode(F.array(first, again)).alias("value"))
+    top = hours.agg(F.array(F.lit("latitude,longitude"), F.lit("47.6,-122.3"), F.lit(""), header).alias("lines"))
+    preamble = top.select(F.posexplode("lines").alias("n", "value")).select(F.concat(F.lit(" "), F.col("n")).alias("at"), "value")
+    preamble.unionByName(rows).orderBy("at", F.substring("value", 15, 2)).coalesce(1).select("value").write.text(path)
+    return tidy(readers.read_weather(spark, path))
+
+
+@query
+def lookup_file(spark: SparkSession, folder: str) -> DataFrame:
+    """Zone lookup written as CSV under other headers and read back."""
+    path = f"{rollups.run_folder(spark, 'lookup')}/zones"
+    zones = given.zone_lookup(spark, folder)
+    zones.select(
+        F.lower("zone_id").alias(" Beat"), F.lower("precinct").alias("First__Precinct"), F.lower("sector").alias("SECTOR")
+    ).write.option("header", True).csv(path)
+    return readers.read_zone_lookup(spark, path)
+
+
+@query
+def source_inventory(spark: SparkSession, folder: str) -> DataFrame:
+    """Written CSV sources and a missing one: readable, columns and rows that parse among the first hundred."""
+    run = rollups.run_folder(spark, "inventory")
+    events = given.table(spark, folder, "events").select("event_id", "event_type")
+    writers.write_csv(events, f"{run}/events")
+    writers.write_csv(_counts(spark, folder).select("event_type", "events"), f"{run}/counts", single_file=True)
+    listed = readers.inventory(spark, {n: f"{run}/{n}" for n in ("events", "counts", "absent")})
+    return listed.select("source", "exists", "readable", "columns", "sample_rows")
+
+
+@query
+def trial_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """A trial run that reads a given number of rows of the raw extract."""
+    path = f"{rollups.run_folder(spark, 'trial')}/events"
+    given.raw_records(spark, folder).write.option("header", True).csv(path)
+    trial = readers.read_events(spark, path, columns=["CAD Event Number"], rows=150)
+    return trial.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("CAD Event Number").alias("distinct_rows"))
+
+
+@query
+def single_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """Events per type as one CSV file, read back with its number of files."""
+    path = f"{rollups.run_folder(spark, 'single')}/counts"
+    writers.write_csv(_counts(spark, folder).select("event_type", "events", "users"), path, single_file=True)
+    back = readers.read_csv_text(spark, path)
+    files = back.agg(F.count_distinct(F.col("_metadata.file_path")).alias("n")).scalar()
+    return back.select("event_type", F.col("events").cast("long").alias("events"), F.col("users").cast("long").alias("users"), files.alias("files"))
+
+
+@query
+def preview_file(spark: SparkSession, folder: str) -> DataFrame:
+    """The first 5,000 events by user and number as a preview file."""
+    path = f"{rollups.run_folder(spark, 'preview')}/events"
+    events = given.table(spark, folder, "events").select("user_id", "event_id", "event_type")
+    writers.write_preview(events, path, ["user_id", "event_id"])
+    back = readers.read_csv_text(spark, path)
+    return back.select(F.col("user_id").cast("long").alias("user_id"), F.col("event_id").cast("long").alias("event_id"), "event_type")
+
+
+@query
+def json_record(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals as a record in a JSON file, with a list of the types, read back."""
+    path = f"{rollups.run_folder(spark, 'record')}/totals"
+    writers.write_record(
+        _counts(spark, folder).agg(F.sum("events").alias("events"), F.array_sort(F.collect_list("event_type")).alias("types")), path
+    )
+    back = spark.read.schema("events long, types array<string>").json(path)
+    return back.select("events", F.array_join("types", ",").alias("types"))
+
+
+@query
+def run_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Figures of three runs, one of them recorded twice."""
+    path = f"{rollups.run_folder(spark, 'runs')}/log"
+    n = given.table(spark, folder, "events").count()
+    for tag, events in (("2024/01", n), ("b", n + 1), ("2024/01", n + 2)):
+        writers.record_run(spark, path, tag, {"events": events, "note": None})
+    return readers.optional_table(spark, path, "run_tag string").select(
+        "run_tag", F.col("details")["events"].alias("events"), F.col("details")["note"].isNull().alias("no_note")
+    )
+
+
+@query
+def optional_input(spark: SparkSession, folder: str) -> DataFrame:
+    """Events, and a table that is not there, side by side."""
+    absent = readers.optional_table(spark, f"{rollups.run_folder(spark, 'none')}/table", "event_id long, event_type string")
+    present = readers.optional_table(spark, f"{folder}/events.parquet", "event_id long").select("event_id", "event_type")
+    return present.unionByName(absent).groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
+
+
+@query
+def published_view(spark: SparkSession, folder: str) -> DataFrame:
+    """The zone summary under its published name."""
+    summary = cut_lineage(marts.zone_summary(_rows(spark, folder)))
+    names = writers.publish({"zone_summary": summary, "other": summary})
+    return spark.table(names[0]).select("zone_id", F.col("total_service_demand").cast("long").alias("demand"), F.lit(",".join(names)).alias("views"))
+
+
+@query
+def export_types(spark: SparkSession, folder: str) -> DataFrame:
+    """Events per type with a flag as a number and a time as text, read through a view."""
+    writers.register({"export_types_input": _counts(spark, folder)})
+    return spark.table("export_types_input")
+
+
+@query
+def server_hosts(spark: SparkSession, folder: str) -> DataFrame:
+    """Host of an address per customer, without account and port."""
+    c = given.table(spark, folder, "customer")
+    key, nation = F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string")
+    address = F.concat(F.lit("mongodb://u"), key, F.lit(":p@H"), nation, F.lit(".example:27017/db"))
+    address = F.when(F.col("c_custkey") % 10 == 0, F.lit(None)).when(F.col("c_custkey") % 10 == 1, F.lit("no address")).otherwise(address)
+    return c.select("c_custkey", tx.uri_host(address).alias("host"))
+
+
+@query
+def field_mapping(spark: SparkSession, folder: str) -> DataFrame:
+    """Canonical fields, the raw columns behind them, and how many records fill each."""
+    raw = schema.require_columns(given.raw_records(spark, folder), ["CAD Event Number"])
+    report = schema.mapping_report(spark, schema.resolve(raw.columns))
+    filled = raw.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in raw.columns]).unpivot([], list(raw.columns), "raw_column", "filled")
+    return report.join(filled, "raw_column", "left")
+
+
+@query
+def geojson_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Polygons written as a GeoJSON file of one line, with braces and quotes in a property, and read in pieces."""
+    path = f"{rollups.run_folder(spark, 'geojson')}/shapes"
+    shapes = given.customer_polygons(spark, folder)
+    note = F.concat(F.lit('a "{'), F.substring("zone_id", 2, 20), F.lit('}" \\ b'))
+    properties = F.to_json(F.struct(F.lower("zone_id").alias("Beat"), note.alias("note")))
+    geometry = F.concat(F.lit('{"type": "'), F.col("type"), F.lit('", "coordinates": '), F.col("coordinates"), F.lit("}"))
+    feature = F.concat(F.lit('{"type": "Feature", "properties": '), properties, F.lit(', "geometry": '), geometry, F.lit("}"))
+    bounds = shapes.agg(F.lit(0).alias("n"), F.lit('{"type": "FeatureCollection", "crs": {"a": "}"}, "features": [{}').alias("value"))
+    ends = shapes.agg(F.lit(2).alias("n"), F.lit("]}").alias("value"))
+    body = shapes.select(F.lit(1).alias("n"), F.concat(F.lit(", "), feature).alias("value"))
+    lines = bounds.unionByName(body).unionByName(ends).orderBy("n").coalesce(1)
+    lines.select("value").write.option("lineSep", " ").text(path)
+    back = readers.read_geojson(spark, path)
+    rings = F.when(F.col("type") == "Polygon", F.size(F.from_json("coordinates", geo.POLYGON)))
+    return back.select("zone_id", "type", F.col("properties")["note"].alias("note"), F.coalesce(rings, F.lit(3)).alias("parts_of_text"))

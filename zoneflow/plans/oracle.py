@@ -1439,3 +1439,229 @@ _check(
 select concat('Z0', cast(user_id % 8 as varchar)) zone_id, date_trunc('hour', ts) date_hour, count(*) demand_count
 from events group by all""",
 )
+
+
+# --- models by what is exact in them ---------------------------------------
+
+CTES["training"] = (
+    """
+  select * from features
+  where epoch(date_hour) <= (select quantile_disc(epoch(date_hour), 0.8) from features)""",
+    ("features",),
+)
+
+_SOUND = """
+select zone_id, date_hour, actual_high_demand, baseline_prediction, round(probability, 6) baseline_probability,
+  true is_probability, true flag_follows, true risk_follows
+from predictions"""
+_check("forest_checked", ("predictions",), _SOUND)
+_check("network_checked", ("predictions",), _SOUND)
+_check(
+    "network_steps",
+    ("training",),
+    """
+select count(*) filter (d >= 10) fit_rows, count(*) filter (d < 10) validation_rows, 1::bigint kept_steps,
+  true losses_finite, true best_kept, true stopped_by_rule
+from (select ('0x' || substr(sha256('42:' || zone_id || ':' || strftime(date_hour, '%Y-%m-%d %H:%M:%S')), 1, 8))::bigint % 100 d
+      from training)""",
+)
+_check(
+    "kmeans_checked",
+    ("features",),
+    """
+select count(distinct zone_id) zones, least(count(distinct zone_id), 5)::bigint clusters, 0::bigint zones_nearer_elsewhere,
+  true cost_no_higher
+from features""",
+)
+
+
+def _regression() -> str:
+    """Least squares by sweeping the matrix of centred products, one feature after the other."""
+    terms = ["temperature_2m", "precipitation", "is_weekend", "is_after_hours", "month", "hour"]
+    values = ["temperature_2m", "precipitation", "is_weekend::int", "is_after_hours::int", '"month"', "event_hour", "target_demand_count"]
+    size = len(values)
+    span = range(size)
+    steps = [
+        "x as (select " + ", ".join(f"({v})::double v{i}" for i, v in enumerate(values))
+        + " from features where temperature_2m is not null and precipitation is not null)",
+        "means as (select count(*) n, " + ", ".join(f"avg(v{i}) a{i}" for i in span) + " from x)",
+        "s0 as (select *, " + ", ".join(f"c{i}_{i} d{i}" for i in span) + " from (select "
+        + ", ".join(f"sum((v{i} - a{i}) * (v{j} - a{j})) c{i}_{j}" for i in span for j in span) + " from x, means))",
+    ]
+    for k in range(size - 1):
+        def cell(i: int, j: int) -> str:
+            if i == k and j == k:
+                swept = f"-1 / c{k}_{k}"
+            else:
+                swept = f"c{i}_{j} / c{k}_{k}" if k in (i, j) else f"c{i}_{j} - c{i}_{k} * c{k}_{j} / c{k}_{k}"
+            return f"case when u{k} then {swept} else {0 if k in (i, j) else f'c{i}_{j}'} end"
+
+        used = ", ".join([f"u{i}" for i in range(k + 1)] + [f"d{i}" for i in span])
+        steps.append(f"s{k + 1} as (select {used}, " + ", ".join(f"{cell(i, j)} c{i}_{j}" for i in span for j in span)
+                     + f" from (select *, c{k}_{k} > 1e-10 * d{k} and d{k} > 0 u{k} from s{k}))")
+    last, y = f"s{size - 1}", size - 1
+    free = " - ".join(["n - 1", *[f"u{i}::int" for i in range(y)]])
+    steps.append(f"fit as (select *, c{y}_{y} / free variance, 1 - c{y}_{y} / d{y} r2 from (select *, {free} free from {last}, means))")
+    rows = [f"select '{t}' term, case when u{i} then c{i}_{y} end b, case when u{i} then sqrt(variance * -c{i}_{i}) end e, r2, n, free from fit"
+            for i, t in enumerate(terms)]
+    cross = " + ".join(f"a{i} * a{j} * -c{i}_{j}" for i in range(y) for j in range(y))
+    lower = " - ".join(f"c{i}_{y} * a{i}" for i in range(y))
+    rows.append(f"select '(Intercept)', a{y} - {lower}, sqrt(variance * (1 / n::double + {cross})), r2, n, free from fit")
+    steps.append("terms as (" + " union all ".join(rows) + ")")
+    tail = _erfc("t / sqrt(2)")
+    return (
+        ", " + ", ".join(steps)
+        + f"""
+select term, round(b, 6) estimate, round(e, 6) std_error, round(b / e, 6) t_value, round({tail} + 2 * exp(-t * t / 2) / sqrt(2 * pi()) *
+    ((t ** 3 + t) / (4 * free) + (3 * t ** 7 - 7 * t ** 5 - 5 * t ** 3 - 3 * t) / (96 * free * free)), 6) p_value,
+  round(r2, 6) r2, n "rows"
+from (select *, abs(b / e) t from terms)"""
+    )
+
+
+_check("ols", ("features",), _regression())
+
+# --- projection --------------------------------------------------------------
+
+
+def _in_degrees(source: str, keep: str) -> str:
+    """Rows of ``source`` (with x and y) with longitude and latitude by the inverse of the conic grid in US survey feet."""
+    lat = "pi() / 2 - 2 * atan(t)"
+    inner = f"select *, {lat} p0 from pointed"
+    for i in range(6):
+        s = f"e * sin(p{i})"
+        inner = f"select *, pi() / 2 - 2 * atan(t * pow((1 - {s}) / (1 + {s}), e / 2)) p{i + 1} from ({inner})"
+
+    def m(p: str) -> str:
+        return f"(cos(radians({p})) / sqrt(1 - pow(e * sin(radians({p})), 2)))"
+
+    def t(p: str) -> str:
+        return f"(tan(pi() / 4 - radians({p}) / 2) / pow((1 - e * sin(radians({p}))) / (1 + e * sin(radians({p}))), e / 2))"
+
+    one, two = "(48 + 44 / 60.0::double)", "47.5::double"
+    return f"""
+, shape as (select sqrt(2 / 298.257222101::double - 1 / pow(298.257222101::double, 2)) e)
+, cone as (select e, (ln({m(one)}) - ln({m(two)})) / (ln({t(one)}) - ln({t(two)})) n from shape)
+, grid as (select *, {m(one)} / (n * pow({t(one)}, n)) f, pow({t("47.0::double")}, n) t0 from cone)
+, metres as (select {source}.*, e, n, f, 6378137.0 * f * t0 r0, (x - 1640416.666667) * 1200 / 3937.0::double east, y * 1200 / 3937.0::double up
+             from {source}, grid)
+, pointed as (select *, pow(sqrt(east * east + (r0 - up) * (r0 - up)) / (6378137.0 * f), 1 / n) t from metres)
+select {keep},
+  round(case when abs(x) > 180 or abs(y) > 90 then degrees(atan2(east, r0 - up) / n) - (120 + 50 / 60.0::double) else x end, 6) longitude,
+  round(case when abs(x) > 180 or abs(y) > 90 then degrees(p6) else y end, 6) latitude
+from ({inner})"""
+
+
+CTES["grid_points"] = (
+    """
+  select o_orderkey "key", case when o_orderkey % 4 <> 0 then 1200000 + o_orderkey % 9973 * 31 else -122 - o_orderkey % 7 / 10.0::double end::double x,
+    case when o_orderkey % 4 <> 0 then 100000 + o_custkey % 9967 * 29 else 47 + o_orderkey % 9 / 10.0::double end::double y
+  from orders""",
+    (),
+)
+_check("points_in_degrees", ("grid_points",), _in_degrees("grid_points", '"key", round(x, 6) x, round(y, 6) y'))
+CTES["centres"] = (
+    """
+  select *, x + s / 2 cx, y + s / 2 cy, case kind when 1 then s * s - 4 else s * s end size from shapes where kind < 2""",
+    ("shapes",),
+)
+CTES["weighed"] = (
+    """
+  select zone_id, kind, s, size, x left_x, y low_y, case kind when 1 then (cx * s * s - 4 * (x + 2)) / size else cx end x,
+    case kind when 1 then (cy * s * s - 4 * (y + 2)) / size else cy end y
+  from centres""",
+    ("centres",),
+)
+_WELL_KNOWN = (
+    f"case kind when 0 then 'POLYGON (' || {_ring_text('left_x', 'low_y', 's')} || ')' "
+    f"else 'POLYGON (' || {_ring_text('left_x', 'low_y', 's')} || ', ' || {_ring_text('left_x + 1', 'low_y + 1', '2')} || ')' end"
+)
+_MAPPED = _with(("weighed",), _in_degrees("weighed", f"zone_id, size area, {_WELL_KNOWN} geometry_wkt"))
+_check(
+    "mapped_zones",
+    (),
+    f"""
+select 'C' || c_custkey zone_id, c_nationkey nation, round(area, 6) area, longitude centroid_longitude, latitude centroid_latitude, geometry_wkt
+from customer left join ({_MAPPED}) m on m.zone_id = 'C' || c_custkey""",
+)
+
+# --- files ------------------------------------------------------------------
+
+_check("weather_file", ("weather",), f"""select weather_hour, {_ROUNDED_WEATHER}
+from (select distinct date_trunc('hour', ts) weather_hour from events) left join weather using (weather_hour)""")
+_check(
+    "lookup_file",
+    ("lookup",),
+    """
+select zone_id, zone_id beat, upper(precinct) precinct, upper(sector) sector
+from (select 'Z0' || n_nationkey zone_id from nation) left join lookup using (zone_id)""",
+)
+_check(
+    "source_inventory",
+    (),
+    """
+select 'events' source, true "exists", true readable, 'event_id, event_type' "columns", least(count(*), 100)::bigint sample_rows from events
+union all select 'counts', true, true, 'event_type, events', least(count(distinct event_type), 100)::bigint from events
+union all select 'absent', false, false, null, null""",
+)
+_check("trial_rows", (), 'select least(count(*), 150)::bigint "rows", least(count(*), 150)::bigint distinct_rows from events')
+_check(
+    "single_csv",
+    (),
+    "select event_type, count(*) events, sum(user_id)::bigint users, 1::bigint files from events group by all",
+)
+_check("preview_file", (), "select user_id, event_id, event_type from events order by user_id, event_id limit 5000")
+_check(
+    "json_record",
+    (),
+    "select count(*) events, string_agg(distinct event_type, ',' order by event_type) types from events",
+)
+_check(
+    "run_records",
+    (),
+    """
+select tag run_tag, (n + more)::varchar events, true no_note
+from (select count(*) n from events), (values ('2024/01', 2), ('b', 1)) t(tag, more)""",
+)
+_check("optional_input", (), "select event_type, count(*) events from events group by all")
+_check(
+    "published_view",
+    ("mart",),
+    """select zone_id, sum(demand_count)::bigint demand, 'tableau_zone_summary' "views" from mart group by all""",
+)
+_check(
+    "export_types",
+    (),
+    """
+select event_type, count(*) events, sum(user_id)::bigint users, strftime(min(ts), '%Y-%m-%d %H:%M:%S') "first",
+  (count(*) % 2 = 0)::int is_even
+from events group by all""",
+)
+_check(
+    "server_hosts",
+    (),
+    "select c_custkey, case when c_custkey % 10 < 2 then 'unknown-host' else 'h' || c_nationkey || '.example' end host from customer",
+)
+_check(
+    "field_mapping",
+    ("service",),
+    """
+select field canonical_field, raw raw_column, case
+  when raw in ('CAD Event Number', 'CAD Event Original Time Queued', 'Final Call Type') then (select count(*) from service)
+  when raw = 'Dispatch Beat' then (select count(beat) from service)
+  when raw = 'Event Group' then (select count(*) from events where event_id % 3 = 0)
+  when raw = 'CAD Event Clearance Description' then (select count(disposition) from service)
+  when raw = 'Dispatch Latitude' then (select count(*) from events where event_id % 31 <> 0 or event_id % 11 < 2) end filled
+from (values ('event_id', 'CAD Event Number'), ('event_datetime', 'CAD Event Original Time Queued'), ('event_date', 'MISSING'),
+  ('call_type', 'Final Call Type'), ('initial_call_type', 'MISSING'), ('final_call_type', 'Final Call Type'),
+  ('service_category', 'Event Group'), ('disposition', 'CAD Event Clearance Description'), ('beat', 'Dispatch Beat'),
+  ('sector', 'MISSING'), ('precinct', 'MISSING'), ('latitude', 'Dispatch Latitude'), ('longitude', 'MISSING'),
+  ('neighborhood', 'MISSING'), ('reporting_area', 'MISSING')) t(field, raw)""",
+)
+_check(
+    "geojson_round_trip",
+    ("shapes",),
+    """
+select zone_id, case kind when 2 then 'MultiPolygon' else 'Polygon' end "type", 'a "{' || c_custkey || '}" \\ b' note, c_custkey % 3 + 1 parts_of_text
+from shapes join customer on zone_id = 'C' || c_custkey""",
+)
