@@ -234,3 +234,31 @@ def test_pipeline_from_raw_files(spark, tmp_path):
     assert (kpis.fact_output_rows, kpis.post_enrichment_duplicate_fact_rows, kpis.mapped_beat_polygons) == (1000, 0, 2)
     [run] = writers.read_runs(spark, f"{out}/run_metadata").collect()
     assert run.details["output_rows"] == "1000"
+
+
+def test_json_objects_of_one_long_line_are_read_in_pieces(spark, tmp_path):
+    notes = ["plain", "}{", '"', "\\", '\\"}', "", "{" * 9, "ü}" * 40]
+    features = [
+        {"type": "Feature", "properties": {"Beat": f"z{i}", "note": notes[i % len(notes)], "deep": {"a": {"b": i}}},
+         "geometry": {"type": "Polygon", "coordinates": [[[i, 0.5], [1, 2], [i, 3]]]}}
+        for i in range(500)
+    ]
+    whole = {"type": "FeatureCollection", "meta{": 'x"}{', "crs": {"p": {"n": "}"}}, "features": features, "end": {"q": 1}}
+    (tmp_path / "one.json").write_text("\ufeff" + json.dumps(whole, ensure_ascii=False))
+    (tmp_path / "two.json").write_text(json.dumps(whole, indent=1) + "\n")
+    (tmp_path / "none.json").write_text(json.dumps({"type": "FeatureCollection", "features": []}))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        objects = readers.read_json_objects(spark, str(tmp_path)).collect()
+        read = readers.read_geojson(spark, str(tmp_path)).collect()
+        split = spark.read.option("lineSep", "}").text(str(tmp_path)).rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert split > 20
+    want = [whole["crs"], *features, whole["end"]]
+    for name in ("one", "two"):
+        own = sorted((o.number, o.text) for o in objects if o.source_file.endswith(f"{name}.json"))
+        assert [json.loads(t) for _, t in own] == want
+    assert len(objects) == 2 * len(want)
+    assert sorted((r.zone_id, r.properties["note"]) for r in read) == sorted(2 * [(f"Z{i}", notes[i % len(notes)]) for i in range(500)])

@@ -14,6 +14,7 @@ from zoneflow.functions.time import floor_hour
 from zoneflow.operators import schema
 from zoneflow.operators.collapse import keep_first
 from zoneflow.operators.enrich import WEATHER_COLUMNS
+from zoneflow.operators.sizing import cut_lineage
 
 SAMPLE_ROWS = 100
 BYTE_ORDER_MARK = "\ufeff"
@@ -22,9 +23,10 @@ MISSING_TEXTS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
     "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
-FEATURE_SCHEMA = (
-    "features array<struct<properties: map<string, string>, geometry: struct<type: string, coordinates: string>>>"
-)
+FEATURE_SCHEMA = "type string, properties map<string, string>, geometry struct<type: string, coordinates: string>"
+# The rest of quoted text, and text before a brace that stands outside quoted text with that brace.
+UP_TO_QUOTE = r'^(?:[^"\\]++|\\.)*+"'
+UP_TO_BRACE = r'^(?:[^"{]++|"(?:[^"\\]++|\\.)*+")*+[{]'
 
 
 def read_csv_text(spark: SparkSession, path: str | list[str], **options) -> DataFrame:
@@ -136,11 +138,67 @@ def read_zone_lookup(spark: SparkSession, path: str) -> DataFrame:
     return zones.select(*[c for c in wanted if c in zones.columns])
 
 
+def _sum_before(pieces: DataFrame, measure: Column, name: str) -> DataFrame:
+    """Add the sum of a measure over all earlier pieces of a file: sums inside blocks, shifted by totals per block."""
+    place, earlier = W.partitionBy("source_file", "block"), (W.unboundedPreceding, -1)
+    measured = pieces.withColumn("_measure", measure)
+    totals = measured.groupBy("source_file", "block").agg(F.sum("_measure").alias("_total"))
+    shift = F.sum("_total").over(W.partitionBy("source_file").orderBy("block").rowsBetween(*earlier))
+    totals = totals.select("source_file", "block", F.coalesce(shift, F.lit(0)).alias("_shift"))
+    inside = F.coalesce(F.sum("_measure").over(place.orderBy("id").rowsBetween(*earlier)), F.lit(0))
+    summed = measured.withColumn("_inside", inside).join(totals, ["source_file", "block"])
+    return summed.withColumn(name, F.col("_inside") + F.col("_shift")).drop("_measure", "_inside", "_shift")
+
+
+def read_json_objects(spark: SparkSession, path: str, depth: int = 2) -> DataFrame:
+    """``source_file, number, text`` of the objects at a depth of JSON files (1 is the outermost), in file order.
+
+    A file may be one long line: Spark splits it, and reads each split in pieces that end with a closing brace.  Whether
+    a piece begins inside quoted text, and how deep, follows from counts of quotes and braces before it, summed up by
+    blocks; only the pieces of one object come together.  Objects are held one at a time, never a whole file.
+    """
+    lines = spark.read.option("lineSep", "}").text(path)
+    place = source_position()
+    bare = F.regexp_replace("value", r"\\.", "")
+
+    def outside(text: Column) -> Column:
+        return F.regexp_replace(F.regexp_replace(text, r'"[^"]*+"', ""), r'"[^"]*+$', "")
+
+    def braces(text: Column) -> Column:
+        return F.length(text) - F.length(F.replace(text, F.lit("{"), F.lit("")))
+
+    after = F.when(F.contains(bare, F.lit('"')), F.regexp_replace(bare, r'^[^"]*+"', "")).otherwise("")
+    pieces = lines.select(
+        place["source_file"].alias("source_file"), place["source_row"].alias("at"), F.replace("value", F.lit(BYTE_ORDER_MARK), F.lit("")).alias("value"),
+        (F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit("")))).alias("quotes"),
+        braces(outside(bare)).alias("opened"), braces(outside(after)).alias("opened_quoted"),
+    )
+    pieces = cut_lineage(pieces.select("source_file", "at.block", "at.id", "value", "quotes", "opened", "opened_quoted"))
+    pieces = _sum_before(pieces, F.col("quotes"), "_quotes")
+    quoted, closes = F.col("_quotes") % 2 == 1, (F.col("_quotes") + F.col("quotes")) % 2 == 0
+    pieces = pieces.withColumn("opens", F.when(quoted, F.col("opened_quoted")).otherwise(F.col("opened")))
+    pieces = _sum_before(pieces, F.col("opens") - closes.cast("int"), "level")
+    within = (F.col("level") >= depth) | (F.col("level") + F.col("opens") >= depth)
+    starts = (F.col("level") < depth) & within
+    numbered = _sum_before(pieces.withColumn("starts", starts), F.col("starts").cast("int"), "_started")
+    unquoted = F.when(F.col("_quotes") % 2 == 1, F.regexp_replace("value", UP_TO_QUOTE, "")).otherwise(F.col("value"))
+    lead = F.aggregate(
+        F.sequence(F.lit(1), F.lit(depth) - F.col("level")), unquoted, lambda t, _: F.regexp_replace(t, UP_TO_BRACE, "")
+    )
+    text = F.concat(F.when(F.col("starts"), F.concat(F.lit("{"), lead)).otherwise(F.col("value")), F.lit("}"))
+    return (
+        numbered.where(within)
+        .groupBy("source_file", (F.col("_started") + F.col("starts").cast("int")).alias("number"))
+        .agg(F.array_sort(F.collect_list(F.struct("block", "id", text.alias("text")))).alias("parts"))
+        .select("source_file", "number", F.array_join("parts.text", "").alias("text"))
+    )
+
+
 def read_geojson(spark: SparkSession, path: str, zone_property: str = "beat") -> DataFrame:
-    """Features of GeoJSON files: ``zone_id``, geometry type, coordinates as JSON text and all properties."""
-    text = spark.read.text(path, wholetext=True)
-    parsed = text.select(F.from_json(F.regexp_replace("value", BYTE_ORDER_MARK, ""), FEATURE_SCHEMA).alias("d"))
-    features = parsed.select(F.explode("d.features").alias("f"))
+    """Features of GeoJSON files of any size: ``zone_id``, geometry type, coordinates as JSON text and all properties."""
+    objects = read_json_objects(spark, path).select(F.from_json("text", FEATURE_SCHEMA).alias("f"))
+    shaped = F.col("f.geometry").isNotNull() | F.col("f.properties").isNotNull()
+    features = objects.where((F.coalesce("f.type", F.lit("Feature")) == "Feature") & shaped)
     properties = F.transform_keys("f.properties", lambda k, v: F.lower(F.trim(k)))
     return features.select(
         tx.upper_key(properties[zone_property]).alias("zone_id"),
