@@ -308,8 +308,9 @@ def read_records(spark: SparkSession, path: str, entries: DataFrame) -> DataFram
 
     files, opened = archives(spark, path)
     if opened:
-        once = wanted.distinct()
-        return once.repartitionByRange("path", "offset").sortWithinPartitions("path", "offset").mapInArrow(by_range, types)
+        # A stated number: entries are small, but what they name is not, so few bytes must not become few tasks.
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        return wanted.distinct().repartitionByRange(tasks, "path", "offset").sortWithinPartitions("path", "offset").mapInArrow(by_range, types)
     ranges = wanted.groupBy("path").agg(F.array_sort(F.collect_set(F.struct("offset", "length"))).alias("ranges"))
     return files.join(ranges.hint("merge"), "path").mapInArrow(by_content, types)
 
