@@ -97,3 +97,29 @@ def test_shape_reaches_the_recall():
         s = vx.Shape.of(n, vx.Params())
         agree = (1 - math.acos(0.9) / math.pi) ** s.bits
         assert (1 - agree) ** s.bands <= 1e-3
+
+
+def test_codes_keep_pairs_at_the_threshold_and_drop_unrelated_ones():
+    rng = np.random.default_rng(8)
+    for dim in (3, 16, 64, 300):
+        x = rng.normal(size=(4000, dim))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        other = rng.normal(size=x.shape)
+        other -= (other * x).sum(axis=1, keepdims=True) * x
+        other /= np.linalg.norm(other, axis=1, keepdims=True)
+        turn = vx.rotations(dim, vx.CODE_BITS)[:, : vx.CODE_BITS]
+        apart = ((x @ turn > 0) != ((0.9 * x + math.sqrt(1 - 0.81) * other) @ turn > 0)).sum(axis=1)
+        assert (apart <= vx.most_apart(vx.Params())).mean() > 0.999
+        if dim >= 64:
+            strangers = ((x @ turn > 0) != (np.roll(x, 1, axis=0) @ turn > 0)).sum(axis=1)
+            assert (strangers <= vx.most_apart(vx.Params())).mean() < 0.01
+
+
+@pytest.mark.parametrize("small", [64, 3])
+def test_pairs_of_dealt_buckets(monkeypatch, small):
+    monkeypatch.setattr(vx, "SMALL", small)
+    lengths, own = np.array([3, 1, 5, 4]), np.array([0, 0, 0, 0, 1, 1, 1, 1, 1, 0, 1, 0, 1])
+    parts = vx._brought_together(lengths, own, np.array([0, 0, 1, 0]), np.array([0, 0, 1, 1]))
+    got = sorted((int(a), int(b)) for x, y in parts for a, b in zip(x, y))
+    inner = [(a, b) for first, n in ((0, 3), (4, 5)) for a in range(first, first + n) for b in range(a + 1, first + n)]
+    assert got == sorted(inner + [(9, 10), (9, 12), (11, 10), (11, 12)])

@@ -4,6 +4,9 @@ A unit vector is rotated at random and kept as its signs and a correction factor
 rotated coordinates of another give an unbiased estimate of their inner product with a known error, so only pairs
 whose upper bound reaches the threshold are computed exactly.  Runs of sign bits are band keys that bring pairs
 together; the number of bands follows from the recall asked for at the threshold.
+
+A vector has a row in every band, so these rows hold 16 bytes of signs and no more.  The number of signs in which two
+vectors differ bounds their angle, which closes nearly all buckets; coordinates and vectors go to the members left.
 """
 
 from __future__ import annotations
@@ -23,6 +26,10 @@ from zoneflow.llm.minhash import CHUNK, deal, list_column
 from zoneflow.llm.scratch import Scratch
 
 
+CODE_BITS = 128  # signs that every band row carries, whatever the dimension and the number of bands
+SMALL = 64  # members of a bucket whose pairs are laid out together with those of other buckets
+
+
 @dataclass(frozen=True)
 class Params:
     """``miss`` bounds the chance that a pair just at the threshold shares no band; closer pairs are missed less.
@@ -59,12 +66,13 @@ def rotations(dim: int, bits: int) -> np.ndarray:
 
 
 def encode(classes: DataFrame, s: Shape) -> DataFrame:
-    """``id, copies, dim, vector, signs, coordinates, scale, factor, bands`` of ``classes(id, copies, vector)``.
+    """``id, copies, dim, vector, signs, coordinates, scale, factor, bands`` and codes of ``classes(id, copies, vector)``.
 
-    ``signs`` holds the bits of all bands, the first ``dim`` of them those of the first rotation.  ``coordinates`` are
+    ``signs`` holds the bits of all bands, the first ``dim`` of them those of the first rotation, and ``code_1`` and
+    ``code_2`` the first ``CODE_BITS``, with those of further rotations if need be.  ``coordinates`` are
     the first rotation's, in 127ths of ``scale``.  ``factor`` is the inner product of the vector with its own code.
     """
-    names = ["id", "copies", "dim", "vector", "signs", "coordinates", "scale", "factor", "bands"]
+    names = ["id", "copies", "dim", "vector", "signs", "coordinates", "scale", "factor", "bands", "code_1", "code_2"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -74,13 +82,14 @@ def encode(classes: DataFrame, s: Shape) -> DataFrame:
                 x = part.column("vector").flatten().to_numpy().astype(np.float64).reshape(-1, dim)
                 x = x / np.abs(x).max(axis=1, keepdims=True)
                 x = x / np.linalg.norm(x, axis=1, keepdims=True)
-                y = x @ rotations(int(dim), s.bits * s.bands)
+                y = x @ rotations(int(dim), max(s.bits * s.bands, CODE_BITS))
                 own = y[:, :dim]
                 factor = np.abs(own).sum(axis=1) / math.sqrt(dim)
                 scale = np.abs(own).max(axis=1)
                 small = np.rint(own / scale[:, None] * 127).astype(np.int8)
                 positive = (y[:, : max(s.bits * s.bands, int(dim))] > 0).astype(np.uint8)
                 packed = np.packbits(positive, axis=1)
+                codes = np.packbits(y[:, :CODE_BITS] > 0, axis=1).view(np.int64)
                 weights = 1 << np.arange(s.bits, dtype=np.int64)
                 bits = positive[:, : s.bits * s.bands].reshape(len(x), s.bands, s.bits).astype(np.int64)
                 bands = ((bits @ weights) * s.bands + np.arange(s.bands)) * 4096 + dim % 4096
@@ -92,6 +101,7 @@ def encode(classes: DataFrame, s: Shape) -> DataFrame:
                         pa.ListArray.from_arrays(
                             pa.array(np.arange(len(x) + 1, dtype=np.int32) * s.bands), pa.array(bands.reshape(-1))
                         ),
+                        pa.array(codes[:, 0].copy()), pa.array(codes[:, 1].copy()),
                     ],
                     names=names,
                 )
@@ -100,7 +110,7 @@ def encode(classes: DataFrame, s: Shape) -> DataFrame:
     return classes.mapInArrow(
         run,
         f"id long, copies long, dim int, vector {kind}, signs binary, coordinates binary, scale double, factor double, "
-        "bands array<long>",
+        "bands array<long>, code_1 long, code_2 long",
     )
 
 
@@ -156,30 +166,74 @@ class _Bucket:
             yield a, b
 
 
-CODES = ["id", "dim", "signs", "coordinates", "scale", "factor"]
+def most_apart(p: Params) -> int:
+    """Signs of a code in which two vectors at the threshold differ at most, but for a hundredth of ``miss``."""
+    chance = min(max(math.acos(min(max(p.threshold, -1.0), 1.0)) / math.pi, 1e-12), 1 - 1e-12)
+    above = 0.0
+    for k in range(CODE_BITS, 0, -1):
+        above += math.comb(CODE_BITS, k) * chance**k * (1 - chance) ** (CODE_BITS - k)
+        if above > p.miss / 100:
+            return k
+    return 0
+
+
+def _brought_together(lengths: np.ndarray, own: np.ndarray, i: np.ndarray, j: np.ndarray) -> Iterator[tuple]:
+    """Positions of the pairs of members that rows of dealt buckets hold, in bounded parts."""
+    ends = np.cumsum(lengths)
+    small = (lengths <= SMALL) & (i == j)
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    one = np.flatnonzero(small[row])
+    partners = ends[row[one]] - 1 - one
+    until = np.cumsum(partners)
+    for part in np.split(np.arange(len(one)), np.flatnonzero(np.diff(until // 500_000)) + 1):
+        n = partners[part]
+        a = np.repeat(one[part], n)
+        yield a, a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n)
+    for r in np.flatnonzero(~small):
+        members = np.arange(ends[r] - lengths[r], ends[r])
+        left, right = members[own[members] == i[r]], members[own[members] == j[r]]
+        for at in range(0, len(left), 256):
+            some = left[at : at + 256]
+            a, b = np.repeat(some, len(right)), np.tile(right, len(some))
+            keep = (a < b) if i[r] == j[r] else np.ones(len(a), dtype=bool)
+            yield a[keep], b[keep]
 
 
 def open_members(members: DataFrame, s: Shape, p: Params) -> DataFrame:
-    """``key, id`` of vectors that have a pair in their bucket which only an exact computation can decide."""
-    dealt = deal(members, "chunks", CODES)
+    """``key, id`` of vectors with a partner in their bucket whose code is near enough.
+
+    A pair that a band within the code has brought together before is left to that band.  ``members`` are
+    ``key, id, code_1, code_2, chunks``.
+    """
+    dealt = deal(members, "chunks", ["id", "code_1", "code_2"]).where(F.size("id") > 1)
+    most, within = most_apart(p), min(s.bands, CODE_BITS // s.bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = 1 << np.arange(s.bits, dtype=np.int64)
         for batch in batches:
-            keys, ids = [], []
-            for row in range(batch.num_rows):
-                bucket = _Bucket(batch, row, s, p)
-                seen = np.zeros(len(bucket.ids), dtype=bool)
-                for a, b in bucket.pairs():
-                    seen[a] = seen[b] = True
-                ids.append(bucket.ids[seen])
-                keys.append(np.full(int(seen.sum()), batch.column("key")[row].as_py()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys)), pa.array(np.concatenate(ids))], names=["key", "id"]
-            )
+            flat = {n: batch.column(n).flatten().to_numpy() for n in ("id", "own", "code_1", "code_2")}
+            lengths = batch.column("id").value_lengths().to_numpy().astype(np.int64)
+            keys = np.repeat(batch.column("key").to_numpy(), lengths)
+            codes = np.stack([flat["code_1"], flat["code_2"]], axis=1).view(np.uint64)  # counts of bits need no sign
+            bits = np.unpackbits(codes.view(np.uint8), axis=1)[:, : within * s.bits]
+            bands = bits.reshape(len(codes), within, s.bits).astype(np.int64) @ weights
+            band = (keys // 4096) % s.bands
+            seen = np.zeros(len(keys), dtype=bool)
+            for a, b in _brought_together(lengths, flat["own"], batch.column("i").to_numpy(), batch.column("j").to_numpy()):
+                near = np.bitwise_count(codes[a] ^ codes[b]).sum(axis=1, dtype=np.int64) <= most
+                a, b = a[near], b[near]
+                for k in range(within):
+                    new = (k >= band[a]) | (bands[a, k] != bands[b, k])
+                    a, b = a[new], b[new]
+                seen[a] = seen[b] = True
+            yield pa.RecordBatch.from_arrays([pa.array(keys[seen]), pa.array(flat["id"][seen])], names=["key", "id"])
 
     return dealt.mapInArrow(run, "key long, id long").distinct()
 
 
+CODES = ["id", "dim", "signs", "coordinates", "scale", "factor"]
+
+
 def exact_links(members: DataFrame, s: Shape, p: Params) -> DataFrame:
     """Links by exact cosines: rows ``a, n`` add to the number of vectors linked to a, rows ``a, b`` join components.
 
@@ -251,11 +305,16 @@ def near_duplicates(
     )
     s = Shape.of(classes.count(), p)
     codes = scratch.keep(encode(classes.select("id", "copies", "vector"), s))
-    keyed = codes.select("id", F.explode("bands").alias("key"))
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
-    members = keyed.join(sizes.select("key", F.ceil(F.col("m") / CHUNK).cast("int").alias("chunks")), "key")
-    waiting = scratch.keep(open_members(members.join(codes.select(*CODES), "id"), s, p))
-    rest = waiting.join(sizes.select("key", F.ceil(F.col("m") / CHUNK).cast("int").alias("chunks")), "key")
+    keyed = codes.select("id", "code_1", "code_2", F.explode("bands").alias("key"))
+    # Only buckets of several chunks are listed: at most one for every CHUNK rows, in practice those of large groups.
+    large = scratch.keep(
+        keyed.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > CHUNK)
+        .select("key", F.ceil(F.col("m") / CHUNK).cast("int").alias("listed"))
+    )
+    chunks = F.coalesce("listed", F.lit(1)).alias("chunks")
+    members = keyed.join(large, "key", "left").select("key", "id", "code_1", "code_2", chunks)
+    waiting = scratch.keep(open_members(members, s, p))
+    rest = waiting.join(large, "key", "left").select("key", "id", chunks)
     found = scratch.keep(exact_links(rest.join(codes.select(*CODES, "copies", "vector"), "id"), s, p))
     groups = scratch.keep(connected_components(found.where("b is not null").select("a", "b"), scratch))
     counted = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("other"))
