@@ -101,3 +101,17 @@ def test_text_key_is_sha256(spark):
     d = spark.createDataFrame([(1, "abc")], "doc_id long, text string")
     row = ps.contamination(d, spark.createDataFrame([], "item_id long, text string")).first()
     assert bytes(row.text_sha256).hex() == hashlib.sha256(b"abc").hexdigest()
+
+
+def test_search_of_windows_given_directly(spark):
+    index = ps.build_index(spark.createDataFrame([(1, "a b c d"), (2, "b c"), (3, None)], "doc_id long, text string"))
+    words = ps.wd.words_of
+    hashes = {}
+    for text in ("b c", "c d", "d a", "zz b"):
+        array = ps.pa.array([text])
+        hashes[text] = [int(x) for w in words(array, ps.wd.ALNUM_WORDS, 1000) for x in w.hashes.view("int64")]
+    rows = [(n, hashes[t], "x") for n, t in enumerate(hashes)] + [(0, hashes["b c"], "y"), (9, [], "x")]
+    windows = spark.createDataFrame(rows, "window_id long, terms array<long>, block string")
+    found = ps.search(index.persist(), windows).collect()
+    assert sorted((r.window_ids, [(s.first, s.end) for s in r.spans]) for r in found) == [([0], [(0, 2)]), ([0, 1], [(1, 4)])]
+    assert ps.search(index, windows.limit(0)).collect() == []

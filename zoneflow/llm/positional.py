@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ BLOCK_BYTES = 2_000_000
 BLOCK_ROWS = 2_000
 MAX_SLOP = 500
 GAP = 1024  # free positions between documents: no window, slop included, reaches over one
-PACK = 50_000  # windows searched at a time; bounds what a task holds of the query set
+PACK = 50_000  # windows of a group; bounds what a task holds of the query set
 
 
 def build_index(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -109,13 +110,12 @@ def windows_of(items: DataFrame, size: int = WINDOW, id_column: str = "item_id",
 
 def _pack(rows: pa.Table, size: int) -> dict[str, np.ndarray]:
     """Windows as arrays, their terms ordered from the rarest."""
-    n = len(rows)
-    terms, offsets = np.zeros((n, size), np.int64), np.zeros((n, size), np.int64)
-    lengths = np.zeros(n, np.int64)
-    for i, ordered in enumerate(rows["ordered"].to_pylist()):
-        lengths[i] = len(ordered)
-        for j, x in enumerate(ordered):
-            terms[i, j], offsets[i, j] = x["term"], x["offset"]
+    rows = rows.combine_chunks()
+    lengths = pc.list_value_length(rows["terms"]).to_numpy().astype(np.int64)
+    terms, offsets = np.zeros((len(rows), size), np.int64), np.zeros((len(rows), size), np.int64)
+    used = np.arange(size)[None, :] < lengths[:, None]
+    terms[used] = pc.list_flatten(rows["terms"]).to_numpy()
+    offsets[used] = pc.list_flatten(rows["offsets"]).to_numpy()
     return {"id": rows["window_id"].to_numpy(), "terms": terms, "offsets": offsets, "lengths": lengths}
 
 
@@ -146,16 +146,16 @@ def _matches(pack: dict, terms: np.ndarray, lists: np.ndarray, sizes: np.ndarray
     return window, start
 
 
-def _searcher(held, slop: int):
-    """The search of one block for a broadcast pack of windows."""
+def _searcher(size: int, slop: int):
+    """The search of one block for the windows of a pack that may stand in it."""
 
-    def run(table: pa.Table) -> pa.Table:
+    def run(table: pa.Table, asked: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         names = ["block", "ordinal", "window_ids", "spans"]
         is_doc = np.asarray(table["term"].is_null())
         docs, rows = table.filter(pa.array(is_doc)), table.filter(pa.array(~is_doc))
         lists = rows["positions"].combine_chunks()
-        pack = held.value
+        pack = _pack(asked, size)
         window, start = _matches(
             pack, rows["term"].to_numpy(), lists.flatten().to_numpy(), lists.value_lengths().to_numpy(), slop
         )
@@ -190,38 +190,61 @@ def _searcher(held, slop: int):
     return run
 
 
-def search(index: DataFrame, windows: DataFrame, size: int = WINDOW, slop: int = 0) -> DataFrame:
+def search(
+    index: DataFrame, windows: DataFrame, size: int = WINDOW, slop: int = 0, scratch: Scratch | None = None
+) -> DataFrame:
     """``block, ordinal, window_ids, spans`` of documents that hold a window.
 
     Without slop a window matches where its terms follow each other.  With slop each term may stand up to that many
-    words from its place relative to the rarest one.  ``spans`` are word ranges of the document, merged.  Windows are
-    searched in packs of at most 50,000, so what a task holds of them is bounded however many there are.
+    words from its place relative to the rarest one.  ``spans`` are word ranges of the document, merged.
+
+    Windows meet blocks by their rarest term: only a block that has it is asked.  A group holds one block and those
+    of at most about 50,000 windows that may stand in it, so it is bounded however many windows there are.
+
+    Defined cases: windows without terms are not found; repeated windows count once; no windows or an empty index give
+    no rows.  ``windows`` may have other columns.
     """
     if not 0 <= slop <= MAX_SLOP:
         raise ValueError(f"slop must be between 0 and {MAX_SLOP}")
-    spark = index.sparkSession
-    distinct = windows.select("window_id", "terms").distinct()
+    scratch = scratch or Scratch(index.sparkSession)
+    distinct = windows.select("window_id", "terms").where(F.size("terms") > 0).distinct()
     packs = max(1, math.ceil(distinct.count() / PACK))
     postings = index.where("term is not null")
-    found = None
-    for number in range(packs):
-        own = distinct.where(F.pmod("window_id", F.lit(packs)) == number)
-        placed = own.select("window_id", F.posexplode("terms").alias("offset", "term"))
-        # At most PACK windows of ``size`` terms: a few megabytes whatever the size of the benchmark.
-        terms = F.broadcast(placed.select("term").distinct())
-        frequency = postings.join(terms, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("df"))
-        ordered = F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "offset", "term")))
-        ranked = placed.join(frequency, "term", "left").groupBy("window_id").agg(ordered.alias("ordered"))
-        held = spark.sparkContext.broadcast(_pack(ranked.toArrow(), size))
-        needed = postings.join(terms, "term", "left_semi").select("block", "term", "positions", "ordinal").union(
-            index.where("term is null").select("block", "term", "positions", "ordinal")
+    placed = distinct.select(
+        F.pmod("window_id", F.lit(packs)).cast("int").alias("pack"), "window_id", F.posexplode("terms").alias("offset", "term")
+    )
+    # What the joins with postings take from the windows is written first, so Spark knows its size when it plans them.
+    terms = scratch.keep(placed.select("pack", "term").distinct())
+    frequency = postings.join(terms.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("n").alias("df"))
+    ordered = F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "offset", "term")))
+    ranked = scratch.keep(
+        placed.join(frequency, "term", "left").groupBy("pack", "window_id").agg(ordered.alias("ordered"))
+        .select(
+            "pack", "window_id", F.col("ordered")[0]["term"].alias("term"),
+            F.col("ordered.term").alias("terms"), F.col("ordered.offset").alias("offsets"),
         )
-
-        part = needed.groupBy("block").applyInArrow(
-            _searcher(held, slop), "block long, ordinal int, window_ids array<long>, spans array<struct<first:int,end:int>>"
+    )
+    asked = scratch.keep(
+        postings.select("block", "term").join(ranked.select("pack", "window_id", "term"), "term")
+        .select("block", "pack", "window_id")
+    )
+    groups = asked.select("block", "pack").distinct()
+    needed = (
+        postings.join(terms, "term").join(groups, ["block", "pack"], "left_semi")
+        .select("block", "pack", "term", "positions", "ordinal")
+        .union(
+            index.where("term is null").join(groups, "block").select("block", "pack", "term", "positions", "ordinal")
         )
-        found = part if found is None else found.unionByName(part)
-    return found
+    )
+    wanted = asked.join(ranked.select("window_id", "terms", "offsets"), "window_id")
+    return (
+        needed.groupBy("block", "pack")
+        .cogroup(wanted.select("block", "pack", "window_id", "terms", "offsets").groupBy("block", "pack"))
+        .applyInArrow(
+            _searcher(size, slop),
+            "block long, ordinal int, window_ids array<long>, spans array<struct<first:int,end:int>>",
+        )
+    )
 
 
 def hit_words(spans: str) -> F.Column:
@@ -257,7 +280,7 @@ def contamination(
     scratch = Scratch(docs.sparkSession)
     index = scratch.keep(build_index(docs, id_column, text_column))
     windows = scratch.keep(windows_of(items, size, item_column))
-    found = scratch.keep(search(index, windows, size, slop))
+    found = scratch.keep(search(index, windows, size, slop, scratch))
     merged = (
         found.groupBy("block", "ordinal")
         .agg(F.flatten(F.collect_list("spans")).alias("spans"))
