@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 import sentencepiece
@@ -74,3 +75,25 @@ def test_suffix_array_finds_every_occurrence():
     matched = {t.pieces[i] for i in t.matched}
     want = {(raw[a:b], a) for a in range(len(raw)) for b in range(a + 1, len(raw) + 1) if raw[a:b] in matched}
     assert got == want
+
+
+def test_only_tied_suffixes_are_sorted_by_all_their_bytes(monkeypatch):
+    """The order of the words' suffixes, with few of them in the sort by several keys."""
+    rng = np.random.default_rng(4)
+    words = [bytes(rng.integers(97, 123, rng.integers(1, 24)).astype(np.uint8)) for _ in range(2_000)] + [b"abcdefghijklmnop"] * 3
+    text = np.frombuffer(b"\0".join(words) + b"\0", dtype=np.uint8)
+    t = ps.tables(open(PIECE_MODEL, "rb").read())
+    sorted_rows = []
+    lexsort = np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys: sorted_rows.append(len(keys[0])) or lexsort(keys))
+    which, at = ps.occurrences(text, t)
+    assert sum(sorted_rows) < 100
+    raw = text.tobytes()
+    found = {}
+    for i, a in zip(which.tolist(), at.tolist()):
+        found.setdefault(t.pieces[t.matched[i]], []).append(a)
+    for piece in ("abcdefghijklmnop", "abcdefgh", "abc", "ing", "q", "international"):
+        piece = piece.encode()
+        places = [a for a in range(len(raw)) if raw.startswith(piece, a)]
+        if t.id_of.get(piece) in set(t.matched.tolist()):
+            assert sorted(found.get(piece, [])) == places

@@ -177,8 +177,8 @@ class Tables:
         self.matched = np.array(reachable)
         self.lengths = np.array([len(v.pieces[i]) for i in reachable])
         width = -(-max(self.lengths) // 8) * 8
-        self.low = np.array([list(v.pieces[i].ljust(width, b"\0")) for i in reachable], dtype=np.uint8)
-        self.high = np.array([list(v.pieces[i].ljust(width, b"\xff")) for i in reachable], dtype=np.uint8)
+        self.low_keys = _keys(np.array([list(v.pieces[i].ljust(width, b"\0")) for i in reachable], dtype=np.uint8))
+        self.high_keys = _keys(np.array([list(v.pieces[i].ljust(width, b"\xff")) for i in reachable], dtype=np.uint8))
         self.width = width
         self.byte_ids = np.full(256, usable.get(b"<unk>", 0), dtype=np.int64)
         for i, (p, k) in enumerate(zip(v.pieces, v.kinds)):
@@ -299,37 +299,65 @@ def _keys(rows: np.ndarray) -> list[np.ndarray]:
     return [np.ascontiguousarray(rows[:, i : i + 8]).view(">u8").reshape(-1).astype(np.uint64) for i in range(0, rows.shape[1], 8)]
 
 
+def _suffixes(keys: list[np.ndarray]) -> np.ndarray:
+    """Suffixes in the order of their keys: sorted by the first eight bytes, and only the tied ones by the others."""
+    order = np.argsort(keys[0])
+    first = keys[0][order]
+    equal = first[1:] == first[:-1]
+    # A zero byte ends a word, and no piece reaches over it: such suffixes may stay as they are.
+    equal &= (first[1:] & np.uint64(0xFF)) != 0
+    tied = np.zeros(len(order), dtype=bool)
+    tied[1:] = equal
+    tied[:-1] |= equal
+    tied = np.flatnonzero(tied)
+    if len(tied):
+        mine = order[tied]
+        order[tied] = mine[np.lexsort([*(k[mine] for k in keys[:0:-1]), first[tied]])]
+    return order
+
+
 def occurrences(text: np.ndarray, t: Tables) -> tuple[np.ndarray, np.ndarray]:
     """(index into ``t.matched``, first byte) of every piece in ``text``, by a suffix array.
 
-    Suffixes are ordered by as many bytes as the longest piece has, which is all that looking up a piece compares.
+    Suffixes are ordered by as many bytes as the longest piece has, up to a zero byte, which is all that looking up a
+    piece compares.
     """
     n = len(text)
     padded = np.concatenate([text, np.zeros(t.width, dtype=np.uint8)])
     keys = []
+    inside = np.ones(n, dtype=bool)
     for first in range(0, t.width, 8):
         key = np.zeros(n, dtype=np.uint64)
         for j in range(first, first + 8):
-            key = (key << np.uint64(8)) | padded[j : j + n].astype(np.uint64)
+            byte = padded[j : j + n]
+            inside &= byte != 0
+            key = (key << np.uint64(8)) | (byte * inside)
         keys.append(key)
-    suffixes = np.lexsort(keys[::-1])
+    suffixes = _suffixes(keys)
     ordered = [k[suffixes] for k in keys]
 
     def bound(wanted: list[np.ndarray], after: bool) -> np.ndarray:
-        low, high = np.zeros(len(wanted[0]), dtype=np.int64), np.full(len(wanted[0]), n)
+        """Places of the wanted keys: by the first eight bytes, then, for pieces that are longer, by the others."""
+        low = np.searchsorted(ordered[0], wanted[0])
+        high = np.searchsorted(ordered[0], wanted[0], side="right")
+        out = np.where(t.lengths > 8, low, high if after else low)
+        live = np.flatnonzero((t.lengths > 8) & (low < high))
+        low, high = low[live], high[live]
+        wanted = [k[live] for k in wanted]
         while (low < high).any():
             middle = np.minimum((low + high) >> 1, n - 1)
             less = np.zeros(len(low), dtype=bool)
             tied = np.ones(len(low), dtype=bool)
-            for have, want in zip(ordered, wanted):
+            for have, want in zip(ordered[1:], wanted[1:]):
                 less |= tied & (have[middle] < want)
                 tied &= have[middle] == want
             go = (less | tied if after else less) & (low < high)
             high = np.where(go | (low >= high), high, middle)
             low = np.where(go, middle + 1, low)
-        return low
+        out[live] = low
+        return out
 
-    first, last = bound(_keys(t.low), False), bound(_keys(t.high), True)
+    first, last = bound(t.low_keys, False), bound(t.high_keys, True)
     sizes = np.maximum(last - first, 0)
     return np.repeat(np.arange(len(sizes)), sizes), suffixes[_ranges(first, sizes)]
 
@@ -351,9 +379,9 @@ def encode_words(text: np.ndarray, starts: np.ndarray, t: Tables) -> tuple[np.nd
     piece = np.concatenate([piece, np.full(len(odd), t.size)])
     size = np.concatenate([size, at_char[odd]])
     at = np.concatenate([at, odd])
-    word = np.searchsorted(starts, at, side="right") - 1
-    reach = at + size - starts[word]
-    order = np.argsort(reach, kind="stable")
+    reach = at + size - np.repeat(starts, np.diff(np.append(starts, n)))[at]
+    # Sixteen bits are sorted by digits.
+    order = np.argsort(reach.astype(np.uint16) if reach.max(initial=0) < 2**16 else reach, kind="stable")
     piece, at, size, reach = piece[order], at[order], size[order], reach[order]
     begins = np.zeros(n + 1, dtype=bool)
     begins[starts] = True
