@@ -1,14 +1,17 @@
 """Passages that repeat across documents against a search of all runs of words."""
 
 import random
+import time
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from brute import spaced
+from pyspark.sql import functions as F
 
 from zoneflow.llm import paragraphs as pg
 from zoneflow.llm import words as wd
+from zoneflow.llm.scratch import Scratch
 
 
 def sentence(rng, n):
@@ -161,3 +164,23 @@ def test_short_lines_with_a_word_more(spark):
     docs = [(i, "\n".join(" ".join(x) for x in part)) for i, part in enumerate([lines, more])]
     rows = pg.find_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     assert {r.doc_id: r.n_words for r in rows} == {0: 72, 1: 78}
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    """What a step has shuffled goes when its table is written, so steps do not add up on disk."""
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+        names = set()
+        while files.hasNext():
+            names.add(files.next().getName())
+        return {n for n in names if n.startswith("shuffle_")}
+
+    before = shuffled()
+    kept = Scratch(spark).keep(spark.range(1_000).groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(50):
+        if not shuffled() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert sorted(r["count"] for r in kept.collect()) == [142] + [143] * 6

@@ -314,7 +314,9 @@ def equal_runs(texts: DataFrame, p: Params, scratch: Scratch) -> DataFrame:
         .agg(F.min("first").alias("first"), F.max("first").alias("end"))
         .select("id", "first", (F.col("end") - F.col("first") + p.least_words).alias("words"), F.col("anchor").alias("component"), "a")
     )
-    return runs.union(copies)
+    runs = scratch.keep(runs.union(copies))
+    scratch.drop(held, same, found)
+    return runs
 
 
 def find_repeats(docs: DataFrame, p: Params = Params(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -344,6 +346,7 @@ def find_repeats(docs: DataFrame, p: Params = Params(), id_column: str = "doc_id
     # Classes that share a band with another class.
     rows = banded.select(F.col("key").alias("id"), F.explode("bands").alias("band"))
     shared = rows.groupBy("band").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("band")
+    shared = scratch.keep(shared)  # band rows are exchanged twice, one exchange after the other
     ids = scratch.keep(rows.join(shared, "band", "left_semi").select("id").distinct())
     mine = banded.drop("held").withColumnRenamed("id", "doc").withColumnRenamed("key", "id").join(ids, "id", "left_semi")
     classes = scratch.keep(
@@ -357,25 +360,26 @@ def find_repeats(docs: DataFrame, p: Params = Params(), id_column: str = "doc_id
         found = texts.join(own.select(F.col("doc").alias("id")).distinct(), "id", "left_semi")
         return unit_sets(found, p).join(own.select("id"), "id", "left_semi").dropDuplicates(["id"])
 
-    linked = minhash.link_classes(classes, sets_of, p.minhash, scratch)
+    near = minhash.link_classes(classes, sets_of, p.minhash, scratch)
+    scratch.drop(shared, ids, classes)
     short = held.where(F.col("n_shingles") < p.banded).select("key").distinct()
     within = held.select(F.explode("held").alias("a"), F.col("key").alias("b")).join(short.toDF("a"), "a", "left_semi").distinct()
-    joined = linked.select(F.col("node").alias("a"), F.col("component").alias("b")).union(within)
+    joined = near.select(F.col("node").alias("a"), F.col("component").alias("b")).union(within)
     linked = scratch.keep(connected_components(joined, scratch))
     spread = held.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b"))
-    named = spread.join(linked.select(F.col("node").alias("key"), "component"), "key", "left").withColumn(
-        "component", F.coalesce("component", "key")
-    )
+    named = spread.join(linked.select(F.col("node").alias("key"), "component"), "key", "left")
+    named = scratch.keep(named.where("component is not null or a <> b"))
     # A class that no other is linked to needs no look at other classes.
-    alone = named.where("component = key and a <> b").select("key", "component", "a")
-    joined = named.join(linked.select("component").distinct(), "component", "left_semi")
+    alone = named.where("component is null").select("key", F.col("key").alias("component"), "a")
+    joined = named.where("component is not null")
     whole = joined.groupBy("component").agg(F.min("a").alias("a"), F.max("b").alias("b")).where("a <> b")
     members = joined.select("key", "component").join(whole.select("component", "a"), "component").select(
         "key", "component", "a"
     )
-    roots = members.select("key").distinct()
-    repeated = scratch.keep(alone.join(roots, "key", "left_anti").union(members))
+    repeated = scratch.keep(alone.union(members))
     marked = held.select("id", "first", "words", "key").join(repeated, "key").select("id", "first", "words", "component", "a")
+    marked = scratch.keep(marked)
+    scratch.drop(held, near, linked, named, repeated)
     listed = marked.union(equal_runs(texts, p, scratch)).groupBy("id").agg(
         F.array_sort(F.collect_list(F.struct("first", "words", "component", "a"))).alias("u")
     )

@@ -29,9 +29,16 @@ class Scratch:
         return f"{self.root}/{self._count:03d}"
 
     def keep(self, df: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFrame:
-        """Write ``df`` and return a frame that reads the written table."""
+        """Write ``df`` and return a frame that reads the written table.
+
+        What the write has shuffled is deleted as soon as the table is there: nothing reads it again.
+        """
         path = self.path()
-        with settings(self.spark, spark__sql__execution__arrow__maxRecordsPerBatch=str(batch_rows)):
+        with settings(
+            self.spark,
+            spark__sql__execution__arrow__maxRecordsPerBatch=str(batch_rows),
+            spark__sql__classic__shuffleDependency__fileCleanup__enabled="true",
+        ):
             df.write.parquet(path)
         back = self.spark.read.schema(df.schema).parquet(path)
         self._paths[id(back)] = path
