@@ -107,3 +107,18 @@ def test_lookup_reads_only_its_buckets(spark, tmp_path):
     assert [(r.k, r.n, r.v) for r in found.collect()] == [("k7", 3, 7)]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "_bucket" in plan.split("PartitionFilters")[1].split("]")[0]
+
+
+def test_tasks_that_write_a_large_bucket_are_bounded(spark, tmp_path):
+    """A bucket larger than a task should hold is written by several."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "64k")
+    try:
+        log = cl.ChangeLog(spark, str(tmp_path / "log"), ["k"], buckets=1)
+        rows = spark.range(60_000).selectExpr("id as k", "uuid() as v")
+        log.append(rows, 0, ["v"])
+    finally:
+        spark.conf.set(name, before)
+    assert len(list((tmp_path / "log").rglob("*.parquet"))) > 1
+    assert log.read().count() == 60_000

@@ -158,7 +158,8 @@ class ChangeLog:
 
     def _write(self, df: DataFrame, state: Manifest) -> str:
         name = uuid.uuid4().hex
-        placed = df.withColumn(BUCKET, self._bucket(state)).repartition(state.buckets, BUCKET)
+        # Adaptive execution makes one task of small buckets and several of a large one, so a task is no larger with the run.
+        placed = df.withColumn(BUCKET, self._bucket(state)).hint("rebalance", BUCKET)
         placed.write.partitionBy(BUCKET).parquet(f"{self.path}/runs/{RUN}={name}")
         return name
 
