@@ -184,3 +184,37 @@ def test_written_tables_leave_no_shuffle_files(spark):
         time.sleep(0.2)
     assert not shuffled() - before
     assert sorted(r["count"] for r in kept.collect()) == [142] + [143] * 6
+
+
+def test_windows_of_an_anchor_are_one_row(spark):
+    """Runs of windows hold every window of the asked anchors once, and equal runs have equal keys."""
+    rng = random.Random(16)
+    p = pg.Params()
+    same = [f"v{rng.randrange(4000)}" for _ in range(90)]
+    texts = [" ".join([f"x{i}{j}" for j in range(50)] + same + [f"y{i}{j}" for j in range(50)]) for i in range(2)]
+    texts.append(" ".join(["na"] * 40))
+    grams = {}
+    for w in wd.words_of(pa.array(texts), wd.SPACED_WORDS):
+        for i in range(w.n):
+            h = wd.shingle_hashes(w.hashes[w.bounds[i] : w.bounds[i + 1]], p.anchor)
+            for at in range(len(h) - p.least_words + p.anchor):
+                place = at + int(np.argmin(h[at : at + p.least_words - p.anchor + 1]))
+                grams.setdefault((i, place, int(h[place].view(np.int64))), []).append(at)
+    asked = [sorted({a for i, _, a in grams if i == t}) for t in range(3)]
+    rows = spark.createDataFrame(
+        [(i, t, i, a) for i, (t, a) in enumerate(zip(texts, asked))], "id long, text string, last long, anchors array<long>"
+    )
+    found = pg.asked_runs(rows, p).collect()
+    assert {(r.id, r.place, r.anchor): list(range(r["first"], r["first"] + r["count"])) for r in found} == grams
+    assert len(found) == len(grams) < sum(map(len, grams.values())) and all(len(r.windows) == r["count"] for r in found)
+    first, second = ({(r.place, r.key): r.windows for r in found if r.id == i} for i in range(2))
+    both = first.keys() & second.keys()
+    assert len(both) > 2 and all(first[x] == second[x] for x in both)
+
+
+def test_sets_are_read_once(spark, monkeypatch):
+    """The search of open buckets takes the sets that the first comparison has read; texts are not read again."""
+    calls, read = [], pg.unit_sets
+    monkeypatch.setattr(pg, "unit_sets", lambda docs, p: calls.append(1) or read(docs, p))
+    docs, _ = material()
+    assert pg.find_repeats(spark.createDataFrame(docs, "doc_id long, text string")).count() == 15 and len(calls) == 1

@@ -56,7 +56,7 @@ class Params:
 
 @dataclass
 class Units:
-    """Paragraphs of a slice that have a shingle: text row, first word in it, words, and their sorted shingle sets."""
+    """Paragraphs of a slice that have a shingle: text row, first word in it, words, and their shingle sets."""
 
     row: np.ndarray
     first: np.ndarray
@@ -97,10 +97,16 @@ def units(w: wd.Words, k: int) -> Units:
     counts = ends - starts - k + 1
     at = np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
     values, owner = wd.shingle_hashes(w.hashes, k)[at], np.repeat(np.arange(len(starts)), counts)
-    order = np.lexsort((values, owner))
-    values = values[order]
+    # Few paragraphs repeat a shingle: those with equal shortened values are looked at in full.
+    bits = np.uint64(len(starts).bit_length())
+    short = np.sort((owner.astype(np.uint64) << (np.uint64(64) - bits)) | (values >> bits))
+    again = np.zeros(len(starts), dtype=bool)
+    again[(short[1:][short[1:] == short[:-1]] >> (np.uint64(64) - bits)).astype(np.int64)] = True
+    doubtful = np.flatnonzero(again[owner])
+    doubtful = doubtful[np.lexsort((values[doubtful], owner[doubtful]))]
+    equal = (values[doubtful][1:] == values[doubtful][:-1]) & (owner[doubtful][1:] == owner[doubtful][:-1])
     new = np.ones(len(values), dtype=bool)
-    new[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
+    new[doubtful[1:][equal]] = False
     values, sizes = values[new], np.bincount(owner[new], minlength=len(starts))
     key = np.zeros(0, dtype=np.uint64)
     if len(starts):
@@ -201,36 +207,65 @@ def unit_sets(docs: DataFrame, p: Params) -> DataFrame:
 
 
 @dataclass
-class Windows:
-    """Runs of ``least_words`` words of a slice: text row, first word in it, anchor's word in it, and the anchor's hash."""
+class Runs:
+    """Neighbouring windows of ``least_words`` words that have one anchor: the first of them in the slice, how many, their
+    text row, and in it the first word and the anchor's; the anchor's hash."""
 
     at: np.ndarray
+    count: np.ndarray
     row: np.ndarray
     first: np.ndarray
     place: np.ndarray
     anchor: np.ndarray
 
 
-def windows(w: wd.Words, p: Params) -> Windows:
-    """Every window has the anchor of the least hash in it, so equal windows have equal anchors."""
+def window_runs(w: wd.Words, p: Params) -> Runs:
+    """Every window has the anchor of the least hash in it, the first of equal ones, so equal windows have equal anchors.
+
+    The windows of an anchor follow one another, as no window between two of them can have another.
+    """
     k, n = p.anchor, p.least_words
     grams = wd.shingle_hashes(w.hashes, k)
     if len(w.hashes) < n:
         none = np.zeros(0, dtype=np.int64)
-        return Windows(none, none, none, none, grams[:0])
-    # Running minima over doubling spans; the last two spans together are the window.
+        return Runs(none, none, none, none, none, grams[:0])
+    # Running minima and their places over doubling spans; the last two spans together are the window.
     size, least, span = n - k + 1, grams, 1
+    place = np.arange(len(grams), dtype=np.int32)
+
+    def meet(shift: int) -> tuple[np.ndarray, np.ndarray]:
+        right = least[shift:] < least[:-shift]
+        return np.where(right, least[shift:], least[:-shift]), np.where(right, place[shift:], place[:-shift])
+
     while span * 2 <= size:
-        least, span = np.minimum(least[:-span], least[span:]), span * 2
-    least = np.minimum(least[: len(grams) - size + 1], least[size - span :])
+        least, place = meet(span)
+        span *= 2
+    if size > span:
+        least, place = meet(size - span)
     text = w.text_of_word()
     at = np.flatnonzero(text[: len(least)] == text[n - 1 :])
-    # The first place of the least hash at or after the window's start.
-    place = np.full(len(at), -1, dtype=np.int64)
-    for j in range(size - 1, -1, -1):
-        place = np.where(grams[at + j] == least[at], at + j, place)
-    row = text[at]
-    return Windows(at, row, at - w.bounds[row], place - w.bounds[row], least[at])
+    row, place = text[at], place[at].astype(np.int64)
+    new = np.ones(len(at), dtype=bool)
+    new[1:] = (place[1:] != place[:-1]) | (row[1:] != row[:-1])
+    begin = np.flatnonzero(new)
+    count = np.diff(np.append(begin, len(at)))
+    at, row, place = at[begin], row[begin], place[begin]
+    return Runs(at, count, row, at - w.bounds[row], place - w.bounds[row], grams[place])
+
+
+def window_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the runs of ``n`` words that start at each word, from those of doubling lengths."""
+    base, size = 0xD6E8FEB86659FD93, len(hashes)
+    out, covered, part, span = np.zeros(size + 1, dtype=np.uint64), 0, hashes, 1
+    while covered < n <= size:
+        if n & span:
+            count = size - covered - span + 1
+            out = part[:count] * np.uint64(pow(base, covered, 2**64)) + out[span : span + count]
+            covered += span
+        if span * 2 <= n:
+            part = part[:-span] * np.uint64(pow(base, span, 2**64)) + part[span:]
+        span *= 2
+    return wd.mix(out[: max(0, size - n + 1)])
 
 
 def anchors(texts: DataFrame, p: Params) -> DataFrame:
@@ -240,7 +275,7 @@ def anchors(texts: DataFrame, p: Params) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in wd.parts(batches):
             for w in wd.words_of(batch.column(1), wd.SPACED_WORDS, 500_000):
-                x = windows(w, p)
+                x = window_runs(w, p)
                 order = np.lexsort((x.anchor, x.row))
                 row, anchor = x.row[order], x.anchor[order]
                 new = np.ones(len(row), dtype=bool)
@@ -260,37 +295,56 @@ def anchors(texts: DataFrame, p: Params) -> DataFrame:
     return texts.mapInArrow(run, "id long, text_hash long, words int, anchor long")
 
 
-def asked_windows(texts: DataFrame, p: Params) -> DataFrame:
-    """``window, id, last, first, place, anchor`` of the windows of ``texts(id, text, last, anchors)`` with such an anchor."""
+def asked_runs(texts: DataFrame, p: Params) -> DataFrame:
+    """``id, last, first, place, anchor, count, key, windows`` of the runs of windows of ``texts(id, text, last, anchors)``
+    with such an anchor; ``windows`` are their hashes, ``key`` is one of all of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in wd.parts(batches):
             for w in wd.words_of(batch.column(1), wd.SPACED_WORDS, 500_000):
-                x = windows(w, p)
-                keep = np.zeros(len(x.at), dtype=bool)
-                for i in np.unique(x.row):
-                    mine = slice(*np.searchsorted(x.row, [i, i + 1]))
-                    asked = batch.column(3)[w.first_row + int(i)].values.to_numpy()
-                    keep[mine] = np.isin(x.anchor[mine].view(np.int64), asked)
+                x = window_runs(w, p)
+                asked = batch.column(3).slice(w.first_row, w.n)
+                mark = wd.mix(np.arange(1, w.n + 1, dtype=np.uint64))  # parts the rows; a run too many does no harm
+                wanted = asked.flatten().to_numpy().view(np.uint64) ^ np.repeat(mark, asked.value_lengths().to_numpy())
+                keep = np.flatnonzero(np.isin(x.anchor ^ mark[x.row], wanted))
+                if not len(keep):
+                    continue
+                count = x.count[keep]
+                ends = np.cumsum(count)
+                step = np.arange(ends[-1]) - np.repeat(ends - count, count)
+                hashes = window_hashes(w.hashes, p.least_words)[np.repeat(x.at[keep], count) + step]
+                key = np.add.reduceat(wd.mix(hashes + (step + 1).astype(np.uint64)), ends - count)
                 rows = pa.array(w.first_row + x.row[keep])
-                hashes = wd.shingle_hashes(w.hashes, p.least_words)[x.at[keep]]
+                offsets = np.concatenate([[0], ends]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(hashes.view(np.int64)), batch.column(0).take(rows), batch.column(2).take(rows),
+                        batch.column(0).take(rows), batch.column(2).take(rows),
                         pa.array(x.first[keep].astype(np.int32)), pa.array(x.place[keep].astype(np.int32)),
-                        pa.array(x.anchor[keep].view(np.int64)),
+                        pa.array(x.anchor[keep].view(np.int64)), pa.array(count.astype(np.int32)),
+                        pa.array(key.view(np.int64)),
+                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes.view(np.int64))),
                     ],
-                    names=["window", "id", "last", "first", "place", "anchor"],
+                    names=["id", "last", "first", "place", "anchor", "count", "key", "windows"],
                 )
 
-    return texts.mapInArrow(run, "window long, id long, last long, first int, place int, anchor long")
+    return texts.mapInArrow(
+        run,
+        "id long, last long, first int, place int, anchor long, count int, key long, windows array<long>",
+    )
+
+
+def _hashed(keys: DataFrame) -> DataFrame:
+    """Distinct keys that a large table is joined with: they are hashed in each partition, and the table is not sorted."""
+    return keys.hint("shuffle_hash")
 
 
 def equal_runs(texts: DataFrame, p: Params, scratch: Scratch) -> DataFrame:
     """``id, first, words, component, a``: runs of at least ``least_words`` equal words that another id holds as well.
 
     Equal texts are one text, and only windows with an anchor that another text has are compared, so what is exchanged
-    follows the anchors and the repeated words.  The runs name a window's anchor as component.
+    follows the anchors and the repeated words.  Runs of the same windows are one variant of their anchor: only where an
+    anchor has several, as at the edges of a passage, are windows compared one by one, and those of each variant once.
+    The runs name a window's anchor as component.
     """
     hashed = texts.withColumn("text_hash", F.xxhash64("text"))
     held = scratch.keep(anchors(hashed, p))
@@ -300,22 +354,44 @@ def equal_runs(texts: DataFrame, p: Params, scratch: Scratch) -> DataFrame:
     copies = held.where("words is not null").join(same.where("a <> last"), "text_hash").select(
         "id", F.lit(0).alias("first"), "words", F.col("text_hash").alias("component"), "a"
     )
-    asked = held.join(both.select("anchor"), "anchor", "left_semi").groupBy("text_hash").agg(
+    asked = held.join(_hashed(both.select("anchor")), "anchor", "left_semi").groupBy("text_hash").agg(
         F.collect_set("anchor").alias("anchors")
     )
     asked = same.join(asked, "text_hash").select(F.col("a").alias("id"), "text_hash", "last", "anchors")
-    found = scratch.keep(
-        asked_windows(hashed.join(asked, ["id", "text_hash"]).select("id", "text", "last", "anchors"), p)
+    picked = hashed.join(_hashed(asked), ["id", "text_hash"])
+    found = scratch.keep(asked_runs(picked.select("id", "text", "last", "anchors"), p))
+    variants = scratch.keep(
+        found.groupBy("anchor", "key").agg(
+            F.min("id").alias("a"), F.max("last").alias("b"), F.first("windows").alias("windows")
+        )
+    )
+    kinds = scratch.keep(
+        variants.groupBy("anchor")
+        .agg(F.min("key").alias("key"), F.max("key").alias("other"), F.min("a").alias("a"), F.max("b").alias("b"))
+        .where("a <> b")
     )
-    shared = found.groupBy("window").agg(F.min("id").alias("a"), F.max("last").alias("b")).where("a <> b").select("window", "a")
+    several = _hashed(kinds.where("key <> other").select("anchor"))
+    each = variants.join(several, "anchor", "left_semi").select(
+        "anchor", "key", "a", "b", F.posexplode("windows").alias("step", "window")
+    )
+    shared = each.groupBy("window").agg(F.min("a").alias("a"), F.max("b").alias("b")).where("a <> b").select("window", "a")
+    parts = (
+        each.drop("a", "b").join(_hashed(shared), "window").groupBy("anchor", "key", "a")
+        .agg(F.min("step").alias("low"), F.max("step").alias("high"))
+    )
+    whole = kinds.where("key = other").select("anchor", "key", "a", F.lit(0).alias("low"), F.lit(None).cast("int").alias("high"))
+    parts = scratch.keep(parts.union(whole))
     runs = (
-        found.join(shared, "window")
+        found.join(_hashed(parts), ["anchor", "key"])
         .groupBy("id", "place", "anchor", "a")
-        .agg(F.min("first").alias("first"), F.max("first").alias("end"))
+        .agg(
+            F.min(F.col("first") + F.col("low")).alias("first"),
+            F.max(F.col("first") + F.coalesce("high", F.col("count") - 1)).alias("end"),
+        )
         .select("id", "first", (F.col("end") - F.col("first") + p.least_words).alias("words"), F.col("anchor").alias("component"), "a")
     )
     runs = scratch.keep(runs.union(copies))
-    scratch.drop(held, same, found)
+    scratch.drop(held, same, found, variants, kinds, parts)
     return runs
 
 
@@ -347,27 +423,26 @@ def find_repeats(docs: DataFrame, p: Params = Params(), id_column: str = "doc_id
     rows = banded.select(F.col("key").alias("id"), F.explode("bands").alias("band"))
     shared = rows.groupBy("band").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("band")
     shared = scratch.keep(shared)  # band rows are exchanged twice, one exchange after the other
-    ids = scratch.keep(rows.join(shared, "band", "left_semi").select("id").distinct())
-    mine = banded.drop("held").withColumnRenamed("id", "doc").withColumnRenamed("key", "id").join(ids, "id", "left_semi")
+    ids = scratch.keep(rows.join(_hashed(shared), "band", "left_semi").select("id").distinct())
+    mine = banded.drop("held").withColumnRenamed("id", "doc").withColumnRenamed("key", "id").join(_hashed(ids), "id", "left_semi")
     classes = scratch.keep(
         mine.groupBy("id").agg(
             F.min("doc").alias("doc"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")
         ).withColumn("signature", F.col("bands"))
     )
 
-    def sets_of(wanted: DataFrame) -> DataFrame:
-        own = classes.join(wanted, "id", "left_semi").select("id", "doc")
-        found = texts.join(own.select(F.col("doc").alias("id")).distinct(), "id", "left_semi")
-        return unit_sets(found, p).join(own.select("id"), "id", "left_semi").dropDuplicates(["id"])
-
-    near = minhash.link_classes(classes, sets_of, p.minhash, scratch)
-    scratch.drop(shared, ids, classes)
+    own = classes.select("id", "doc")
+    read = texts.join(_hashed(own.select(F.col("doc").alias("id")).distinct()), "id", "left_semi")
+    sets = unit_sets(read, p).join(own.select("id"), "id", "left_semi").dropDuplicates(["id"])
+    sets = scratch.keep(sets)  # asked for twice, and texts are read once
+    near = minhash.link_classes(classes, lambda wanted: sets.join(wanted, "id", "left_semi"), p.minhash, scratch)
+    scratch.drop(shared, ids, classes, sets)
     short = held.where(F.col("n_shingles") < p.banded).select("key").distinct()
-    within = held.select(F.explode("held").alias("a"), F.col("key").alias("b")).join(short.toDF("a"), "a", "left_semi").distinct()
+    within = held.select(F.explode("held").alias("a"), F.col("key").alias("b")).join(_hashed(short.toDF("a")), "a", "left_semi").distinct()
     joined = near.select(F.col("node").alias("a"), F.col("component").alias("b")).union(within)
     linked = scratch.keep(connected_components(joined, scratch))
     spread = held.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b"))
-    named = spread.join(linked.select(F.col("node").alias("key"), "component"), "key", "left")
+    named = spread.join(_hashed(linked.select(F.col("node").alias("key"), "component")), "key", "left")
     named = scratch.keep(named.where("component is not null or a <> b"))
     # A class that no other is linked to needs no look at other classes.
     alone = named.where("component is null").select("key", F.col("key").alias("component"), "a")
@@ -377,7 +452,7 @@ def find_repeats(docs: DataFrame, p: Params = Params(), id_column: str = "doc_id
         "key", "component", "a"
     )
     repeated = scratch.keep(alone.union(members))
-    marked = held.select("id", "first", "words", "key").join(repeated, "key").select("id", "first", "words", "component", "a")
+    marked = held.select("id", "first", "words", "key").join(_hashed(repeated), "key").select("id", "first", "words", "component", "a")
     marked = scratch.keep(marked)
     scratch.drop(held, near, linked, named, repeated)
     listed = marked.union(equal_runs(texts, p, scratch)).groupBy("id").agg(
